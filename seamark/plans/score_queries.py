@@ -283,7 +283,7 @@ def _joi05(spark, sf_dir):
 
 @query(
     "joi06_three_way_tide",
-    """SELECT station_id, t, round(obs - tide, 6) AS obs_anomaly, round(model - tide, 6) AS model_anomaly
+    """SELECT station_id, t, round(obs - tide, 9) AS obs_anomaly, round(model - tide, 9) AS model_anomaly
        FROM v_tide WHERE obs IS NOT NULL""",
 )
 def _joi06(spark, sf_dir):
@@ -294,8 +294,8 @@ def _joi06(spark, sf_dir):
     return out.select(
         *K,
         secs("ts", "t"),
-        F.round(F.col("obs") - F.col("tide"), 6).alias("obs_anomaly"),
-        F.round(F.col("model") - F.col("tide"), 6).alias("model_anomaly"),
+        F.round(F.col("obs") - F.col("tide"), 9).alias("obs_anomaly"),
+        F.round(F.col("model") - F.col("tide"), 9).alias("model_anomaly"),
     )
 
 
@@ -430,13 +430,13 @@ def _agg40(spark, sf_dir):
       FROM l WINDOW w1 AS (PARTITION BY station_id ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
                     w2 AS (PARTITION BY station_id ORDER BY rn ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING))
     SELECT station_id, t, round(CASE WHEN obs IS NOT NULL THEN obs WHEN rn - pr <= 6
-      THEN CASE WHEN nv IS NULL THEN pv ELSE pv + (nv - pv) * (rn - pr) / (nr - pr) END END, 6) AS value FROM s""",
+      THEN CASE WHEN nv IS NULL THEN pv ELSE pv + (nv - pv) * (rn - pr) / (nr - pr) END END, 10) AS value FROM s""",
 )
 def _win03(spark, sf_dir):
     out = fill.to_equal_interval(
         view(spark, sf_dir, "v_series"), K, "ts", "value", step_seconds=3600
     )
-    return out.select(*K, secs("ts", "t"), r6("value"))
+    return out.select(*K, secs("ts", "t"), F.round("value", 10).alias("value"))
 
 
 @query(

@@ -15,6 +15,8 @@ from seamark.functions.clock import epoch
 from seamark.operators.sequence import CHUNK_SECONDS, chunk_of, halo, scan
 
 HOUR = 3600.0
+# Largest (bins x rows) wave matrix held at once while filtering.
+BLOCK_CELLS = 2_000_000
 
 
 def residual(pairs: DataFrame, tides: DataFrame, keys: Sequence[str], ts: str = "ts", value: str = "obs") -> DataFrame:
@@ -109,9 +111,13 @@ def fourier_lowpass(
     def project(pdf: pd.DataFrame) -> pd.DataFrame:
         n = int(pdf["__n"].iloc[0])
         k = np.arange(kept_bins(n) + 1)
-        turn = np.outer(k, pdf["__i"].to_numpy()) % n
-        wave = np.exp(-2j * np.pi * turn / n)
-        c = wave @ pdf["__v"].to_numpy()
+        i, v = pdf["__i"].to_numpy(), pdf["__v"].to_numpy()
+        c = np.concatenate(
+            [
+                np.exp(-2j * np.pi * (np.outer(b, i) % n) / n) @ v
+                for b in np.array_split(k, max(1, len(k) * len(i) // BLOCK_CELLS))
+            ]
+        )
         out = pd.DataFrame({"k": k, "re": c.real, "im": c.imag})
         for pos, key in enumerate(keys):
             out.insert(pos, key, pdf[key].iloc[0])
@@ -125,7 +131,10 @@ def fourier_lowpass(
     )
     # Evaluate: each chunk meets every kept bin of its series, in one small task.
     chunks = rows.select(*keys, "__chunk").distinct()
-    bins = chunks.join(sums, list(keys))
+    own = [f"__b_{key}" for key in keys]
+    bins = chunks.join(sums, list(keys)).select(
+        *[F.col(k).alias(b) for k, b in zip(keys, own)], F.col("__chunk").alias("__b_chunk"), "k", "re", "im"
+    )
     out_schema = T.StructType(
         key_fields + [T.StructField(ts, T.TimestampType()), T.StructField("lowpass", T.DoubleType())]
     )
@@ -137,13 +146,15 @@ def fourier_lowpass(
         k = right["k"].to_numpy()
         c = right["re"].to_numpy() + 1j * right["im"].to_numpy()
         weight = np.where((k == 0) | (2 * k == n), 1.0, 2.0)
-        turn = np.outer(left["__i"].to_numpy(), k) % n
-        y = (np.exp(2j * np.pi * turn / n) @ (weight * c)).real / n
-        return left[[*keys, ts]].assign(lowpass=y)
+        i, y = left["__i"].to_numpy(), np.zeros(len(left))
+        for b in np.array_split(np.arange(len(k)), max(1, len(k) * len(i) // BLOCK_CELLS)):
+            wave = np.exp(2j * np.pi * (np.outer(i, k[b]) % n) / n)
+            y += (wave @ (weight[b] * c[b])).real
+        return left[[*keys, ts]].assign(lowpass=y / n)
 
     return (
         rows.groupBy(*keys, "__chunk")
-        .cogroup(bins.groupBy(*keys, "__chunk"))
+        .cogroup(bins.groupBy(*own, "__b_chunk"))
         .applyInPandas(evaluate, out_schema)
     )
 

@@ -118,8 +118,9 @@ def with_views(sql: str) -> str:
     if not used:
         return sql
     body = sql.strip()
-    if body[:5].upper() == "WITH ":
-        return f"WITH {ctes},\n{body[5:]}"
+    for lead in ("WITH RECURSIVE ", "WITH "):
+        if body.upper().startswith(lead):
+            return f"{lead}{ctes},\n{body[len(lead):]}"
     return f"WITH {ctes}\n{body}"
 
 

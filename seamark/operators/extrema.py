@@ -25,12 +25,12 @@ def water_level_extrema(
 
     A row qualifies when it beats every row within +-order samples, order =
     max(1, int(separation / step)).  Missing values in that window disqualify;
-    the first and the last row never qualify.  Border rows are copied to the
-    neighbouring chunk, so no task holds a whole series.
+    the first and the last row have nothing to beat on one side and never
+    qualify.  Border rows are copied to the neighbouring chunk, so no task holds
+    a whole series.
     """
     order = max(1, int(separation_hours * 3600 / step_seconds))
     reach = order * step_seconds
-    ends = df.groupBy(*keys).agg(F.min(ts).alias("__first"), F.max(ts).alias("__last"))
     wide, chunk, home = halo(df, ts, before=reach, after=reach, chunk_seconds=chunk_seconds)
     wide = wide.withColumn("__s", epoch(F.col(ts)))
     w = Window.partitionBy(*keys, chunk).orderBy("__s")
@@ -51,8 +51,6 @@ def water_level_extrema(
     return (
         marked.withColumn("kind", kind)
         .filter("kind IS NOT NULL")
-        .join(ends, list(keys))
-        .filter((F.col(ts) != F.col("__first")) & (F.col(ts) != F.col("__last")))
         .select(*keys, ts, value, "kind")
     )
 
@@ -103,51 +101,37 @@ def pair_events(
     """Greedy one-to-one pairing of events, model events taken in time order.
 
     Each model event takes the nearest unclaimed observed event within the
-    tolerance, the earlier one on a tie.  Events of one kind are more than the
-    separation (4 h) apart, so a model event has at most two candidates and can
-    lose only the earlier one, to its direct predecessor.  Whether it does is
+    tolerance, the earlier one on a tie.  Events of one kind lie further apart
+    (4 h) than the tolerance, so a model event has at most one candidate at or
+    before it and one after it, and can lose only the former, to its direct
+    predecessor.  Whether it does is
 
         claimed(i + 1) = taken(i) is the candidate i and i + 1 share
 
     and as a function of claimed(i) this is either constant or the identity.
     The answer is therefore the last constant before the event: one carry along
-    the series, with no group collected and no sequential loop.
+    the series, with no group collected and no sequential loop.  Candidates and
+    neighbours are near in time and are found inside chunks with a halo.
     """
-    reach = tolerance_hours * 3600
+    reach = int(tolerance_hours * 3600)
     events = model.select(*keys, ts, F.col(value).alias("model_value"), F.lit(1).alias("__m")).unionByName(
         obs.select(*keys, ts, F.col(value).alias("obs_value"), F.lit(0).alias("__m")),
         allowMissingColumns=True,
     )
     seen = F.when(F.col("__m") == 0, F.struct(F.col(ts).alias("at"), F.col("obs_value").alias("v")))
-    # The two observed events before and the two after bracket every candidate.
-    one = scan(
-        events,
-        keys,
-        [ts, "__m"],
-        prior={"__b1": seen},
-        following={"__a1": seen},
-        chunk_seconds=chunk_seconds,
+    wide, chunk, home = halo(
+        events.withColumn("__o", seen), ts, before=reach, after=reach, chunk_seconds=chunk_seconds
     )
-    linked = F.when(
-        F.col("__m") == 0,
-        F.struct(
-            F.struct(F.col(ts).alias("at"), F.col("obs_value").alias("v")).alias("o"),
-            F.col("__b1").alias("b"),
-            F.col("__a1").alias("a"),
-        ),
+    up = Window.partitionBy(*keys, chunk).orderBy(ts, "__m")
+    down = Window.partitionBy(*keys, chunk).orderBy(F.col(ts).desc(), F.col("__m").desc())
+    past = Window.unboundedPreceding, -1
+    two = (
+        wide.withColumn("__b", F.last("__o", True).over(up.rowsBetween(*past)))
+        .withColumn("__a", F.last("__o", True).over(down.rowsBetween(*past)))
+        .filter(home & (F.col("__m") == 1))
     )
-    two = scan(
-        one,
-        keys,
-        [ts, "__m"],
-        prior={"__b": linked},
-        following={"__a": linked},
-        chunk_seconds=chunk_seconds,
-    ).filter("__m = 1")
     here = epoch(F.col(ts))
-    around = F.array(
-        F.col("__b")["b"], F.col("__b")["o"], F.col("__a")["o"], F.col("__a")["a"]
-    )
+    around = F.array("__b", "__a")
     near = F.filter(
         around, lambda s: s.isNotNull() & (F.abs(epoch(s["at"]) - here) <= reach)
     )
@@ -165,13 +149,14 @@ def pair_events(
 
     # Free choice, and the choice when the earlier candidate is gone.
     cand = cand.withColumn("__pick", F.when(c2.isNotNull() & (far(c2) < far(c1)), c2).otherwise(c1))
-    links = scan(
-        cand,
-        keys,
-        [ts],
-        prior={"__pc": F.struct(F.coalesce(c2["at"], c1["at"]).alias("last"))},
-        following={"__nc": F.struct(c1["at"].alias("first"))},
-        chunk_seconds=chunk_seconds,
+    # Two model events can share a candidate only within twice the tolerance.
+    wide, chunk, home = halo(cand, ts, before=2 * reach, after=2 * reach, chunk_seconds=chunk_seconds)
+    w = Window.partitionBy(*keys, chunk).orderBy(ts)
+    links = (
+        wide.withColumn("__pc", F.lag(F.struct(F.coalesce(c2["at"], c1["at"]).alias("last"))).over(w))
+        .withColumn("__nc", F.lead(F.struct(c1["at"].alias("first"))).over(w))
+        .filter(home)
+        .drop(chunk)
     )
     last = F.coalesce(c2["at"], c1["at"])
     shared_next = F.coalesce(last == F.col("__nc")["first"], F.lit(False))
@@ -181,7 +166,7 @@ def pair_events(
     # NULL marks the identity; an event sharing nothing with its predecessor is free.
     rule = F.when(~shared_prev, if_free).when(if_free == if_claimed, if_free)
     decided = scan(
-        links.withColumn("__shared", shared_prev).withColumn("__rule", F.coalesce(rule, F.lit(None))),
+        links.withColumn("__shared", shared_prev).withColumn("__rule", rule),
         keys,
         [ts],
         prior={"__claimed": F.col("__rule")},

@@ -10,13 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seamark.functions import angles
 from seamark.functions.clock import epoch
 from seamark.operators.fill import fill_linear, merged_timeline
-from seamark.operators.sequence import CHUNK_SECONDS, scan, unique_only
+from seamark.operators.sequence import CHUNK_SECONDS, halo, keep_first, unique_only
 
 
 def in_window(ts: Column, start: Column, end: Column, lookback_hours: int = 0) -> Column:
@@ -110,25 +110,31 @@ def asof_nearest(
 
     Both sides are merged into one ordered sequence and each left row looks at
     the last right row at or before it and the first after it: no candidate
-    pairs are formed.  An earlier row wins a tie.
+    pairs are formed.  The tolerance bounds the look, so chunks with a halo are
+    enough.  An earlier row wins a tie.
     """
     tag = right.select(
         *keys, ts, F.lit(0).alias("__side"), F.struct(F.col(ts).alias("at"), F.col(value)).alias("__r")
     )
-    rows = left.withColumn("__l", F.struct(*left.columns)).select(
-        *keys, ts, F.lit(1).alias("__side"), F.lit(None).cast(tag.schema["__r"].dataType).alias("__r"), "__l"
+    rows = left.select(*keys, ts, F.lit(1).alias("__side"), F.struct(*left.columns).alias("__l"))
+    reach = int(tolerance_seconds) + 1
+    wide, chunk, home = halo(
+        rows.unionByName(tag, allowMissingColumns=True),
+        ts,
+        before=reach,
+        after=reach,
+        chunk_seconds=chunk_seconds,
     )
-    both = rows.unionByName(tag, allowMissingColumns=True).withColumn(
-        "__tie", F.xxhash64("__l", "__r")
+    up = Window.partitionBy(*keys, chunk).orderBy(ts, "__side", F.col("__r")[value])
+    down = Window.partitionBy(*keys, chunk).orderBy(
+        F.col(ts).desc(), F.col("__side").desc(), F.col("__r")[value].desc()
+    )
+    past = Window.unboundedPreceding, -1
+    out = (
+        wide.withColumn("__before", F.last("__r", True).over(up.rowsBetween(*past)))
+        .withColumn("__after", F.last("__r", True).over(down.rowsBetween(*past)))
+        .filter(home & (F.col("__side") == 1))
     )
-    out = scan(
-        both,
-        keys,
-        [ts, "__side", "__tie"],
-        prior={"__before": F.col("__r")},
-        following={"__after": F.col("__r")},
-        chunk_seconds=chunk_seconds,
-    ).filter("__side = 1")
     here = F.unix_micros(F.col(ts).cast("timestamp"))
 
     def gap(name: str) -> Column:
@@ -152,8 +158,6 @@ def with_tide(pairs: DataFrame, tides: DataFrame, keys: Sequence[str], ts: str =
 
 def matched_stations(obs_stations: DataFrame, model_stations: DataFrame, key: str, order: str):
     """(matched, unmatched): equal ids; the last model entry of an id wins."""
-    from seamark.operators.sequence import keep_first
-
     model = keep_first(model_stations, [key], [order], last=True)
     return obs_stations.join(model, key, "inner"), obs_stations.join(model, key, "left_anti")
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from seamark.functions import angles, tidal
 from seamark.functions.clock import epoch
-from seamark.operators.sequence import CHUNK_SECONDS, chunk_of, halo, scan
+from seamark.operators.sequence import CHUNK_SECONDS, chunk_of, halo
 
 HOUR = 3600.0
 # Largest (bins x rows) wave matrix held at once while filtering.
@@ -43,19 +43,15 @@ def persistence_forecast(
     """
     width = int(window_hours * 3600 / step_seconds)
     hold = int(horizon_hours * 3600 / step_seconds)
-    numbered = scan(
-        df.select(*keys, ts, obs, tide),
-        keys,
-        [ts],
-        totals={"__rn": F.lit(1)},
-        chunk_seconds=chunk_seconds,
-    )
     reach = (width + hold) * step_seconds
-    wide, chunk, home = halo(numbered, ts, before=reach, after=0, chunk_seconds=chunk_seconds)
+    wide, chunk, home = halo(
+        df.select(*keys, ts, obs, tide), ts, before=reach, after=0, chunk_seconds=chunk_seconds
+    )
     w = Window.partitionBy(*keys, chunk).orderBy(ts)
+    window = w.rowsBetween(-width, -1)
     res = F.col(obs) - F.col(tide)
     wide = wide.withColumn(
-        "__off", F.when(F.col("__rn") > width, F.avg(res).over(w.rowsBetween(-width, -1)))
+        "__off", F.when(F.count(F.lit(1)).over(window) == width, F.avg(res).over(window))
     )
     kept = F.last("__off", True).over(w.rowsBetween(-(hold - 1), 0))
     return (

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seamark.functions.rounding import half_even
 from seamark.functions import angles
 from seamark.operators import scores, spatial
 
@@ -65,7 +66,7 @@ def frame_statistics(
         F.stddev_pop(model).alias("model_std"),
         F.avg(e).alias("bias"),
         F.stddev_pop(e).alias("bias_std"),
-        F.when(enough, F.bround(scores.pearson(model, obs), 3)).alias("r"),
+        F.when(enough, half_even(scores.pearson(model, obs), 3)).alias("r"),
         F.when(enough, scores.rmse(e)).alias("rmse"),
         *_block(e, limit),
     )

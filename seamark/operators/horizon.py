@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seamark.functions.rounding import half_even
 from seamark.functions import clock
 from seamark.operators import scores
 
@@ -49,9 +50,9 @@ def horizon_scores(
     rows = df.select("hour_bin", cycle, e.alias("e"))
     grouped = rows.groupingSets([["hour_bin"], [cycle]], "hour_bin", cycle).agg(
         F.count("e").alias("n"),
-        F.bround(scores.rmse(F.col("e")), 2).alias("rmse"),
-        F.bround(F.avg("e"), 2).alias("mean_error"),
-        F.bround(scores.central_frequency(F.col("e"), F.lit(float(x1))), 2).alias("central_freq"),
+        half_even(scores.rmse(F.col("e")), 2).alias("rmse"),
+        half_even(F.avg("e"), 2).alias("mean_error"),
+        half_even(scores.central_frequency(F.col("e"), F.lit(float(x1))), 2).alias("central_freq"),
     )
     big = F.col("n") > min_error_count
     return grouped.filter(big).select(
@@ -69,7 +70,7 @@ def station_cycle_matrix(
 ) -> DataFrame:
     """CF per station and cycle: long form, or one column per given cycle."""
     e = F.col("model") - F.col("obs")
-    cf = F.bround(scores.central_frequency(e, F.lit(float(x1))), 2)
+    cf = half_even(scores.central_frequency(e, F.lit(float(x1))), 2)
     if cycles is None:
         return df.groupBy(*keys, cycle).agg(cf.alias("central_freq"))
     return df.groupBy(*keys).pivot(cycle, list(cycles)).agg(cf)

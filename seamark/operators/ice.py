@@ -8,6 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from seamark.functions.rounding import half_even
 from seamark.operators import scores, spatial
 from seamark.operators.quantiles import exact_percentiles
 
@@ -140,12 +141,12 @@ def station_scores(pairs: DataFrame, keys: Sequence[str]) -> DataFrame:
     obs, model = F.col("obs"), F.col("model")
     e = model - obs
     return pairs.groupBy(*keys).agg(
-        F.when(F.count(e) > 5, F.bround(scores.pearson(model, obs), 2)).alias("r"),
-        F.bround(scores.rmse(e), 2).alias("rmse"),
-        F.bround(F.avg(e), 2).alias("bias"),
-        F.bround(F.stddev_pop(e), 2).alias("bias_std"),
-        F.bround(F.avg(obs), 2).alias("obs_mean"),
-        F.bround(F.avg(model), 2).alias("model_mean"),
+        F.when(F.count(e) > 5, half_even(scores.pearson(model, obs), 2)).alias("r"),
+        half_even(scores.rmse(e), 2).alias("rmse"),
+        half_even(F.avg(e), 2).alias("bias"),
+        half_even(F.stddev_pop(e), 2).alias("bias_std"),
+        half_even(F.avg(obs), 2).alias("obs_mean"),
+        half_even(F.avg(model), 2).alias("model_mean"),
     )
 
 

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seamark.functions.rounding import half_even
 from seamark.functions import angles
 from seamark.operators import runs
 
@@ -145,9 +146,9 @@ def circular_correlation(df: DataFrame, keys: Sequence[str], model: str, obs: st
 
 def _outlier_block(e: Column, x1: Column) -> list[Column]:
     return [
-        F.bround(central_frequency(e, x1), 2).alias("central_freq"),
-        F.bround(positive_outliers(e, x1), 2).alias("pos_outlier_freq"),
-        F.bround(negative_outliers(e, x1), 2).alias("neg_outlier_freq"),
+        half_even(central_frequency(e, x1), 2).alias("central_freq"),
+        half_even(positive_outliers(e, x1), 2).alias("pos_outlier_freq"),
+        half_even(negative_outliers(e, x1), 2).alias("neg_outlier_freq"),
     ]
 
 
@@ -211,26 +212,26 @@ def skill_scalar(
     n_obs = F.when(e.isNotNull(), F.col("obs"))
     stats = rows.groupBy(*keys).agg(
         F.count(e).alias("n_pairs"),
-        F.bround(rmse(e), 2).alias("rmse"),
-        F.bround(pearson(F.col("model"), F.col("obs")), 2).alias("r"),
+        half_even(rmse(e), 2).alias("rmse"),
+        half_even(pearson(F.col("model"), F.col("obs")), 2).alias("r"),
         F.avg(e).alias("__bias"),
         F.avg(n_obs).alias("__mean_obs"),
-        F.bround(F.stddev_pop(e), 2).alias("bias_std"),
+        half_even(F.stddev_pop(e), 2).alias("bias_std"),
         *_outlier_block(e, F.col("__x1")),
         F.max("__x1").alias("target_error"),
     )
-    base = F.col("__bias") if speed_rule else F.bround("__bias", 2)
+    base = F.col("__bias") if speed_rule else half_even("__bias", 2)
     stats = (
-        stats.withColumn("bias", F.bround("__bias", 2))
-        .withColumn("bias_perc", F.bround(ratio(100 * base, F.col("__mean_obs")), 2))
+        stats.withColumn("bias", half_even("__bias", 2))
+        .withColumn("bias_perc", half_even(ratio(100 * base, F.col("__mean_obs")), 2))
         .drop("__bias", "__mean_obs")
     )
     durations = runs.outlier_durations(
         rows, keys, ts, e, F.col("__x1"), tie=tie
     ).select(
         *keys,
-        F.bround("max_pos_hours", 2).alias("max_pos_hours"),
-        F.bround("max_neg_hours", 2).alias("max_neg_hours"),
+        half_even("max_pos_hours", 2).alias("max_pos_hours"),
+        half_even("max_neg_hours", 2).alias("max_neg_hours"),
     )
     out = stats.join(durations, list(keys), "left")
     if tides is not None:
@@ -238,7 +239,7 @@ def skill_scalar(
             rows.join(tides, [*keys, ts])
             .groupBy(*keys)
             .agg(
-                F.bround(
+                half_even(
                     worst_case_frequency(
                         F.col("model"), F.col("obs"), F.col("tide"), F.col("__x1")
                     ),
@@ -263,7 +264,7 @@ def skill_speed(
         F.col("obs_speed").alias("obs"),
         F.col("model_speed").alias("model"),
     )
-    direction = pairs.groupBy(*keys).agg(F.bround(F.avg("dir_bias"), 2).alias("bias_dir"))
+    direction = pairs.groupBy(*keys).agg(half_even(F.avg("dir_bias"), 2).alias("bias_dir"))
     return skill_scalar(rows, keys, ts=ts, x1=x1, tie=tie, speed_rule=True).join(
         direction, list(keys), "left"
     )
@@ -277,18 +278,18 @@ def skill_direction(
     limit = F.lit(float(x1))
     stats = pairs.groupBy(*keys).agg(
         F.count(e).alias("n_pairs"),
-        F.bround(rmse(e), 2).alias("rmse"),
-        F.bround(angles.mean_angle(e), 2).alias("bias"),
-        F.bround(F.stddev_pop(e), 2).alias("bias_std"),
+        half_even(rmse(e), 2).alias("rmse"),
+        half_even(angles.mean_angle(e), 2).alias("bias"),
+        half_even(F.stddev_pop(e), 2).alias("bias_std"),
         *_outlier_block(e, limit),
     )
     r = circular_correlation(pairs, keys, "model_dir", "obs_dir").select(
-        *keys, F.bround("circular_r", 2).alias("r")
+        *keys, half_even("circular_r", 2).alias("r")
     )
     durations = runs.outlier_durations(pairs, keys, ts, e, limit, tie=tie).select(
         *keys,
-        F.bround("max_pos_hours", 2).alias("max_pos_hours"),
-        F.bround("max_neg_hours", 2).alias("max_neg_hours"),
+        half_even("max_pos_hours", 2).alias("max_pos_hours"),
+        half_even("max_neg_hours", 2).alias("max_neg_hours"),
     )
     out = stats.join(r, list(keys), "left").join(durations, list(keys), "left")
     return graded(_enough(out, keys, MIN_PAIRS))
@@ -306,11 +307,11 @@ def skill_extrema(
     limit = F.lit(float(x1))
     out = matches.groupBy(*keys).agg(
         F.count(e).alias("n_pairs"),
-        F.bround(rmse(e), 2).alias("rmse"),
-        F.bround(F.avg(e), 2).alias("bias"),
-        F.bround(F.stddev_pop(e), 2).alias("bias_std"),
+        half_even(rmse(e), 2).alias("rmse"),
+        half_even(F.avg(e), 2).alias("bias"),
+        half_even(F.stddev_pop(e), 2).alias("bias_std"),
         *_outlier_block(e, limit),
-        F.bround(rmse(t), 2).alias("timing_rmse"),
-        F.bround(timing_central_frequency(t), 2).alias("timing_central_freq"),
+        half_even(rmse(t), 2).alias("timing_rmse"),
+        half_even(timing_central_frequency(t), 2).alias("timing_central_freq"),
     )
     return graded(_enough(out, keys, min_pairs))

@@ -84,9 +84,9 @@ VIEWS = {
     # Daily frames of 20 x 15 cells.
     "v_grid": """
         SELECT SECS(o_orderdate) AS t, o_custkey % 20 AS iy, o_orderkey % 15 AS ix,
-               max(CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_totalprice / 1e4 END) AS obs,
+               max(CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE sqrt(o_totalprice) / 10 END) AS obs,
                max(CASE WHEN o_orderkey % 17 = 0 THEN NULL
-                        ELSE o_totalprice / 1e4 + (o_orderkey * 31 % 701) / 1e2 - 3.5e0 END) AS model
+                        ELSE sqrt(o_totalprice) / 10 + (o_orderkey * 31 % 701) / 1e2 - 3.5e0 END) AS model
         FROM orders GROUP BY 1, 2, 3""",
     # Daily ice concentrations in percent, with a climatology value.
     "v_ice": """

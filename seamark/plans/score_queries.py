@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from seamark.functions.rounding import half_even
 from seamark.functions import angles, clock
 from seamark.operators import fill, pairing, runs, scores, sequence
 from seamark.plans.demo import r6, secs, view
@@ -128,8 +129,8 @@ def _agg11(spark, sf_dir):
 def _agg12(spark, sf_dir):
     p = view(spark, sf_dir, "v_pairs")
     s = p.groupBy(*K).agg(
-        F.bround(scores.central_frequency(E(), X1()), 2).alias("central_freq"),
-        F.bround(scores.positive_outliers(E(), X1()), 2).alias("pos_outlier_freq"),
+        half_even(scores.central_frequency(E(), X1()), 2).alias("central_freq"),
+        half_even(scores.positive_outliers(E(), X1()), 2).alias("pos_outlier_freq"),
     )
     return scores.graded(s).select(*K, "central_freq_pass_fail", "pos_outlier_freq_pass_fail")
 

@@ -1 +1 @@
-"""Seamark sinks."""
+"""Output formats and writers."""

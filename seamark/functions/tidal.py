@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,14 +62,34 @@ def standard_name(name: Column) -> Column:
     return out
 
 
-def constituent_table(spark: SparkSession, names: list[str] | None = None) -> DataFrame:
-    """Literal table (constituent, priority, speed) of at most 37 rows."""
-    rows = [
+def constituents(names: Sequence[str] | None = None) -> list[tuple[str, int, float]]:
+    """(name, priority, speed), at most 37 entries."""
+    return [
         (n, i, s)
         for i, (n, s) in enumerate(CONSTITUENT_SPEEDS.items(), start=1)
         if names is None or n in names
     ]
-    return spark.createDataFrame(rows, "constituent string, priority int, speed double")
+
+
+def constituent_table(spark: SparkSession, names: Sequence[str] | None = None) -> DataFrame:
+    return spark.createDataFrame(constituents(names), "constituent string, priority int, speed double")
+
+
+def each_constituent(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
+    """Every row once per constituent, with its priority and speed."""
+    literal = F.array(
+        *[
+            F.struct(F.lit(n).alias("constituent"), F.lit(i).alias("priority"), F.lit(s).alias("speed"))
+            for n, i, s in constituents(names)
+        ]
+    )
+    return df.select("*", F.inline(literal))
+
+
+def speed_of_name(name: Column) -> Column:
+    """Angular speed of a standard constituent name, NULL when unknown."""
+    table = F.create_map(*[F.lit(x) for item in CONSTITUENT_SPEEDS.items() for x in item])
+    return F.try_element_at(table, name)
 
 
 def record_class(days: Column) -> Column:

@@ -47,26 +47,22 @@ def shift_levels(
 def compose_offsets(fields: DataFrame, terms: DataFrame, *, node: str = "node_id") -> DataFrame:
     """Offset per (system, target, node) as constant + sum(coef * field).
 
-    ``fields`` is long (node, field, value); ``terms`` holds (system, target,
-    constant, field, coef), one row per term, field NULL for constants only.  A
-    missing or fill-valued field makes the offset the failure code -9991.
+    ``fields`` is long (system, node, field, value); ``terms`` holds (system,
+    target, constant, field, coef), one row per term.  A missing or fill-valued
+    field makes the offset the failure code -9991.
     """
-    keys = ["system", "target"]
-    nodes = fields.select(node).distinct()
-    good = fields.select(node, "field", F.when(F.abs("value") < FILL_LIMIT, F.col("value")).alias("value"))
-    wanted = nodes.join(F.broadcast(terms)) if _is_small(terms) else nodes.join(terms)
-    j = wanted.join(good, [node, "field"], "left")
-    part = F.when(F.col("field").isNull(), 0.0).otherwise(F.col("coef") * F.col("value"))
-    out = j.groupBy(*keys, node).agg(
-        F.count(F.lit(1)).alias("n"), F.count(part).alias("ok"), F.sum(part).alias("s"), F.max("constant").alias("c")
+    good = fields.select("system", node, "field", F.when(F.abs("value") < FILL_LIMIT, F.col("value")).alias("value"))
+    need = terms.groupBy("system", "target").agg(F.count("field").alias("n"), F.max("constant").alias("c"))
+    out = (
+        good.join(terms, ["system", "field"])
+        .groupBy("system", "target", node)
+        .agg(F.count("value").alias("ok"), F.sum(F.col("coef") * F.col("value")).alias("s"))
+        .join(need, ["system", "target"])
     )
     total = F.coalesce("c", F.lit(0.0)) + F.col("s")
-    return out.select(*keys, node, F.when(F.col("n") == F.col("ok"), total).otherwise(F.lit(-9991.0)).alias("offset"))
-
-
-def _is_small(df: DataFrame, rows: int = 10_000) -> bool:
-    """Whether a rule table has at most ``rows`` rows (reads no more than that)."""
-    return len(df.limit(rows + 1).select(F.lit(1)).take(rows + 1)) <= rows
+    return out.select(
+        "system", "target", node, F.when(F.col("n") == F.col("ok"), total).otherwise(F.lit(-9991.0)).alias("offset")
+    )
 
 
 def observation_shift(

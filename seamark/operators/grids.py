@@ -94,12 +94,8 @@ def surface_skill(obs: DataFrame, model: DataFrame, *, limit: float = FRAME_THRE
     """(per-frame, per-pixel) statistics of two frame sets with > 2 common times."""
     pairs = pair_frames(obs, model)
     frames = frame_statistics(pairs, limit=limit)
-    enough = pairs.agg(F.count_distinct("ts").alias("n")).filter(F.col("n") >= min_frames).select("n")
-    pixels = pixel_statistics(pairs, limit=limit)
-    return (
-        frames.join(enough).drop("n"),
-        pixels.join(enough).drop("n"),
-    )
+    enough = pairs.agg(F.count_distinct("ts")).scalar() >= min_frames
+    return frames.filter(enough), pixel_statistics(pairs, limit=limit).filter(enough)
 
 
 def daily_mean(df: DataFrame, keys: Sequence[str] = CELL, *, ts: str = "ts", value: str = "value") -> DataFrame:
@@ -199,8 +195,6 @@ def every_nth_time(df: DataFrame, ts: str = "ts", *, keep: int = 55) -> DataFram
 
     times = df.select(ts).distinct().withColumn("__all", F.lit(0))
     ranked = scan(times, ["__all"], [ts], row_number="__rank")
-    total = times.agg(F.count(F.lit(1)).alias("__n"))
-    kept = ranked.join(total).filter(
-        (F.col("__rank") - 1) % F.ceil(F.col("__n") / keep) == 0
-    )
+    total = times.agg(F.count(F.lit(1))).scalar()
+    kept = ranked.filter((F.col("__rank") - 1) % F.ceil(total / keep) == 0)
     return df.join(kept.select(ts), ts, "left_semi")

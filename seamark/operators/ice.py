@@ -118,7 +118,7 @@ def pixel_scores(
     def days(flag: Column) -> Column:
         return F.when(F.count_if(flag) > 0, F.count_if(flag))
 
-    span = pairs.agg((F.datediff(F.max(ts), F.min(ts)) >= min_days).alias("__long")).filter("__long")
+    long_enough = pairs.agg(F.datediff(F.max(ts), F.min(ts)) >= min_days).scalar()
     out = pairs.groupBy(*keys).agg(
         F.avg(e).alias("diff_mean"),
         F.max(e).alias("diff_max"),
@@ -134,7 +134,7 @@ def pixel_scores(
         share(o & ~m).alias("miss_percent"),
         share(~o & m).alias("false_alarm_percent"),
     )
-    return out.join(span).drop("__long")
+    return out.filter(long_enough)
 
 
 def station_scores(pairs: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -146,6 +146,6 @@ def boundary_edges(elements: DataFrame, corners: Sequence[str] = ("n1", "n2", "n
 
 def completeness(series: DataFrame, key: str = "station_id", ts: str = "ts") -> DataFrame:
     """Rows per station against the number of distinct times of the run."""
-    steps = series.select(ts).distinct().agg(F.count(F.lit(1)).alias("n_expected"))
+    steps = series.select(ts).distinct().agg(F.count(F.lit(1))).scalar()
     have = series.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
-    return have.join(steps).withColumn("complete", F.col("n_rows") == F.col("n_expected"))
+    return have.withColumn("n_expected", steps).withColumn("complete", F.col("n_rows") == F.col("n_expected"))

@@ -168,8 +168,15 @@ def spans(df: DataFrame, keys: Sequence[str], ts: str = "ts", value: str = "valu
     )
 
 
+def within_record(span: DataFrame, keys: Sequence[str], names: Sequence[str] | None = None) -> DataFrame:
+    """Constituents with a period no longer than the record, per series."""
+    return tidal.each_constituent(span.select(*keys, "span_hours"), names).filter(
+        F.col("span_hours") >= 360.0 / F.col("speed")
+    )
+
+
 def resolvable(
-    span: DataFrame, constituents: DataFrame, keys: Sequence[str], *, rayleigh: float = 0.9
+    span: DataFrame, keys: Sequence[str], names: Sequence[str] | None = None, *, rayleigh: float = 0.9
 ) -> DataFrame:
     """Constituents a record can resolve, per series.
 
@@ -178,9 +185,7 @@ def resolvable(
     comes first in priority order.  On a line, connected components are runs of
     close neighbours.  At most 37 rows per series enter a window.
     """
-    cand = span.select(*keys, "span_hours").join(
-        constituents, F.col("span_hours") >= 360.0 / F.col("speed")
-    )
+    cand = within_record(span, keys, names)
     w = Window.partitionBy(*keys).orderBy("speed", "priority")
     gap = (F.col("speed") - F.lag("speed").over(w)) / 360.0
     fresh = F.when(gap.isNull() | (gap >= rayleigh / F.col("span_hours")), 1).otherwise(0)
@@ -373,7 +378,6 @@ def predict_from_constants(
     times: DataFrame,
     amplitudes: DataFrame,
     phases: DataFrame,
-    constituents: DataFrame,
     keys: Sequence[str],
     *,
     ts: str = "ts",
@@ -386,18 +390,16 @@ def predict_from_constants(
             phases.withColumn("constituent", tidal.standard_name(F.col("constituent"))),
             [*keys, "constituent"],
         )
-        .join(constituents.select("constituent", "speed"), "constituent")
     )
+    both = both.withColumn("speed", tidal.speed_of_name(F.col("constituent"))).filter("speed IS NOT NULL")
     return predict(times, both, keys, ts=ts, epoch_seconds=epoch_seconds)
 
 
 def compare_constants(
-    series: DataFrame, reference: DataFrame, model: DataFrame, constituents: DataFrame, keys: Sequence[str]
+    series: DataFrame, reference: DataFrame, model: DataFrame, keys: Sequence[str], names: Sequence[str] | None = None
 ) -> DataFrame:
     """All constituents of every series with model minus reference differences."""
-    scaffold = series.select(*keys).distinct().join(
-        F.broadcast(constituents.select("constituent", "priority"))
-    )
+    scaffold = tidal.each_constituent(series.select(*keys).distinct(), names)
     ref = reference.select(
         *keys, "constituent", F.col("amplitude").alias("ref_amp"), F.col("phase").alias("ref_phase")
     )
@@ -427,7 +429,6 @@ def compare_constants(
 def constituent_table(
     series: DataFrame,
     model: DataFrame,
-    constituents: DataFrame,
     keys: Sequence[str],
     *,
     accepted: DataFrame | None = None,
@@ -443,7 +444,7 @@ def constituent_table(
         cols = [*keys, "constituent", "amplitude", "phase"]
         without = observed.join(accepted.select(*keys).distinct(), list(keys), "left_anti")
         reference = accepted.select(*cols).unionByName(without.select(*cols))
-    table = compare_constants(series, reference, model, constituents, keys)
+    table = compare_constants(series, reference, model, keys)
     return table.withColumn(
         "exceeds",
         tidal.exceedance_codes(F.col("amp_diff"), F.col("phase_diff"), F.col("vector_diff")),

@@ -213,9 +213,7 @@ _RES = """cand AS (SELECT station_id, span_hours, ct.* FROM sp JOIN ct ON span_h
 )
 def _har02(spark, sf_dir):
     sp = tides.spans(_levels(spark, sf_dir, "obs"), K)
-    ct = tidal.constituent_table(spark)
-    out = sp.join(ct, F.col("span_hours") >= 360.0 / F.col("speed"))
-    return out.groupBy(*K).agg(
+    return tides.within_record(sp, K).groupBy(*K).agg(
         F.count(F.lit(1)).alias("n_constituents"), F.min("speed").alias("slowest")
     )
 
@@ -226,7 +224,7 @@ def _har02(spark, sf_dir):
 )
 def _har03(spark, sf_dir):
     sp = tides.spans(_levels(spark, sf_dir, "obs"), K)
-    return tides.resolvable(sp, tidal.constituent_table(spark), K)
+    return tides.resolvable(sp, K)
 
 
 @query(
@@ -242,9 +240,7 @@ def _flt12(spark, sf_dir):
 
 def _solution(spark, sf_dir, names=None, column="obs"):
     s = _levels(spark, sf_dir, column)
-    chosen = tides.resolvable(
-        tides.spans(s, K), tidal.constituent_table(spark, names), K
-    )
+    chosen = tides.resolvable(tides.spans(s, K), K, names)
     return tides.harmonic_analysis(s, K, chosen, epoch_seconds=T0), chosen
 
 
@@ -288,7 +284,7 @@ def _har01(spark, sf_dir):
 )
 def _har01n(spark, sf_dir):
     s = _levels(spark, sf_dir, "obs")
-    chosen = tides.resolvable(tides.spans(s, K), tidal.constituent_table(spark), K)
+    chosen = tides.resolvable(tides.spans(s, K), K)
     cells = tides.normal_equations(s, K, chosen, epoch_seconds=T0)
     # Column j, row i of the upper triangle; keep cosine rows of the last column.
     m = F.col("m")
@@ -331,9 +327,8 @@ _HC = f"""hc AS (SELECT c_custkey AS station_id, constituent, priority, speed,
 def _constants(spark, sf_dir):
     from seamark.plans.demo import table
 
-    ct = tidal.constituent_table(spark)
     c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("station_id"))
-    hc = c.join(ct, (F.col("station_id") + F.col("priority")) % 3 != 0)
+    hc = tidal.each_constituent(c).filter((F.col("station_id") + F.col("priority")) % 3 != 0)
     k, p = F.col("station_id"), F.col("priority")
 
     def side(amp, phase):
@@ -341,7 +336,7 @@ def _constants(spark, sf_dir):
             *K, "constituent", "speed", (amp % 200 / 100.0).alias("amplitude"), (phase % 360).cast("double").alias("phase")
         )
 
-    return side(k * 31 + p * 17, k * 7 + p * 53), side(k * 29 + p * 19, k * 11 + p * 47), ct
+    return side(k * 31 + p * 17, k * 7 + p * 53), side(k * 29 + p * 19, k * 11 + p * 47)
 
 
 @query(
@@ -353,7 +348,7 @@ def _constants(spark, sf_dir):
 def _har05(spark, sf_dir):
     from seamark.plans.demo import table
 
-    ref, _, ct = _constants(spark, sf_dir)
+    ref, _ = _constants(spark, sf_dir)
     times = table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("station_id"), "o_orderkey", F.col("o_orderdate").alias("ts")
     )
@@ -361,7 +356,6 @@ def _har05(spark, sf_dir):
         times,
         ref.select(*K, "constituent", "amplitude"),
         ref.select(*K, "constituent", "phase"),
-        ct,
         K,
         epoch_seconds=788918400,
     )
@@ -377,10 +371,9 @@ _CMP = f"""{_CT}, {_HC}, tb AS (SELECT c_custkey AS station_id, ct.constituent,
 
 
 def _table(spark, sf_dir):
-    ref, mod, ct = _constants(spark, sf_dir)
-    keep = ct.filter("priority % 5 <> 0").select("constituent")
-    mod = mod.join(keep, "constituent", "left_semi")
-    return ref, mod, ct
+    ref, mod = _constants(spark, sf_dir)
+    keep = [n for n, i, _ in tidal.constituents() if i % 5]
+    return ref, mod.filter(F.col("constituent").isin(keep))
 
 
 @query(
@@ -389,11 +382,11 @@ def _table(spark, sf_dir):
        round(v, 6) AS vector_diff FROM vd""",
 )
 def _har06(spark, sf_dir):
-    ref, mod, ct = _table(spark, sf_dir)
+    ref, mod = _table(spark, sf_dir)
     from seamark.plans.demo import table
 
     series = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("station_id"))
-    out = tides.compare_constants(series, ref, mod, ct, K)
+    out = tides.compare_constants(series, ref, mod, K)
     return out.select(*K, "constituent", "n", r6("amp_diff"), r6("phase_diff"), r6("vector_diff"))
 
 
@@ -406,11 +399,11 @@ def _har06(spark, sf_dir):
 def _har07(spark, sf_dir):
     from seamark.plans.demo import table
 
-    ref, mod, ct = _table(spark, sf_dir)
+    ref, mod = _table(spark, sf_dir)
     series = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("station_id"))
     even = F.col("station_id") % 2 == 0
     out = tides.constituent_table(
-        series, mod, ct, K, accepted=ref.filter(even), observed=ref
+        series, mod, K, accepted=ref.filter(even), observed=ref
     )
     return out.select(*K, "constituent", r6("vector_diff"), "exceeds")
 
@@ -425,9 +418,9 @@ def _har07(spark, sf_dir):
 def _agg43(spark, sf_dir):
     from seamark.plans.demo import table
 
-    ref, mod, ct = _table(spark, sf_dir)
+    ref, mod = _table(spark, sf_dir)
     series = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("station_id"))
-    t = tides.compare_constants(series, ref, mod, ct, K)
+    t = tides.compare_constants(series, ref, mod, K)
     s = tides.constituent_summary(t, K)
     return s.select(
         *K, r6("mean_vector_diff"), r6("rmse_amp"), r6("mean_vector_diff_major"), r6("rmse_phase_major"), "n_valid"
@@ -458,7 +451,7 @@ def _agg42(spark, sf_dir):
      SELECT station_id, constituent, round(p + m, 6) AS major, round(p - m, 6) AS minor FROM w""",
 )
 def _har08(spark, sf_dir):
-    ref, mod, _ = _constants(spark, sf_dir)
+    ref, mod = _constants(spark, sf_dir)
     out = tides.ellipses(ref, mod, K)
     return out.select(*K, "constituent", r6("major"), r6("minor"))
 
@@ -470,10 +463,9 @@ def _har09(spark, sf_dir):
         _levels(spark, sf_dir, "obs"), K, "ts", "value", step_seconds=3600
     )
     mod = _levels(spark, sf_dir, "model")
-    ct = tidal.constituent_table(spark)
     long_enough = tides.spans(obs, K).filter("span_hours >= 360")
-    chosen = tides.resolvable(long_enough, ct, K)
+    chosen = tides.resolvable(long_enough, K)
     ref = tides.harmonic_analysis(obs, K, chosen, epoch_seconds=T0)
     ours = tides.harmonic_analysis(mod, K, chosen, epoch_seconds=T0)
-    t = tides.constituent_table(long_enough, ours, ct, K, observed=ref)
+    t = tides.constituent_table(long_enough, ours, K, observed=ref)
     return tides.constituent_summary(t, K)

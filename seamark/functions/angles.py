@@ -56,7 +56,7 @@ def phasor_gap(amp_m: Column, phase_m: Column, amp_r: Column, phase_r: Column) -
         + amp_r * amp_r
         - 2 * amp_m * amp_r * F.cos(F.radians(phase_gap(phase_m, phase_r)))
     )
-    return F.sqrt(F.greatest(gap2, F.lit(0.0)))
+    return F.sqrt(F.when(gap2 < 0, 0.0).otherwise(gap2))
 
 
 def mean_angle(angle: Column) -> Column:

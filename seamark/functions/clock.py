@@ -55,7 +55,9 @@ def lead_hours(ts: Column, cycle: Column) -> Column:
 
 def lead_bin(hours: Column, forecast_hours: Column | int, width: int = 6) -> Column:
     """Upper edge of the half-open lead bin; the last hour keeps the last label."""
-    return F.least((F.floor(hours / width) + 1) * width, F.lit(forecast_hours))
+    edge = (F.floor(hours / width) + 1) * width
+    limit = forecast_hours if isinstance(forecast_hours, Column) else F.lit(forecast_hours)
+    return F.when(edge > limit, limit).otherwise(edge)
 
 
 def valid_time_of_file(name: Column) -> Column:

@@ -18,7 +18,9 @@ def great_circle_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> C
         * (1 - F.cos(F.radians(lon2 - lon1)))
         / 2
     )
-    return EARTH_DIAMETER_KM * F.asin(F.sqrt(F.least(F.greatest(half, F.lit(0.0)), F.lit(1.0))))
+    # Rounding may leave [0, 1] by a hair; missing positions stay missing.
+    half = F.when(half < 0, 0.0).when(half > 1, 1.0).otherwise(half)
+    return EARTH_DIAMETER_KM * F.asin(F.sqrt(half))
 
 
 def west_negative(lon: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seamark.plans import grid_queries, ingest_queries, score_queries, space_queries, tide_queries  # noqa: F401
+from seamark.plans import grid_queries, ingest_queries, mesh_queries, score_queries, space_queries, tide_queries  # noqa: F401
 from seamark.plans.registry import ORACLES, QUERIES, Query
 
 

@@ -675,7 +675,7 @@ def _snk09(spark, sf_dir):
     "SELECT t, max(seq) AS file FROM v_model GROUP BY t",
 )
 def _snk10(spark, sf_dir):
-    return sink_tables.time_file_key(view(spark, sf_dir, "v_model"), file="seq").select(secs("ts", "t"), "file")
+    return sink_tables.time_file_key(view(spark, sf_dir, "v_model"), file="seq").select(secs("ts", "t"), F.col("seq").alias("file"))
 
 
 @query(
@@ -798,11 +798,11 @@ def _scl09(spark, sf_dir):
 
 @query(
     "scl10_phasor_gap",
-    """SELECT seq, round(sqrt(greatest(model_speed*model_speed + obs_speed*obs_speed - 2*model_speed*obs_speed*cos(radians(fmod(model_dir - obs_dir + 540, 360) - 180)), 0)), 6) AS d FROM v_currents""",
+    """SELECT seq, CASE WHEN obs_speed IS NOT NULL THEN round(sqrt(greatest(model_speed*model_speed + obs_speed*obs_speed - 2*model_speed*obs_speed*cos(radians(fmod(model_dir - obs_dir + 540, 360) - 180)), 0)), 6) END AS d FROM v_currents""",
 )
 def _scl10(spark, sf_dir):
     d = angles.phasor_gap(F.col("model_speed"), F.col("model_dir"), F.col("obs_speed"), F.col("obs_dir"))
-    return view(spark, sf_dir, "v_currents").select("seq", F.when(F.col("obs_speed").isNotNull(), F.round(d, 6)).alias("d"))
+    return view(spark, sf_dir, "v_currents").select("seq", F.round(d, 6).alias("d"))
 
 
 @query(

@@ -367,7 +367,7 @@ _CMP = f"""{_CT}, {_HC}, tb AS (SELECT c_custkey AS station_id, ct.constituent,
    FROM customer JOIN ct ON TRUE LEFT JOIN (SELECT station_id, constituent, ra, rp, ma, mp FROM hc) q
    ON q.station_id = c_custkey AND q.constituent = ct.constituent),
  df AS (SELECT *, ma - ra AS ad, fmod(mp - rp + 180 + 360, 360) - 180 AS pd FROM tb),
- vd AS (SELECT *, sqrt(greatest(ma*ma + ra*ra - 2*ma*ra*cos(radians(pd)), 0)) AS v FROM df)"""
+ vd AS (SELECT *, CASE WHEN ma IS NOT NULL AND ra IS NOT NULL THEN sqrt(greatest(ma*ma + ra*ra - 2*ma*ra*cos(radians(pd)), 0)) END AS v FROM df)"""
 
 
 def _table(spark, sf_dir):

@@ -72,7 +72,7 @@ def explode_grid(df: DataFrame, *, keep: tuple[str, ...] = ("source", "ts")) ->
     return (
         df.select(*keep, row)
         .select(*keep, "iy", cell)
-        .select(*keep, "iy", "ix", F.col("c.0").alias("lat"), F.col("c.1").alias("lon"), F.col("c.2").alias("value"))
+        .select(*keep, "iy", "ix", F.col("c.lats").alias("lat"), F.col("c.lons").alias("lon"), F.col("c.values").alias("value"))
     )
 
 

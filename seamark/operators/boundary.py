@@ -84,7 +84,7 @@ def to_regular_distance(
     A pair of nodes with a missing value gives missing points; a pair further
     apart than the gap limit gives none.
     """
-    w = Window.partitionBy(*keys).orderBy(along)
+    w = Window.partitionBy(*keys).orderBy("__x")
     pairs = df.select(
         *keys, F.col(along).alias("__x"), F.col(value).alias("__v"), *([max_gap_km.alias("__gap")] if max_gap_km is not None else [])
     ).select("*", F.lead("__x").over(w).alias("__x2"), F.lead("__v").over(w).alias("__v2"), F.lead("__x", 2).over(w).isNull().alias("__last"))

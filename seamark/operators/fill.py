@@ -122,8 +122,9 @@ def to_equal_interval(
 def with_previous_time(
     df: DataFrame, keys: Sequence[str], ts: str, tie: Sequence[str] = ()
 ) -> DataFrame:
-    out = scan(df, keys, [ts, *tie], prior={"prev_ts": F.col(ts)})
-    return out.drop("prev_ts__rn")
+    """(keys, ts, prev_ts); prev_ts is NULL on the first row of a series."""
+    times = df.select(*keys, ts, *tie)
+    return scan(times, keys, [ts, *tie], prior={"prev_ts": F.col(ts)}).drop("prev_ts__rn")
 
 
 def time_gaps(

@@ -26,7 +26,6 @@ def islands(
     *,
     chunk_seconds: int = CHUNK_SECONDS,
     chunk: Column | None = None,
-    extra: Sequence[Column] = (),
 ) -> DataFrame:
     """One row per maximal run of flagged rows.
 
@@ -35,7 +34,7 @@ def islands(
     """
     t = order[0]
     marked = scan(
-        df.withColumn("__flag", F.coalesce(flag, F.lit(False)).cast("int")),
+        df.select(*keys, *order, F.coalesce(flag, F.lit(False)).cast("int").alias("__flag")),
         keys,
         order,
         totals={"__hits": F.col("__flag")},
@@ -52,7 +51,6 @@ def islands(
             F.max(t).alias(f"last_{t}"),
             F.max_by(F.struct("__next"), "__pos").alias("__nx"),
             F.count(F.lit(1)).alias("n_rows"),
-            *extra,
         )
         .withColumn(f"next_{t}", F.col("__nx")["__next"])
         .drop("__nx", "__island")
@@ -73,7 +71,9 @@ def longest_runs(
     rows sharing the running number of breaks.
     """
     names = list(flags)
-    marked = df.withColumns({f"__f_{n}": F.coalesce(f, F.lit(False)) for n, f in flags.items()})
+    marked = df.select(
+        *keys, *order, *[F.coalesce(f, F.lit(False)).alias(f"__f_{n}") for n, f in flags.items()]
+    )
     marked = scan(
         marked,
         keys,
@@ -178,26 +178,17 @@ def merge_intervals(
         .groupBy(*keys, F.col("s.at").alias("at"))
         .agg(F.sum("s.step").alias("step"))
     )
-    level = scan(steps, keys, ["at"], totals={"level": F.col("step")}, following={"nxt": F.col("at")})
-    covered = level.filter("level > 0").select(*keys, F.col("at").alias("lo"), F.col("nxt").alias("hi"))
-    blocks = islands_of_segments(covered, keys)
+    level = scan(steps, keys, ["at"], totals={"level": F.col("step")})
+    opens = (F.col("level") > 0) & (F.col("level") - F.col("step") == 0)
+    closes = (F.col("level") == 0) & (F.col("step") < 0)
+    # Opening and closing times alternate, so a block ends at the next of them.
+    marks = level.filter(opens | closes).select(*keys, "at", opens.alias("opens"))
+    blocks = scan(marks, keys, ["at"], following={"until": F.col("at")}).filter("opens")
     return blocks.select(
         *keys,
-        F.col("lo").alias(start),
-        F.when(F.col("hi") < F.to_timestamp(F.lit(far)), F.col("hi")).alias(end),
-    )
-
-
-def islands_of_segments(segments: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Join consecutive segments [lo, hi] that touch end to start."""
-    prev = scan(segments, keys, ["lo"], prior={"before": F.col("hi")})
-    marked = prev.withColumn(
-        "fresh", F.when(F.col("before").isNull() | (F.col("before") < F.col("lo")), 1).otherwise(0)
-    )
-    numbered = scan(
-        marked.select(*keys, "lo", "hi", "fresh"), keys, ["lo"], totals={"block": F.col("fresh")}
+        F.col("at").alias(start),
+        F.when(F.col("until") < F.to_timestamp(F.lit(far)), F.col("until")).alias(end),
     )
-    return numbered.groupBy(*keys, "block").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).drop("block")
 
 
 def interval_gaps(

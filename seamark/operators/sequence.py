@@ -27,6 +27,7 @@ from seamark.functions.clock import epoch
 DAY = 86400
 CHUNK_SECONDS = 30 * DAY
 _CHUNK = "__chunk"
+_PART = "__part"
 
 
 def chunk_of(ts: Column, chunk_seconds: int = CHUNK_SECONDS) -> Column:
@@ -58,15 +59,20 @@ def scan(
     totals, prior, following = dict(totals or {}), dict(prior or {}), dict(following or {})
     keys, order = list(keys), list(order)
     cut = chunk_of(F.col(order[0]), chunk_seconds) if chunk is None else chunk
+    # The chunk key is one never-NULL struct, so that the join below adds no
+    # NULL filter to one branch only, which would keep the shuffle from being shared.
     base = df.select(
         "*",
-        cut.alias(_CHUNK),
+        F.struct(*keys, cut.alias(_CHUNK)).alias(_PART),
         *[e.alias(f"__t_{n}") for n, e in totals.items()],
         *[e.alias(f"__p_{n}") for n, e in prior.items()],
         *[e.alias(f"__f_{n}") for n, e in following.items()],
     )
-    part = [*keys, _CHUNK]
+    part = [_PART]
     place = F.struct(*order)
+    # Both branches below read this one shuffle.  It is reused only when both
+    # ask for the same columns, hence the digest of all columns further down.
+    base = base.repartition(*part)
 
     forward = Window.partitionBy(*part).orderBy(*order)
     backward = Window.partitionBy(*part).orderBy(*[F.col(c).desc() for c in order])
@@ -94,28 +100,31 @@ def scan(
         ],
     )
 
-    # One row per chunk.  Positions inside a chunk are counted from its border,
-    # so the summary needs no window: rows at or before / after the carried row.
-    marks = base
-    if prior or following:
-        marks = base.withColumn("__rn", F.row_number().over(forward))
-    summary = marks.groupBy(*part).agg(
-        F.count(F.lit(1)).alias("__n"),
-        *[F.sum(f"__t_{n}").alias(f"__st_{n}") for n in totals],
-        *[
-            F.max_by(
-                F.struct(F.col(f"__p_{n}").alias("v"), F.col("__rn").alias("r")),
-                F.when(F.col(f"__p_{n}").isNotNull(), place),
-            ).alias(f"__sp_{n}")
-            for n in prior
-        ],
-        *[
-            F.min_by(
-                F.struct(F.col(f"__f_{n}").alias("v"), F.col("__rn").alias("r")),
-                F.when(F.col(f"__f_{n}").isNotNull(), place),
-            ).alias(f"__sf_{n}")
-            for n in following
-        ],
+    # One row per chunk.
+    summary = (
+        base.withColumn("__rn", F.row_number().over(forward))
+        .groupBy(*part)
+        .agg(
+            F.count(F.lit(1)).alias("__n"),
+            F.max(F.xxhash64(*base.columns)).alias("__digest"),
+            *[F.sum(f"__t_{n}").alias(f"__st_{n}") for n in totals],
+            *[
+                F.max_by(
+                    F.struct(F.col(f"__p_{n}").alias("v"), F.col("__rn").alias("r")),
+                    F.when(F.col(f"__p_{n}").isNotNull(), place),
+                ).alias(f"__sp_{n}")
+                for n in prior
+            ],
+            *[
+                F.min_by(
+                    F.struct(F.col(f"__f_{n}").alias("v"), F.col("__rn").alias("r")),
+                    F.when(F.col(f"__f_{n}").isNotNull(), place),
+                ).alias(f"__sf_{n}")
+                for n in following
+            ],
+        )
+        .filter(F.col("__digest").isNotNull())
+        .select("*", *[F.col(_PART)[k].alias(k) for k in keys], F.col(_PART)[_CHUNK].alias(_CHUNK))
     )
     along = Window.partitionBy(*keys).orderBy(_CHUNK)
     against = Window.partitionBy(*keys).orderBy(F.col(_CHUNK).desc())
@@ -134,6 +143,8 @@ def scan(
 
     summary = summary.select(
         *part,
+        *keys,
+        _CHUNK,
         "__off",
         *[F.sum(f"__st_{n}").over(past).alias(f"__ct_{n}") for n in totals],
         *[placed(f"__sp_{n}").alias(f"__qp_{n}") for n in prior],

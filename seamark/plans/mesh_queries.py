@@ -483,12 +483,12 @@ def _grd12(spark, sf_dir):
 
 @query(
     "srt01_monotonic_check",
-    """WITH g AS (SELECT station_id, t - lag(t) OVER (PARTITION BY station_id ORDER BY seq) d FROM v_model) SELECT station_id, count(*) FILTER (d <= 0) AS n_backward FROM g GROUP BY 1""",
+    """WITH g AS (SELECT station_id, t - lag(t) OVER (PARTITION BY station_id ORDER BY seq, t) d FROM v_model) SELECT station_id, count(*) FILTER (d <= 0) AS n_backward FROM g GROUP BY 1""",
 )
 def _srt01(spark, sf_dir):
     # File order is the sequence here, so chunks follow the sequence number.
     m = sequence.scan(
-        view(spark, sf_dir, "v_model"), K, ["seq"], prior={"before": F.col("ts")}, chunk=F.floor(F.col("seq") / 50000)
+        view(spark, sf_dir, "v_model"), K, ["seq", "ts"], prior={"before": F.col("ts")}, chunk=F.floor(F.col("seq") / 50000)
     )
     return m.groupBy(*K).agg(F.count_if(F.col("ts") <= F.col("before")).alias("n_backward"))
 

@@ -16,15 +16,15 @@ from pyspark.sql import functions as F
 
 from seamark.functions.geo import great_circle_km, wrap_longitude
 
-LEVELS = 5
-WORLD_SIZES = [360.0 / 4**i for i in range(9)]
+LEVELS = 8
+WORLD_SIZES = [360.0 / 2**i for i in range(16)]
 
 
 def _box_sizes(box_deg: float) -> list[float]:
     # Slightly wider than the box and dividing the circle, so that the box never
     # reaches past the neighbouring cell.
     top = 360.0 / max(1, int(360.0 / (box_deg * 1.001)))
-    return [top / 4**i for i in range(LEVELS)]
+    return [top / 2**i for i in range(LEVELS)]
 
 
 def _cell(lat: Column, lon: Column, size: Column) -> list[Column]:

@@ -33,21 +33,19 @@ def parse_series(
 
     Blank and malformed lines have no valid time and are dropped.
     """
-    t = F.split(F.trim(F.col(text)), r"\s+")
+    t = F.col("__t")
 
     def part(i: int, kind: str) -> Column:
         return F.try_element_at(t, F.lit(i + 1)).try_cast(kind)
 
     ts = F.try_make_timestamp(
-        part(1, "double").cast("int"),
-        part(2, "double").cast("int"),
-        part(3, "double").cast("int"),
-        part(4, "double").cast("int"),
-        part(5, "double").cast("int"),
-        F.lit(0),
+        *[part(i, "double").cast("int") for i in range(1, 6)], F.lit(0)
     )
     values = [sentinel_mask(part(i, "double")).alias(n) for n, i in columns.items()]
-    return lines.select(*keep, ts.alias("ts"), *values).filter("ts IS NOT NULL")
+    # The line is split once; a generator drops bad rows, because a filter would
+    # be pushed below the split and repeat it.
+    row = F.filter(F.array(F.struct(ts.alias("ts"), *values)), lambda r: r["ts"].isNotNull())
+    return lines.select(*keep, F.split(F.trim(F.col(text)), r"\s+").alias("__t")).select(*keep, F.inline(row))
 
 
 def read_series(
@@ -69,4 +67,5 @@ def read_series(
 
 def for_cycle(lines: DataFrame, cycle: Column, columns: dict[str, int] = SCALAR, *, keep: tuple[str, ...] = ()) -> DataFrame:
     """Formatted model lines of one forecast cycle."""
-    return parse_series(lines, columns, keep=keep).withColumn("cycle", cycle)
+    rows = parse_series(lines, columns, keep=keep)
+    return rows.withColumn("cycle", cycle)

@@ -178,7 +178,7 @@ def test_asof_nearest(spark):
 
 def test_persistence_forecast(series, spark):
     n, off = 60, 0.3
-    rows = [("a", T0 + i * 3600, (None if 30 <= i < 58 else np.sin(i) + off), np.sin(i)) for i in range(n)]
+    rows = [("a", T0 + i * 3600, (None if 30 <= i < 58 else float(np.sin(i) + off)), float(np.sin(i))) for i in range(n)]
     df = spark.createDataFrame(rows, "station_id string, t bigint, obs double, tide double").selectExpr("station_id", "timestamp_seconds(t) AS ts", "obs", "tide")
     for chunk in (5 * 3600, 10**9):
         out = tides.persistence_forecast(df, K, step_seconds=3600, chunk_seconds=chunk).orderBy("ts").collect()

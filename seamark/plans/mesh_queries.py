@@ -464,7 +464,21 @@ def _grd05(spark, sf_dir):
     return out.select("b", "k", r6("value"))
 
 
-@query("grd12_boundary_transect")
+_TRANSECT = """WITH nd AS (SELECT CAST(floor(station_id / 200) AS BIGINT) AS b, station_id AS i, lat, lon, CAST(10 + station_id % 40 AS DOUBLE) AS h FROM v_stations),
+  g AS (SELECT *, lag(lat) OVER w pla, lag(lon) OVER w plo FROM nd WINDOW w AS (PARTITION BY b ORDER BY i)),
+  sp AS (SELECT *, coalesce(12742 * asin(sqrt(0.5 - cos(radians(lat - pla)) / 2 + cos(radians(lat)) * cos(radians(pla)) * (1 - cos(radians(lon - plo))) / 2)), 0) AS k FROM g),
+  al AS (SELECT *, sum(k) OVER (PARTITION BY b ORDER BY i) AS x FROM sp),
+  th AS (SELECT b, quantile_cont(k, 5e-1) + 3 * (quantile_cont(k, 75e-2) - quantile_cont(k, 25e-2)) AS lim FROM sp WHERE k > 0 GROUP BY 1),
+  vl AS (SELECT o_custkey AS i, CAST(epoch(date_trunc('year', o_orderdate)) AS BIGINT) AS t, l, avg(o_totalprice / 1e4 + l) AS v FROM orders, range(6) r(l) GROUP BY 1, 2, 3),
+  zl AS (SELECT vl.*, nd.b, nd.h, (l + 5e-1) / 6 * h AS z FROM vl JOIN nd USING (i)),
+  zp AS (SELECT *, lead(z) OVER w z2, lead(v) OVER w v2 FROM zl WINDOW w AS (PARTITION BY i, t ORDER BY z)),
+  fx AS (SELECT b, i, t, dk, min(v + (v2 - v) * (dk * 5e0 - z) / (z2 - z)) AS v FROM zp JOIN range(0, 12) q(dk) ON dk * 5e0 >= z AND dk * 5e0 <= z2 WHERE z2 IS NOT NULL AND dk * 5e0 <= h GROUP BY 1, 2, 3, 4),
+  xp AS (SELECT fx.b, fx.t, dk, al.x, fx.v, lead(al.x) OVER w x2, lead(fx.v) OVER w v2 FROM fx JOIN al ON al.i = fx.i WINDOW w AS (PARTITION BY fx.b, fx.t, dk ORDER BY al.x))
+  SELECT xp.b, t, dk AS depth_no, k, round(v + (v2 - v) * (k * 25e0 - x) / (x2 - x), 6) AS value FROM xp JOIN th ON th.b = xp.b JOIN range(0, 4000) r(k) ON k * 25e0 >= x AND k * 25e0 < x2
+  WHERE x2 - x <= lim"""
+
+
+@query("grd12_boundary_transect", _TRANSECT)
 def _grd12(spark, sf_dir):
     """Temperature section along each block of stations over six sigma layers."""
     k = F.col("station_id")
@@ -478,7 +492,8 @@ def _grd12(spark, sf_dir):
         "o_totalprice",
     ).groupBy("b", "i", "ts", "layer").agg(F.avg(F.col("o_totalprice") / 10000.0 + F.col("layer")).alias("value"))
     values = values.withColumn("sigma", -(F.col("layer") + 0.5) / 6).withColumn("zeta", F.lit(0.0))
-    return boundary.transect(values, nodes, ["b"], depth_step=5.0, step_km=25.0)
+    out = boundary.transect(values, nodes, ["b"], depth_step=5.0, step_km=25.0)
+    return out.select("b", secs("ts", "t"), "depth_no", "k", r6("value"))
 
 
 @query(
@@ -557,3 +572,59 @@ def _agg39(spark, sf_dir):
 
     out = roses.speed_direction_table(view(spark, sf_dir, "v_currents"), "obs_speed", "obs_dir")
     return out.select("speed_bin", F.col("sector").cast("bigint").alias("sector"), "n", r6("percent"))
+
+
+@query(
+    "srt04_cycle_order",
+    """SELECT DISTINCT strftime(to_timestamp(cycle_t)::TIMESTAMP, '%m/%d/%y %Hz') AS cycle FROM v_forecast""",
+)
+def _srt04(spark, sf_dir):
+    from seamark.operators import horizon
+
+    f = view(spark, sf_dir, "v_forecast").select(F.date_format("cycle", "MM/dd/yy HH'z'").alias("cycle"))
+    return horizon.ordered_cycles(f, "cycle", "MM/dd/yy HH'z'")
+
+
+@query(
+    "srt05_k_nearest_nodes",
+    """WITH c AS (SELECT s.station_id, n.node_id, (n.lat - s.lat)*(n.lat - s.lat) + (n.lon - s.lon)*(n.lon - s.lon) AS d FROM v_stations s JOIN v_nodes n ON abs(n.lat - s.lat) < 15e-2 AND abs(n.lon - s.lon) < 15e-2),
+       r AS (SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY d, node_id) AS rank FROM c)
+       SELECT station_id, node_id, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 3""",
+)
+def _srt05(spark, sf_dir):
+    from seamark.operators import spatial
+
+    out = spatial.nearest(
+        view(spark, sf_dir, "v_stations"), view(spark, sf_dir, "v_nodes"), node_id="node_id", k=3, box_deg=0.15, planar=True
+    )
+    return out.filter("node_id IS NOT NULL").select("station_id", "node_id", "rank")
+
+
+@query(
+    "snk02_paired_rows",
+    """WITH m AS (SELECT station_id, t, any_value(model) AS model FROM v_model GROUP BY 1, 2 HAVING count(*) = 1),
+       o AS (SELECT station_id, t, obs FROM v_obs WHERE obs IS NOT NULL)
+       SELECT m.station_id, m.t, printf('%9.4f', obs) || ' ' || printf('%9.4f', model) || ' ' || printf('%9.4f', model - obs) AS tail FROM m JOIN o USING (station_id, t)""",
+)
+def _snk02(spark, sf_dir):
+    from seamark.sinks import text as sink_text
+
+    p = pairing.pair_scalar(view(spark, sf_dir, "v_obs"), view(spark, sf_dir, "v_model"), K).filter("obs IS NOT NULL")
+    out = sink_text.series_lines(p, K, ["obs", "model", "bias"])
+    return out.select(*K, secs("ts", "t"), F.substring("line", -29, 29).alias("tail"))
+
+
+@query(
+    "snk05_prediction_rows",
+    """SELECT station_id, t, printf('%9.4f', tide) AS tide_text, printf('%9.4f', obs - tide) AS residual_text FROM v_tide WHERE obs IS NOT NULL""",
+)
+def _snk05(spark, sf_dir):
+    from seamark.operators import tides
+    from seamark.sinks import text as sink_text
+
+    t = view(spark, sf_dir, "v_tide")
+    res = tides.residual(t.select(*K, "ts", "obs").filter("obs IS NOT NULL"), t.select(*K, "ts", "tide"), K)
+    out = sink_text.series_lines(res, K, ["tide", "residual"])
+    return out.select(
+        *K, secs("ts", "t"), F.substring("line", -19, 9).alias("tide_text"), F.substring("line", -9, 9).alias("residual_text")
+    )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def file_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(file, line_no, value) of files small enough for one row each."""
-    whole = spark.read.option("wholetext", True).text(path)
+    whole = spark.read.text(path, wholetext=True)
     return whole.select(
         F.col("_metadata.file_name").alias("file"), F.posexplode(F.split("value", r"\r?\n")).alias("line_no", "value")
     )

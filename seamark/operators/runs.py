@@ -1,9 +1,9 @@
 """Runs of rows and of intervals.
 
-An island is found from two running totals (all rows, flagged rows): their
-difference is constant within a run.  ``scan`` supplies the totals without
-ordering a whole series in one task, and counting rows per island reduces
-before the shuffle.
+The length of a run at a row is its distance to the last row outside the run;
+whole islands are rows that share the difference of two running totals (all
+rows, flagged rows).  ``scan`` supplies both without ordering a whole series in
+one task, and what follows are aggregates that reduce before the shuffle.
 """
 
 from __future__ import annotations
@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seamark.functions.clock import epoch
-from seamark.operators.fill import median_interval
 from seamark.operators.sequence import CHUNK_SECONDS, scan
 
 
@@ -57,50 +56,58 @@ def islands(
     )
 
 
-def longest_runs(
+def run_lengths(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     flags: dict[str, Column],
     *,
+    with_step: bool = False,
     chunk_seconds: int = CHUNK_SECONDS,
 ) -> DataFrame:
-    """Rows in the longest run of each flag, per series; one scan for all flags.
+    """Add, per flag, how long the current run is at each row (0 outside runs).
 
-    Between two breaks every row is flagged, so a run is the group of flagged
-    rows sharing the running number of breaks.
+    A run at a row reaches back to the last row without the flag, so one carry
+    per flag is enough and the longest run is a plain maximum.  ``with_step``
+    also adds ``step_seconds``, the time since the previous row.
     """
     names = list(flags)
-    marked = df.select(
-        *keys, *order, *[F.coalesce(f, F.lit(False)).alias(f"__f_{n}") for n, f in flags.items()]
-    )
+    t = order[0]
+    hit = {n: F.coalesce(f, F.lit(False)) for n, f in flags.items()}
     marked = scan(
-        marked,
+        df.withColumns({f"__hit_{n}": c for n, c in hit.items()}),
         keys,
         order,
-        totals={f"__b_{n}": (~F.col(f"__f_{n}")).cast("int") for n in names},
+        prior={
+            **{f"__brk_{n}": F.when(~F.col(f"__hit_{n}"), F.lit(1)) for n in names},
+            **({"__prev": F.col(t)} if with_step else {}),
+        },
+        row_number="__pos",
         chunk_seconds=chunk_seconds,
     )
-    runs = F.explode(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(n).alias("flag"),
-                    F.col(f"__b_{n}").alias("island"),
-                    F.col(f"__f_{n}").cast("int").alias("hit"),
-                )
-                for n in names
-            ]
-        )
-    )
-    sized = (
-        marked.select(*keys, runs.alias("r"))
-        .groupBy(*keys, "r.flag", "r.island")
-        .agg(F.sum("r.hit").alias("size"))
-    )
-    return sized.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("flag") == n, F.col("size"))).alias(n) for n in names]
+    out = [F.col(c) for c in df.columns]
+    for n in names:
+        back = F.col("__pos") - F.coalesce(F.col(f"__brk_{n}__rn"), F.lit(0))
+        # On an unflagged row the last break lies before it; its own run is empty.
+        out.append(F.when(F.col(f"__hit_{n}"), back).otherwise(F.lit(0)).cast("bigint").alias(n))
+    if with_step:
+        out.append((epoch(F.col(t)) - epoch(F.col("__prev"))).alias("step_seconds"))
+    return marked.select(*out)
+
+
+def longest_runs(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], flags: dict[str, Column], *, chunk_seconds: int = CHUNK_SECONDS
+) -> DataFrame:
+    """Rows in the longest run of each flag, per series."""
+    slim = df.select(*keys, *order, *[f.alias(f"__in_{n}") for n, f in flags.items()])
+    rows = run_lengths(
+        slim, keys, order, {n: F.col(f"__in_{n}") for n in flags}, chunk_seconds=chunk_seconds
     )
+    return rows.groupBy(*keys).agg(*[F.max(n).alias(n) for n in flags])
+
+
+def outlier_flags(error: Column, x1: Column) -> dict[str, Column]:
+    return {"max_pos_rows": error >= 2 * x1, "max_neg_rows": error <= -2 * x1}
 
 
 def outlier_durations(
@@ -113,22 +120,31 @@ def outlier_durations(
     tie: Sequence[str] = (),
     chunk_seconds: int = CHUNK_SECONDS,
 ) -> DataFrame:
-    """Longest runs of e >= 2*x1 and e <= -2*x1, in rows and hours."""
-    runs = longest_runs(
-        df,
+    """Longest runs of e >= 2*x1 and e <= -2*x1, in rows and hours.
+
+    Hours are rows times the median sampling interval of the whole series.
+    """
+    slim = df.select(*keys, ts, *tie, error.alias("__e"), x1.alias("__x1"))
+    rows = run_lengths(
+        slim,
         keys,
         [ts, *tie],
-        {"max_pos_rows": error >= 2 * x1, "max_neg_rows": error <= -2 * x1},
+        outlier_flags(F.col("__e"), F.col("__x1")),
+        with_step=True,
         chunk_seconds=chunk_seconds,
     )
-    step = median_interval(df, keys, ts, tie)
-    return runs.join(step, list(keys), "left").select(
-        *keys,
-        "max_pos_rows",
-        "max_neg_rows",
-        (F.col("max_pos_rows") * F.col("dt_hours")).alias("max_pos_hours"),
-        (F.col("max_neg_rows") * F.col("dt_hours")).alias("max_neg_hours"),
-    )
+    return rows.groupBy(*keys).agg(*duration_columns())
+
+
+def duration_columns() -> list[Column]:
+    """Aggregates over ``run_lengths`` output for both outlier signs."""
+    hours = F.median("step_seconds") / 3600
+    return [
+        F.max("max_pos_rows").alias("max_pos_rows"),
+        F.max("max_neg_rows").alias("max_neg_rows"),
+        (F.max("max_pos_rows") * hours).alias("max_pos_hours"),
+        (F.max("max_neg_rows") * hours).alias("max_neg_hours"),
+    ]
 
 
 def longest_gap(

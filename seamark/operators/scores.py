@@ -102,46 +102,50 @@ def thresholds(spark: SparkSession, config: DataFrame | None = None) -> DataFram
     )
 
 
-def circular_correlation(df: DataFrame, keys: Sequence[str], model: str, obs: str) -> DataFrame:
-    """Jammalamadaka-Sarma correlation in one pass.
-
-    sin(a - A) expands to sin a cos A - cos a sin A with A the circular mean, so
-    the sums of products of sines and cosines are enough; no second pass over
-    the rows and no join back.
-    """
-    a, b = F.radians(F.col(model)), F.radians(F.col(obs))
-    ok = F.col(model).isNotNull() & F.col(obs).isNotNull()
+def circular_sums(model: Column, obs: Column) -> list[Column]:
+    """Sums of sines, cosines and their products over common rows."""
+    ok = model.isNotNull() & obs.isNotNull()
+    a, b = F.radians(F.when(ok, model)), F.radians(F.when(ok, obs))
     terms = {"sa": F.sin(a), "ca": F.cos(a), "sb": F.sin(b), "cb": F.cos(b)}
-    sums = [F.sum(t).alias(n) for n, t in terms.items()]
     names = list(terms)
+    sums = [F.count(a).alias("__cn"), *[F.sum(t).alias(f"__{n}") for n, t in terms.items()]]
     for i, p in enumerate(names):
         for q in names[i:]:
-            sums.append(F.sum(terms[p] * terms[q]).alias(f"{p}_{q}"))
-    g = df.filter(ok).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *sums)
-    ra, rb = F.hypot("sa", "ca"), F.hypot("sb", "cb")
-    g = g.withColumn("ra", ra).withColumn("rb", rb)
-    sA, cA = F.coalesce(ratio(F.col("sa"), F.col("ra")), F.lit(0.0)), F.coalesce(
-        ratio(F.col("ca"), F.col("ra")), F.lit(1.0)
-    )
-    sB, cB = F.coalesce(ratio(F.col("sb"), F.col("rb")), F.lit(0.0)), F.coalesce(
-        ratio(F.col("cb"), F.col("rb")), F.lit(1.0)
-    )
+            sums.append(F.sum(terms[p] * terms[q]).alias(f"__{p}_{q}"))
+    return sums
+
+
+def circular_from_sums() -> Column:
+    """Jammalamadaka-Sarma correlation from ``circular_sums``.
+
+    sin(a - A) expands to sin a cos A - cos a sin A with A the circular mean, so
+    one pass over the rows is enough and nothing is joined back.
+    """
+
+    def s(name: str) -> Column:
+        return F.col(f"__{name}")
+
+    def unit(x: str, y: str) -> tuple[Column, Column]:
+        r = F.hypot(s(x), s(y))
+        return F.coalesce(ratio(s(x), r), F.lit(0.0)), F.coalesce(ratio(s(y), r), F.lit(1.0))
+
+    (sin_a, cos_a), (sin_b, cos_b) = unit("sa", "ca"), unit("sb", "cb")
     top = (
-        F.col("sa_sb") * cA * cB
-        - F.col("sa_cb") * cA * sB
-        - F.col("ca_sb") * sA * cB
-        + F.col("ca_cb") * sA * sB
+        s("sa_sb") * cos_a * cos_b
+        - s("sa_cb") * cos_a * sin_b
+        - s("ca_sb") * sin_a * cos_b
+        + s("ca_cb") * sin_a * sin_b
     )
-    va = F.col("sa_sa") * cA * cA - 2 * F.col("sa_ca") * sA * cA + F.col("ca_ca") * sA * sA
-    vb = F.col("sb_sb") * cB * cB - 2 * F.col("sb_cb") * sB * cB + F.col("cb_cb") * sB * sB
+    va = s("sa_sa") * cos_a * cos_a - 2 * s("sa_ca") * sin_a * cos_a + s("ca_ca") * sin_a * sin_a
+    vb = s("sb_sb") * cos_b * cos_b - 2 * s("sb_cb") * sin_b * cos_b + s("cb_cb") * sin_b * sin_b
     # Below this spread (about 1e-6 rad) a side counts as constant.
-    floor = F.col("n") * 1e-12
-    return g.select(
-        *keys,
-        F.when(
-            (F.col("n") >= 2) & (va > floor) & (vb > floor), top / F.sqrt(va * vb)
-        ).alias("circular_r"),
-    )
+    floor = s("cn") * 1e-12
+    return F.when((s("cn") >= 2) & (va > floor) & (vb > floor), top / F.sqrt(va * vb))
+
+
+def circular_correlation(df: DataFrame, keys: Sequence[str], model: str, obs: str) -> DataFrame:
+    sums = df.groupBy(*keys).agg(*circular_sums(F.col(model), F.col(obs)))
+    return sums.select(*keys, circular_from_sums().alias("circular_r"))
 
 
 def _outlier_block(e: Column, x1: Column) -> list[Column]:
@@ -188,6 +192,18 @@ def _enough(df: DataFrame, keys: Sequence[str], min_pairs: int) -> DataFrame:
     )
 
 
+def _with_runs(rows: DataFrame, keys: Sequence[str], ts: str, tie: Sequence[str]) -> DataFrame:
+    """Rows with the length of the outlier run they stand in and the time step."""
+    return runs.run_lengths(
+        rows, keys, [ts, *tie], runs.outlier_flags(F.col("__e"), F.col("__x1")), with_step=True
+    )
+
+
+def _duration_block() -> list[Column]:
+    _, _, pos, neg = runs.duration_columns()
+    return [half_even(pos, 2).alias("max_pos_hours"), half_even(neg, 2).alias("max_neg_hours")]
+
+
 def skill_scalar(
     pairs: DataFrame,
     keys: Sequence[str],
@@ -198,58 +214,56 @@ def skill_scalar(
     tides: DataFrame | None = None,
     speed_rule: bool = False,
     min_pairs: int = MIN_PAIRS,
+    extra: dict[str, Column] | None = None,
 ) -> DataFrame:
     """One graded skill row per series from ``obs`` and ``model`` columns.
 
     Scores are rounded half-even to 2 decimals and graded on rounded values.
     Bias % divides the *rounded* bias by the mean observation, or the unrounded
     one with ``speed_rule``.  Durations are rows of the longest outlier run times
-    the median sampling interval, missing rows kept.
+    the median sampling interval, missing rows kept.  ``tides`` (keys, ts, tide)
+    adds the worst-case frequency.  The pairs are read once: run lengths are
+    carried along the series, and every score is part of one aggregate.
     """
     limit = x1 if isinstance(x1, Column) else F.lit(float(x1))
-    rows = pairs.withColumn("__x1", limit).withColumn("__e", F.col("model") - F.col("obs"))
+    extra = extra or {}
+    rows = pairs.select(
+        *keys,
+        ts,
+        *tie,
+        "obs",
+        "model",
+        limit.alias("__x1"),
+        (F.col("model") - F.col("obs")).alias("__e"),
+        *[c.alias(f"__in_{n}") for n, c in extra.items()],
+    )
+    if tides is not None:
+        rows = rows.join(tides.select(*keys, ts, "tide"), [*keys, ts], "left")
+        worst = half_even(
+            worst_case_frequency(F.col("model"), F.col("obs"), F.col("tide"), F.col("__x1")), 2
+        )
+    else:
+        worst = F.lit(None).cast("double")
     e = F.col("__e")
-    n_obs = F.when(e.isNotNull(), F.col("obs"))
-    stats = rows.groupBy(*keys).agg(
+    stats = _with_runs(rows, keys, ts, tie).groupBy(*keys).agg(
         F.count(e).alias("n_pairs"),
         half_even(rmse(e), 2).alias("rmse"),
         half_even(pearson(F.col("model"), F.col("obs")), 2).alias("r"),
         F.avg(e).alias("__bias"),
-        F.avg(n_obs).alias("__mean_obs"),
+        F.avg(F.when(e.isNotNull(), F.col("obs"))).alias("__mean_obs"),
         half_even(F.stddev_pop(e), 2).alias("bias_std"),
         *_outlier_block(e, F.col("__x1")),
         F.max("__x1").alias("target_error"),
+        *_duration_block(),
+        worst.alias("worst_case_freq"),
+        *[half_even(F.avg(f"__in_{n}"), 2).alias(n) for n in extra],
     )
     base = F.col("__bias") if speed_rule else half_even("__bias", 2)
-    stats = (
+    out = (
         stats.withColumn("bias", half_even("__bias", 2))
         .withColumn("bias_perc", half_even(ratio(100 * base, F.col("__mean_obs")), 2))
         .drop("__bias", "__mean_obs")
     )
-    durations = runs.outlier_durations(
-        rows, keys, ts, e, F.col("__x1"), tie=tie
-    ).select(
-        *keys,
-        half_even("max_pos_hours", 2).alias("max_pos_hours"),
-        half_even("max_neg_hours", 2).alias("max_neg_hours"),
-    )
-    out = stats.join(durations, list(keys), "left")
-    if tides is not None:
-        wof = (
-            rows.join(tides, [*keys, ts])
-            .groupBy(*keys)
-            .agg(
-                half_even(
-                    worst_case_frequency(
-                        F.col("model"), F.col("obs"), F.col("tide"), F.col("__x1")
-                    ),
-                    2,
-                ).alias("worst_case_freq")
-            )
-        )
-        out = out.join(wof, list(keys), "left")
-    else:
-        out = out.withColumn("worst_case_freq", F.lit(None).cast("double"))
     return graded(_enough(out, keys, min_pairs))
 
 
@@ -257,16 +271,9 @@ def skill_speed(
     pairs: DataFrame, keys: Sequence[str], *, ts: str = "ts", x1: Column | float, tie: Sequence[str] = ()
 ) -> DataFrame:
     """Skill row of paired speeds, with the arithmetic mean direction bias."""
-    rows = pairs.select(
-        *keys,
-        ts,
-        *[c for c in tie if c not in (ts, *keys)],
-        F.col("obs_speed").alias("obs"),
-        F.col("model_speed").alias("model"),
-    )
-    direction = pairs.groupBy(*keys).agg(half_even(F.avg("dir_bias"), 2).alias("bias_dir"))
-    return skill_scalar(rows, keys, ts=ts, x1=x1, tie=tie, speed_rule=True).join(
-        direction, list(keys), "left"
+    named = pairs.withColumns({"obs": F.col("obs_speed"), "model": F.col("model_speed")})
+    return skill_scalar(
+        named, keys, ts=ts, x1=x1, tie=tie, speed_rule=True, extra={"bias_dir": F.col("dir_bias")}
     )
 
 
@@ -274,25 +281,21 @@ def skill_direction(
     pairs: DataFrame, keys: Sequence[str], *, ts: str = "ts", x1: float = 22.5, tie: Sequence[str] = ()
 ) -> DataFrame:
     """Skill row of signed direction differences with circular mean and correlation."""
-    e = F.col("dir_bias")
-    limit = F.lit(float(x1))
-    stats = pairs.groupBy(*keys).agg(
+    rows = pairs.select(
+        *keys, ts, *tie, "model_dir", "obs_dir", F.col("dir_bias").alias("__e"), F.lit(float(x1)).alias("__x1")
+    )
+    e = F.col("__e")
+    stats = _with_runs(rows, keys, ts, tie).groupBy(*keys).agg(
         F.count(e).alias("n_pairs"),
         half_even(rmse(e), 2).alias("rmse"),
         half_even(angles.mean_angle(e), 2).alias("bias"),
         half_even(F.stddev_pop(e), 2).alias("bias_std"),
-        *_outlier_block(e, limit),
-    )
-    r = circular_correlation(pairs, keys, "model_dir", "obs_dir").select(
-        *keys, half_even("circular_r", 2).alias("r")
-    )
-    durations = runs.outlier_durations(pairs, keys, ts, e, limit, tie=tie).select(
-        *keys,
-        half_even("max_pos_hours", 2).alias("max_pos_hours"),
-        half_even("max_neg_hours", 2).alias("max_neg_hours"),
+        *_outlier_block(e, F.col("__x1")),
+        *_duration_block(),
+        *circular_sums(F.col("model_dir"), F.col("obs_dir")),
     )
-    out = stats.join(r, list(keys), "left").join(durations, list(keys), "left")
-    return graded(_enough(out, keys, MIN_PAIRS))
+    out = stats.withColumn("r", half_even(circular_from_sums(), 2))
+    return graded(_enough(out.drop(*[c for c in out.columns if c.startswith("__")]), keys, MIN_PAIRS))
 
 
 def skill_extrema(

@@ -616,14 +616,14 @@ def _snk02(spark, sf_dir):
 
 @query(
     "snk05_prediction_rows",
-    """SELECT station_id, t, printf('%9.4f', tide) AS tide_text, printf('%9.4f', obs - tide) AS residual_text FROM v_tide WHERE obs IS NOT NULL""",
+    """SELECT station_id, t, printf('%9.4f', tide) AS tide_text, printf('%9.4f', model - tide) AS residual_text FROM v_tide WHERE obs IS NOT NULL""",
 )
 def _snk05(spark, sf_dir):
     from seamark.operators import tides
     from seamark.sinks import text as sink_text
 
     t = view(spark, sf_dir, "v_tide")
-    res = tides.residual(t.select(*K, "ts", "obs").filter("obs IS NOT NULL"), t.select(*K, "ts", "tide"), K)
+    res = tides.residual(t.filter("obs IS NOT NULL").select(*K, "ts", "model"), t.select(*K, "ts", "tide"), K, value="model")
     out = sink_text.series_lines(res, K, ["tide", "residual"])
     return out.select(
         *K, secs("ts", "t"), F.substring("line", -19, 9).alias("tide_text"), F.substring("line", -9, 9).alias("residual_text")

@@ -65,11 +65,17 @@ def latest_period_only(
 
 
 def boundary_gaps(obs: DataFrame, periods: DataFrame, keys: Sequence[str], ts: str = "ts") -> DataFrame:
-    """Hours between the last observation of a period and the first of the next."""
-    p = periods.select(*keys, "period_start", "period_end")
+    """Hours between the last observation of a period and the first of the next.
+
+    Periods are cut into days and meet the observations on (station, day), so a
+    station with very many rows is spread by day and compared with its own
+    periods of that day only.
+    """
+    day = F.explode(F.sequence(F.to_date("period_start"), F.to_date("period_end")))
+    p = periods.select(*keys, "period_start", "period_end", day.alias("__day"))
     seen = (
-        obs.select(*keys, ts)
-        .join(p, list(keys))
+        obs.select(*keys, ts, F.to_date(ts).alias("__day"))
+        .join(p, [*keys, "__day"])
         .filter(F.col(ts).between(F.col("period_start"), F.col("period_end")))
         .groupBy(*keys, "period_start")
         .agg(F.min(ts).alias("first_obs"), F.max(ts).alias("last_obs"))

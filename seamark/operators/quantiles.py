@@ -1,8 +1,10 @@
 """Exact quantiles of groups of any size.
 
-Values are cut into buckets; only bucket counts are ordered per group, and only
-the buckets that contain a wanted rank are ranked row by row.  A group holding a
-third of all rows is never sorted in one task.
+Equal values are counted first.  A group's value range is then cut into buckets,
+only bucket counts are ordered, and only buckets that hold a wanted rank are
+kept; the second round cuts those again by their own range.  What is left to
+order row by row is a sliver of the group, also when far outliers squeeze nearly
+all values into one bucket of the first round.
 """
 
 from __future__ import annotations
@@ -13,6 +15,38 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _narrow(
+    rows: DataFrame, wants: DataFrame, keys: list[str], name: str, buckets: int
+) -> tuple[DataFrame, DataFrame]:
+    """Keep the buckets holding wanted ranks; ranks become relative to a bucket.
+
+    ``rows`` is (keys, v, c) with c copies of v, ``wants`` is (keys, q, pos, rank,
+    local).  Both come back with the bucket number ``name`` as an extra key.
+    """
+    # Asking for the count as well keeps the columns of every use of ``rows`` the
+    # same, so that Spark computes and shuffles them once.
+    seen = F.when(F.col("c") > 0, F.col("v"))
+    span = rows.groupBy(*keys).agg(F.min(seen).alias("lo"), F.max(seen).alias("hi"))
+    width = (F.col("hi") - F.col("lo")) / buckets
+    bucket = F.coalesce(
+        F.floor(F.try_divide(F.col("v") - F.col("lo"), width)), F.lit(0).cast("bigint")
+    )
+    placed = rows.join(span, keys).select(*keys, "v", "c", bucket.alias(name))
+    before = Window.partitionBy(*keys).orderBy(name).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = (
+        placed.groupBy(*keys, name)
+        .agg(F.sum("c").alias("size"))
+        .withColumn("before", F.coalesce(F.sum("size").over(before), F.lit(0).cast("bigint")))
+    )
+    hit = (
+        wants.join(sizes, keys)
+        .filter((F.col("local") >= F.col("before")) & (F.col("local") < F.col("before") + F.col("size")))
+        .select(*keys, name, "q", "pos", "rank", (F.col("local") - F.col("before")).alias("local"))
+    )
+    kept = placed.join(hit.select(*keys, name).distinct(), [*keys, name], "left_semi")
+    return kept.select(*keys, name, "v", "c"), hit
+
+
 def exact_percentiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -20,57 +54,43 @@ def exact_percentiles(
     qs: Sequence[float],
     *,
     buckets: int = 4096,
+    rounds: int = 2,
 ) -> DataFrame:
     """Linear-interpolation percentiles (q25, q50, ...) per key, NULLs skipped."""
-    keys = list(keys)
-    # Equal values are counted before anything is ordered.
-    tally = df.filter(F.col(column).isNotNull()).groupBy(*keys, F.col(column).alias("__v")).agg(
-        F.count(F.lit(1)).alias("__c")
-    )
-    span = tally.groupBy(*keys).agg(
-        F.min("__v").alias("__lo"), F.max("__v").alias("__hi"), F.sum("__c").alias("__n")
-    )
-    placed = tally.join(span, keys)
-    width = (F.col("__hi") - F.col("__lo")) / buckets
-    bucket = F.coalesce(F.floor(F.try_divide(F.col("__v") - F.col("__lo"), width)), F.lit(0).cast("bigint"))
-    placed = placed.withColumn("__b", bucket)
-    w = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = (
-        placed.groupBy(*keys, "__b")
-        .agg(F.sum("__c").alias("__bn"))
-        .withColumn("__before", F.coalesce(F.sum("__bn").over(w), F.lit(0).cast("bigint")))
-    )
-    wants = span.select(
-        *keys,
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(i).alias("q"), ((F.col("__n") - 1) * q).alias("pos"))
-                    for i, q in enumerate(qs)
-                ]
-            )
-        ).alias("w"),
-    ).select(*keys, "w.q", "w.pos")
-    ranks = wants.select(
-        *keys, "q", "pos", F.explode(F.array_distinct(F.array(F.floor("pos"), F.ceil("pos")))).alias("rank")
+    base = list(keys)
+    rows = (
+        df.filter(F.col(column).isNotNull())
+        .groupBy(*base, F.col(column).alias("v"))
+        .agg(F.count(F.lit(1)).alias("c"))
     )
-    hit = ranks.join(sizes, keys).filter(
-        (F.col("rank") >= F.col("__before")) & (F.col("rank") < F.col("__before") + F.col("__bn"))
+    total = rows.groupBy(*base).agg(F.sum("c").alias("n"))
+    asked = F.array(
+        *[
+            F.struct(F.lit(i).alias("q"), ((F.col("n") - 1) * float(q)).alias("pos"))
+            for i, q in enumerate(qs)
+        ]
     )
-    order = Window.partitionBy(*keys, "__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
-    rows = (
-        placed.join(hit.select(*keys, "__b", "__before").distinct(), [*keys, "__b"])
-        .withColumn("__from", F.col("__before") + F.coalesce(F.sum("__c").over(order), F.lit(0)))
-        .select(*keys, "__b", "__v", "__from", (F.col("__from") + F.col("__c")).alias("__to"))
+    both = F.explode(F.array_distinct(F.array(F.floor("pos"), F.ceil("pos")))).alias("rank")
+    wants = (
+        total.select(*base, F.inline(asked))
+        .select(*base, "q", "pos", both)
+        .withColumn("local", F.col("rank"))
     )
-    found = hit.select(*keys, "__b", "q", "pos", "rank").join(rows, [*keys, "__b"]).filter(
-        (F.col("rank") >= F.col("__from")) & (F.col("rank") < F.col("__to"))
+    level = list(base)
+    for i in range(rounds):
+        rows, wants = _narrow(rows, wants, level, f"__b{i}", buckets)
+        level.append(f"__b{i}")
+    order = Window.partitionBy(*level).orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("c").over(order), F.lit(0).cast("bigint"))
+    ranked = rows.withColumn("from", start)
+    found = wants.join(ranked, level).filter(
+        (F.col("local") >= F.col("from")) & (F.col("local") < F.col("from") + F.col("c"))
     )
     share = F.col("pos") - F.floor("pos")
-    per_q = found.groupBy(*keys, "q").agg(
-        F.min_by("__v", "rank").alias("lo"), F.max_by("__v", "rank").alias("hi"), F.max(share).alias("share")
+    per_q = found.groupBy(*base, "q").agg(
+        F.min_by("v", "rank").alias("lo"), F.max_by("v", "rank").alias("hi"), F.max(share).alias("share")
     )
     value = F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("share")
-    return per_q.groupBy(*keys).agg(
+    return per_q.groupBy(*base).agg(
         *[F.max(F.when(F.col("q") == i, value)).alias(f"q{round(q * 100)}") for i, q in enumerate(qs)]
     )

@@ -71,11 +71,18 @@ def run_lengths(
     per flag is enough and the longest run is a plain maximum.  ``with_step``
     also adds ``step_seconds``, the time since the previous row.
     """
-    names = list(flags)
+    hits = {f"__hit_{n}": F.coalesce(f, F.lit(False)) for n, f in flags.items()}
+    rows = _lengths(df.withColumns(hits), keys, order, list(flags), with_step, chunk_seconds)
+    added = [*flags, *(["step_seconds"] if with_step else [])]
+    return rows.select(*df.columns, *added)
+
+
+def _lengths(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], names: list[str], with_step: bool, chunk_seconds: int
+) -> DataFrame:
     t = order[0]
-    hit = {n: F.coalesce(f, F.lit(False)) for n, f in flags.items()}
     marked = scan(
-        df.withColumns({f"__hit_{n}": c for n, c in hit.items()}),
+        df,
         keys,
         order,
         prior={
@@ -88,21 +95,23 @@ def run_lengths(
     out = [F.col(c) for c in df.columns]
     for n in names:
         back = F.col("__pos") - F.coalesce(F.col(f"__brk_{n}__rn"), F.lit(0))
-        # On an unflagged row the last break lies before it; its own run is empty.
         out.append(F.when(F.col(f"__hit_{n}"), back).otherwise(F.lit(0)).cast("bigint").alias(n))
     if with_step:
         out.append((epoch(F.col(t)) - epoch(F.col("__prev"))).alias("step_seconds"))
     return marked.select(*out)
 
 
+def _flag_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], flags: dict[str, Column]) -> DataFrame:
+    """Only what a run needs, so that nothing else is shuffled."""
+    return df.select(*keys, *order, *[F.coalesce(f, F.lit(False)).alias(f"__hit_{n}") for n, f in flags.items()])
+
+
 def longest_runs(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], flags: dict[str, Column], *, chunk_seconds: int = CHUNK_SECONDS
 ) -> DataFrame:
     """Rows in the longest run of each flag, per series."""
-    slim = df.select(*keys, *order, *[f.alias(f"__in_{n}") for n, f in flags.items()])
-    rows = run_lengths(
-        slim, keys, order, {n: F.col(f"__in_{n}") for n in flags}, chunk_seconds=chunk_seconds
-    )
+    slim = _flag_rows(df, keys, order, flags)
+    rows = _lengths(slim, keys, order, list(flags), False, chunk_seconds)
     return rows.groupBy(*keys).agg(*[F.max(n).alias(n) for n in flags])
 
 
@@ -124,15 +133,9 @@ def outlier_durations(
 
     Hours are rows times the median sampling interval of the whole series.
     """
-    slim = df.select(*keys, ts, *tie, error.alias("__e"), x1.alias("__x1"))
-    rows = run_lengths(
-        slim,
-        keys,
-        [ts, *tie],
-        outlier_flags(F.col("__e"), F.col("__x1")),
-        with_step=True,
-        chunk_seconds=chunk_seconds,
-    )
+    flags = outlier_flags(error, x1)
+    order = [ts, *tie]
+    rows = _lengths(_flag_rows(df, keys, order, flags), keys, order, list(flags), True, chunk_seconds)
     return rows.groupBy(*keys).agg(*duration_columns())
 
 

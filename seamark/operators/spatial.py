@@ -402,7 +402,9 @@ def source_spacing_km(nodes: DataFrame, *, node_id: str, neighbours: int = 5) ->
     from seamark.operators.quantiles import exact_percentiles
 
     near = nearest(nodes, nodes.withColumnRenamed(node_id, "__nb"), node_id="__nb", k=neighbours + 1)
-    gaps = near.filter(F.col("rank") > 1).select(F.lit(0).alias("__all"), "distance")
+    # One group, under a key that is no literal: joins on it stay equi-joins.
+    everything = (F.col("distance") * 0).cast("int").alias("__all")
+    gaps = near.filter(F.col("rank") > 1).select(everything, "distance")
     return exact_percentiles(gaps, ["__all"], "distance", [0.5]).select(F.col("q50").alias("spacing_km"))
 
 

@@ -1,96 +1,68 @@
 """Exact quantiles of groups of any size.
 
-Equal values are counted first.  A group's value range is then cut into buckets,
-only bucket counts are ordered, and only buckets that hold a wanted rank are
-kept; the second round cuts those again by their own range.  What is left to
-order row by row is a sliver of the group, also when far outliers squeeze nearly
-all values into one bucket of the first round.
+Equal values are counted first.  Each group is then cut into up to 4096 value
+chunks: 64 segments of about equal size, from a bounded sketch of the group, and
+64 equal widths inside each.  The chunks only spread the work (a far outlier or
+a lump of close values cannot fill one task); running counts over them, by
+``scan``, give every value its exact rank.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seamark.operators.sequence import scan
 
-def _narrow(
-    rows: DataFrame, wants: DataFrame, keys: list[str], name: str, buckets: int
-) -> tuple[DataFrame, DataFrame]:
-    """Keep the buckets holding wanted ranks; ranks become relative to a bucket.
-
-    ``rows`` is (keys, v, c) with c copies of v, ``wants`` is (keys, q, pos, rank,
-    local).  Both come back with the bucket number ``name`` as an extra key.
-    """
-    # Asking for the count as well keeps the columns of every use of ``rows`` the
-    # same, so that Spark computes and shuffles them once.
-    seen = F.when(F.col("c") > 0, F.col("v"))
-    span = rows.groupBy(*keys).agg(F.min(seen).alias("lo"), F.max(seen).alias("hi"))
-    width = (F.col("hi") - F.col("lo")) / buckets
-    bucket = F.coalesce(
-        F.floor(F.try_divide(F.col("v") - F.col("lo"), width)), F.lit(0).cast("bigint")
-    )
-    placed = rows.join(span, keys).select(*keys, "v", "c", bucket.alias(name))
-    before = Window.partitionBy(*keys).orderBy(name).rowsBetween(Window.unboundedPreceding, -1)
-    sizes = (
-        placed.groupBy(*keys, name)
-        .agg(F.sum("c").alias("size"))
-        .withColumn("before", F.coalesce(F.sum("size").over(before), F.lit(0).cast("bigint")))
-    )
-    hit = (
-        wants.join(sizes, keys)
-        .filter((F.col("local") >= F.col("before")) & (F.col("local") < F.col("before") + F.col("size")))
-        .select(*keys, name, "q", "pos", "rank", (F.col("local") - F.col("before")).alias("local"))
-    )
-    kept = placed.join(hit.select(*keys, name).distinct(), [*keys, name], "left_semi")
-    return kept.select(*keys, name, "v", "c"), hit
+SEGMENTS = 64
 
 
 def exact_percentiles(
-    df: DataFrame,
-    keys: Sequence[str],
-    column: str,
-    qs: Sequence[float],
-    *,
-    buckets: int = 4096,
-    rounds: int = 2,
+    df: DataFrame, keys: Sequence[str], column: str, qs: Sequence[float], *, segments: int = SEGMENTS
 ) -> DataFrame:
     """Linear-interpolation percentiles (q25, q50, ...) per key, NULLs skipped."""
-    base = list(keys)
+    keys = list(keys)
     rows = (
         df.filter(F.col(column).isNotNull())
-        .groupBy(*base, F.col(column).alias("v"))
+        .groupBy(*keys, F.col(column).cast("double").alias("v"))
         .agg(F.count(F.lit(1)).alias("c"))
     )
-    total = rows.groupBy(*base).agg(F.sum("c").alias("n"))
-    asked = F.array(
-        *[
-            F.struct(F.lit(i).alias("q"), ((F.col("n") - 1) * float(q)).alias("pos"))
-            for i, q in enumerate(qs)
-        ]
-    )
-    both = F.explode(F.array_distinct(F.array(F.floor("pos"), F.ceil("pos")))).alias("rank")
-    wants = (
-        total.select(*base, F.inline(asked))
-        .select(*base, "q", "pos", both)
-        .withColumn("local", F.col("rank"))
-    )
-    level = list(base)
-    for i in range(rounds):
-        rows, wants = _narrow(rows, wants, level, f"__b{i}", buckets)
-        level.append(f"__b{i}")
-    order = Window.partitionBy(*level).orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.coalesce(F.sum("c").over(order), F.lit(0).cast("bigint"))
-    ranked = rows.withColumn("from", start)
-    found = wants.join(ranked, level).filter(
-        (F.col("local") >= F.col("from")) & (F.col("local") < F.col("from") + F.col("c"))
+    cuts = [i / segments for i in range(segments + 1)]
+    shape = rows.groupBy(*keys).agg(
+        F.percentile_approx("v", cuts, 1000).alias("bounds"), F.sum("c").alias("n")
     )
-    share = F.col("pos") - F.floor("pos")
-    per_q = found.groupBy(*base, "q").agg(
-        F.min_by("v", "rank").alias("lo"), F.max_by("v", "rank").alias("hi"), F.max(share).alias("share")
+    v, bounds = F.col("v"), F.col("bounds")
+    placed = rows.join(shape, keys).withColumn(
+        "i", F.size(F.filter(F.slice(bounds, 2, segments - 1), lambda b: b <= v))
     )
-    value = F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("share")
-    return per_q.groupBy(*base).agg(
-        *[F.max(F.when(F.col("q") == i, value)).alias(f"q{round(q * 100)}") for i, q in enumerate(qs)]
+    lo, hi = F.element_at(bounds, F.col("i") + 1), F.element_at(bounds, F.col("i") + 2)
+    part = F.coalesce(F.floor(F.try_divide((v - lo) * segments, hi - lo)), F.lit(0).cast("bigint"))
+    part = F.when(part < 0, 0).when(part >= segments, segments - 1).otherwise(part)
+    placed = placed.select(*keys, "v", "c", "n", (F.col("i") * segments + part).alias("cut"))
+    ranked = scan(placed, keys, ["v"], totals={"to": F.col("c")}, chunk=F.col("cut"))
+    start = F.col("to") - F.col("c")
+
+    def at(rank):
+        """Value holding a 0-based rank."""
+        return F.max(F.when((start <= rank) & (rank < F.col("to")), v))
+
+    picked = []
+    for k, q in enumerate(qs):
+        pos = (F.col("n") - 1) * float(q)
+        picked += [
+            at(F.floor(pos)).alias(f"lo{k}"),
+            at(F.ceil(pos)).alias(f"hi{k}"),
+            F.max(pos - F.floor(pos)).alias(f"share{k}"),
+        ]
+    found = ranked.groupBy(*keys).agg(*picked)
+    return found.select(
+        *keys,
+        *[
+            (F.col(f"lo{k}") + (F.col(f"hi{k}") - F.col(f"lo{k}")) * F.col(f"share{k}")).alias(
+                f"q{round(q * 100)}"
+            )
+            for k, q in enumerate(qs)
+        ],
     )

@@ -146,8 +146,8 @@ def test_exact_percentiles_match_numpy(spark):
     groups = {"a": rng.normal(0, 1, 501), "b": rng.integers(0, 4, 300).astype(float), "c": np.array([7.0])}
     rows = [(k, float(v)) for k, vs in groups.items() for v in vs]
     df = spark.createDataFrame(rows, "k string, v double").repartition(5)
-    for buckets in (1, 7, 4096):
-        out = {r["k"]: r for r in quantiles.exact_percentiles(df, ["k"], "v", [0.25, 0.5, 0.75], buckets=buckets).collect()}
+    for segments in (1, 7, 64):
+        out = {r["k"]: r for r in quantiles.exact_percentiles(df, ["k"], "v", [0.25, 0.5, 0.75], segments=segments).collect()}
         for k, vs in groups.items():
             for q in (25, 50, 75):
                 assert out[k][f"q{q}"] == pytest.approx(np.percentile(vs, q))

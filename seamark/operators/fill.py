@@ -58,6 +58,63 @@ def fill_linear(
     return out.withColumns({c: filled(c) for c in names}).select(*df.columns)
 
 
+def fill_cubic(
+    df: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    column: str,
+    *,
+    limit: int,
+    chunk_seconds: int = CHUNK_SECONDS,
+) -> DataFrame:
+    """As ``fill_linear``, along a local cubic through four valid neighbours.
+
+    Inside a gap the curve runs from the last to the next valid value with
+    slopes taken from the valid values on either side of both (Catmull-Rom on
+    row positions); at the ends of a series the chord slope is used.
+    """
+    v = F.col(column)
+    one = scan(
+        df,
+        keys,
+        [ts],
+        prior={"__pv": v},
+        following={"__nv": v},
+        row_number="__pos",
+        chunk_seconds=chunk_seconds,
+    )
+    # A valid row together with the valid rows before and after it.
+    knot = F.when(
+        v.isNotNull(),
+        F.struct(
+            v.alias("v"),
+            F.col("__pos").alias("x"),
+            F.col("__pv").alias("pv"),
+            F.col("__pv__rn").alias("px"),
+            F.col("__nv").alias("nv"),
+            F.col("__nv__rn").alias("nx"),
+        ),
+    )
+    two = scan(
+        one, keys, [ts], prior={"__a": knot}, following={"__b": knot}, chunk_seconds=chunk_seconds
+    )
+    a, b = F.col("__a"), F.col("__b")
+    gap = b["x"] - a["x"]
+    k = F.col("__pos") - a["x"]
+    chord = b["v"] - a["v"]
+    start = F.coalesce((b["v"] - a["pv"]) * gap / (b["x"] - a["px"]), chord)
+    stop = F.coalesce((b["nv"] - a["v"]) * gap / (b["nx"] - a["x"]), chord)
+    t = k / gap
+    curve = (
+        a["v"] * (2 * t * t * t - 3 * t * t + 1)
+        + start * (t * t * t - 2 * t * t + t)
+        + b["v"] * (3 * t * t - 2 * t * t * t)
+        + stop * (t * t * t - t * t)
+    )
+    filled = F.when(v.isNotNull(), v).when(k <= limit, curve)
+    return two.withColumn(column, filled).select(*df.columns)
+
+
 def merged_timeline(
     obs: DataFrame, model: DataFrame, keys: Sequence[str], ts: str, columns: str | Sequence[str]
 ) -> DataFrame:
@@ -105,18 +162,21 @@ def to_equal_interval(
     *,
     step_seconds: int = 360,
     max_gap_hours: float = 6.0,
+    method: str = "linear",
     chunk_seconds: int = CHUNK_SECONDS,
 ) -> DataFrame:
-    """Regular grid with linear fill of at most ``max_gap_hours`` per gap.
+    """Regular grid with a fill of at most ``max_gap_hours`` per gap.
 
-    Longer gaps are filled up to the limit and NULL beyond it.
+    Longer gaps are filled up to the limit and NULL beyond it.  ``method`` is
+    'linear' or 'cubic' (local cubic, not a spline over the whole series).
     """
     valid = df.filter(F.col(column).isNotNull())
     grid = regular_grid(
         valid, keys, ts, [column], step_seconds=step_seconds, chunk_seconds=chunk_seconds
     )
     limit = int(max_gap_hours * 3600 / step_seconds)
-    return fill_linear(grid, keys, ts, column, limit=limit, chunk_seconds=chunk_seconds)
+    fill = {"linear": fill_linear, "cubic": fill_cubic}[method]
+    return fill(grid, keys, ts, column, limit=limit, chunk_seconds=chunk_seconds)
 
 
 def with_previous_time(

@@ -72,6 +72,21 @@ def test_equal_interval_fills_up_to_the_gap_limit(series):
     assert got[7] is None and got[8] is None and got[9] == 10
 
 
+def test_cubic_fill_follows_a_smooth_curve(series):
+    t = np.arange(48)
+    y = np.sin(2 * np.pi * t / 24)
+    vals = [None if i % 6 in (3, 4) and 6 < i < 42 else float(v) for i, v in enumerate(y)]
+    for chunk in (5 * 3600, 10**9):
+        line, cubic = (
+            np.array(column(fill.to_equal_interval(series(vals), K, "ts", "value", step_seconds=3600, method=m, chunk_seconds=chunk), "value"))
+            for m in ("linear", "cubic")
+        )
+        assert np.abs(cubic - y).max() < 0.5 * np.abs(line - y).max()
+    ramp = [0.0, 1.0, None, None, 4.0, None, 6.0]
+    out = fill.to_equal_interval(series(ramp), K, "ts", "value", step_seconds=3600, method="cubic")
+    assert column(out, "value") == pytest.approx([0, 1, 2, 3, 4, 5, 6])
+
+
 def test_median_interval_and_gaps(series):
     df = series([1, 2, 3, None, 5, 6])
     holes = df.filter("value IS NOT NULL")

@@ -70,8 +70,8 @@ def fill_cubic(
     """As ``fill_linear``, along a local cubic through four valid neighbours.
 
     Inside a gap the curve runs from the last to the next valid value with
-    slopes taken from the valid values on either side of both (Catmull-Rom on
-    row positions); at the ends of a series the chord slope is used.
+    slopes taken from the valid values on either side of both, by row position;
+    at the ends of a series the chord slope is used.
     """
     v = F.col(column)
     one = scan(
@@ -102,8 +102,10 @@ def fill_cubic(
     gap = b["x"] - a["x"]
     k = F.col("__pos") - a["x"]
     chord = b["v"] - a["v"]
-    start = F.coalesce((b["v"] - a["pv"]) * gap / (b["x"] - a["px"]), chord)
-    stop = F.coalesce((b["nv"] - a["v"]) * gap / (b["nx"] - a["x"]), chord)
+    h0, h2 = a["x"] - a["px"], b["nx"] - b["x"]
+    # Three-point slopes on uneven spacing, times the gap.
+    start = F.coalesce(((a["v"] - a["pv"]) / h0 * gap + chord / gap * h0) / (h0 + gap) * gap, chord)
+    stop = F.coalesce((chord / gap * h2 + (b["nv"] - b["v"]) / h2 * gap) / (gap + h2) * gap, chord)
     t = k / gap
     curve = (
         a["v"] * (2 * t * t * t - 3 * t * t + 1)

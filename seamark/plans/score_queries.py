@@ -515,8 +515,8 @@ def _win08(spark, sf_dir):
     kn AS (SELECT station_id, rn, obs, lag(obs) OVER w pv, lag(rn) OVER w px, lead(obs) OVER w nv, lead(rn) OVER w nx, lead(obs, 2) OVER w nnv, lead(rn, 2) OVER w nnx
            FROM l WHERE obs IS NOT NULL WINDOW w AS (PARTITION BY station_id ORDER BY rn)),
     f AS (SELECT l.*, k.obs a, k.rn ax, k.nv b, k.nx bx, k.nx - k.rn gap, (l.rn - k.rn) / (k.nx - k.rn) AS s,
-            coalesce((k.nv - k.pv) * (k.nx - k.rn) / (k.nx - k.px), k.nv - k.obs) m1,
-            coalesce((k.nnv - k.obs) * (k.nx - k.rn) / (k.nnx - k.rn), k.nv - k.obs) m2
+            coalesce(((k.obs - k.pv) / (k.rn - k.px) * (k.nx - k.rn) + (k.nv - k.obs) / (k.nx - k.rn) * (k.rn - k.px)) / (k.nx - k.px) * (k.nx - k.rn), k.nv - k.obs) m1,
+            coalesce(((k.nv - k.obs) / (k.nx - k.rn) * (k.nnx - k.nx) + (k.nnv - k.nv) / (k.nnx - k.nx) * (k.nx - k.rn)) / (k.nnx - k.rn) * (k.nx - k.rn), k.nv - k.obs) m2
           FROM l LEFT JOIN kn k ON k.station_id = l.station_id AND k.rn < l.rn AND k.nx > l.rn AND l.obs IS NULL)
     SELECT station_id, t, round(CASE WHEN obs IS NOT NULL THEN obs WHEN rn - ax <= 6 THEN a * (2*s*s*s - 3*s*s + 1) + m1 * (s*s*s - 2*s*s + s)
       + b * (3*s*s - 2*s*s*s) + m2 * (s*s*s - s*s) END * sqrt(2e0), 7) AS scaled_value FROM f""",

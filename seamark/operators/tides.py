@@ -17,6 +17,8 @@ from seamark.operators.sequence import CHUNK_SECONDS, chunk_of, halo
 HOUR = 3600.0
 # Largest (bins x rows) wave matrix held at once while filtering.
 BLOCK_CELLS = 2_000_000
+# Series matrices a task holds before it hands them on.
+OPEN_MATRICES = 500
 
 
 def residual(pairs: DataFrame, tides: DataFrame, keys: Sequence[str], ts: str = "ts", value: str = "obs") -> DataFrame:
@@ -252,8 +254,8 @@ def normal_equations(
                 x[:, -1] = g["__y"].to_numpy()
                 gram = x.T @ x
                 acc[key] = acc[key] + gram if key in acc else gram
-            if len(acc) > 500:
-                yield flush()
+                if len(acc) >= OPEN_MATRICES:
+                    yield flush()
         if acc:
             yield flush()
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from seamark.llm import quality
+from seamark.llm import bpe, quality, secrets
 from seamark.llm.common import read
 from seamark.llm.registry import query
 
@@ -13,3 +14,13 @@ from seamark.llm.registry import query
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return quality.quality(docs, quality.fit(docs, read(spark, sf_dir, "labels")))
+
+
+@query("op2_secret_scan")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secrets(read(spark, sf_dir, "documents"))
+
+
+@query("op3_byte_bpe")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digest(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)

@@ -45,7 +45,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 def input_bytes(df: DataFrame) -> int:
     """Catalyst's estimate of the size of ``df``; reads nothing."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def task_count(df: DataFrame, bytes_per_task: int = TASK_BYTES, least: int = 1) -> int:

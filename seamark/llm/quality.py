@@ -73,17 +73,9 @@ def repeated_words(w: W.Words, hashes: np.ndarray) -> np.ndarray:
 
 def line_repeats(w: W.Words, hasher: W.Hasher) -> np.ndarray:
     """By row, lines with a word that equal an earlier line."""
-    breaks = np.flatnonzero(w.data == 10)
-    row = np.searchsorted(w.off, breaks, "right") - 1
-    start = np.concatenate([w.off[:-1], breaks + 1])
-    end = np.concatenate([w.off[1:], breaks])
-    which = np.concatenate([np.arange(len(w.count)), row])
-    order = np.lexsort([start, which])
-    start, which = start[order], which[order]
-    last = np.append(which[1:] != which[:-1], True)
-    end = np.where(last, w.off[1:][which], np.append(start[1:] - 1, 0))
+    start, end, row = W.line_spans(w.data, w.off)
     filled = np.searchsorted(w.start, end) > np.searchsorted(w.start, start)
-    return duplicates(hasher.spans(start[filled], end[filled]), which[filled], len(w.count))
+    return duplicates(hasher.spans(start[filled], end[filled]), row[filled], len(w.count))
 
 
 def features(w: W.Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from seamark.llm import bpe, quality, secrets
+from seamark.llm import bpe, lines, packing, quality, secrets
 from seamark.llm.common import read
 from seamark.llm.registry import query
 
@@ -24,3 +25,14 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_byte_bpe")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query("op6_line_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op7_best_fit_packing")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))

@@ -118,6 +118,17 @@ class Words:
         return np.repeat(np.arange(len(self.count)), self.count)
 
 
+def line_spans(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, row) of every line, in order; an empty text has one empty line."""
+    breaks = np.flatnonzero(data == 10)
+    row = np.concatenate([np.arange(len(off) - 1), np.searchsorted(off, breaks, "right") - 1])
+    start = np.concatenate([off[:-1], breaks + 1])
+    order = np.lexsort([start, row])
+    start, row = start[order], row[order]
+    last = np.append(row[1:] != row[:-1], True)[: len(row)]
+    return start, np.where(last, off[1:][row], np.append(start[1:] - 1, 0)[: len(row)]), row
+
+
 GRAM = np.random.default_rng(7).integers(1, 1 << 63, 16, dtype=np.uint64) * U(2) + U(1)
 
 

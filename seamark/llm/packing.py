@@ -35,10 +35,10 @@ from pyspark.sql import functions as F
 from seamark.llm.common import written
 
 CAPACITY = 2048
-MEMO = 250_000
+MEMO = 1_000_000
 BUCKET_ROWS = 50_000
 SPACE = "\u0120"  # a space in the vocabulary of byte-level tokenizers
-UNSPLIT = re.compile("\x20(?=[\\s\u180e]|$)")
+UNSPLIT = re.compile("[ \n](?=[\\s\u180e]|$)|[^\\S \n]|\u180e|^[ \n]")
 SPLIT = re.compile("\x20(?=[^\\s\u180e])")
 
 
@@ -59,17 +59,21 @@ class Encoder:
     def learn(self, words: list[str]) -> None:
         """Words of one leading space and no other are encoded as one text, whose tokens
         with a leading space begin a word; the others one by one."""
-        plain = [w for w in words if w[:1] == " " and " " not in w[1:]]
+        plain = [w for w in words if w[0] != "\n" and " " not in w]
         if plain:
-            ids = np.array(self.tokenizer.encode_batch_fast(["".join(plain)], add_special_tokens=False)[0].ids, "<u4")
+            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(plain)], add_special_tokens=False)[0].ids, "<u4")
             at = np.append(np.flatnonzero(self.spaced[ids]), len(ids)) * 4
             raw = ids.tobytes()
             self.memo.update(zip(plain, map(raw.__getitem__, map(slice, at[:-1].tolist(), at[1:].tolist()))))
-        other = [w for w in words if w[:1] != " " or " " in w[1:]]
-        for word, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
-            self.memo[word] = np.array(e.ids, "<u4").tobytes()
+        other = [w for w in words if w[0] == "\n" or " " in w]
+        for word, ids in zip(other, self.whole([w if w[0] == "\n" else " " + w for w in other])):
+            self.memo[word] = ids
+
+    def whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def joined(self, words: list[str]) -> bytes:
+        """Ids of words that each follow a space, or begin with a line feed that stands alone."""
         try:
             return b"".join(map(self.memo.__getitem__, words))
         except KeyError:
@@ -81,9 +85,11 @@ class Encoder:
         return b"".join(map(self.memo.__getitem__, words))
 
     def ids(self, text: str) -> bytes:
-        words = (SPLIT.split(text) if UNSPLIT.search(text) else text.split(" ")) if text else []
-        words[1:] = map(" ".__add__, words[1:])
-        return b"".join(self.joined(words[i : i + MEMO // 2]) for i in range(0, len(words), MEMO // 2))
+        if not text:
+            return b""
+        words = SPLIT.split(text) if UNSPLIT.search(text) else text.replace("\n", " \n").split(" ")
+        first = self.whole(words[:1])[0]
+        return first + b"".join(self.joined(words[i : i + MEMO // 2]) for i in range(1, len(words), MEMO // 2))
 
 
 @functools.lru_cache(2)

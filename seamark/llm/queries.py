@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seamark.llm import bpe, lines, packing, quality, secrets
+from seamark.llm import bpe, lines, neardup, packing, quality, secrets
 from seamark.llm.common import read
 from seamark.llm.registry import query
 
@@ -36,3 +36,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_best_fit_packing")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op9_ngram_jaccard_join")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.similar(read(spark, sf_dir, "documents"))

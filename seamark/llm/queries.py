@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seamark.llm import bpe, lines, neardup, packing, quality, secrets
-from seamark.llm.common import read
+from seamark.llm import bpe, lines, neardup, packing, quality, secrets, warc
+from seamark.llm.common import fresh_dir, read
 from seamark.llm.registry import query
 
 
@@ -41,3 +41,10 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_ngram_jaccard_join")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.similar(read(spark, sf_dir, "documents"))
+
+
+@query("op10_warc")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = fresh_dir(spark, "warc")
+    warc.write(read(spark, sf_dir, "pages"), root)
+    return warc.read(spark, root).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

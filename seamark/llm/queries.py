@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seamark.llm import bpe, lines, neardup, packing, quality, secrets, warc
+from seamark.llm import bpe, lines, lm, neardup, packing, quality, secrets, warc
 from seamark.llm.common import fresh_dir, read
 from seamark.llm.registry import query
 
@@ -48,3 +48,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = fresh_dir(spark, "warc")
     warc.write(read(spark, sf_dir, "pages"), root)
     return warc.read(spark, root).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op8_lm_scoring")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(read(spark, sf_dir, "documents"))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seamark.llm import bpe, lines, lm, neardup, packing, quality, secrets, warc
+from seamark.llm import ann, bpe, lines, lm, neardup, packing, quality, secrets, warc
 from seamark.llm.common import fresh_dir, read
 from seamark.llm.registry import query
 
@@ -53,3 +53,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_lm_scoring")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(read(spark, sf_dir, "documents"))
+
+
+@query("op5_vector_search")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(read(spark, sf_dir, "embeddings"))

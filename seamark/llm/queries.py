@@ -6,10 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seamark.llm import ann, bpe, lines, lm, neardup, packing, quality, secrets, warc
-from seamark.llm.common import fresh_dir, read
+from seamark.llm import ann, bpe, lines, lm, neardup, packing, quality, rollup, secrets, warc
+from seamark.llm.common import fresh_dir, read, written
 from seamark.llm.registry import query
 
+WORDS = r"[^\x20\x09-\x0D]+"
+
 
 @query("op1_quality_rules")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +29,51 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+@query(
+    "op4_token_rollups",
+    r"""
+    WITH counted AS (
+        SELECT doc_id, source, lang, coalesce(text, '') AS text, regexp_replace(coalesce(text, ''), '[0-9]+', '0', 'g') AS masked FROM documents
+    ),
+    placed AS (SELECT *, min(doc_id) OVER (PARTITION BY text) AS first FROM counted),
+    kept AS (SELECT source, lang, masked FROM placed WHERE doc_id = first OR doc_id IS NULL),
+    versions AS (
+        SELECT source, lang, 'words-1' AS version, len(regexp_extract_all(masked, '[^\x20\x09-\x0D]+')) AS n FROM kept
+        UNION ALL SELECT source, lang, 'bytes-1', strlen(masked) FROM kept
+    )
+    SELECT source, lang, version, count(*) AS n_docs, sum(n)::BIGINT AS n_tokens FROM versions GROUP BY ALL
+    """,
+)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches derived from the documents: all come; later copies of a text leave; the
+    others are counted anew with numbers masked. The second is replayed after a compaction."""
+    text = F.coalesce("text", F.lit(""))
+    masked = F.regexp_replace(text, "[0-9]+", "0")
+    words = lambda t: F.regexp_count(t, F.lit(WORDS))
+    docs = read(spark, sf_dir, "documents").select(
+        "doc_id", "source", "lang", F.sha2(text, 256).alias("digest"),
+        words(text).alias("words"), F.octet_length(text).alias("bytes"), words(masked).alias("words_masked"), F.octet_length(masked).alias("bytes_masked"),
+    )
+    docs = written(docs, "token-counts")
+    first = docs.groupBy("digest").agg(F.min("doc_id").alias("first"))
+    marked = docs.join(first, "digest")
+    came = {"words-1": (F.col("words"), None), "bytes-1": (F.col("bytes"), None)}
+    anew = {"words-1": (F.col("words_masked"), F.col("words")), "bytes-1": (F.col("bytes_masked"), F.col("bytes"))}
+    copies = rollup.by_version(marked.filter("doc_id > first"), "delete", came)
+    store = rollup.Rollup(spark, fresh_dir(spark, "rollup"))
+    store.commit("day-1", rollup.by_version(docs, "insert", came))
+    store.commit("day-2", copies)
+    store.compact()
+    store.commit("day-2", copies)
+    store.commit("day-3", rollup.by_version(marked.filter("doc_id = first OR doc_id IS NULL"), "revise", anew))
+    return store.totals()
+
+
+@query("op5_vector_search")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(read(spark, sf_dir, "embeddings"))
+
+
 @query("op6_line_dedup")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -38,6 +85,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query("op8_lm_scoring")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(read(spark, sf_dir, "documents"))
+
+
 @query("op9_ngram_jaccard_join")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.similar(read(spark, sf_dir, "documents"))
@@ -48,13 +100,3 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = fresh_dir(spark, "warc")
     warc.write(read(spark, sf_dir, "pages"), root)
     return warc.read(spark, root).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
-
-
-@query("op8_lm_scoring")
-def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm.score_documents(read(spark, sf_dir, "documents"))
-
-
-@query("op5_vector_search")
-def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ann.search(read(spark, sf_dir, "embeddings"))

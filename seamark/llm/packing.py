@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from seamark.llm.common import written
 
 CAPACITY = 2048
-MEMO = 1_000_000
+MEMO = 500_000
 BUCKET_ROWS = 50_000
 SPACE = "\u0120"  # a space in the vocabulary of byte-level tokenizers
 UNSPLIT = re.compile("[ \n](?=[\\s\u180e]|$)|[^\\S \n]|\u180e|^[ \n]")

@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 20
 BASE = 0x9E6C_63D0_676A_9A99
 INVERSE = pow(BASE, -1, 1 << 64)
 U = np.uint64

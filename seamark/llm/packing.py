@@ -36,7 +36,7 @@ from seamark.llm.common import written
 
 CAPACITY = 2048
 MEMO = 500_000
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 10_000
 SPACE = "\u0120"  # a space in the vocabulary of byte-level tokenizers
 UNSPLIT = re.compile("[ \n](?=[\\s\u180e]|$)|[^\\S \n]|\u180e|^[ \n]")
 SPLIT = re.compile("\x20(?=[^\\s\u180e])")

@@ -35,10 +35,9 @@ from pyspark.sql import functions as F
 from seamark.llm.common import written
 
 CAPACITY = 2048
-MEMO = 500_000
+MEMO = 300_000
 BUCKET_ROWS = 10_000
-SPACE = "\u0120"  # a space in the vocabulary of byte-level tokenizers
-UNSPLIT = re.compile("[ \n](?=[\\s\u180e]|$)|[^\\S \n]|\u180e|^[ \n]")
+SPACE, FEED = "\u0120", "\u010a"  # a space and a line feed in the vocabulary of byte-level tokenizers
 SPLIT = re.compile("\x20(?=[^\\s\u180e])")
 
 
@@ -52,42 +51,51 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.memo: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}  # the memo before; what is met again moves over
         vocabulary = self.tokenizer.get_vocab()
-        self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.spaced[[i for t, i in vocabulary.items() if t.startswith(SPACE)]] = True
+        self.begins = {}
+        for mark in (SPACE, FEED):
+            self.begins[mark] = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.begins[mark][[i for t, i in vocabulary.items() if t.startswith(mark)]] = True
 
     def learn(self, words: list[str]) -> None:
-        """Words of one leading space and no other are encoded as one text, whose tokens
-        with a leading space begin a word; the others one by one."""
-        plain = [w for w in words if w[0] != "\n" and " " not in w]
-        if plain:
-            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(plain)], add_special_tokens=False)[0].ids, "<u4")
-            at = np.append(np.flatnonzero(self.spaced[ids]), len(ids)) * 4
-            raw = ids.tobytes()
-            self.memo.update(zip(plain, map(raw.__getitem__, map(slice, at[:-1].tolist(), at[1:].tolist()))))
-        other = [w for w in words if w[0] == "\n" or " " in w]
-        for word, ids in zip(other, self.whole([w if w[0] == "\n" else " " + w for w in other])):
-            self.memo[word] = ids
+        """Words of one leading space, or line feed, and no other are encoded as one text, in
+        which the tokens with a leading space, or line feed, begin a word; the others one by one."""
+        fed = [w for w in words if w[0] == "\n"]
+        spaced = [w for w in words if w[0] != "\n" and " " not in w and "\n" not in w]
+        for mark, several, text in ((FEED, fed, "".join(fed)), (SPACE, spaced, " " + " ".join(spaced))):
+            if several:
+                ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+                at = np.append(np.flatnonzero(self.begins[mark][ids]), len(ids)) * 4
+                raw = ids.tobytes()
+                self.memo.update(zip(several, map(raw.__getitem__, map(slice, at[:-1].tolist(), at[1:].tolist()))))
+        other = [w for w in words if w[0] != "\n" and (" " in w or "\n" in w)]
+        self.memo.update(zip(other, self.whole([" " + w for w in other])))
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def joined(self, words: list[str]) -> bytes:
         """Ids of words that each follow a space, or begin with a line feed that stands alone."""
-        try:
-            return b"".join(map(self.memo.__getitem__, words))
-        except KeyError:
-            new = list({w for w in words if w not in self.memo})
-        if len(self.memo) + len(new) > MEMO:
-            self.memo.clear()
-            new = list(set(words))
-        self.learn(new)
-        return b"".join(map(self.memo.__getitem__, words))
+        found = list(map(self.memo.get, words))
+        lacking = [i for i, ids in enumerate(found) if ids is None]
+        if lacking:
+            new = {words[i] for i in lacking}
+            if len(self.memo) + len(new) > MEMO:
+                self.old, self.memo = self.memo, {}
+            again = new & self.old.keys()
+            self.memo.update(zip(again, map(self.old.__getitem__, again)))
+            self.learn(list(new - again))
+            for i in lacking:
+                found[i] = self.memo[words[i]]
+        return b"".join(found)
 
     def ids(self, text: str) -> bytes:
         if not text:
             return b""
-        words = SPLIT.split(text) if UNSPLIT.search(text) else text.replace("\n", " \n").split(" ")
+        # Single spaces and line feeds between visible characters, and no other blanks?
+        even = " ".join(text.split()) == text.replace("\n", " ") and "\u180e" not in text
+        words = text.replace("\n", " \n").split(" ") if even else SPLIT.split(text)
         first = self.whole(words[:1])[0]
         return first + b"".join(self.joined(words[i : i + MEMO // 2]) for i in range(1, len(words), MEMO // 2))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,6 +25,11 @@ def great_circle_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> C
     return EARTH_DIAMETER_KM * F.asin(F.sqrt(half))
 
 
+def haversine(km: float) -> float:
+    """The squared half chord that belongs to a distance."""
+    return math.sin(min(km / EARTH_DIAMETER_KM, math.pi / 2)) ** 2
+
+
 def west_negative(lon: Column) -> Column:
     """0..360 longitudes to -180..180; values up to 180 stay."""
     return F.when(lon > 180, lon - 360).otherwise(lon)

@@ -1,10 +1,11 @@
 """Nearest neighbours, polygons and regular grids, by bucketed equi-joins.
 
-Nearest search uses a pyramid of cell sizes.  Every point looks up the finest
-level at which its own cell already holds k nodes; that cell's diagonal bounds
-the k-th distance, so only a few cells of that level around the point can hold
-an answer.  Dense places are thus searched at a fine level and empty ones at a
-coarse level, and a cell with a large share of all nodes is never met whole.
+Nearest search descends a tree of cells, each split 4 x 4, in which a cell of few nodes
+is a leaf.  A point starts at the finest level at which its own cell holds k nodes,
+with the cells around it.  Every round bounds the k-th distance by the counts
+of all cells met so far, drops cells beyond the bound and splits those that are left
+and no leaves.  Only nodes of the last leaves are met, so a dense cluster is never
+met whole, wherever it lies and however many nodes it has.
 """
 
 from __future__ import annotations
@@ -14,17 +15,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seamark.functions.geo import great_circle_km, wrap_longitude
+from seamark.functions.geo import great_circle_km, haversine, wrap_longitude
+from seamark.session import cut_lineage
 
-LEVELS = 8
-WORLD_SIZES = [360.0 / 2**i for i in range(16)]
+SPLIT = 4
+LEAST_LEAF = 4
+#: Levels tried until every leaf is small; the last leaves 360 / 4 ** 21 degrees.
+DEPTHS = (9, 15, 22)
 
 
-def _box_sizes(box_deg: float) -> list[float]:
-    # Slightly wider than the box and dividing the circle, so that the box never
-    # reaches past the neighbouring cell.
-    top = 360.0 / max(1, int(360.0 / (box_deg * 1.001)))
-    return [top / 2**i for i in range(LEVELS)]
+def _sizes(box_deg: float | None, depth: int) -> list[float]:
+    """Cell sizes by level.  With a box, the first is slightly wider than it and divides
+    the circle, so that the box never reaches past the neighbouring cell."""
+    top = 360.0 if box_deg is None else 360.0 / max(1, int(360.0 / (box_deg * 1.001)))
+    return [top / SPLIT**i for i in range(depth)]
 
 
 def _cell(lat: Column, lon: Column, size: Column) -> list[Column]:
@@ -43,6 +47,138 @@ def _levels(sizes: Sequence[float]) -> Column:
     ).alias("lv")
 
 
+def _tiled(rows: DataFrame, lat: str, lon: str, sizes: Sequence[float]) -> DataFrame:
+    return rows.select("*", _levels(sizes)).select(
+        *rows.columns, F.col("lv.level").alias("level"), *_cell(F.col(lat), F.col(lon), F.col("lv.size"))
+    )
+
+
+def _cell_tree(sites: DataFrame, box_deg: float | None, k: int) -> tuple[DataFrame, list[float], int]:
+    """(level, cy, cx, n) of every cell down to leaves, the sizes, and the most nodes of a leaf.
+
+    The number of levels follows the counts: deeper ones are tried while a last cell holds
+    more than a leaf may.  Nodes at one position cannot be told apart and do not count twice.
+    """
+    most = max(LEAST_LEAF, k)
+    for depth in DEPTHS:
+        sizes = _sizes(box_deg, depth)
+        cells = _tiled(sites, "nlat", "nlon", sizes).groupBy("level", "cy", "cx").agg(
+            F.sum("m").alias("n"), F.count(F.lit(1)).alias("spots")
+        )
+        crowded = cells.filter((F.col("level") == depth - 1) & (F.col("spots") > 1) & (F.col("n") > most))
+        if depth == DEPTHS[-1] or crowded.isEmpty():
+            return cells, sizes, most
+    raise AssertionError("unreachable")
+
+
+def _box_bounds(planar: bool) -> tuple[Column, Column]:
+    """Least and greatest distance measure of a point to the cell (y0, x0, size)."""
+    y0, x0, size = F.col("y0"), F.col("x0"), F.col("size")
+    plat, plon = F.col("plat"), F.col("plon")
+    y1 = y0 + size
+    dy = F.greatest(F.lit(0.0), y0 - plat, plat - y1)
+    dy_far = F.greatest(F.abs(y0 - plat), F.abs(y1 - plat))
+    off = F.abs(wrap_longitude(x0 + size / 2 - plon))
+    dx = F.greatest(F.lit(0.0), off - size / 2)
+    dx_far = F.least(F.lit(180.0), off + size / 2)
+    if planar:
+        return dy * dy + dx * dx, dy_far * dy_far + dx_far * dx_far
+    a, b = F.greatest(y0, F.lit(-90.0)), F.least(y1, F.lit(90.0))
+    narrow = F.least(F.cos(F.radians(a)), F.cos(F.radians(b)))
+    broad = F.when((y0 <= 0) & (y1 >= 0), F.lit(1.0)).otherwise(
+        F.greatest(F.cos(F.radians(a)), F.cos(F.radians(b)))
+    )
+    own = F.cos(F.radians(plat))
+
+    def half(dy: Column, dx: Column, shrink: Column) -> Column:
+        sy, sx = F.sin(F.radians(dy) / 2), F.sin(F.radians(dx) / 2)
+        return sy * sy + own * F.greatest(shrink, F.lit(0.0)) * sx * sx
+
+    return half(dy, dx, narrow), half(F.least(dy_far, F.lit(180.0)), dx_far, broad)
+
+
+def _near_leaves(
+    lookup: DataFrame, cells: DataFrame, sizes: list[float], most: int, k: int, box_deg: float | None, max_km: float | None, planar: bool
+) -> DataFrame:
+    """(plat, plon, level, cy, cx): leaves that can hold one of the k nearest of each point."""
+    size_of = F.element_at(F.array(*[F.lit(float(s)) for s in sizes]), F.col("level") + 1)
+    filled = cells.filter(F.col("n") >= k).select("level", "cy", "cx")
+    start = (
+        _tiled(lookup, "plat", "plon", sizes)
+        .join(filled, ["level", "cy", "cx"])
+        .groupBy("plat", "plon")
+        .agg(F.max("level").alias("fine"))
+    )
+    start = lookup.join(start, ["plat", "plon"], "left").withColumn("level", F.coalesce("fine", F.lit(0))).withColumn("size", size_of)
+    # The own cell's diagonal bounds the k-th distance; in cells of a row, more towards the poles.
+    edge = F.least(F.abs("plat") + 3 * F.col("size"), F.lit(89.5))
+    wide = F.floor(F.lit(1.5) / F.cos(F.radians(edge))) + 1
+    columns = F.round(360.0 / F.col("size"))
+    if box_deg is None:
+        reach_y = F.when(F.col("level") == 0, F.lit(0)).otherwise(2)
+        reach_x = F.when(F.col("level") == 0, F.lit(0)).otherwise(F.least(wide, F.floor(columns / 2)).cast("int"))
+    else:
+        # The box itself spans one top-level cell to each side.
+        reach_y = F.when(F.col("level") == 0, F.lit(1)).otherwise(2)
+        cap = F.floor(F.lit(sizes[0]) / F.col("size")) + 1
+        reach_x = F.when(F.col("level") == 0, F.lit(1)).otherwise(F.least(wide, cap).cast("int"))
+    cy0, cx0 = _cell(F.col("plat"), F.col("plon"), F.col("size"))
+    near = (
+        start.select("plat", "plon", "level", cy0.alias("cy0"), cx0.alias("cx0"), reach_y.alias("ry"), reach_x.cast("bigint").alias("rx"), columns.alias("ncol"))
+        .select("*", F.explode(F.sequence(F.col("cy0") - F.col("ry"), F.col("cy0") + F.col("ry"))).alias("cy"))
+        .select(
+            "plat",
+            "plon",
+            "level",
+            "cy",
+            F.explode(
+                F.array_distinct(
+                    F.transform(
+                        F.sequence(F.col("cx0") - F.col("rx"), F.col("cx0") + F.col("rx")),
+                        lambda c: F.pmod(c, F.col("ncol")).cast("bigint"),
+                    )
+                )
+            ).alias("cx"),
+        )
+        .join(cells.select("level", "cy", "cx", "n"), ["level", "cy", "cx"])
+    )
+    low, high = _box_bounds(planar)
+    mine = Window.partitionBy("plat", "plon")
+    outward = mine.orderBy("high").rangeBetween(Window.unboundedPreceding, 0)
+
+    def pruned(met: DataFrame) -> DataFrame:
+        met = met.withColumn("size", size_of)
+        met = met.withColumn("y0", F.col("cy") * F.col("size") - 90.0).withColumn("x0", F.col("cx") * F.col("size") - 180.0)
+        sure = F.col("n")
+        if box_deg is not None:
+            # Strictly inside the box with some room for rounding, or else not counted.
+            room = box_deg * (1 - 1e-9)
+            off = F.abs(wrap_longitude(F.col("x0") + F.col("size") / 2 - F.col("plon")))
+            tall = F.greatest(F.abs(F.col("y0") - F.col("plat")), F.abs(F.col("y0") + F.col("size") - F.col("plat")))
+            met = met.filter((F.greatest(F.col("y0") - F.col("plat"), F.col("plat") - F.col("y0") - F.col("size")) < box_deg) & (off - F.col("size") / 2 < box_deg))
+            sure = F.when((tall < room) & (off + F.col("size") / 2 < room), F.col("n")).otherwise(0)
+        # Rounding, also that of the distances, must not lose a cell: bounds are widened by a hair.
+        met = met.withColumn("low", low * (1 - 1e-9) - 1e-15).withColumn("high", high * (1 + 1e-9) + 1e-15)
+        if max_km is not None:
+            met = met.filter(F.col("low") <= haversine(max_km) * (1 + 1e-9) + 1e-15)
+        met = met.withColumn("held", F.sum(sure).over(outward))
+        met = met.withColumn("bound", F.min(F.when(F.col("held") >= k, F.col("high"))).over(mine))
+        return met.filter(F.col("bound").isNull() | (F.col("low") <= F.col("bound"))).select("plat", "plon", "level", "cy", "cx", "n")
+
+    open_ = (F.col("n") > most) & (F.col("level") < len(sizes) - 1)
+    up = [F.floor(F.col(c) / SPLIT).cast("bigint").alias(c) for c in ("cy", "cx")]
+    # A cell's children; in latitude the grid starts at -90 on every level.
+    children = cells.select((F.col("level") - 1).alias("level"), *up, F.struct("cy", "cx", "n").alias("child"))
+    state = pruned(near)
+    while True:
+        state = cut_lineage(state)
+        if state.filter(open_).isEmpty():
+            return state.drop("n")
+        split = state.filter(open_).drop("n").join(children, ["level", "cy", "cx"])
+        split = split.select("plat", "plon", (F.col("level") + 1).alias("level"), "child.cy", "child.cx", "child.n")
+        state = pruned(state.filter(~open_).unionByName(split))
+
+
 def nearest(
     points: DataFrame,
     nodes: DataFrame,
@@ -61,9 +197,11 @@ def nearest(
     Adds ``node_id`` (and ``node_columns``), ``distance`` and, for k > 1,
     ``rank``.  Candidates lie strictly inside +-``box_deg`` and within
     ``max_km``; ties go to the smaller id.  Points without candidates keep NULL.
-    ``planar`` ranks by squared degrees instead of kilometres.
+    ``planar`` ranks by squared degrees instead of kilometres.  Rounds of the search run
+    here, each ending in a checkpoint of the cells still in question.
     """
-    sizes = WORLD_SIZES if box_deg is None else _box_sizes(box_deg)
+    if planar and max_km is not None:
+        raise ValueError("max_km needs great-circle distances")
     lookup = (
         points.select(F.col(lat).cast("double").alias("plat"), F.col(lon).cast("double").alias("plon"))
         .filter("plat IS NOT NULL AND plon IS NOT NULL")
@@ -74,72 +212,28 @@ def nearest(
         F.col(lon).cast("double").alias("nlon"),
         F.struct(F.col(node_id), *[F.col(c) for c in node_columns if c != node_id]).alias("node"),
     ).filter("nlat IS NOT NULL AND nlon IS NOT NULL")
+    # Nodes at one spot: only the k smallest ids can win.
     if k == 1:
-        # Nodes at one spot: only the smallest id can win.
-        sites = sites.groupBy("nlat", "nlon").agg(F.min_by("node", f"node.{node_id}").alias("node"))
-    tiled = sites.select("*", _levels(sizes)).select(
-        "nlat", "nlon", "node", F.col("lv.level").alias("level"), *_cell(F.col("nlat"), F.col("nlon"), F.col("lv.size"))
-    )
-    filled = tiled.groupBy("level", "cy", "cx").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= k)
-    own = lookup.select("*", _levels(sizes)).select(
-        "plat", "plon", F.col("lv.level").alias("level"), *_cell(F.col("plat"), F.col("plon"), F.col("lv.size"))
-    )
-    level = (
-        own.join(filled, ["level", "cy", "cx"], "left")
-        .groupBy("plat", "plon")
-        .agg(F.max(F.when(F.col("n").isNotNull(), F.col("level"))).alias("fine"))
-        .withColumn("level", F.coalesce("fine", F.lit(0)))
-        .withColumn("size", F.element_at(F.array(*[F.lit(float(s)) for s in sizes]), F.col("level") + 1))
-    )
-    # How far the k-th node can be, in cells: the own cell's diagonal.
-    edge = F.least(F.abs("plat") + 3 * F.col("size"), F.lit(89.5))
-    wide = F.floor(F.lit(1.5) / F.cos(F.radians(edge))) + 1
-    columns = F.round(360.0 / F.col("size"))
-    if box_deg is None:
-        reach_y = F.when(F.col("fine").isNull(), F.lit(0)).otherwise(2)
-        reach_x = F.when(F.col("fine").isNull(), F.lit(0)).otherwise(
-            F.least(wide, F.floor(columns / 2)).cast("int")
-        )
+        sites = sites.groupBy("nlat", "nlon").agg(F.array(F.min_by("node", f"node.{node_id}")).alias("held"))
     else:
-        # The box itself spans one top-level cell to each side.
-        reach_y = F.when(F.col("level") == 0, F.lit(1)).otherwise(2)
-        cap = F.floor(F.lit(sizes[0]) / F.col("size")) + 1
-        reach_x = F.when(F.col("level") == 0, F.lit(1)).otherwise(F.least(wide, cap).cast("int"))
-    cy0, cx0 = _cell(F.col("plat"), F.col("plon"), F.col("size"))
-    spread = (
-        level.select("*", cy0.alias("cy0"), cx0.alias("cx0"))
-        .select(
-            "plat",
-            "plon",
-            "level",
-            "cx0",
-            F.explode(F.sequence(F.col("cy0") - reach_y, F.col("cy0") + reach_y)).alias("cy"),
-            reach_x.cast("bigint").alias("rx"),
-            columns.alias("ncol"),
-        )
-        .select(
-            "plat",
-            "plon",
-            "level",
-            "cy",
-            F.explode(
-                F.array_distinct(
-                    F.transform(
-                        F.sequence(F.col("cx0") - F.col("rx"), F.col("cx0") + F.col("rx")),
-                        lambda c: F.pmod(c, F.col("ncol")).cast("bigint"),
-                    )
-                )
-            ).alias("cx"),
-        )
-    )
+        turn = F.row_number().over(Window.partitionBy("nlat", "nlon").orderBy(f"node.{node_id}"))
+        sites = sites.withColumn("turn", turn).filter(F.col("turn") <= k)
+        sites = sites.groupBy("nlat", "nlon").agg(F.collect_list("node").alias("held"))
+    spots = sites.select("nlat", "nlon", F.size("held").alias("m"))
+    cells, sizes, most = _cell_tree(spots, box_deg, k)
+    cells = cut_lineage(cells.drop("spots"))
+    leaves = _near_leaves(lookup, cells, sizes, most, k, box_deg, max_km, planar)
+    # A spot lies in one cell a level; only cells that some point kept are met.
+    placed = _tiled(sites, "nlat", "nlon", sizes).join(leaves.select("level", "cy", "cx").distinct(), ["level", "cy", "cx"], "left_semi")
     dlat, dlon = F.col("nlat") - F.col("plat"), wrap_longitude(F.col("nlon") - F.col("plon"))
     km = great_circle_km(F.col("plat"), F.col("plon"), F.col("nlat"), F.col("nlon"))
-    met = spread.join(tiled, ["level", "cy", "cx"])
+    met = leaves.join(placed, ["level", "cy", "cx"])
     if box_deg is not None:
         met = met.filter((F.abs(dlat) < box_deg) & (F.abs(dlon) < box_deg))
-    met = met.select("plat", "plon", "node", (dlat * dlat + dlon * dlon if planar else km).alias("distance"))
+    met = met.select("plat", "plon", "held", (dlat * dlat + dlon * dlon if planar else km).alias("distance"))
     if max_km is not None:
         met = met.filter(F.col("distance") <= max_km)
+    met = met.select("plat", "plon", "distance", F.explode("held").alias("node"))
     place = F.struct("distance", F.col("node")[node_id].alias("id"))
     if k == 1:
         best = met.groupBy("plat", "plon").agg(F.min_by(F.struct("node", "distance"), place).alias("hit"))
@@ -251,13 +345,6 @@ def ring_edges(rings: DataFrame, keys: Sequence[str], vertices: str = "vertices"
     )
 
 
-def thin_rings(rings: DataFrame, vertices: str = "vertices", *, every: int = 5, above: int = 100) -> DataFrame:
-    """Keep every n-th vertex of rings with more than ``above`` vertices."""
-    v = F.col(vertices)
-    kept = F.filter(v, lambda _, i: i % every == 0)
-    return rings.withColumn(vertices, F.when(F.size(v) > above, kept).otherwise(v))
-
-
 def points_in_polygons(
     points: DataFrame,
     edges: DataFrame,
@@ -422,29 +509,29 @@ def idw_grid(
     """Inverse-square-distance values at the targets, in two passes.
 
     First the 8 nearest nodes within the radius, for targets surrounded by them
-    (nodes in all four quadrants); what is left takes its 16 nearest nodes.
+    (nodes in all four quadrants); what is left takes its 16 nearest nodes.  One
+    search serves both.
     """
     nodes = nodes.filter(F.col(value).isNotNull()).select(node_id, lat, lon, value)
-    cols = [value, "nlat_", "nlon_"]
     nodes = nodes.withColumn("nlat_", F.col(lat)).withColumn("nlon_", F.col(lon))
-
-    def blend(near: DataFrame) -> DataFrame:
-        w = 1 / (F.col("distance") * F.col("distance"))
-        exact = F.max(F.when(F.col("distance") == 0, F.col(value)))
-        w = F.when(F.col("distance") > 0, w)
-        return near.groupBy(*target_keys, lat, lon).agg(
-            F.coalesce(exact, F.sum(w * F.col(value)) / F.sum(w)).alias(value),
-            F.count_if((F.col("nlat_") >= F.col(lat)) & (F.col("nlon_") >= F.col(lon))).alias("q1"),
-            F.count_if((F.col("nlat_") >= F.col(lat)) & (F.col("nlon_") <= F.col(lon))).alias("q2"),
-            F.count_if((F.col("nlat_") <= F.col(lat)) & (F.col("nlon_") >= F.col(lon))).alias("q3"),
-            F.count_if((F.col("nlat_") <= F.col(lat)) & (F.col("nlon_") <= F.col(lon))).alias("q4"),
-        )
-
-    strict = nearest(targets, nodes, node_id=node_id, node_columns=cols, k=8, lat=lat, lon=lon, max_km=radius_km)
-    first = blend(strict.filter(F.col(node_id).isNotNull())).filter("q1 > 0 AND q2 > 0 AND q3 > 0 AND q4 > 0")
-    holes = targets.join(first.select(*target_keys), list(target_keys), "left_anti")
-    second = blend(nearest(holes, nodes, node_id=node_id, node_columns=cols, k=16, lat=lat, lon=lon))
-    keep = [*target_keys, lat, lon, value]
-    return first.select(*keep, F.lit(1).alias("fill_pass")).unionByName(
-        second.select(*keep, F.lit(2).alias("fill_pass"))
+    near = nearest(targets, nodes, node_id=node_id, node_columns=[value, "nlat_", "nlon_"], k=16, lat=lat, lon=lon)
+    close = (F.col("rank") <= 8) & (F.col("distance") <= radius_km)
+    distance, held = F.col("distance"), F.col(value)
+
+    def blend(used: Column) -> Column:
+        w = F.when(used & (distance > 0), 1 / (distance * distance))
+        return F.coalesce(F.max(F.when(used & (distance == 0), held)), F.sum(w * held) / F.sum(w))
+
+    south, west = F.col("nlat_") <= F.col(lat), F.col("nlon_") <= F.col(lon)
+    north, east = F.col("nlat_") >= F.col(lat), F.col("nlon_") >= F.col(lon)
+    around = [F.count_if(close & a & b) > 0 for a in (north, south) for b in (east, west)]
+    out = near.filter(F.col(node_id).isNotNull()).groupBy(*target_keys, lat, lon).agg(
+        (around[0] & around[1] & around[2] & around[3]).alias("inside"), blend(close).alias("strict"), blend(F.lit(True)).alias("wide")
+    )
+    return out.select(
+        *target_keys,
+        lat,
+        lon,
+        F.when(F.col("inside"), F.col("strict")).otherwise(F.col("wide")).alias(value),
+        F.when(F.col("inside"), 1).otherwise(2).alias("fill_pass"),
     )

@@ -29,15 +29,15 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint ``df`` in the cluster's shared folder.
+    """Checkpoint ``df`` in the folder that the session names in ``spark.checkpoint.dir``.
 
-    The folder is whatever ``spark.checkpoint.dir`` or the context already
-    names; a temporary one is made only where neither is set (tests, laptops).
+    A folder of this machine is made only where neither the session nor the context
+    names one and driver and executors are one process (tests, laptops).
     """
     sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-            "spark.checkpoint.dir"
-        )
+        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+        if not shared and not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="seamark-ckpt-"))
-    return df.checkpoint(eager=False)
+    return df.checkpoint()

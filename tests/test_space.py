@@ -75,13 +75,6 @@ def test_polygon_masks(spark):
     assert [r["pid"] for r in both.collect()] == [2]
 
 
-def test_ring_thinning(spark):
-    v = [{"x": float(i), "y": 0.0} for i in range(101)]
-    df = spark.createDataFrame([(0, v), (1, v[:100])], "ring int, vertices array<struct<x double, y double>>")
-    got = {r["ring"]: r["n"] for r in spatial.thin_rings(df).select("ring", F.size("vertices").alias("n")).collect()}
-    assert got == {0: 21, 1: 100}
-
-
 def test_polygon_overlap_by_crossing_and_containment(spark):
     big = spatial.ring_edges(square(spark, "big", 0, 0, 10), ["domain", "ring"])
     small = spatial.ring_edges(
@@ -132,3 +125,26 @@ def test_along_distance_ignores_chunking(spark):
     for chunk in (7, 1000):
         out = boundary.along_distance(df, ["b"], chunk=chunk).orderBy("i").collect()
         np.testing.assert_allclose([r["along_km"] for r in out], d, atol=1e-9)
+
+
+def met_nodes(spark, pts, nodes, k):
+    """Nodes of the leaves that the search keeps."""
+    p, n = tables(spark, pts, nodes)
+    spots = n.selectExpr("lat AS nlat", "lon AS nlon", "1 AS m")
+    cells, sizes, most = spatial._cell_tree(spots, None, k)
+    leaves = spatial._near_leaves(p.selectExpr("lat AS plat", "lon AS plon"), cells.drop("spots"), sizes, most, k, None, None, False)
+    return leaves.join(spatial._tiled(spots, "nlat", "nlon", sizes), ["level", "cy", "cx"]).count()
+
+
+@pytest.mark.parametrize("far", [1.4, 0.0])
+def test_candidates_do_not_grow_with_a_cluster(spark, far):
+    rng = np.random.default_rng(0)
+    nodes = np.column_stack([40 + rng.normal(0, 0.006, 80_000), -70 + rng.normal(0, 0.006, 80_000)])
+    few, many = (met_nodes(spark, [(40.0 + far, -70.0)], nodes[:m], 8) for m in (20_000, 80_000))
+    assert 8 <= few <= 100 and 8 <= many <= 100
+
+
+def test_many_nodes_at_one_spot_keep_the_smallest_ids(spark):
+    p, n = tables(spark, [(10.0, 10.0)], [(10.0, 10.0)] * 50 + [(10.0, 10.001)] * 50)
+    rows = spatial.nearest(p, n, node_id="node_id", k=3).collect()
+    assert sorted((r["rank"], r["node_id"]) for r in rows) == [(1, 0), (2, 1), (3, 2)]

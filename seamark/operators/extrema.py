@@ -96,13 +96,14 @@ def pair_events(
     ts: str = "ts",
     value: str = "value",
     tolerance_hours: float = 3.0,
+    separation_hours: float = 4.0,
     chunk_seconds: int = CHUNK_SECONDS,
 ) -> DataFrame:
     """Greedy one-to-one pairing of events, model events taken in time order.
 
     Each model event takes the nearest unclaimed observed event within the
-    tolerance, the earlier one on a tie.  Events of one kind lie further apart
-    (4 h) than the tolerance, so a model event has at most one candidate at or
+    tolerance, the earlier one on a tie.  Events of one kind lie at least ``separation_hours`` apart, further
+    than the tolerance (an error otherwise), so a model event has at most one candidate at or
     before it and one after it, and can lose only the former, to its direct
     predecessor.  Whether it does is
 
@@ -113,6 +114,8 @@ def pair_events(
     the series, with no group collected and no sequential loop.  Candidates and
     neighbours are near in time and are found inside chunks with a halo.
     """
+    if tolerance_hours >= separation_hours:
+        raise ValueError("the tolerance must be shorter than the separation of events of one kind")
     reach = int(tolerance_hours * 3600)
     events = model.select(*keys, ts, F.col(value).alias("model_value"), F.lit(1).alias("__m")).unionByName(
         obs.select(*keys, ts, F.col(value).alias("obs_value"), F.lit(0).alias("__m")),

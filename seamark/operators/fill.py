@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seamark.functions.clock import epoch
-from seamark.operators.sequence import CHUNK_SECONDS, scan, time_grid
+from seamark.operators.sequence import CHUNK_SECONDS, group_median, scan, time_grid
 
 
 def fill_linear(
@@ -203,11 +203,7 @@ def time_gaps(
 def median_interval(
     df: DataFrame, keys: Sequence[str], ts: str, tie: Sequence[str] = ()
 ) -> DataFrame:
-    """Exact median sampling interval in hours per series.
-
-    ``median`` keeps a count per distinct value; sampling intervals are whole
-    seconds with few distinct values, so its state stays small.
-    """
+    """Exact median sampling interval in hours per series."""
     out = with_previous_time(df, keys, ts, tie)
-    step = epoch(F.col(ts)) - epoch(F.col("prev_ts"))
-    return out.groupBy(*keys).agg((F.median(step) / 3600).alias("dt_hours"))
+    steps = out.select(*keys, (epoch(F.col(ts)) - epoch(F.col("prev_ts"))).alias("__step"))
+    return group_median(steps, keys, "__step", "dt_hours").withColumn("dt_hours", F.col("dt_hours") / 3600)

@@ -186,8 +186,8 @@ def surface_products(
     )
 
 
-def every_nth_time(df: DataFrame, ts: str = "ts", *, keep: int = 55) -> DataFrame:
-    """Every ceil(n / keep)-th time step of the n distinct ones.
+def every_nth_time(df: DataFrame, stride: int, ts: str = "ts") -> DataFrame:
+    """Rows of every ``stride``-th of the distinct time steps, the first included.
 
     Ranks distinct times only, by chunks, so the rows themselves are not ordered.
     """
@@ -195,6 +195,5 @@ def every_nth_time(df: DataFrame, ts: str = "ts", *, keep: int = 55) -> DataFram
 
     times = df.select(ts).distinct().withColumn("__all", F.lit(0))
     ranked = scan(times, ["__all"], [ts], row_number="__rank")
-    total = times.agg(F.count(F.lit(1))).scalar()
-    kept = ranked.filter((F.col("__rank") - 1) % F.ceil(total / keep) == 0)
+    kept = ranked.filter((F.col("__rank") - 1) % stride == 0)
     return df.join(kept.select(ts), ts, "left_semi")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seamark.functions.clock import epoch
-from seamark.operators.sequence import CHUNK_SECONDS, scan
+from seamark.operators.sequence import CHUNK_SECONDS, group_median, scan
 
 
 def islands(
@@ -135,19 +135,26 @@ def outlier_durations(
     """
     flags = outlier_flags(error, x1)
     order = [ts, *tie]
-    rows = _lengths(_flag_rows(df, keys, order, flags), keys, order, list(flags), True, chunk_seconds)
-    return rows.groupBy(*keys).agg(*duration_columns())
-
-
-def duration_columns() -> list[Column]:
-    """Aggregates over ``run_lengths`` output for both outlier signs."""
-    hours = F.median("step_seconds") / 3600
-    return [
-        F.max("max_pos_rows").alias("max_pos_rows"),
-        F.max("max_neg_rows").alias("max_neg_rows"),
-        (F.max("max_pos_rows") * hours).alias("max_pos_hours"),
-        (F.max("max_neg_rows") * hours).alias("max_neg_hours"),
-    ]
+    rows = _lengths(_flag_rows(df, keys, order, flags), keys, order, list(flags), False, chunk_seconds)
+    longest = rows.groupBy(*keys).agg(*[F.max(n).alias(n) for n in flags])
+    return with_hours(longest, median_step(df, keys, order, chunk_seconds=chunk_seconds), keys)
+
+
+def median_step(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], *, chunk_seconds: int = CHUNK_SECONDS
+) -> DataFrame:
+    """Median seconds between neighbouring rows of each series, as ``step_seconds``."""
+    rows = _lengths(df.select(*keys, *order), keys, order, [], True, chunk_seconds)
+    return group_median(rows, keys, "step_seconds", "step_seconds")
+
+
+def with_hours(longest: DataFrame, steps: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add the longest outlier runs in hours: rows times the median sampling interval."""
+    joined = longest.alias("l").join(
+        steps.alias("s"), [F.col(f"l.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys], "left"
+    )
+    hours = F.col("s.step_seconds") / 3600
+    return joined.select("l.*", *[(F.col(f"max_{d}_rows") * hours).alias(f"max_{d}_hours") for d in ("pos", "neg")])
 
 
 def longest_gap(

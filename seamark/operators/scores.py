@@ -193,15 +193,20 @@ def _enough(df: DataFrame, keys: Sequence[str], min_pairs: int) -> DataFrame:
 
 
 def _with_runs(rows: DataFrame, keys: Sequence[str], ts: str, tie: Sequence[str]) -> DataFrame:
-    """Rows with the length of the outlier run they stand in and the time step."""
-    return runs.run_lengths(
-        rows, keys, [ts, *tie], runs.outlier_flags(F.col("__e"), F.col("__x1")), with_step=True
-    )
+    """Rows with the length of the outlier run they stand in."""
+    return runs.run_lengths(rows, keys, [ts, *tie], runs.outlier_flags(F.col("__e"), F.col("__x1")))
+
+
+def _longest() -> list[Column]:
+    return [F.max(n).alias(n) for n in ("max_pos_rows", "max_neg_rows")]
 
 
-def _duration_block() -> list[Column]:
-    _, _, pos, neg = runs.duration_columns()
-    return [half_even(pos, 2).alias("max_pos_hours"), half_even(neg, 2).alias("max_neg_hours")]
+def _in_hours(stats: DataFrame, rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Longest runs in hours.  The median interval has a narrow branch of its own, so that the
+    scores are plain sums that hash."""
+    hours = [half_even(f"max_{d}_hours", 2).alias(f"max_{d}_hours") for d in ("pos", "neg")]
+    out = runs.with_hours(stats, runs.median_step(rows, keys, order), keys)
+    return out.select(*[c for c in stats.columns if c not in ("max_pos_rows", "max_neg_rows")], *hours)
 
 
 def skill_scalar(
@@ -222,8 +227,8 @@ def skill_scalar(
     Bias % divides the *rounded* bias by the mean observation, or the unrounded
     one with ``speed_rule``.  Durations are rows of the longest outlier run times
     the median sampling interval, missing rows kept.  ``tides`` (keys, ts, tide)
-    adds the worst-case frequency.  The pairs are read once: run lengths are
-    carried along the series, and every score is part of one aggregate.
+    adds the worst-case frequency.  Run lengths are carried along the series, and every
+    score but the interval is part of one aggregate.
     """
     limit = x1 if isinstance(x1, Column) else F.lit(float(x1))
     extra = extra or {}
@@ -254,10 +259,11 @@ def skill_scalar(
         half_even(F.stddev_pop(e), 2).alias("bias_std"),
         *_outlier_block(e, F.col("__x1")),
         F.max("__x1").alias("target_error"),
-        *_duration_block(),
+        *_longest(),
         worst.alias("worst_case_freq"),
         *[half_even(F.avg(f"__in_{n}"), 2).alias(n) for n in extra],
     )
+    stats = _in_hours(stats, rows, keys, [ts, *tie])
     base = F.col("__bias") if speed_rule else half_even("__bias", 2)
     out = (
         stats.withColumn("bias", half_even("__bias", 2))
@@ -291,9 +297,10 @@ def skill_direction(
         half_even(angles.mean_angle(e), 2).alias("bias"),
         half_even(F.stddev_pop(e), 2).alias("bias_std"),
         *_outlier_block(e, F.col("__x1")),
-        *_duration_block(),
+        *_longest(),
         *circular_sums(F.col("model_dir"), F.col("obs_dir")),
     )
+    stats = _in_hours(stats, rows, keys, [ts, *tie])
     out = stats.withColumn("r", half_even(circular_from_sums(), 2))
     return graded(_enough(out.drop(*[c for c in out.columns if c.startswith("__")]), keys, MIN_PAIRS))
 

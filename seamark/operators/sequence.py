@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seamark.functions.clock import epoch
+from seamark.session import cut_lineage
 
 DAY = 86400
 CHUNK_SECONDS = 30 * DAY
@@ -222,17 +223,51 @@ def keep_first(
 
 
 def unique_only(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key occurs exactly once; every copy of a repeated key goes."""
+    """Rows whose key occurs exactly once; every copy of a repeated key goes.
+
+    Columns are aggregated one by one, so that numbers and times hash."""
     rest = [c for c in df.columns if c not in keys]
     return (
         df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__n"), F.any_value(F.struct(*rest)).alias("__row"))
+        .agg(F.count(F.lit(1)).alias("__n"), *[F.any_value(c).alias(c) for c in rest])
         .filter("__n = 1")
-        .select(*keys, *[F.col("__row")[c].alias(c) for c in rest])
         .select(*df.columns)
     )
 
 
+def placed(df: DataFrame, order: Sequence[str], name: str = "place") -> DataFrame:
+    """Add the 1-based place of each row in the order of all rows.
+
+    Rows are range-partitioned and sorted; a row's place is its number in the partition
+    plus the rows of the partitions before.  Only counts of partitions meet in one task.
+    """
+    sorted_ = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    numbered = cut_lineage(sorted_.withColumn("__at", F.monotonically_increasing_id()))
+    part = F.shiftright("__at", 33)
+    counts = numbered.groupBy(part.alias("__p")).agg(F.count(F.lit(1)).alias("__n"))
+    before = counts.select("__p", (F.sum("__n").over(Window.orderBy("__p")) - F.col("__n")).alias("__off"))
+    local = F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    return (
+        numbered.withColumn("__p", part)
+        .join(before, "__p")
+        .select(*df.columns, (local + F.col("__off") + 1).alias(name))
+    )
+
+
+def group_median(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
+    """Exact median of the non-NULL values of each group, from counts by value; NULL without any."""
+    counts = df.groupBy(*keys, value).agg(F.count(value).alias("__n"))
+    along = Window.partitionBy(*keys)
+    upto = F.sum("__n").over(along.orderBy(value))
+    ranked = counts.select(*keys, value, upto.alias("__hi"), (upto - F.col("__n")).alias("__lo"), F.sum("__n").over(along).alias("__all"))
+
+    def at(place: Column) -> Column:
+        return F.max(F.when((F.col("__lo") < place) & (place <= F.col("__hi")), F.col(value)))
+
+    low, high = F.floor((F.col("__all") + 1) / 2), F.floor(F.col("__all") / 2) + 1
+    return ranked.groupBy(*keys).agg(((at(low) + at(high)) / 2).alias(name))
+
+
 def time_grid(
     df: DataFrame,
     keys: Sequence[str],

@@ -294,7 +294,8 @@ def substring_match(
     Names are cut into the substrings that have the length of some id, and the
     substrings meet the ids in an equi-join; no pair of all ids and names.
     """
-    lengths = stations.select(F.length(key).alias("len")).filter("len > 0").distinct()
+    # The distinct lengths of ids are few: one scalar array, exploded by each name.
+    lengths = stations.agg(F.array_sort(F.collect_set(F.length(key)))).scalar()
     cut = F.explode(
         F.transform(
             F.sequence(F.lit(1), F.length(name) - F.col("len") + 1),
@@ -303,7 +304,8 @@ def substring_match(
     )
     grams = (
         names.select(name, order)
-        .join(lengths, F.length(name) >= F.col("len"))
+        .withColumn("len", F.explode(lengths))
+        .filter((F.col("len") > 0) & (F.length(name) >= F.col("len")))
         .select(cut.alias(key), name, order)
         .groupBy(key)
         .agg(F.min_by(F.struct(name, order), order).alias("hit"))

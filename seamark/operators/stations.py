@@ -94,10 +94,12 @@ def drop_name_duplicates(df: DataFrame, *, key: str = "ID", name: str = "Name",
     An id triggers a drop only when no name holds it further in.  Names are cut
     into the substrings as long as some id, which meet the ids in an equi-join.
     """
-    lengths = df.select(F.length(key).alias("len")).filter("len > 0").distinct()
+    # The distinct lengths of ids are few: one scalar array, exploded by each name.
+    lengths = df.agg(F.array_sort(F.collect_set(F.length(key)))).scalar()
     grams = (
         df.select(name, F.col(order).alias("__o"))
-        .join(lengths, F.length(name) >= F.col("len"))
+        .withColumn("len", F.explode(lengths))
+        .filter((F.col("len") > 0) & (F.length(name) >= F.col("len")))
         .select(
             "__o",
             F.posexplode(

@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from seamark.session import pin_utc
 
 TABLES = (
-    "region nation customer supplier part orders lineitem events documents "
-    "embeddings pages benchmark labels conversations"
-).split()
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
+    "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+)
 
 VIEWS = {
     # Model and observation series per supplier on a 6-minute grid of ship dates.
@@ -81,16 +81,16 @@ VIEWS = {
                -80 + (c_custkey * 13 % 997) * 1e-2 + 7e-3 AS lon,
                CAST(c_custkey % 23 AS DOUBLE) AS depth
         FROM customer""",
-    # Daily frames of 20 x 15 cells.
+    # Daily frames of 15 columns and 20 rows for every 1,500 customers.
     "v_grid": """
-        SELECT SECS(o_orderdate) AS t, o_custkey % 20 AS iy, o_orderkey % 15 AS ix,
+        SELECT SECS(o_orderdate) AS t, CAST(o_custkey % 20 + floor(o_custkey / 1500) * 20 AS BIGINT) AS iy, o_orderkey % 15 AS ix,
                max(CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE sqrt(o_totalprice) / 10 END) AS obs,
                max(CASE WHEN o_orderkey % 17 = 0 THEN NULL
                         ELSE sqrt(o_totalprice) / 10 + (o_orderkey * 31 % 701) / 1e2 - 3.5e0 END) AS model
         FROM orders GROUP BY 1, 2, 3""",
     # Daily ice concentrations in percent, with a climatology value.
     "v_ice": """
-        SELECT SECS(o_orderdate) AS t, o_custkey % 20 AS iy, o_orderkey % 15 AS ix,
+        SELECT SECS(o_orderdate) AS t, CAST(o_custkey % 20 + floor(o_custkey / 1500) * 20 AS BIGINT) AS iy, o_orderkey % 15 AS ix,
                CAST(max(CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_orderkey * 7 % 101 END) AS DOUBLE) AS obs,
                CAST(max((o_custkey * 11 + o_orderkey * 3) % 101) AS DOUBLE) AS model
         FROM orders GROUP BY 1, 2, 3""",

@@ -280,27 +280,29 @@ def _win12(spark, sf_dir):
     return out.select("station_id", secs("onset"), secs("thaw"))
 
 
-_W7 = "(-2*lag(f,3) OVER w + 3*lag(f,2) OVER w + 6*lag(f,1) OVER w + 7*f + 6*lead(f,1) OVER w + 3*lead(f,2) OVER w - 2*lead(f,3) OVER w) / 21"
+def _smoothing_sql(width: int = 7) -> str:
+    """The fitted parabola of seven points at the middle, or at the place of an edge row in the first or last window."""
+
+    def fit(position: int) -> str:
+        w = ice._fit_weights(width)[position]
+        return " + ".join(f"{float(w[p])!r} * {'lag' if p < position else 'lead'}(f, {abs(p - position)}) OVER w" for p in range(width))
+
+    cases = [(f"i = {k + 1}", k) for k in range(3)] + [(f"n - i = {k}", width - 1 - k) for k in range(3)]
+    return "CASE WHEN n < 10 THEN f " + " ".join(f"WHEN {when} THEN {fit(k)}" for when, k in cases) + f" ELSE {fit(3)} END"
 
 
 @query(
     "win13_savgol_smoothing",
     f"""WITH {_DM}, z AS (SELECT station_id, t, v / 100 AS v FROM dm),
       fl AS (SELECT station_id, t, v, coalesce(first_value(v IGNORE NULLS) OVER (PARTITION BY station_id ORDER BY t ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING),
-         last_value(v IGNORE NULLS) OVER (PARTITION BY station_id ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS f FROM z),
-      sm AS (SELECT station_id, t, v, f, row_number() OVER w i, count(*) OVER (PARTITION BY station_id) n, {_W7} AS s FROM fl WINDOW w AS (PARTITION BY station_id ORDER BY t))
-      SELECT station_id, t, round(CASE WHEN v IS NOT NULL THEN least(s, 1) END, 6) AS v_smooth FROM sm WHERE i > 3 AND n - i >= 3""",
+         last_value(v IGNORE NULLS) OVER (PARTITION BY station_id ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS f,
+         row_number() OVER (PARTITION BY station_id ORDER BY t) AS i, count(*) OVER (PARTITION BY station_id) AS n FROM z),
+      sm AS (SELECT station_id, t, v, {_smoothing_sql()} AS s FROM fl WINDOW w AS (PARTITION BY station_id ORDER BY t))
+      SELECT station_id, t, round(CASE WHEN v IS NOT NULL THEN least(s, 1) END, 6) AS v_smooth FROM sm""",
 )
 def _win13(spark, sf_dir):
-    from pyspark.sql import Window
-
     d = _daily(spark, sf_dir).withColumn("v", F.col("v") / 100)
     out = ice.smooth_daily(d, ["station_id"], "ts", "v")
-    w = Window.partitionBy("station_id").orderBy("ts")
-    inner = F.row_number().over(w)
-    count = F.count(F.lit(1)).over(Window.partitionBy("station_id"))
-    # The SQL covers interior rows; edge rows are checked in the tests.
-    out = out.withColumn("i", inner).withColumn("n", count).filter("i > 3 AND n - i >= 3")
     return out.select("station_id", secs("ts", "t"), r6("v_smooth"))
 
 
@@ -320,13 +322,12 @@ def _joi14(spark, sf_dir):
 @query(
     "joi15_hourly_frame_lookup",
     """WITH h AS (SELECT unnest(range(1704067200, 1704067200 + 720 * 3600, 3600)) AS t),
-       e AS (SELECT CAST(floor(t / 3600) * 3600 AS BIGINT) AS t, count(*) AS n FROM v_forecast WHERE seq % 4 = 0 GROUP BY 1)
+       e AS (SELECT CAST(floor(t / 3600) * 3600 AS BIGINT) AS t, count(*) AS n FROM v_forecast GROUP BY 1)
        SELECT h.t, e.n FROM h LEFT JOIN e USING (t)""",
 )
 def _joi15(spark, sf_dir):
     e = (
         view(spark, sf_dir, "v_forecast")
-        .filter("seq % 4 = 0")
         .groupBy(F.date_trunc("hour", "ts").alias("ts"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -398,11 +399,11 @@ def _grd10(spark, sf_dir):
 
 @query(
     "grd06_time_thinning",
-    """WITH d AS (SELECT t, row_number() OVER (ORDER BY t) - 1 AS i, count(*) OVER () AS n FROM (SELECT DISTINCT t FROM v_series))
-       SELECT s.t, count(*) AS n_rows FROM v_series s JOIN d USING (t) WHERE d.i % CAST(ceil(d.n / 55.0) AS BIGINT) = 0 GROUP BY s.t""",
+    """WITH d AS (SELECT t, row_number() OVER (ORDER BY t) - 1 AS i FROM (SELECT DISTINCT t FROM v_series))
+       SELECT s.t, count(*) AS n_rows FROM v_series s JOIN d USING (t) WHERE d.i % 6 = 0 GROUP BY s.t""",
 )
 def _grd06(spark, sf_dir):
-    out = grids.every_nth_time(view(spark, sf_dir, "v_series"))
+    out = grids.every_nth_time(view(spark, sf_dir, "v_series"), 6)
     return out.groupBy("ts").agg(F.count(F.lit(1)).alias("n_rows")).select(secs("ts", "t"), "n_rows")
 
 
@@ -545,12 +546,15 @@ def _agg35(spark, sf_dir):
 
 @query(
     "set03_mismatched_days",
-    """WITH o AS (SELECT DISTINCT t FROM v_ice WHERE iy = 3), m AS (SELECT DISTINCT t FROM v_ice WHERE iy = 7)
+    """WITH o AS (SELECT DISTINCT CAST(floor(epoch(o_orderdate) / 86400) * 86400 AS BIGINT) AS t FROM orders), m AS (SELECT DISTINCT CAST(floor(epoch(l_shipdate) / 86400) * 86400 AS BIGINT) AS t FROM lineitem)
        SELECT t, 'obs' AS only_in FROM (SELECT t FROM o EXCEPT SELECT t FROM m) UNION ALL SELECT t, 'model' FROM (SELECT t FROM m EXCEPT SELECT t FROM o)""",
 )
 def _set03(spark, sf_dir):
-    v = view(spark, sf_dir, "v_ice")
-    out = ice.mismatched_days(v.filter("iy = 3"), v.filter("iy = 7"), "ts")
+    o, m = (
+        table(spark, sf_dir, t).select(F.date_trunc("day", F.col(c).cast("timestamp")).alias("ts"))
+        for t, c in (("orders", "o_orderdate"), ("lineitem", "l_shipdate"))
+    )
+    out = ice.mismatched_days(o, m, "ts")
     return out.select(secs("ts", "t"), "only_in")
 
 

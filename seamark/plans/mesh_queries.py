@@ -83,22 +83,23 @@ def _flt14(spark, sf_dir):
 
 @query(
     "grd07_station_extraction",
-    f"""WITH {_MV}, st AS (SELECT c_custkey AS station_id, c_custkey * 3 % 2000 AS node_id, c_custkey % 3 AS layer FROM customer)
+    f"""WITH {_MV}, st AS (SELECT c_custkey AS station_id, c_custkey * 3 % (SELECT count(*) FROM part) AS node_id, c_custkey % 3 AS layer FROM customer)
        SELECT station_id, t, max(value) FILTER (var = 'temp') AS temp, max(value) FILTER (var = 'salt') AS salt FROM st JOIN mv USING (node_id, layer) GROUP BY 1, 2""",
 )
 def _grd07(spark, sf_dir):
     c = F.col("c_custkey")
-    st = table(spark, sf_dir, "customer").select(c.alias("station_id"), (c * 3 % 2000).alias("node_id"), (c % 3).cast("int").alias("layer"))
+    nodes = table(spark, sf_dir, "part").agg(F.count(F.lit(1))).scalar()
+    st = table(spark, sf_dir, "customer").select(c.alias("station_id"), (c * 3 % nodes).alias("node_id"), (c % 3).cast("int").alias("layer"))
     out = mesh.extract_series(_values(spark, sf_dir), st, variables=["temp", "salt"])
     return out.select("station_id", secs("ts", "t"), "temp", "salt")
 
 
 @query(
     "agg48_completeness",
-    f"WITH {_MV} SELECT node_id AS station_id, count(*) AS n_rows, (SELECT count(DISTINCT t) FROM mv WHERE layer = 0) AS n_expected FROM mv WHERE layer = 0 GROUP BY 1",
+    f"WITH {_MV} SELECT node_id * 3 + layer AS station_id, count(*) AS n_rows, (SELECT count(DISTINCT t) FROM mv) AS n_expected FROM mv GROUP BY 1",
 )
 def _agg48(spark, sf_dir):
-    v = _values(spark, sf_dir).filter("layer = 0").withColumnRenamed("node_id", "station_id")
+    v = _values(spark, sf_dir).withColumn("station_id", F.col("node_id") * 3 + F.col("layer"))
     return mesh.completeness(v).select("station_id", "n_rows", "n_expected")
 
 
@@ -510,10 +511,10 @@ def _srt01(spark, sf_dir):
 
 @query(
     "srt02_stations_by_longitude",
-    "SELECT station_id, lon FROM v_stations ORDER BY lon, station_id LIMIT 100",
+    "SELECT station_id, lon, row_number() OVER (ORDER BY lon, station_id) AS place FROM v_stations",
 )
 def _srt02(spark, sf_dir):
-    return view(spark, sf_dir, "v_stations").select("station_id", "lon").orderBy("lon", "station_id").limit(100)
+    return sequence.placed(view(spark, sf_dir, "v_stations").select("station_id", "lon"), ["lon", "station_id"])
 
 
 @query(
@@ -554,11 +555,11 @@ def _set02(spark, sf_dir):
 
 @query(
     "set04_common_times",
-    "SELECT DISTINCT t FROM (SELECT t FROM v_grid WHERE iy = 3 INTERSECT SELECT t FROM v_grid WHERE ix = 4)",
+    "SELECT t FROM v_grid WHERE obs IS NOT NULL INTERSECT SELECT t FROM v_grid WHERE model IS NOT NULL",
 )
 def _set04(spark, sf_dir):
     g = view(spark, sf_dir, "v_grid")
-    out = g.filter("iy = 3").select("ts").intersect(g.filter("ix = 4").select("ts"))
+    out = g.filter("obs IS NOT NULL").select("ts").intersect(g.filter("model IS NOT NULL").select("ts"))
     return out.select(secs("ts", "t"))
 
 

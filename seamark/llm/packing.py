@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from seamark.llm.common import written
 
 CAPACITY = 2048
-MEMO = 300_000
+MEMO = 500_000
 BUCKET_ROWS = 10_000
 SPACE, FEED = "\u0120", "\u010a"  # a space and a line feed in the vocabulary of byte-level tokenizers
 SPLIT = re.compile("\x20(?=[^\\s\u180e])")

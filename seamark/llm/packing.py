@@ -36,6 +36,7 @@ from seamark.llm.common import written
 
 CAPACITY = 2048
 MEMO = 500_000
+TOGETHER = 64
 BUCKET_ROWS = 10_000
 SPACE, FEED = "\u0120", "\u010a"  # a space and a line feed in the vocabulary of byte-level tokenizers
 SPLIT = re.compile("\x20(?=[^\\s\u180e])")
@@ -50,6 +51,8 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        # The memo takes the place of the library's own cache of words, which is smaller.
+        getattr(self.tokenizer.model, "_resize_cache", lambda _: None)(0)
         self.memo: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}  # the memo before; what is met again moves over
         vocabulary = self.tokenizer.get_vocab()
@@ -75,7 +78,7 @@ class Encoder:
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def joined(self, words: list[str]) -> bytes:
+    def look_up(self, words: list[str]) -> list[bytes]:
         """Ids of words that each follow a space, or begin with a line feed that stands alone."""
         found = list(map(self.memo.get, words))
         lacking = [i for i, ids in enumerate(found) if ids is None]
@@ -88,16 +91,29 @@ class Encoder:
             self.learn(list(new - again))
             for i in lacking:
                 found[i] = self.memo[words[i]]
-        return b"".join(found)
-
-    def ids(self, text: str) -> bytes:
-        if not text:
-            return b""
-        # Single spaces and line feeds between visible characters, and no other blanks?
-        even = " ".join(text.split()) == text.replace("\n", " ") and "\u180e" not in text
-        words = text.replace("\n", " \n").split(" ") if even else SPLIT.split(text)
-        first = self.whole(words[:1])[0]
-        return first + b"".join(self.joined(words[i : i + MEMO // 2]) for i in range(1, len(words), MEMO // 2))
+        return found
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text; what is not in the memo is encoded together."""
+        words: list[str] = []
+        starts: list[bytes | None] = []
+        edges = [0]
+        for text in texts:
+            # Single spaces and line feeds between visible characters, and no other blanks?
+            # Then the text can follow a line feed, whose one id is taken off again.
+            if text and " ".join(text.split()) == text.replace("\n", " ") and "\u180e" not in text:
+                words += ("\n" + text.replace("\n", " \n")).split(" ")
+                starts.append(None)
+            else:
+                parts = SPLIT.split(text)
+                starts.append(self.whole(parts[:1])[0])
+                words += parts[1:]
+            edges.append(len(words))
+        found: list[bytes] = []
+        for i in range(0, len(words), MEMO // 2):
+            found += self.look_up(words[i : i + MEMO // 2])
+        joined = [b"".join(found[i:j]) for i, j in zip(edges, edges[1:])]
+        return [ids[4:] if start is None else start + ids for start, ids in zip(starts, joined)]
 
 
 @functools.lru_cache(2)
@@ -121,11 +137,13 @@ def pieces(docs: DataFrame, path: str) -> DataFrame:
         enc = encoder(path)
         for batch in batches:
             rows, which = [], []
-            for i, text in enumerate(batch.column("text").cast(pa.large_string()).fill_null("").to_pylist()):
-                ids = memoryview(enc.ids(text) + b"\0\0\0\0")
-                for k, (s, n) in enumerate(cut(len(ids) // 4)):
-                    rows.append((k, s, n, zlib.crc32(ids[4 * s : 4 * (s + n)])))
-                    which.append(i)
+            texts = batch.column("text").cast(pa.large_string()).fill_null("").to_pylist()
+            for at in range(0, len(texts), TOGETHER):
+                for i, raw in enumerate(enc.ids(texts[at : at + TOGETHER]), at):
+                    ids = memoryview(raw + b"\0\0\0\0")
+                    for k, (s, n) in enumerate(cut(len(ids) // 4)):
+                        rows.append((k, s, n, zlib.crc32(ids[4 * s : 4 * (s + n)])))
+                        which.append(i)
             piece, start, length, crc = np.array(rows, np.int64).reshape(-1, 4).T
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").cast(pa.int64()).take(pa.array(which, pa.int64())), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), pa.array(crc)],

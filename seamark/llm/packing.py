@@ -42,6 +42,17 @@ SPACE, FEED = "\u0120", "\u010a"  # a space and a line feed in the vocabulary of
 SPLIT = re.compile("\x20(?=[^\\s\u180e])")
 
 
+def even(text: str) -> bool:
+    """Single spaces and line feeds between visible characters, and no other blanks?"""
+    return (
+        text != ""
+        and text.replace("\n", "").isprintable()
+        and not any(x in text for x in ("  ", " \n", "\n ", "\n\n"))
+        and text[0] not in " \n"
+        and text[-1] not in " \n"
+    )
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes."""
 
@@ -99,9 +110,8 @@ class Encoder:
         starts: list[bytes | None] = []
         edges = [0]
         for text in texts:
-            # Single spaces and line feeds between visible characters, and no other blanks?
-            # Then the text can follow a line feed, whose one id is taken off again.
-            if text and " ".join(text.split()) == text.replace("\n", " ") and "\u180e" not in text:
+            # An even text can follow a line feed, whose one id is taken off again.
+            if even(text):
                 words += ("\n" + text.replace("\n", " \n")).split(" ")
                 starts.append(None)
             else:

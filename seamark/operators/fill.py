@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seamark.functions.clock import epoch
 from seamark.operators.sequence import CHUNK_SECONDS, group_median, scan, time_grid
@@ -117,6 +120,91 @@ def fill_cubic(
     return two.withColumn(column, filled).select(*df.columns)
 
 
+KNOTS, KNOT_HALO = 2000, 32
+
+
+def spline_moments(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Second derivatives at the knots of the cubic spline without kinks of the third
+    derivative at the second and last but one knot; of three knots the parabola's, of two none."""
+    n = len(x)
+    if n < 4:
+        return np.full(n, 0.0 if n < 3 else 2 * np.diff(np.diff(y) / np.diff(x))[0] / (x[2] - x[0]))
+    h = np.diff(x)
+    right = 6 * np.diff(np.diff(y) / h)
+    sub, diagonal, above = h[:-1].copy(), 2 * (h[:-1] + h[1:]), h[1:].copy()
+    diagonal[0] += h[0] * (h[0] + h[1]) / h[1]
+    above[0] -= h[0] ** 2 / h[1]
+    diagonal[-1] += h[-1] * (h[-1] + h[-2]) / h[-2]
+    sub[-1] -= h[-1] ** 2 / h[-2]
+    for i in range(1, n - 2):
+        w = sub[i] / diagonal[i - 1]
+        diagonal[i] -= w * above[i - 1]
+        right[i] -= w * right[i - 1]
+    m = np.zeros(n)
+    m[n - 2] = right[-1] / diagonal[-1]
+    for i in range(n - 4, -1, -1):
+        m[i + 1] = (right[i] - above[i] * m[i + 2]) / diagonal[i]
+    m[0] = ((h[0] + h[1]) * m[1] - h[0] * m[2]) / h[1]
+    m[-1] = ((h[-1] + h[-2]) * m[-2] - h[-1] * m[-3]) / h[-2]
+    return m
+
+
+def spline_at(x: np.ndarray, y: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Values of the spline at places between the first and the last knot, NaN outside."""
+    out = np.full(len(at), np.nan)
+    if len(x) < 2:
+        return out
+    m = spline_moments(x, y)
+    between = (at > x[0]) & (at < x[-1])
+    p = at[between]
+    j = np.searchsorted(x, p, "right") - 1
+    h, a, b = x[j + 1] - x[j], x[j + 1] - p, p - x[j]
+    out[between] = (m[j] * a**3 + m[j + 1] * b**3) / (6 * h) + (y[j] / h - m[j] * h / 6) * a + (y[j + 1] / h - m[j + 1] * h / 6) * b
+    return out
+
+
+def fill_spline(
+    df: DataFrame, keys: Sequence[str], ts: str, column: str, *, limit: int, step_seconds: int, chunk_seconds: int = CHUNK_SECONDS
+) -> DataFrame:
+    """Cubic spline through all valid values of a series, at most ``limit`` steps into a gap.
+
+    Knots are ranked and solved in groups of ``KNOTS`` with ``KNOT_HALO`` more on either side: a
+    knot's influence falls to a quarter from knot to knot, so what lies beyond is lost in
+    rounding.  Missing rows go to the group of the knot before them.
+    """
+    valid = F.col(column).isNotNull()
+    x = epoch(F.col(ts)) / step_seconds
+    marked = scan(
+        df.select(*keys, ts, column),
+        keys,
+        [ts],
+        totals={"__r": valid.cast("bigint")},
+        prior={"__last": F.when(valid, x)},
+        chunk_seconds=chunk_seconds,
+    )
+    wanted = F.col(column).isNull() & (F.col("__r") > 0) & (x - F.col("__last") <= limit)
+    wanted = F.coalesce(wanted, F.lit(False))
+
+    def group(rank: Column) -> Column:
+        return F.floor((rank - 1) / KNOTS)
+
+    first = F.greatest(group(F.col("__r") - KNOT_HALO), F.lit(0).cast("bigint"))
+    groups = F.when(valid, F.sequence(first, group(F.col("__r") + KNOT_HALO))).otherwise(F.array(group(F.col("__r"))))
+    rows = marked.filter(valid | wanted).select(*keys, ts, F.col(column).cast("double").alias(column), x.cast("double").alias("__x"), F.explode(groups).alias("__g"))
+    kept = [*keys, ts, column]
+    schema = T.StructType([rows.schema[c] for c in kept])
+
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("__x")
+        knots, gaps = pdf[pdf[column].notna()], pdf[pdf[column].isna()]
+        value = spline_at(knots["__x"].to_numpy(), knots[column].to_numpy(), gaps["__x"].to_numpy())
+        return gaps[kept].assign(**{column: value})
+
+    filled = rows.groupBy(*keys, "__g").applyInPandas(solve, schema)
+    filled = filled.withColumn(column, F.when(~F.isnan(column), F.col(column)))
+    return marked.filter(~wanted).select(*kept).unionByName(filled).select(*df.columns)
+
+
 def merged_timeline(
     obs: DataFrame, model: DataFrame, keys: Sequence[str], ts: str, columns: str | Sequence[str]
 ) -> DataFrame:
@@ -164,19 +252,21 @@ def to_equal_interval(
     *,
     step_seconds: int = 360,
     max_gap_hours: float = 6.0,
-    method: str = "linear",
+    method: str = "spline",
     chunk_seconds: int = CHUNK_SECONDS,
 ) -> DataFrame:
-    """Regular grid with a fill of at most ``max_gap_hours`` per gap.
+    """Regular grid from the first to the last time with a fill of at most ``max_gap_hours`` a gap.
 
-    Longer gaps are filled up to the limit and NULL beyond it.  ``method`` is
-    'linear' or 'cubic' (local cubic, not a spline over the whole series).
+    Longer gaps are filled up to the limit and NULL beyond it.  ``method`` is 'spline' (cubic,
+    over the whole series), 'linear' or 'cubic' (local, through four valid neighbours).
+    Only 'linear' goes on past the last valid value.
     """
-    valid = df.filter(F.col(column).isNotNull())
     grid = regular_grid(
-        valid, keys, ts, [column], step_seconds=step_seconds, chunk_seconds=chunk_seconds
+        df, keys, ts, [column], step_seconds=step_seconds, chunk_seconds=chunk_seconds
     )
     limit = int(max_gap_hours * 3600 / step_seconds)
+    if method == "spline":
+        return fill_spline(grid, keys, ts, column, limit=limit, step_seconds=step_seconds, chunk_seconds=chunk_seconds)
     fill = {"linear": fill_linear, "cubic": fill_cubic}[method]
     return fill(grid, keys, ts, column, limit=limit, chunk_seconds=chunk_seconds)
 

@@ -162,28 +162,53 @@ def concat_frames(*frames: DataFrame) -> DataFrame:
     return out
 
 
+#: Surface variables of a product set.
+SURFACE = ("sst", "ssh", "sss", "ssu", "ssv")
+
+
+def _vectors(wide: DataFrame) -> DataFrame:
+    u, v = F.col("ssu"), F.col("ssv")
+    return wide.withColumn("speed", angles.speed_of(u, v)).withColumn("direction", angles.direction_of(u, v))
+
+
 def surface_products(
     values: DataFrame,
     nodes: DataFrame,
     targets: DataFrame,
     *,
-    variable: str,
     radius_km: float,
+    variables: Sequence[str] = SURFACE,
     surface: int = 0,
+    resolution_km: float = 0.0,
     domain_edges: DataFrame | None = None,
 ) -> DataFrame:
-    """Surface field of one variable at one time on the target lattice.
+    """Surface fields of all variables and times on the target lattice, one row a cell and time.
 
-    Takes the surface layer at wet nodes, interpolates, and drops targets
-    outside the domain.
+    ``values`` (node_id, layer, ts, var, value) is blended with weights found once per
+    target and node among the wet nodes; a node without value at a time has no part in it.
+    Targets outside the domain are dropped.  With both current components, speed and
+    direction are added.
     """
     wet = nodes.filter("wet = 1").select("node_id", "lat", "lon")
-    field = values.filter((F.col("layer") == surface) & (F.col("var") == variable)).select("node_id", "value")
     if domain_edges is not None:
         targets = spatial.inside_domains(targets, domain_edges)
-    return spatial.idw_grid(
-        targets, wet.join(field, "node_id"), node_id="node_id", value="value", radius_km=radius_km
-    )
+    weights = spatial.neighbour_weights(targets, wet, node_id="node_id", radius_km=radius_km, resolution_km=resolution_km)
+    field = values.filter((F.col("layer") == surface) & F.col("var").isin(*variables) & F.col("value").isNotNull())
+    met = weights.join(field.select("node_id", "ts", "var", "value"), "node_id")
+    w = F.col("weight")
+
+    def blend(name: str) -> Column:
+        own = F.col("var") == name
+        return (F.sum(F.when(own, w * F.col("value"))) / F.sum(F.when(own, w))).alias(name)
+
+    wide = met.groupBy(*CELL, "ts").agg(*[blend(n) for n in variables])
+    return _vectors(wide) if {"ssu", "ssv"} <= set(variables) else wide
+
+
+def daily_products(hourly: DataFrame, variables: Sequence[str] = SURFACE) -> DataFrame:
+    """Daily means per cell; speed and direction are those of the mean current."""
+    daily = hourly.groupBy(*CELL, F.to_date("ts").alias("day")).agg(*[F.avg(n).alias(n) for n in variables])
+    return _vectors(daily) if {"ssu", "ssv"} <= set(variables) else daily
 
 
 def every_nth_time(df: DataFrame, stride: int, ts: str = "ts") -> DataFrame:

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seamark.functions.geo import great_circle_km, haversine, wrap_longitude
+from seamark.functions.geo import EARTH_DIAMETER_KM, great_circle_km, haversine, wrap_longitude
 from seamark.session import cut_lineage
 
 SPLIT = 4
@@ -98,7 +98,7 @@ def _box_bounds(planar: bool) -> tuple[Column, Column]:
 
 
 def _near_leaves(
-    lookup: DataFrame, cells: DataFrame, sizes: list[float], most: int, k: int, box_deg: float | None, max_km: float | None, planar: bool
+    lookup: DataFrame, cells: DataFrame, sizes: list[float], most: int, k: int, box_deg: float | None, max_km: float | None, planar: bool, resolution_km: float = 0.0
 ) -> DataFrame:
     """(plat, plon, level, cy, cx): leaves that can hold one of the k nearest of each point."""
     size_of = F.element_at(F.array(*[F.lit(float(s)) for s in sizes]), F.col("level") + 1)
@@ -143,6 +143,9 @@ def _near_leaves(
         .join(cells.select("level", "cy", "cx", "n"), ["level", "cy", "cx"])
     )
     low, high = _box_bounds(planar)
+    if resolution_km:
+        reach = F.lit(resolution_km / EARTH_DIAMETER_KM)
+        low, high = F.pow(F.greatest(F.sqrt(low) - reach, F.lit(0.0)), 2), F.pow(F.sqrt(high) + reach, 2)
     mine = Window.partitionBy("plat", "plon")
     outward = mine.orderBy("high").rangeBetween(Window.unboundedPreceding, 0)
 
@@ -189,6 +192,7 @@ def nearest(
     box_deg: float | None = None,
     max_km: float | None = None,
     planar: bool = False,
+    resolution_km: float = 0.0,
     lat: str = "lat",
     lon: str = "lon",
 ) -> DataFrame:
@@ -197,11 +201,13 @@ def nearest(
     Adds ``node_id`` (and ``node_columns``), ``distance`` and, for k > 1,
     ``rank``.  Candidates lie strictly inside +-``box_deg`` and within
     ``max_km``; ties go to the smaller id.  Points without candidates keep NULL.
-    ``planar`` ranks by squared degrees instead of kilometres.  Rounds of the search run
+    ``planar`` ranks by squared degrees instead of kilometres.  With ``resolution_km``
+    distances are ranked in whole multiples of it, so that nodes as far but for rounding
+    are ties.  Rounds of the search run
     here, each ending in a checkpoint of the cells still in question.
     """
-    if planar and max_km is not None:
-        raise ValueError("max_km needs great-circle distances")
+    if planar and (max_km is not None or resolution_km):
+        raise ValueError("max_km and resolution_km need great-circle distances")
     lookup = (
         points.select(F.col(lat).cast("double").alias("plat"), F.col(lon).cast("double").alias("plon"))
         .filter("plat IS NOT NULL AND plon IS NOT NULL")
@@ -222,7 +228,7 @@ def nearest(
     spots = sites.select("nlat", "nlon", F.size("held").alias("m"))
     cells, sizes, most = _cell_tree(spots, box_deg, k)
     cells = cut_lineage(cells.drop("spots"))
-    leaves = _near_leaves(lookup, cells, sizes, most, k, box_deg, max_km, planar)
+    leaves = _near_leaves(lookup, cells, sizes, most, k, box_deg, max_km, planar, resolution_km)
     # A spot lies in one cell a level; only cells that some point kept are met.
     placed = _tiled(sites, "nlat", "nlon", sizes).join(leaves.select("level", "cy", "cx").distinct(), ["level", "cy", "cx"], "left_semi")
     dlat, dlon = F.col("nlat") - F.col("plat"), wrap_longitude(F.col("nlon") - F.col("plon"))
@@ -234,13 +240,14 @@ def nearest(
     if max_km is not None:
         met = met.filter(F.col("distance") <= max_km)
     met = met.select("plat", "plon", "distance", F.explode("held").alias("node"))
-    place = F.struct("distance", F.col("node")[node_id].alias("id"))
+    ranked = F.round(F.col("distance") / resolution_km) if resolution_km else F.col("distance")
+    place = F.struct(ranked.alias("far"), F.col("node")[node_id].alias("id"))
     if k == 1:
         best = met.groupBy("plat", "plon").agg(F.min_by(F.struct("node", "distance"), place).alias("hit"))
         best = best.select("plat", "plon", "hit.node", "hit.distance")
         extra: list[Column] = []
     else:
-        w = Window.partitionBy("plat", "plon").orderBy("distance", F.col("node")[node_id])
+        w = Window.partitionBy("plat", "plon").orderBy(place)
         best = met.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
         extra = [F.col("rank")]
     out = points.join(
@@ -271,19 +278,15 @@ def nearest_layer(
 
     ``surface`` marks rows that always take the topmost layer (largest z).
     """
-    base = stations.select(node, depth).distinct()
-    gap = F.abs(F.col(depth) + F.col(z))
-    best = (
-        base.join(layers.select(node, layer, z), node)
-        .groupBy(node, depth)
-        .agg(
-            F.min_by(F.struct(layer, z), F.struct(gap, F.col(layer))).alias("near"),
-            F.max_by(F.struct(layer, z), F.struct(F.col(z), -F.col(layer))).alias("top"),
-        )
-    )
-    use = F.col("near") if surface is None else F.when(surface, F.col("top")).otherwise(F.col("near"))
-    out = stations.join(best, [node, depth], "left")
-    return out.select(*stations.columns, use[layer].alias(layer), use[z].alias(z))
+    # The layers of a node become one short array, so that stations are not multiplied by them.
+    packed = layers.filter(F.col(z).isNotNull()).groupBy(node).agg(F.collect_list(F.struct(layer, z)).alias("__l"))
+    gap = F.array_min(F.transform("__l", lambda c: F.struct(F.abs(F.col(depth) + c[z]).alias("d"), c[layer].alias("l"), c[z].alias("z"))))
+    top = F.array_max(F.transform("__l", lambda c: F.struct(c[z].alias("z"), (-c[layer]).alias("o"), c[layer].alias("l"))))
+    near = F.when(F.col(depth).isNotNull(), F.struct(gap["l"].alias("l"), gap["z"].alias("z")))
+    high = F.struct(top["l"].alias("l"), top["z"].alias("z"))
+    use = near if surface is None else F.when(surface, high).otherwise(near)
+    out = stations.join(packed, node, "left")
+    return out.select(*stations.columns, use["l"].alias(layer), use["z"].alias(z))
 
 
 def substring_match(
@@ -356,27 +359,46 @@ def points_in_polygons(
     lat: str = "lat",
     lon: str = "lon",
     buffer_deg: float = 0.0,
-    band_deg: float = 0.25,
 ) -> DataFrame:
     """(lat, lon, domain) for every distinct position inside a ring of a domain.
 
-    Positions and edges meet in latitude bands; a position inside a ring crosses
-    an odd number of edges to its east.  With a buffer, positions within that
-    distance of an edge count as inside too.  The edge table is the small side
-    and is broadcast only when Spark finds it below its size limit.
+    Positions first meet rings in tiles as large as the ring's box, and only positions in
+    the box go on; they meet its edges in latitude bands, as many as it has edges.  A
+    position inside a ring crosses an odd number of edges to its east.  With a buffer,
+    positions within that distance of an edge count as inside too.
     """
-    spots = points.select(F.col(lat).alias("py"), F.col(lon).alias("px")).distinct()
-    spots = spots.withColumn("band", F.floor(F.col("py") / band_deg))
     y1, y2, x1, x2 = (F.col(c) for c in ("y1", "y2", "x1", "x2"))
-    banded = edges.withColumn(
-        "band",
-        F.explode(
-            F.sequence(
-                F.floor((F.least(y1, y2) - buffer_deg) / band_deg),
-                F.floor((F.greatest(y1, y2) + buffer_deg) / band_deg),
-            )
-        ),
+    own = [domain, ring]
+    boxes = edges.groupBy(*own).agg(
+        (F.min(F.least(y1, y2)) - buffer_deg).alias("by0"),
+        (F.max(F.greatest(y1, y2)) + buffer_deg).alias("by1"),
+        (F.min(F.least(x1, x2)) - buffer_deg).alias("bx0"),
+        (F.max(F.greatest(x1, x2)) + buffer_deg).alias("bx1"),
+        F.least(F.count(F.lit(1)), F.lit(4096)).alias("bands"),
+    )
+    # Tiles of the power of two at or above the box: a box touches four at most.
+    extent = F.greatest(F.col("by1") - F.col("by0"), F.col("bx1") - F.col("bx0"), F.lit(1e-6))
+    boxes = boxes.withColumn("lev", F.ceil(F.log2(extent)).cast("int"))
+    levels = boxes.agg(F.array_sort(F.collect_set("lev"))).scalar()
+    side = F.pow(F.lit(2.0), F.col("lev"))
+
+    def tiles(lo: str, hi: str, name: str) -> Column:
+        return F.explode(F.sequence(F.floor(F.col(lo) / side), F.floor(F.col(hi) / side))).alias(name)
+
+    tiled = boxes.select("*", tiles("by0", "by1", "ty")).select("*", tiles("bx0", "bx1", "tx"))
+    spots = points.select(F.col(lat).alias("py"), F.col(lon).alias("px")).distinct()
+    placed = spots.select("*", F.explode(levels).alias("lev")).select(
+        "*", F.floor(F.col("py") / side).alias("ty"), F.floor(F.col("px") / side).alias("tx")
     )
+    height = (F.col("by1") - F.col("by0")) / F.col("bands")
+
+    def band(y: Column) -> Column:
+        return F.least(F.coalesce(F.floor(F.try_divide(y - F.col("by0"), height)), F.lit(0).cast("bigint")), F.col("bands") - 1)
+
+    inside_box = F.col("py").between(F.col("by0"), F.col("by1")) & F.col("px").between(F.col("bx0"), F.col("bx1"))
+    near = placed.join(tiled, ["lev", "ty", "tx"]).filter(inside_box).select("py", "px", *own, band(F.col("py")).alias("band"))
+    reach = F.sequence(band(F.least(y1, y2) - buffer_deg), band(F.greatest(y1, y2) + buffer_deg))
+    banded = edges.select(*own, "x1", "y1", "x2", "y2").join(boxes.select(*own, "by0", "by1", "bands"), own).withColumn("band", F.explode(reach))
     px, py = F.col("px"), F.col("py")
     east = px < (x2 - x1) * F.try_divide(py - y1, y2 - y1) + x1
     crosses = ((y1 > py) != (y2 > py)) & F.coalesce(east, F.lit(False))
@@ -388,7 +410,7 @@ def points_in_polygons(
         close = gap <= buffer_deg
     else:
         close = F.lit(False)
-    hits = spots.join(banded, "band").filter(crosses | close)
+    hits = near.join(banded, [*own, "band"]).filter(crosses | close)
     rings = hits.groupBy("px", "py", domain, ring).agg(
         F.count_if(crosses).alias("n"), F.max(close).alias("close")
     )
@@ -537,3 +559,37 @@ def idw_grid(
         F.when(F.col("inside"), F.col("strict")).otherwise(F.col("wide")).alias(value),
         F.when(F.col("inside"), 1).otherwise(2).alias("fill_pass"),
     )
+
+
+def neighbour_weights(
+    targets: DataFrame,
+    nodes: DataFrame,
+    *,
+    node_id: str,
+    radius_km: float,
+    target_keys: Sequence[str] = ("iy", "ix"),
+    resolution_km: float = 0.0,
+    lat: str = "lat",
+    lon: str = "lon",
+) -> DataFrame:
+    """(target keys, node, weight, fill_pass) of the two-pass inverse-square blend.
+
+    One search serves any number of variables and times.  A node at the target's own
+    position has all the weight.
+    """
+    nodes = nodes.select(node_id, lat, lon).withColumn("nlat_", F.col(lat)).withColumn("nlon_", F.col(lon))
+    near = nearest(
+        targets.select(*target_keys, lat, lon), nodes, node_id=node_id, node_columns=["nlat_", "nlon_"], k=16, resolution_km=resolution_km, lat=lat, lon=lon
+    ).filter(F.col(node_id).isNotNull())
+    at = Window.partitionBy(*target_keys)
+    close = (F.col("rank") <= 8) & (F.col("distance") <= radius_km)
+    south, west = F.col("nlat_") <= F.col(lat), F.col("nlon_") <= F.col(lon)
+    north, east = F.col("nlat_") >= F.col(lat), F.col("nlon_") >= F.col(lon)
+    around = [F.max((close & a & b).cast("int")).over(at) for a in (north, south) for b in (east, west)]
+    inside = around[0] * around[1] * around[2] * around[3] == 1
+    here = F.max((F.col("distance") == 0).cast("int")).over(at) == 1
+    weight = F.when(here, (F.col("distance") == 0).cast("double")).otherwise(1 / (F.col("distance") * F.col("distance")))
+    marked = near.select(*target_keys, node_id, close.alias("close"), inside.alias("inside"), weight.alias("weight"))
+    return marked.filter((~F.col("inside") | F.col("close")) & (F.col("weight") > 0)).select(
+        *target_keys, node_id, "weight", F.when(F.col("inside"), 1).otherwise(2).alias("fill_pass")
+    )

@@ -17,8 +17,6 @@ from seamark.operators.sequence import CHUNK_SECONDS, chunk_of, halo
 HOUR = 3600.0
 # Largest (bins x rows) wave matrix held at once while filtering.
 BLOCK_CELLS = 2_000_000
-# Series matrices a task holds before it hands them on.
-OPEN_MATRICES = 500
 
 
 def residual(pairs: DataFrame, tides: DataFrame, keys: Sequence[str], ts: str = "ts", value: str = "obs") -> DataFrame:
@@ -78,10 +76,14 @@ def fourier_lowpass(
     Equal to zeroing the bins above the cutoff of a full transform of a regular
     gap-free series, but computed as a projection on the few kept bins: partial
     sums per (series, chunk), added by Spark, then evaluated per chunk.  No task
-    sees more than one chunk of a series.
+    sees more than one chunk of a series.  Series with missing values or steps are
+    refused.  The work per row grows with the kept bins, that is with the record.
     """
+    t = epoch(F.col(ts))
+    whole = (F.count(value) == F.count(F.lit(1))) & (F.max(t) - F.min(t) == (F.count(F.lit(1)) - 1) * step_seconds)
     first = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__n"), F.min(epoch(F.col(ts))).alias("__t0")
+        F.when(whole, F.count(F.lit(1))).otherwise(F.raise_error(F.lit("a low-pass needs a regular series without gaps"))).alias("__n"),
+        F.min(t).alias("__t0"),
     )
     rows = df.select(*keys, ts, value).join(first, list(keys)).select(
         *keys,
@@ -200,68 +202,81 @@ def resolvable(
     )
 
 
-def normal_equations(
+def normal_matrices(
     df: DataFrame,
     keys: Sequence[str],
     chosen: DataFrame,
     *,
     ts: str = "ts",
-    value: str = "value",
+    values: Sequence[str] = ("value",),
     epoch_seconds: float = 0.0,
+    trend: bool = True,
+    chunk_seconds: int = CHUNK_SECONDS,
 ) -> DataFrame:
-    """Entries (i, j, s) of X'X per series, X = [1, cos, sin, ..., y].
+    """(keys, mid, m, upper): upper triangle of X'X per series, as one array.
 
-    Each task folds its rows into small matrices, one per series it meets, and
-    only those matrices are shuffled: a series of any length costs one matrix
-    per task.  ``chosen`` holds the constituents of each series (at most 37).
+    X = [1, (trend), cos, sin, ..., values].  Rows are grouped by series and time chunk, so
+    each chunk is folded into one matrix wherever its rows lie, and a second fold adds
+    the matrices of a series.  ``chosen`` holds the constituents of each series (at most
+    37); they meet a chunk once, not its rows.  The trend counts thousands of hours from the
+    middle of the record, ``mid``.
     """
-    basis = chosen.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct("priority", "speed"))).alias("c")
-    )
-    rows = (
-        df.filter(F.col(value).isNotNull())
-        .select(
-            *keys,
-            ((F.unix_micros(F.col(ts).cast("timestamp")) / 1e6 - epoch_seconds) / HOUR).alias("__h"),
-            F.col(value).cast("double").alias("__y"),
-        )
-        .join(basis.select(*keys, F.col("c.speed").alias("__speeds")), list(keys))
-    )
+    hours = (F.unix_micros(F.col(ts).cast("timestamp")) / 1e6 - epoch_seconds) / HOUR
+    rows = df.filter(" AND ".join(f"`{v}` IS NOT NULL" for v in values)).select(
+        *keys,
+        chunk_of(F.col(ts), chunk_seconds).alias("__chunk"),
+        hours.alias("__h"),
+        *[F.col(v).cast("double").alias(f"__y{i}") for i, v in enumerate(values)],
+    )
+    basis = chosen.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("priority", "speed"))).alias("c"))
+    extent = rows.groupBy(*keys, "__chunk").agg(F.min("__h").alias("lo"), F.max("__h").alias("hi"))
+    middle = extent.groupBy(*keys).agg(((F.min("lo") + F.max("hi")) / 2).alias("mid"))
+    chunks = extent.select(*keys, "__chunk").join(middle, list(keys)).join(basis, list(keys))
+    # Other names than the rows have: both sides derive from one table.
+    own = [f"__b_{c}" for c in (*keys, "__chunk")]
+    chunks = chunks.select(*[F.col(c).alias(b) for c, b in zip((*keys, "__chunk"), own)], "mid", F.col("c.speed").alias("speeds"))
     schema = T.StructType(
         [rows.schema[k] for k in keys]
-        + [T.StructField("m", T.IntegerType()), T.StructField("upper", T.ArrayType(T.DoubleType()))]
+        + [
+            T.StructField("mid", T.DoubleType()),
+            T.StructField("m", T.IntegerType()),
+            T.StructField("upper", T.ArrayType(T.DoubleType())),
+        ]
     )
-
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        acc: dict[tuple, np.ndarray] = {}
-
-        def flush() -> pd.DataFrame:
-            out = []
-            for key, gram in acc.items():
-                m = gram.shape[0]
-                out.append((*key, m, gram[np.triu_indices(m)]))
-            acc.clear()
-            return pd.DataFrame(out, columns=[*keys, "m", "upper"])
-
-        for pdf in batches:
-            for key, g in pdf.groupby(list(keys), sort=False):
-                key = key if isinstance(key, tuple) else (key,)
-                arg = np.deg2rad(np.outer(g["__h"].to_numpy(), np.asarray(g["__speeds"].iloc[0])))
-                x = np.empty((len(g), 2 * arg.shape[1] + 2))
-                x[:, 0] = 1.0
-                x[:, 1:-1:2] = np.cos(arg)
-                x[:, 2:-1:2] = np.sin(arg)
-                x[:, -1] = g["__y"].to_numpy()
-                gram = x.T @ x
-                acc[key] = acc[key] + gram if key in acc else gram
-                if len(acc) >= OPEN_MATRICES:
-                    yield flush()
-        if acc:
-            yield flush()
-
-    partial = rows.mapInPandas(fold, schema)
-    cell = partial.select(*keys, "m", F.posexplode("upper").alias("pos", "s"))
-    return cell.groupBy(*keys, "m", "pos").agg(F.sum("s").alias("s"))
+    names = [f.name for f in schema.fields]
+    lead = 2 if trend else 1
+
+    def fold(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left) or not len(right):
+            return pd.DataFrame({n: [] for n in names})
+        h, mid = left["__h"].to_numpy(), float(right["mid"].iloc[0])
+        arg = np.deg2rad(np.outer(h, np.asarray(right["speeds"].iloc[0])))
+        waves = 2 * arg.shape[1]
+        x = np.empty((len(h), lead + waves + len(values)))
+        x[:, 0] = 1.0
+        if trend:
+            x[:, 1] = (h - mid) / 1000
+        x[:, lead : lead + waves : 2] = np.cos(arg)
+        x[:, lead + 1 : lead + waves : 2] = np.sin(arg)
+        for i in range(len(values)):
+            x[:, lead + waves + i] = left[f"__y{i}"].to_numpy()
+        gram = x.T @ x
+        m = gram.shape[0]
+        return pd.DataFrame([(*[left[k].iloc[0] for k in keys], mid, m, gram[np.triu_indices(m)])], columns=names)
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        total = np.sum(np.stack(pdf["upper"].to_numpy()), axis=0)
+        return pd.DataFrame([(*[pdf[n].iloc[0] for n in names[:-1]], total)], columns=names)
+
+    at = [*keys, "__chunk"]
+    partial = rows.groupBy(*at).cogroup(chunks.groupBy(*own)).applyInPandas(fold, schema)
+    return partial.groupBy(*keys).applyInPandas(add, schema)
+
+
+def normal_equations(df: DataFrame, keys: Sequence[str], chosen: DataFrame, **options) -> DataFrame:
+    """Entries (m, pos, s) of the upper triangle of X'X per series, without trend."""
+    cells = normal_matrices(df, keys, chosen, trend=False, **options)
+    return cells.select(*keys, "m", F.posexplode("upper").alias("pos", "s"))
 
 
 def harmonic_analysis(
@@ -270,45 +285,40 @@ def harmonic_analysis(
     chosen: DataFrame,
     *,
     ts: str = "ts",
-    value: str = "value",
+    value: str | Sequence[str] = "value",
     epoch_seconds: float = 0.0,
+    trend: bool = True,
 ) -> DataFrame:
-    """Least-squares amplitude, Greenwich-style phase, SNR and mean per constituent.
+    """Least-squares amplitude, Greenwich-style phase, SNR, mean and slope per constituent.
 
     Phases are lags in degrees relative to ``epoch_seconds``:
-    value = mean + sum A cos(speed * hours - phase).
+    value = mean + slope (hours - mid) + sum A cos(speed * hours - phase).
+    Without ``trend`` the slope is 0.  Several value columns, such as both components of a
+    current, are fitted over one shared matrix; ``component`` then names the column.
     """
-    cells = normal_equations(
-        df, keys, chosen, ts=ts, value=value, epoch_seconds=epoch_seconds
-    )
-    gram = cells.groupBy(*keys, "m").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "s"))).alias("__g")
-    )
+    values = [value] if isinstance(value, str) else list(value)
+    gram = normal_matrices(df, keys, chosen, ts=ts, values=values, epoch_seconds=epoch_seconds, trend=trend)
     names = chosen.groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct("priority", "constituent", "speed"))).alias("__c")
     )
     ready = gram.join(names, list(keys)).select(
         *keys,
+        "mid",
         "m",
-        F.col("__g.s").alias("__g"),
+        F.col("upper").alias("__g"),
         F.col("__c.constituent").alias("__names"),
         F.col("__c.speed").alias("__speeds"),
     )
     schema = T.StructType(
         [ready.schema[k] for k in keys]
-        + [
-            T.StructField("constituent", T.StringType()),
-            T.StructField("speed", T.DoubleType()),
-            T.StructField("amplitude", T.DoubleType()),
-            T.StructField("phase", T.DoubleType()),
-            T.StructField("snr", T.DoubleType()),
-            T.StructField("mean", T.DoubleType()),
-            T.StructField("n", T.LongType()),
-        ]
+        + [T.StructField("component", T.StringType()), T.StructField("constituent", T.StringType())]
+        + [T.StructField(n, T.DoubleType()) for n in ("speed", "amplitude", "phase", "snr", "mean", "slope", "mid")]
+        + [T.StructField("n", T.LongType())]
     )
+    lead = 2 if trend else 1
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # One row per series: its (at most 76 x 76) summed matrix.
+        # One row per series: its (at most 78 x 78) summed matrix.
         for pdf in batches:
             out = []
             for rec in pdf.to_dict("records"):
@@ -316,26 +326,38 @@ def harmonic_analysis(
                 full = np.zeros((m, m))
                 full[np.triu_indices(m)] = rec["__g"]
                 full = full + np.triu(full, 1).T
-                xtx, xty, yty, n = full[:-1, :-1], full[:-1, -1], full[-1, -1], full[0, 0]
-                beta, *_ = np.linalg.lstsq(xtx, xty, rcond=None)
+                p = m - len(values)
+                xtx, n = full[:p, :p], full[0, 0]
                 inv = np.linalg.pinv(xtx)
-                left = max(n - (m - 1), 1.0)
-                sigma2 = max(yty - beta @ xty, 0.0) / left
-                a, b = beta[1::2], beta[2::2]
-                amp = np.hypot(a, b)
-                phase = np.degrees(np.arctan2(b, a)) % 360
-                var = sigma2 * np.diag(inv)
-                safe = np.where(amp > 0, amp, 1.0)
-                half = 1.96 * np.sqrt((a**2 * var[1::2] + b**2 * var[2::2]) / safe**2)
-                snr = np.where(half > 0, (amp / np.where(half > 0, half, 1.0)), np.inf)
-                for i, name in enumerate(rec["__names"]):
-                    out.append(
-                        (*[rec[k] for k in keys], name, rec["__speeds"][i], amp[i], phase[i],
-                         min(snr[i], 1e12), beta[0], int(round(n)))
-                    )
+                for i, component in enumerate(values):
+                    xty, yty = full[:p, p + i], full[p + i, p + i]
+                    beta, *_ = np.linalg.lstsq(xtx, xty, rcond=None)
+                    sigma2 = max(yty - beta @ xty, 0.0) / max(n - p, 1.0)
+                    a, b = beta[lead::2], beta[lead + 1 :: 2]
+                    amp = np.hypot(a, b)
+                    phase = np.degrees(np.arctan2(b, a)) % 360
+                    var = sigma2 * np.diag(inv)
+                    safe = np.where(amp > 0, amp, 1.0)
+                    half = 1.96 * np.sqrt((a**2 * var[lead::2] + b**2 * var[lead + 1 :: 2]) / safe**2)
+                    snr = np.where(half > 0, (amp / np.where(half > 0, half, 1.0)), np.inf)
+                    slope, mid = (beta[1] / 1000, rec["mid"]) if trend else (0.0, 0.0)
+                    for k, name in enumerate(rec["__names"]):
+                        out.append(
+                            (*[rec[c] for c in keys], component, name, rec["__speeds"][k], amp[k], phase[k],
+                             min(snr[k], 1e12), beta[0], slope, mid, int(round(n)))
+                        )
             yield pd.DataFrame(out, columns=[f.name for f in schema.fields])
 
-    return ready.mapInPandas(solve, schema)
+    fitted = ready.mapInPandas(solve, schema)
+    return fitted.drop("component") if isinstance(value, str) else fitted
+
+
+def current_ellipses(
+    df: DataFrame, keys: Sequence[str], chosen: DataFrame, *, ts: str = "ts", u: str = "u", v: str = "v", epoch_seconds: float = 0.0, trend: bool = True
+) -> DataFrame:
+    """Ellipse per constituent from east and north series, solved over one matrix."""
+    both = harmonic_analysis(df, keys, chosen, ts=ts, value=[u, v], epoch_seconds=epoch_seconds, trend=trend)
+    return ellipses(both.filter(F.col("component") == u), both.filter(F.col("component") == v), keys)
 
 
 def predict(
@@ -355,7 +377,8 @@ def predict(
     """
     use = constants if min_snr is None else constants.filter(F.col("snr") >= min_snr)
     if means is None and "mean" in constants.columns:
-        means = constants.groupBy(*keys).agg(F.max("mean").alias("mean"))
+        drift = [F.max(c).alias(c) for c in ("mean", "slope", "mid") if c in constants.columns]
+        means = constants.groupBy(*keys).agg(*drift)
     packed = use.groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct("constituent", "speed", "amplitude", "phase"))).alias("__c")
     )
@@ -368,11 +391,13 @@ def predict(
         lambda acc, c: acc + c["amplitude"] * F.cos(F.radians(c["speed"] * F.col("__h") - c["phase"])),
     )
     base = F.col("mean") if means is not None else F.lit(0.0)
+    if means is not None and "slope" in means.columns:
+        base = base + F.col("slope") * (F.col("__h") - F.col("mid"))
     return (
         times.withColumn("__h", hours)
         .join(packed, list(keys))
         .withColumn("tide", wave + base)
-        .drop("__h", "__c", "mean")
+        .drop("__h", "__c", "mean", "slope", "mid")
     )
 
 

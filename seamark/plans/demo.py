@@ -75,10 +75,11 @@ VIEWS = {
                CASE WHEN p_partkey % 17 = 0 THEN 0 ELSE 1 END AS wet,
                CAST(5 + p_size AS DOUBLE) AS h
         FROM part""",
+    # Stations fill an area of ten degrees; every 1,500 customers have one of their own.
     "v_stations": """
         SELECT c_custkey AS station_id, c_name AS name, c_nationkey,
                30 + (c_custkey * 7 % 503) * 1e-2 + 3e-3 AS lat,
-               -80 + (c_custkey * 13 % 997) * 1e-2 + 7e-3 AS lon,
+               -80 + (c_custkey * 13 % 997) * 1e-2 + 7e-3 + floor(c_custkey / 1500) % 25 * 10 AS lon,
                CAST(c_custkey % 23 AS DOUBLE) AS depth
         FROM customer""",
     # Daily frames of 15 columns and 20 rows for every 1,500 customers.

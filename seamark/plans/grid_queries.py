@@ -8,6 +8,7 @@ from seamark.functions import clock
 from seamark.operators import grids, horizon, ice, pairing, rollup, runs, spatial
 from seamark.plans.demo import r6, secs, table, view
 from seamark.plans.registry import query
+from seamark.plans.space_queries import KM
 
 _E = "model - obs"
 
@@ -407,15 +408,57 @@ def _grd06(spark, sf_dir):
     return out.groupBy("ts").agg(F.count(F.lit(1)).alias("n_rows")).select(secs("ts", "t"), "n_rows")
 
 
-@query("grd11_surface_products")
-def _grd11(spark, sf_dir):
-    """Hourly temperature of one day on the lattice, and the daily mean per cell."""
+# Two days of hourly surface values of every node, with gaps.
+_SURF = """fv AS (SELECT node_id, 1704067200 + hr * 3600 AS t, vi, CASE WHEN (node_id * 7 + hr * 3 + vi) % 11 = 0 THEN NULL
+     ELSE h * (vi + 1) / 10 + lat + hr * (vi - 2) / 1e2 - node_id % 13 * (vi % 2) / 1e1 END AS value FROM v_nodes, range(48) a(hr), range(5) b(vi))"""
+_CELLS = f"""bx AS (SELECT round(min(lat), 2) - 25e-2 AS y0, round(max(lat), 2) + 25e-2 AS y1, round(min(lon), 2) - 25e-2 AS x0, round(max(lon), 2) + 25e-2 AS x1 FROM v_nodes),
+     yy AS (SELECT unnest(range(0, CAST(ceil((y1 - y0) / 1e-1 - 1e-9) AS BIGINT))) AS iy FROM bx), xx AS (SELECT unnest(range(0, CAST(ceil((x1 - x0) / 1e-1 - 1e-9) AS BIGINT))) AS ix FROM bx),
+     ce AS (SELECT iy, ix, round(y0 + iy * 1e-1, 2) AS lat, round(x0 + ix * 1e-1, 2) AS lon FROM bx, yy, xx),
+     ne AS (SELECT s.iy, s.ix, s.lat, s.lon, n.node_id, n.lat AS nlat, n.lon AS nlon, {KM} AS d,
+       row_number() OVER (PARTITION BY s.iy, s.ix ORDER BY round({KM} / 1e-3), n.node_id) AS r FROM ce s CROSS JOIN v_nodes n WHERE n.wet = 1),
+     nb AS (SELECT *, r <= 8 AND d <= 20 AS cl FROM ne WHERE r <= 16),
+     ns AS (SELECT *, bool_or(cl AND nlat >= lat AND nlon >= lon) OVER c AND bool_or(cl AND nlat >= lat AND nlon <= lon) OVER c
+       AND bool_or(cl AND nlat <= lat AND nlon >= lon) OVER c AND bool_or(cl AND nlat <= lat AND nlon <= lon) OVER c AS inside, min(d) OVER c AS dm FROM nb WINDOW c AS (PARTITION BY iy, ix)),
+     wt AS (SELECT iy, ix, node_id, CASE WHEN dm = 0 THEN CASE WHEN d = 0 THEN 1e0 ELSE 0e0 END ELSE 1 / (d * d) END AS w FROM ns WHERE cl OR NOT inside),
+     hv AS (SELECT iy, ix, t, {", ".join(f"sum(w * value) FILTER (vi = {i} AND value IS NOT NULL) / sum(w) FILTER (vi = {i} AND value IS NOT NULL) AS {n}" for i, n in enumerate(grids.SURFACE))}
+       FROM wt JOIN fv USING (node_id) WHERE w > 0 GROUP BY 1, 2, 3)"""
+
+
+def _surface(spark, sf_dir):
     nodes = view(spark, sf_dir, "v_nodes")
-    values = nodes.select(
-        "node_id", F.lit(0).alias("layer"), F.lit("temp").alias("var"), (F.col("h") + F.col("lat")).alias("value")
+    hr, vi, i = F.col("hr"), F.col("vi"), F.col("node_id")
+    steps = nodes.withColumn("hr", F.explode(F.sequence(F.lit(0), F.lit(47)))).withColumn("vi", F.explode(F.sequence(F.lit(0), F.lit(4))))
+    value = F.col("h") * (vi + 1) / 10 + F.col("lat") + hr * (vi - 2) / 100.0 - i % 13 * (vi % 2) / 10.0
+    values = steps.select(
+        "node_id",
+        F.lit(0).alias("layer"),
+        F.timestamp_seconds(F.lit(1704067200) + hr * 3600).alias("ts"),
+        F.element_at(F.array(*[F.lit(n) for n in grids.SURFACE]), vi + 1).alias("var"),
+        F.when((i * 7 + hr * 3 + vi) % 11 != 0, value).alias("value"),
     )
     targets = spatial.regular_lattice(nodes, step=0.1)
-    return grids.surface_products(values, nodes, targets, variable="temp", radius_km=20.0)
+    return grids.surface_products(values, nodes, targets, radius_km=20.0, resolution_km=1e-3)
+
+
+@query(
+    "grd11_surface_products",
+    f"WITH {_SURF}, {_CELLS} SELECT iy, ix, t, {', '.join(f'round({n}, 5) AS {n}' for n in grids.SURFACE)}, round(sqrt(ssu * ssu + ssv * ssv), 5) AS speed FROM hv",
+)
+def _grd11(spark, sf_dir):
+    """Hourly surface fields of five variables on the lattice, and the current's speed."""
+    names = [*grids.SURFACE, "speed"]
+    return _surface(spark, sf_dir).select("iy", "ix", secs("ts", "t"), *[F.round(n, 5).alias(n) for n in names])
+
+
+@query(
+    "grd11_surface_daily",
+    f"""WITH {_SURF}, {_CELLS}, dy AS (SELECT iy, ix, CAST(floor(t / 86400) AS BIGINT) AS day, {', '.join(f'avg({n}) AS {n}' for n in grids.SURFACE)} FROM hv GROUP BY 1, 2, 3)
+      SELECT iy, ix, day, {', '.join(f'round({n}, 5) AS {n}' for n in grids.SURFACE)}, round(sqrt(ssu * ssu + ssv * ssv), 5) AS speed, round(fmod(degrees(atan2(ssu, ssv)) + 360, 360), 3) AS direction FROM dy""",
+)
+def _grd11d(spark, sf_dir):
+    out = grids.daily_products(_surface(spark, sf_dir))
+    day = F.datediff("day", F.lit("1970-01-01").cast("date")).cast("bigint").alias("day")
+    return out.select("iy", "ix", day, *[F.round(n, 5).alias(n) for n in [*grids.SURFACE, "speed"]], F.round("direction", 3).alias("direction"))
 
 
 def _forecast(spark, sf_dir):

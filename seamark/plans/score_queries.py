@@ -435,7 +435,7 @@ def _agg40(spark, sf_dir):
 )
 def _win03(spark, sf_dir):
     out = fill.to_equal_interval(
-        view(spark, sf_dir, "v_series"), K, "ts", "value", step_seconds=3600
+        view(spark, sf_dir, "v_series"), K, "ts", "value", step_seconds=3600, method="linear"
     )
     return out.select(*K, secs("ts", "t"), F.round("value", 10).alias("value"))
 
@@ -506,6 +506,38 @@ def _win08(spark, sf_dir):
     return out.select(*K, secs("start_ts", "start_t"), secs("end_ts", "end_t"), r6("hours"))
 
 
+@query(
+    "win03_equal_interval_spline",
+    """WITH RECURSIVE b AS (SELECT station_id, min(t) lo, max(t) hi FROM v_series GROUP BY 1),
+    g AS (SELECT station_id, unnest(range(lo, hi + 1, 3600)) AS t FROM b),
+    l AS (SELECT g.*, value AS obs, CAST(row_number() OVER (PARTITION BY g.station_id ORDER BY g.t) AS DOUBLE) rn
+          FROM g LEFT JOIN v_series s ON s.station_id = g.station_id AND s.t = g.t),
+    kn AS (SELECT station_id, list(rn ORDER BY rn) xs, list(obs ORDER BY rn) ys, CAST(count(*) AS INTEGER) n FROM l WHERE obs IS NOT NULL GROUP BY 1),
+    hd AS (SELECT *, list_transform(range(1, n), lambda i: xs[i + 1] - xs[i]) h, list_transform(range(1, n), lambda i: (ys[i + 1] - ys[i]) / (xs[i + 1] - xs[i])) d FROM kn),
+    tri AS (SELECT *, list_transform(range(2, n), lambda i: CASE WHEN i = n - 1 THEN h[i - 1] - h[i] * h[i] / h[i - 1] ELSE h[i - 1] END) lo,
+        list_transform(range(2, n), lambda i: 2 * (h[i - 1] + h[i]) + CASE WHEN i = 2 THEN h[1] * (h[1] + h[2]) / h[2] ELSE 0 END
+          + CASE WHEN i = n - 1 THEN h[i] * (h[i] + h[i - 1]) / h[i - 1] ELSE 0 END) di,
+        list_transform(range(2, n), lambda i: CASE WHEN i = 2 THEN h[2] - h[1] * h[1] / h[2] ELSE h[i] END) up,
+        list_transform(range(2, n), lambda i: 6 * (d[i] - d[i - 1])) r FROM hd),
+    fw AS (SELECT station_id, 1 AS i, [up[1] / di[1]] AS cs, [r[1] / di[1]] AS ds FROM tri WHERE n >= 4
+      UNION ALL SELECT f.station_id, i + 1, list_append(cs, up[i + 1] / (di[i + 1] - lo[i + 1] * cs[i])), list_append(ds, (r[i + 1] - lo[i + 1] * ds[i]) / (di[i + 1] - lo[i + 1] * cs[i]))
+        FROM fw f JOIN tri USING (station_id) WHERE i < n - 2),
+    bk AS (SELECT station_id, n - 2 AS i, cs, ds, [ds[n - 2]] AS ms FROM fw JOIN tri USING (station_id) WHERE i = n - 2
+      UNION ALL SELECT station_id, i - 1, cs, ds, list_prepend(ds[i - 1] - cs[i - 1] * ms[1], ms) FROM bk WHERE i > 1),
+    mo AS (SELECT station_id, list_concat([((h[1] + h[2]) * ms[1] - h[1] * ms[2]) / h[2]], list_append(ms, ((h[n - 1] + h[n - 2]) * ms[n - 2] - h[n - 1] * ms[n - 3]) / h[n - 2])) AS m
+        FROM bk JOIN tri USING (station_id) WHERE i = 1
+      UNION ALL SELECT station_id, CASE n WHEN 3 THEN list_transform([1, 2, 3], lambda i: 2 * (d[2] - d[1]) / (xs[3] - xs[1])) ELSE [0e0, 0e0] END FROM hd WHERE n < 4),
+    w AS (SELECT l.*, count(obs) OVER (PARTITION BY station_id ORDER BY rn) j FROM l),
+    e AS (SELECT w.*, xs[j] x0, xs[j + 1] x1, ys[j] y0, ys[j + 1] y1, m[j] m0, m[j + 1] m1, xs[j + 1] - xs[j] q FROM w JOIN kn USING (station_id) JOIN mo USING (station_id))
+    SELECT station_id, t, round(CASE WHEN obs IS NOT NULL THEN obs WHEN rn - x0 <= 6 THEN (m0 * (x1 - rn) ** 3 + m1 * (rn - x0) ** 3) / (6 * q)
+      + (y0 / q - m0 * q / 6) * (x1 - rn) + (y1 / q - m1 * q / 6) * (rn - x0) END * sqrt(2e0), 6) AS scaled_value FROM e""",
+)
+def _win03s(spark, sf_dir):
+    out = fill.to_equal_interval(view(spark, sf_dir, "v_series"), K, "ts", "value", step_seconds=3600)
+    scaled = F.round(F.col("value") * F.sqrt(F.lit(2.0)), 6)
+    return out.select(*K, secs("ts", "t"), scaled.alias("scaled_value"))
+
+
 @query(
     "win03_equal_interval_cubic",
     """WITH b AS (SELECT station_id, min(t) lo, max(t) hi FROM v_series GROUP BY 1),

@@ -147,7 +147,7 @@ def _scl05(spark, sf_dir):
 
 
 # Domains: a concave ring and a triangle per supplier, from its key.
-_RINGS = """rg AS (SELECT s_suppkey AS domain, 0 AS ring, 30 + (s_suppkey * 17 % 47) / 1e1 AS cy, -80 + (s_suppkey * 29 % 97) / 1e1 AS cx FROM supplier),
+_RINGS = """rg AS (SELECT s_suppkey AS domain, 0 AS ring, 30 + (s_suppkey * 17 % 47) / 1e1 AS cy, -80 + (s_suppkey * 29 % 97) / 1e1 + floor(s_suppkey / 100) % 25 * 10 AS cx FROM supplier),
  vx AS (SELECT domain, i, cx + dx AS x, cy + dy AS y FROM rg, (VALUES (0, -3e-1, -2e-1), (1, 35e-2, -25e-2), (2, 5e-2, 1e-2), (3, 4e-1, 3e-1), (4, -2e-1, 25e-2)) p(i, dx, dy)),
  ed AS (SELECT a.domain, a.i, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2 FROM vx a JOIN vx b ON a.domain = b.domain AND b.i = (a.i + 1) % 5)"""
 _INSIDE = """ins AS (SELECT s.station_id, e.domain FROM v_stations s JOIN ed e ON (e.y1 > s.lat) <> (e.y2 > s.lat)
@@ -158,7 +158,7 @@ def _edges(spark, sf_dir):
     # Corner offsets (x, y) of the demo domain.
     shape = [(-0.3, -0.2), (0.35, -0.25), (0.05, 0.01), (0.4, 0.3), (-0.2, 0.25)]
     key = F.col("s_suppkey")
-    cy, cx = 30 + (key * 17 % 47) / 10.0, -80 + (key * 29 % 97) / 10.0
+    cy, cx = 30 + (key * 17 % 47) / 10.0, -80 + (key * 29 % 97) / 10.0 + F.floor(key / 100) % 25 * 10
     rings = table(spark, sf_dir, "supplier").select(
         key.alias("domain"),
         F.lit(0).alias("ring"),

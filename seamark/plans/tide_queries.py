@@ -238,10 +238,32 @@ def _flt12(spark, sf_dir):
     )
 
 
-def _solution(spark, sf_dir, names=None, column="obs"):
+def _solution(spark, sf_dir, names=None, column="obs", trend=False):
     s = _levels(spark, sf_dir, column)
     chosen = tides.resolvable(tides.spans(s, K), K, names)
-    return tides.harmonic_analysis(s, K, chosen, epoch_seconds=T0), chosen
+    return tides.harmonic_analysis(s, K, chosen, epoch_seconds=T0, trend=trend), chosen
+
+
+SPEEDS = {"M2": 28.9841042, "K1": 15.0410686}
+
+
+def _fit_sql(source: str, values: list[str], names: tuple[str, ...] = ("M2", "K1")) -> str:
+    """CTEs ``fit`` (station_id, mid, x): least squares of the value columns of ``source`` on
+    1, trend, cos and sin, solved by elimination; x[i][j] is unknown i of value j."""
+    h = f"((t - {T0}) / 3600)"
+    terms = ["1e0", f"({h} - mid) / 1000"]
+    for n in names:
+        terms += [f"cos(radians({SPEEDS[n]}e0 * {h}))", f"sin(radians({SPEEDS[n]}e0 * {h}))"]
+    p = len(terms)
+    valid = " AND ".join(f"{v} IS NOT NULL" for v in values)
+    columns = ", ".join(f"{t} AS x{i}" for i, t in enumerate(terms))
+    rows = ", ".join("[" + ", ".join([f"sum(x{i} * x{j})" for j in range(p)] + [f"sum(x{i} * {v})" for v in values]) + "]" for i in range(p))
+    return f"""ms AS (SELECT station_id, (min(t) + max(t)) / 2 / 3600 - {T0} / 3600 AS mid FROM {source} WHERE {valid} GROUP BY 1),
+      ds AS (SELECT station_id, mid, {", ".join(values)}, {columns} FROM {source} JOIN ms USING (station_id) WHERE {valid}),
+      el AS (SELECT station_id, any_value(mid) AS mid, 1 AS k, [{rows}] AS m FROM ds GROUP BY 1
+        UNION ALL SELECT station_id, mid, k + 1, list_transform(m, lambda r, i: CASE WHEN i = k THEN list_transform(r, lambda x: x / r[k])
+          ELSE list_transform(r, lambda x, j: x - r[k] * m[k][j] / m[k][k]) END) FROM el WHERE k <= {p}),
+      fit AS (SELECT station_id, mid, list_transform(m, lambda r: r[{p + 1}:]) AS x FROM el WHERE k = {p + 1})"""
 
 
 # One constituent: the 3 x 3 normal equations solved by Cramer's rule.
@@ -297,9 +319,24 @@ def _har01n(spark, sf_dir):
     )
 
 
+@query(
+    "har01_harmonic_trend",
+    f"""WITH RECURSIVE {_SPAN}, {_fit_sql("v_tide", ["obs"])}, n(constituent, i, speed) AS (VALUES ('M2', 3, 28.9841042e0), ('K1', 5, 15.0410686e0))
+     SELECT station_id, constituent, round(sqrt(x[i][1] ** 2 + x[i + 1][1] ** 2), 5) AS amplitude,
+       round(x[1][1], 5) AS mean, round(x[2][1], 4) AS slope_per_1000_hours
+     FROM fit JOIN sp USING (station_id), n WHERE span_hours >= 360 / 15.0410686e0 AND span_hours >= 360 * 9e-1 / (28.9841042e0 - 15.0410686e0)""",
+)
+def _har01t(spark, sf_dir):
+    sol, chosen = _solution(spark, sf_dir, ["M2", "K1"], trend=True)
+    both = chosen.groupBy(*K).count().filter("count = 2")
+    return sol.join(both, K, "left_semi").select(
+        *K, "constituent", F.round("amplitude", 5).alias("amplitude"), F.round("mean", 5).alias("mean"), F.round(F.col("slope") * 1000, 4).alias("slope_per_1000_hours")
+    )
+
+
 @query("har01_harmonic_analysis_full")
 def _har01f(spark, sf_dir):
-    sol, _ = _solution(spark, sf_dir)
+    sol, _ = _solution(spark, sf_dir, trend=True)
     return sol
 
 
@@ -456,6 +493,44 @@ def _har08(spark, sf_dir):
     return out.select(*K, "constituent", r6("major"), r6("minor"))
 
 
+_UV = """uv AS (SELECT station_id, t, obs_speed * sin(radians(obs_dir)) AS u, obs_speed * cos(radians(obs_dir)) AS v FROM v_currents)"""
+
+
+@query(
+    "har08_current_harmonics",
+    f"""WITH RECURSIVE {_UV}, {_fit_sql("uv", ["u", "v"])}, n(constituent, i) AS (VALUES ('M2', 3), ('K1', 5)),
+     l AS (SELECT station_id FROM uv WHERE u IS NOT NULL GROUP BY 1 HAVING max(t) - min(t) >= 3600 * 360 / 15.0410686e0),
+     ab AS (SELECT station_id, constituent, x[i][1] AS ac, x[i + 1][1] AS sc, x[i][2] AS cv, x[i + 1][2] AS sv FROM fit JOIN l USING (station_id), n),
+     w AS (SELECT *, sqrt(((ac + sv) / 2) ** 2 + ((cv - sc) / 2) ** 2) AS p, sqrt(((ac - sv) / 2) ** 2 + ((cv + sc) / 2) ** 2) AS q FROM ab)
+     SELECT station_id, constituent, round(p + q, 5) AS major, round(p - q, 5) AS minor FROM w""",
+)
+def _har08h(spark, sf_dir):
+    s, d = F.col("obs_speed"), F.col("obs_dir")
+    uv = view(spark, sf_dir, "v_currents").select(*K, "ts", angles.east(s, d).alias("u"), angles.north(s, d).alias("v"))
+    chosen = tides.resolvable(tides.spans(uv, K, value="u"), K, ["M2", "K1"])
+    both = chosen.groupBy(*K).count().filter("count = 2")
+    out = tides.current_ellipses(uv, K, chosen.join(both, K, "left_semi"), epoch_seconds=T0)
+    return out.select(*K, "constituent", F.round("major", 5).alias("major"), F.round("minor", 5).alias("minor"))
+
+
+@query(
+    "har09_station_residual",
+    f"""WITH RECURSIVE {_SPAN}, {_fit_sql("v_tide", ["obs"], ("M2",))}
+     SELECT v.station_id, v.t, round(x[1][1] + x[2][1] * ((t - {T0}) / 3600 - mid) / 1000 + x[3][1] * cos(radians(28.9841042e0 * ((t - {T0}) / 3600)))
+       + x[4][1] * sin(radians(28.9841042e0 * ((t - {T0}) / 3600))), 5) AS tide,
+       round(obs - (x[1][1] + x[2][1] * ((t - {T0}) / 3600 - mid) / 1000 + x[3][1] * cos(radians(28.9841042e0 * ((t - {T0}) / 3600)))
+       + x[4][1] * sin(radians(28.9841042e0 * ((t - {T0}) / 3600)))), 5) AS residual
+     FROM v_tide v JOIN fit USING (station_id) JOIN sp USING (station_id) WHERE span_hours >= 360""",
+)
+def _har09r(spark, sf_dir):
+    """Analyse long records, predict with constituents of SNR 2 or more, and take the residual."""
+    obs = _levels(spark, sf_dir, "obs")
+    long_enough = tides.spans(obs, K).filter("span_hours >= 360")
+    sol = tides.harmonic_analysis(obs, K, tides.resolvable(long_enough, K, ["M2"]), epoch_seconds=T0)
+    out = tides.predict(obs, sol, K, epoch_seconds=T0, min_snr=2.0)
+    return out.select(*K, secs("ts", "t"), F.round("tide", 5).alias("tide"), F.round(F.col("value") - F.col("tide"), 5).alias("residual"))
+
+
 @query("har09_station_tidal_analysis")
 def _har09(spark, sf_dir):
     """Equal interval, solve once, predict, residual, table and summary for all stations."""

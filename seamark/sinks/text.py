@@ -150,16 +150,26 @@ def write_ascii(grid: DataFrame, path: str, keys: Sequence[str], **names) -> Non
     )
 
 
-def grid_json(grid: DataFrame, keys: Sequence[str] = ("source", "ts"), value: str = "value") -> DataFrame:
-    """One JSON text per frame with 2-D arrays lats, lons, values (missing = null)."""
+def grid_json(
+    grid: DataFrame, keys: Sequence[str] = ("source", "ts"), value: str = "value", *, band_rows: int | None = None
+) -> DataFrame:
+    """One JSON text per frame with 2-D arrays lats, lons, values (missing = null).
+
+    A frame too large for one text is cut into bands of ``band_rows`` grid rows, with the number
+    of the ``band`` as a further key.
+    """
+    on = list(keys)
+    if band_rows is not None:
+        grid = grid.withColumn("band", F.floor(F.col("iy") / band_rows))
+        on.append("band")
     cell = F.struct("ix", "lat", "lon", F.col(value).alias("v"))
-    rows = grid.groupBy(*keys, "iy").agg(F.array_sort(F.collect_list(cell)).alias("c"))
+    rows = grid.groupBy(*on, "iy").agg(F.array_sort(F.collect_list(cell)).alias("c"))
     row = F.struct(
         F.col("iy"), F.col("c.lat").alias("lats"), F.col("c.lon").alias("lons"), F.col("c.v").alias("vals")
     )
-    frames = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(row)).alias("r"))
+    frames = rows.groupBy(*on).agg(F.array_sort(F.collect_list(row)).alias("r"))
     text = F.to_json(
         F.struct(F.col("r.lats").alias("lats"), F.col("r.lons").alias("lons"), F.col("r.vals").alias("values")),
         {"ignoreNullFields": "false"},
     )
-    return frames.select(*keys, text.alias("json"))
+    return frames.select(*on, text.alias("json"))

@@ -32,11 +32,15 @@ def append_new(
     *,
     checkpoint: str,
     transform: Callable[[DataFrame], DataFrame] = lambda df: df,
+    day_of: str | None = None,
+    seq: str | None = None,
 ) -> StreamingQuery:
     """Append rows whose key the Parquet table lacks.
 
     A batch that is run again after a failure finds its own rows already there
-    and adds nothing.
+    and adds nothing.  With ``day_of``, a time column of the key, the table is partitioned by
+    its day and a batch reads only the days it holds.  ``seq`` orders rows of one key within
+    a batch; the first is kept.
     """
 
     def write(batch: DataFrame, _: int) -> None:
@@ -44,11 +48,14 @@ def append_new(
         new = transform(batch)
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
         fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        if fs.exists(path):
-            new = insert_or_ignore(spark.read.parquet(target), new, keys)
-        else:
-            new = new.dropDuplicates(list(keys))
-        new.write.mode("append").parquet(target)
+        table = spark.read.parquet(target) if fs.exists(path) else new.limit(0)
+        if day_of is not None:
+            new = new.withColumn("day", F.to_date(day_of))
+            days = [r["day"] for r in new.select("day").distinct().collect()]
+            table = table.filter(F.col("day").isin(days)) if "day" in table.columns else table
+        new = insert_or_ignore(table, new, keys, seq)
+        writer = new.write.mode("append")
+        (writer.partitionBy("day") if day_of is not None else writer).parquet(target)
 
     return (
         rows.writeStream.foreachBatch(write)

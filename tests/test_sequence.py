@@ -66,7 +66,7 @@ def test_bounded_fill_matches_pandas(series, chunk):
 
 def test_equal_interval_fills_up_to_the_gap_limit(series):
     vals = [1.0] + [None] * 8 + [10.0]
-    out = fill.to_equal_interval(series(vals), K, "ts", "value", step_seconds=3600, max_gap_hours=6)
+    out = fill.to_equal_interval(series(vals), K, "ts", "value", step_seconds=3600, max_gap_hours=6, method="linear")
     got = column(out, "value")
     assert got[:7] == pytest.approx([1, 2, 3, 4, 5, 6, 7])
     assert got[7] is None and got[8] is None and got[9] == 10
@@ -87,6 +87,46 @@ def test_cubic_fill_follows_a_smooth_curve(series):
     assert column(out, "value") == pytest.approx([0, 1, 2, 3, 4, 5, 6])
 
 
+def test_spline_reproduces_a_cubic_and_stays_inside(series):
+    t = np.arange(40.0)
+    y = 0.01 * t**3 - 0.2 * t**2 + t
+    vals = [None if i in (0, 5, 6, 7, 20, 21, 39) else float(v) for i, v in enumerate(y)]
+    got = column(fill.to_equal_interval(series(vals), K, "ts", "value", step_seconds=3600), "value")
+    assert got[0] is None and got[39] is None
+    assert got[1:39] == pytest.approx(y[1:39])
+    long = [0.0, 1.0, 0.0] + [None] * 8 + [3.0, 1.0]
+    got = column(fill.to_equal_interval(series(long), K, "ts", "value", step_seconds=3600), "value")
+    assert all(v is not None for v in got[3:9]) and got[9] is None and got[10] is None
+
+
+def test_spline_of_few_knots(series):
+    for vals, want in (([1.0, None, 3.0], [1, 2, 3]), ([0.0, None, 4.0, 9.0], [0, 1, 4, 9]), ([None, 5.0, None], [None, 5, None])):
+        got = column(fill.to_equal_interval(series(vals), K, "ts", "value", step_seconds=3600), "value")
+        assert got == pytest.approx(want)
+
+
+def test_spline_in_groups_of_knots_equals_one_solution(series, monkeypatch):
+    rng = np.random.default_rng(8)
+    vals = [None if i and i < 499 and rng.random() < 0.3 else float(rng.normal()) for i in range(500)]
+    whole = column(fill.to_equal_interval(series(vals), K, "ts", "value", step_seconds=3600), "value")
+    monkeypatch.setattr(fill, "KNOTS", 40)
+    parts = column(fill.to_equal_interval(series(vals), K, "ts", "value", step_seconds=3600, chunk_seconds=50 * 3600), "value")
+    np.testing.assert_allclose(np.array(parts, float), np.array(whole, float), atol=1e-9)
+
+
+def test_places_in_the_order_of_all_rows(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, float(rng.integers(0, 40))) for i in range(1000)]
+    got = sequence.placed(spark.createDataFrame(rows, "id int, v double").repartition(5), ["v", "id"]).collect()
+    want = {i: k + 1 for k, (i, _) in enumerate(sorted(rows, key=lambda r: (r[1], r[0])))}
+    assert {r["id"]: r["place"] for r in got} == want
+
+
+def test_group_median_counts_values(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 5), ("a", 5), ("a", 9), ("b", 2), ("b", 3), ("b", None), ("c", None)], "k string, v int")
+    assert {r["k"]: r["m"] for r in sequence.group_median(df, ["k"], "v", "m").collect()} == {"a": 5.0, "b": 2.5, "c": None}
+
+
 def test_median_interval_and_gaps(series):
     df = series([1, 2, 3, None, 5, 6])
     holes = df.filter("value IS NOT NULL")
@@ -216,6 +256,13 @@ def test_lowpass_equals_the_full_transform(series):
             np.testing.assert_allclose(column(out, "lowpass"), want, atol=1e-9)
 
 
+def test_lowpass_refuses_gaps(series):
+    for vals in ([1.0, None, 2.0], None):
+        df = series([1.0, 2.0, 3.0]).filter("value <> 2") if vals is None else series(vals)
+        with pytest.raises(Exception, match="without gaps"):
+            tides.fourier_lowpass(df, K, step_seconds=3600).collect()
+
+
 def test_keep_first_last_and_unique(spark):
     df = spark.createDataFrame([("a", 1, 10.0), ("a", 2, 20.0), ("b", 3, 30.0)], "k string, seq int, v double")
     assert {r["v"] for r in sequence.keep_first(df, ["k"], ["seq"]).collect()} == {10.0, 30.0}

@@ -39,6 +39,45 @@ def test_prediction_reproduces_the_signal(tide):
     assert few.agg(F.max(F.abs(F.col("tide") - 1.0))).first()[0] < 1e-6
 
 
+def test_trend_is_told_from_slow_constituents(series):
+    t = np.arange(200 * 24.0)
+    y = 2.0 + 0.001 * t + 0.5 * np.cos(np.radians(28.9841042 * t - 45))
+    df = series(y)
+    chosen = tides.resolvable(tides.spans(df, K), K, ["M2", "SSA"])
+    sol = tides.harmonic_analysis(df, K, chosen, epoch_seconds=T0)
+    out = {r["constituent"]: r for r in sol.collect()}
+    assert out["M2"]["slope"] == pytest.approx(0.001, rel=1e-3) and out["SSA"]["amplitude"] < 1e-3
+    assert out["M2"]["mean"] == pytest.approx(2.0 + 0.001 * out["M2"]["mid"], abs=1e-3)
+    tide = tides.predict(df, sol, K, epoch_seconds=T0)
+    assert tide.agg(F.max(F.abs(F.col("tide") - F.col("value")))).first()[0] < 1e-3
+    flat = tides.harmonic_analysis(df, K, chosen, epoch_seconds=T0, trend=False).first()
+    assert flat["slope"] == 0.0
+
+
+def test_matrices_follow_chunks_not_partitions(spark):
+    """Interleaved series cost one matrix a series and chunk."""
+    rows = [(i % 50, T0 + (i // 50) * 3600, float(i % 7)) for i in range(50 * 800)]
+    df = spark.createDataFrame(rows, "station_id int, t long, value double").selectExpr("station_id", "timestamp_seconds(t) AS ts", "value").repartition(8)
+    chosen = tides.resolvable(tides.spans(df, K), K, ["M2"])
+    month = 30 * 86400
+    chunks = {(k, t // month) for k, t, _ in rows}
+    whole = tides.normal_matrices(df, K, chosen, epoch_seconds=T0)
+    plan = whole._jdf.queryExecution().executedPlan().toString()
+    assert whole.count() == 50 and len(chunks) <= 100
+    assert "MapInPandas" not in plan and plan.count("FlatMapCoGroupsInPandas") == 1
+
+
+def test_current_harmonics_share_one_matrix(series):
+    t = np.arange(40 * 24.0)
+    u = 0.3 + 0.8 * np.cos(np.radians(28.9841042 * t - 30))
+    v = 0.4 * np.cos(np.radians(28.9841042 * t - 120))
+    df = series(u, column="u").join(series(v, column="v"), ["station_id", "ts"])
+    chosen = tides.resolvable(tides.spans(df, K, value="u"), K, ["M2"])
+    e = tides.current_ellipses(df, K, chosen, epoch_seconds=T0).first()
+    assert (e["major"], abs(e["minor"])) == pytest.approx((0.8, 0.4), abs=1e-5)
+    assert np.sin(np.radians(e["theta"])) == pytest.approx(0, abs=1e-5)  # 0 and 180 are one axis
+
+
 def test_same_speed_constituents_collapse(spark):
     span = spark.createDataFrame([("a", 24.0 * 3650)], "station_id string, span_hours double")
     got = {r["constituent"] for r in tides.resolvable(span, K).collect()}

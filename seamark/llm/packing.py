@@ -66,6 +66,7 @@ class Encoder:
         getattr(self.tokenizer.model, "_resize_cache", lambda _: None)(0)
         self.memo: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}  # the memo before; what is met again moves over
+        self.marks = dict(zip(",.", self.whole([",", "."])))
         vocabulary = self.tokenizer.get_vocab()
         self.begins = {}
         for mark in (SPACE, FEED):
@@ -89,6 +90,16 @@ class Encoder:
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def extended(self, word: str) -> bool:
+        """Take a known word that ends in a letter, and the comma or full stop after it, which is a match of its own."""
+        mark = self.marks.get(word[-1])
+        if mark is None or not word[-2:-1].isalpha() or word[-2] >= "\u0250":
+            return False
+        known = self.memo.get(word[:-1]) or self.old.get(word[:-1])
+        if known:
+            self.memo[word] = known + mark
+        return bool(known)
+
     def look_up(self, words: list[str]) -> list[bytes]:
         """Ids of words that each follow a space, or begin with a line feed that stands alone."""
         found = list(map(self.memo.get, words))
@@ -99,7 +110,7 @@ class Encoder:
                 self.old, self.memo = self.memo, {}
             again = new & self.old.keys()
             self.memo.update(zip(again, map(self.old.__getitem__, again)))
-            self.learn(list(new - again))
+            self.learn([w for w in new - again if not self.extended(w)])
             for i in lacking:
                 found[i] = self.memo[words[i]]
         return found

@@ -74,7 +74,20 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(read(spark, sf_dir, "embeddings"))
 
 
-@query("op6_line_dedup")
+@query(
+    "op6_line_dedup",
+    r"""
+    WITH l AS (
+        SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS i FROM documents
+    ),
+    k AS (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+    r AS (SELECT key, max(doc_id) AS keep FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+    d AS (SELECT doc_id, i, line, r.key IS NOT NULL AND doc_id <> keep AS gone FROM k LEFT JOIN r USING (key))
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+    FROM d GROUP BY doc_id
+    """,
+)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return lines.dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -90,12 +103,41 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(read(spark, sf_dir, "documents"))
 
 
-@query("op9_ngram_jaccard_join")
+@query(
+    "op9_ngram_jaccard_join",
+    r"""
+    WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+    s AS (
+        SELECT DISTINCT doc_id, shingle FROM (
+            SELECT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+                ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS shingle FROM w
+        )
+    ),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+    c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+    k AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE shared / (x.n + y.n - shared) >= 8e-1),
+    g AS (SELECT a, b FROM k UNION SELECT g.a, k.b FROM g JOIN k ON g.b = k.a),
+    m AS (SELECT a, min(b) AS least FROM g GROUP BY 1),
+    t AS (SELECT a, count(*) AS links FROM k GROUP BY 1)
+    SELECT doc_id, least(doc_id, coalesce(m.least, doc_id)) AS class_id, coalesce(links, 0) AS n_links
+    FROM documents LEFT JOIN m ON m.a = doc_id LEFT JOIN t ON t.a = doc_id
+    """,
+)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.similar(read(spark, sf_dir, "documents"))
 
 
-@query("op10_warc")
+@query(
+    "op10_warc",
+    """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+    f AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS first FROM p),
+    r AS (SELECT *, strlen(html) >= 100 AND first IS NOT NULL AND page_id IS DISTINCT FROM first AS again FROM f)
+    SELECT page_id, strlen(html) AS payload_bytes, sha256(html) AS payload_digest,
+        CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN first END AS refers_to
+    FROM r
+    """,
+)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = fresh_dir(spark, "warc")
     warc.write(read(spark, sf_dir, "pages"), root)

@@ -78,7 +78,8 @@ def test_registered():
 @pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
 def test_against_sql(spark, sf_dir, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    for table in ("documents", "pages"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     cur = con.execute(catalog.oracle_sql()[name])
     names = [d[0] for d in cur.description]
     assert sorted(cur.fetchall(), key=str) == sorted((tuple(r) for r in catalog.queries()[name](spark, sf_dir).select(*names).collect()), key=str)

@@ -3,21 +3,28 @@
 Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; every text ends with an end token. The
 training texts are those whose crc32 of doc_id (as text; none counts as empty) is not 0 modulo 10.
 
-The model predicts symbols: the end, the most frequent words, each its own symbol, and
-``TAILS`` classes of all other words by their look (last byte, first byte, non-ASCII or not). With
-vectors r for context symbols, q for predicted ones, matrices C for the two places before and a
-bias, the score of symbol s is ``(C1 r1 + C2 r2) . q_s + b_s``. A word's probability is its symbol's,
-normalised over all symbols, times ``(c + 0.1) / (N + 0.1 (V + 1))`` within its class, so it sums to
-one over the known words and one unknown word a class.
-
-Symbol trigrams of all training tokens are counted on Spark: ``SYMBOLS ** 3`` cells at most. They hold
-all that the objective needs, so the driver takes full-batch steps on its exact expectation
-over the noise (unigram, ``NOISE`` to one) by matrix products over all contexts. Scoring
-normalises all ``SYMBOLS ** 2`` contexts in one product and looks tokens up.
+The model has two factors, both log-bilinear and trained by noise contrast.
+
+1. Symbols: the end, the ``OWN`` most frequent words, and ``TAILS`` classes of all other words by
+   their look (last byte, first byte, non-ASCII or not). Trigrams of symbols over all training
+   tokens are counted on Spark, and the driver takes full-batch steps on the exact expectation over the
+   noise (unigram, ``NOISE`` to one).
+2. Words: ``room`` words, a number that grows with the root of the tokens, have vectors of their
+   own. All rarer words share hashed slots of their class, whose number grows alike; a slot has
+   vectors too, and a word in it its smoothed share ``(c + 0.1) / (N + 0.1 (V + 1))``, one unknown word a slot
+   included. With ``h = C1 r1 + C2 r2`` from the vectors of the two entries before, entry e is reached by
+   choices symbol, group of its class, entry of the group (``Tree``); at each, child x has the
+   probability ``p(x) exp(h . q_x + b_x)``, normalised over all children, where p is factor 1 at the root and
+   the share of training tokens below. So the probabilities sum to one over all words.
+
+Factor 2 is trained on every training token in Spark tasks (``train_words``). The noise of a choice is
+p, ``NOISE`` to one, and its expectation over all children is exact, as in factor 1. In each of ``ROUNDS`` rounds every
+task steps over its share of the texts from the same parameters, and the moves are averaged row by
+row, weighted by the squared gradients that the row met.
 
 Word counts are exact over the whole training text. Counts and lookups travel as arrays in
 buckets of the hash range (a 59-bit hash and 5 bits of class), a number that follows the input.
-The end and words above a count that at most ``KNOWN`` words reach are broadcast and looked up in place, so no
+The end and words above a count that at most ``KNOWN`` words (or ``room``, if more) reach are broadcast and looked up in place, so no
 bucket is filled by one frequent word; the others meet their counts in their bucket.
 
 Null texts count as empty: one end token. Each row is scored by itself, repeated rows too. Other
@@ -26,6 +33,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -42,6 +50,9 @@ SYMBOLS, TAILS, WIDTH = 128, 20, 24
 OWN = SYMBOLS - TAILS - 1
 END = SYMBOLS - 1
 KNOWN = 1 << 16
+DEPTH = 24  # of the vectors of words
+LEAST = 8  # count from which a word has vectors of its own
+ROUNDS, BATCH, CACHED, WORD_RATE, CALM = 4, 1 << 16, 1 << 10, 0.1, 1.0
 ALPHA = 0.1
 NOISE, STEPS, RATE = 8, 160, 0.05
 BUCKET_BYTES = 8 << 20
@@ -123,17 +134,32 @@ def magnitude(counts: np.ndarray) -> np.ndarray:
     return (8 * np.log2(counts)).astype(np.int64)
 
 
+def room(n: int) -> int:
+    """Words with vectors of their own after ``n`` training tokens."""
+    return max(1 << 10, int(8 * n**0.5))
+
+
+def slot_of(keys: np.ndarray, slots: int) -> np.ndarray:
+    """Slot of a word among ``slots`` of each class."""
+    return (keys & U(31)).astype(np.int64) * slots + ((keys >> CLASS_BITS) % U(slots)).astype(np.int64)
+
+
 @dataclass
 class Vocabulary:
-    """Totals of the training tokens, and the frequent words with counts and symbols."""
+    """Totals of the training tokens, and the frequent words with counts and entries.
+
+    Entries are the symbols, then words with vectors of their own, then slots. ``mass`` is an
+    entry's smoothed count (0 for symbols), ``look`` its class.
+    """
 
     n: int
     distinct: int
     keys: np.ndarray
     counts: np.ndarray
-    symbol: np.ndarray
-    class_n: np.ndarray
-    class_distinct: np.ndarray
+    entry: np.ndarray  # -1: in a slot
+    slots: int
+    mass: np.ndarray
+    look: np.ndarray
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(found, place) of keys among the frequent words."""
@@ -142,9 +168,12 @@ class Vocabulary:
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         return self.keys[at] == keys, at
 
-    def symbols(self, keys: np.ndarray, found: np.ndarray, at: np.ndarray) -> np.ndarray:
-        look = OWN + (keys & U(31)).astype(np.int64)
-        return np.where(found & (self.symbol[at] >= 0), self.symbol[at], look) if len(self.keys) else look
+    def entries(self, keys: np.ndarray, found: np.ndarray, at: np.ndarray) -> np.ndarray:
+        slot = len(self.mass) - TAILS * self.slots + slot_of(keys, self.slots)
+        return np.where(found & (self.entry[at] >= 0), self.entry[at], slot) if len(self.keys) else slot
+
+    def symbols(self, entries: np.ndarray) -> np.ndarray:
+        return np.where(entries < SYMBOLS, entries, OWN + self.look[entries])
 
 
 def vocabulary(counted: DataFrame) -> Vocabulary:
@@ -152,16 +181,20 @@ def vocabulary(counted: DataFrame) -> Vocabulary:
         for batch in batches:
             for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
                 k, c = np.frombuffer(a, "<u8"), np.frombuffer(b, "<i8")
-                cell = (k & U(31)).astype(np.int64) << 16 | magnitude(c)
-                cells, at = np.unique(cell, return_inverse=True)
+                cells, at = np.unique(magnitude(c), return_inverse=True)
                 yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(np.bincount(at)), pa.array(np.bincount(at, c).astype(np.int64))], ["cell", "words", "tokens"])
 
     size = counted.mapInArrow(sizes, "cell long, words long, tokens long").groupBy("cell").agg(F.sum("words").alias("words"), F.sum("tokens").alias("tokens")).toPandas()
-    cell, words, tokens = (size[c].to_numpy(np.int64) for c in ("cell", "words", "tokens"))
-    look, step = cell >> 16, cell & 0xFFFF
-    by_step = np.bincount(step, words) if len(step) else np.zeros(1)
-    enough = np.flatnonzero(np.cumsum(by_step[::-1])[::-1] <= KNOWN)
-    least = int(enough[0]) if len(enough) else len(by_step)
+    step, words, tokens = (size[c].to_numpy(np.int64) for c in ("cell", "words", "tokens"))
+    n = int(tokens.sum())
+    above = np.cumsum(np.bincount(step, words)[::-1])[::-1] if len(step) else np.zeros(1)
+
+    def least_for(most: int) -> int:
+        enough = np.flatnonzero(above <= most)
+        return int(enough[0]) if len(enough) else len(above)
+
+    least, own = least_for(max(KNOWN, room(n))), max(least_for(room(n)), int(magnitude(np.array([LEAST]))[0]))
+    slots = -(-room(n) // (4 * TAILS))
 
     def frequent(batches):
         for batch in batches:
@@ -170,32 +203,49 @@ def vocabulary(counted: DataFrame) -> Vocabulary:
                 top = (magnitude(c) >= least) | (k == END_KEY)
                 yield pa.RecordBatch.from_arrays([pa.array(k[top].view(np.int64)), pa.array(c[top])], ["k", "c"])
 
+    def rest(batches):
+        for batch in batches:
+            for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+                k, c = np.frombuffer(a, "<u8"), np.frombuffer(b, "<i8")
+                few = (magnitude(c) < own) & (k != END_KEY)
+                cells, at = np.unique(slot_of(k[few], slots), return_inverse=True)
+                yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(np.bincount(at, minlength=len(cells))), pa.array(np.bincount(at, c[few], len(cells)).astype(np.int64))], ["cell", "words", "tokens"])
+
     top = counted.mapInArrow(frequent, "k long, c long").toPandas()
     keys, counts = top["k"].to_numpy(np.int64).view(U), top["c"].to_numpy(np.int64)
     order = np.argsort(keys)
     keys, counts = keys[order], counts[order]
-    symbol = np.full(len(keys), -1)
-    class_n, class_distinct = np.bincount(look, tokens, 32), np.bincount(look, words, 32)
-    best = [i for i in np.lexsort([keys, -counts]) if keys[i] != END_KEY][:OWN]
-    for s, i in enumerate(best):
-        symbol[i] = s
-        class_n[int(keys[i] & U(31))] -= counts[i]
-        class_distinct[int(keys[i] & U(31))] -= 1
-    return Vocabulary(int(tokens.sum()), int(words.sum()), keys, counts, symbol, class_n[:TAILS], class_distinct[:TAILS])
-
-
-def sequences(w: W.Words, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(context, symbol, row) of every token, ends included; a context is a pair of symbols."""
+    low = counted.mapInArrow(rest, "cell long, words long, tokens long").groupBy("cell").agg(F.sum("words").alias("words"), F.sum("tokens").alias("tokens")).toPandas()
+    slot_n, slot_words = np.zeros(TAILS * slots), np.zeros(TAILS * slots)
+    slot_n[low["cell"].to_numpy(np.int64)], slot_words[low["cell"].to_numpy(np.int64)] = low["tokens"], low["words"]
+    entry = np.full(len(keys), -1)
+    order = [i for i in np.lexsort([keys, -counts]) if keys[i] != END_KEY]
+    entry[order[:OWN]] = np.arange(min(OWN, len(order)))
+    entry[keys == END_KEY] = END
+    for i in order[:OWN]:
+        if magnitude(counts[i : i + 1])[0] < own:
+            slot = slot_of(keys[i : i + 1], slots)
+            slot_n[slot] -= counts[i]
+            slot_words[slot] -= 1
+    mine = np.array([i for i in order[OWN:] if magnitude(counts[i : i + 1])[0] >= own], np.int64)
+    entry[mine] = SYMBOLS + np.arange(len(mine))
+    mass = np.concatenate([np.zeros(SYMBOLS), counts[mine] + ALPHA, slot_n + ALPHA * (slot_words + 1)])
+    look = np.concatenate([np.zeros(SYMBOLS, np.int64), (keys[mine] & U(31)).astype(np.int64), np.repeat(np.arange(TAILS), slots)])
+    return Vocabulary(n, int(words.sum()), keys, counts, entry, slots, mass, look)
+
+
+def sequences(w: W.Words, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(entry two before, entry before, entry, row) of every token, ends included."""
     row = np.concatenate([w.rows(), np.arange(len(w.count))])
-    place = np.concatenate([np.arange(len(symbols)) + row[: len(symbols)], w.at[1:] + np.arange(len(w.count))])
+    place = np.concatenate([np.arange(len(entries)) + row[: len(entries)], w.at[1:] + np.arange(len(w.count))])
     seq = np.full(len(place), END)
-    seq[place[: len(symbols)]] = symbols
+    seq[place[: len(entries)]] = entries
     rows = np.empty(len(place), np.int64)
     rows[place] = row
     first = np.append(True, rows[1:] != rows[:-1])[: len(rows)]
     one = np.append(END, seq[:-1])[: len(seq)]
     two = np.append(END, one[:-1])[: len(seq)]
-    return np.where(first, END, two) * SYMBOLS + one, seq, rows
+    return np.where(first, END, two), one, seq, rows
 
 
 def count_trigrams(docs: DataFrame, vocab: Vocabulary) -> np.ndarray:
@@ -208,8 +258,9 @@ def count_trigrams(docs: DataFrame, vocab: Vocabulary) -> np.ndarray:
         for batch in batches:
             for _, _, data, off in W.blocks(batch.column("text")):
                 w, keys = word_keys(data, off)
-                context, symbol, _ = sequences(w, shared.value.symbols(keys, *shared.value.find(keys)))
-                np.add.at(total, context * SYMBOLS + symbol, 1)
+                v = shared.value
+                two, one, symbol, _ = sequences(w, v.symbols(v.entries(keys, *v.find(keys))))
+                np.add.at(total, (two * SYMBOLS + one) * SYMBOLS + symbol, 1)
         some = np.flatnonzero(total)
         yield block_batch([(b, 0, x, y) for b, x, y in slices(some.astype(U), 17, total[some])])
 
@@ -278,31 +329,198 @@ def train(trigrams: np.ndarray, steps: int = STEPS, seed: int = 0) -> Bilinear:
     return model
 
 
+class Tree:
+    """The choices that lead to an entry. Node k has the rows ``first[k]`` to ``first[k + 1]``: node 0 the
+    symbols, nodes 1 to ``TAILS`` the groups of a class, all others the entries of a group."""
+
+    def __init__(self, vocab: Vocabulary):
+        groups, members = [], []
+        for c in range(TAILS):
+            own = np.flatnonzero(vocab.look[SYMBOLS:] == c) + SYMBOLS
+            own = own[np.argsort(-vocab.mass[own], kind="stable")]
+            count = int(np.ceil(len(own) ** 0.5))
+            members.append(np.array_split(own, count))
+            groups.append(np.array([vocab.mass[m].sum() for m in members[-1]]))
+        sizes = [SYMBOLS, *map(len, groups), *(len(m) for g in members for m in g)]
+        self.first = np.concatenate([[0], np.cumsum(sizes)])
+        self.node = np.repeat(np.arange(len(sizes)), sizes)
+        flat = [m for g in members for m in g]
+        mass = np.concatenate([np.ones(SYMBOLS), *groups, *(vocab.mass[m] for m in flat)])
+        self.share = (mass / np.add.reduceat(mass, self.first[:-1])[self.node]).astype(np.float32)
+        self.path = np.full((len(vocab.mass), 3), -1, np.int32)
+        self.path[:, 0] = vocab.symbols(np.arange(len(vocab.mass)))
+        for k, m in enumerate(flat):
+            self.path[m, 1] = SYMBOLS + k
+            self.path[m, 2] = np.arange(self.first[1 + TAILS + k], self.first[2 + TAILS + k])
+
+    def choices(self, entries: np.ndarray) -> Iterator[tuple[np.ndarray, int, int, np.ndarray]]:
+        """(tokens, first row, row after the last, chosen child) of every node that the entries pass, ``CACHED`` tokens at once."""
+        for depth in range(3):
+            row = self.path[entries, depth]
+            some = np.flatnonzero(row >= 0)
+            node = self.node[row[some]].astype(np.int32)
+            some = some[np.argsort(node, kind="stable")] if depth else some
+            node = self.node[row[some]]
+            edge = np.flatnonzero(np.append(True, node[1:] != node[:-1])) if len(node) else []
+            for i, j in zip(edge, [*edge[1:], len(node)]):
+                a, b = int(self.first[node[i]]), int(self.first[node[i] + 1])
+                for at in range(i, j, CACHED) if b - a > 1 else ():
+                    tokens = some[at : min(j, at + CACHED)]
+                    yield tokens, a, b, row[tokens] - a
+
+
+def averaged(parts: list[np.ndarray], weights: list[np.ndarray]) -> np.ndarray:
+    total = np.maximum(sum(weights), 1e-12)
+    return sum(p * (w / total).reshape(-1, *[1] * (p.ndim - 1)) for p, w in zip(parts, weights))
+
+
+class WordModel:
+    """Vectors of entries as context (r) and of rows of the tree (q, its last column the bias)."""
+
+    def __init__(self, vocab: Vocabulary, tree: Tree, table: np.ndarray, seed: int = 1):
+        rng = np.random.default_rng(seed)
+        self.vocab, self.tree, self.table = vocab, tree, table  # table: probability by (context, symbol)
+        self.r = rng.normal(0, 0.3, (len(vocab.mass), DEPTH)).astype(np.float32)
+        self.q = np.zeros((len(tree.share), DEPTH + 1), np.float32)
+        self.c = rng.normal(0, DEPTH**-0.5, (2 * DEPTH, DEPTH)).astype(np.float32)
+        self.met = {k: np.zeros(len(v), np.float32) for k, v in (("r", self.r), ("q", self.q), ("c", self.c))}
+
+    def context(self, two: np.ndarray, one: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(context of symbols, vectors of both entries, predicted vector and a one)."""
+        x = np.concatenate([self.r[one], self.r[two]], axis=1)
+        h = np.ones((len(one), DEPTH + 1), np.float32)
+        h[:, :DEPTH] = x @ self.c
+        return self.vocab.symbols(two) * SYMBOLS + self.vocab.symbols(one), x, h
+
+    def prior(self, context: np.ndarray, tokens: np.ndarray, a: int, b: int) -> np.ndarray:
+        return self.table[context[tokens]] if a == 0 else self.tree.share[a:b]
+
+    def log_probabilities(self, two: np.ndarray, one: np.ndarray, entries: np.ndarray) -> np.ndarray:
+        """Normalised natural logs of entries after their contexts."""
+        out = np.zeros(len(entries))
+        for at in range(0, len(entries), BATCH):
+            here = slice(at, at + BATCH)
+            context, _, h = self.context(two[here], one[here])
+            for tokens, a, b, child in self.tree.choices(entries[here]):
+                p = h[tokens] @ self.q[a:b].T
+                np.exp(p, out=p)
+                p *= self.prior(context, tokens, a, b)
+                out[at + tokens] += np.log(p[np.arange(len(child)), child]) - np.log(p.sum(axis=1))
+        return out
+
+    def move(self, name: str, rows: np.ndarray | slice, g: np.ndarray) -> None:
+        met = self.met[name]
+        met[rows] += (g * g).mean(axis=1)
+        getattr(self, name)[rows] -= WORD_RATE * g / np.sqrt(met[rows] + CALM)[:, None]
+
+    def step(self, two: np.ndarray, one: np.ndarray, entries: np.ndarray) -> None:
+        """One step on the summed gradients of some tokens."""
+        context, x, h = self.context(two, one)
+        dh, dq, touched = np.zeros_like(h), np.zeros_like(self.q), np.zeros(len(self.q), bool)
+        for tokens, a, b, child in self.tree.choices(entries):
+            own = h[tokens]
+            pull = own @ self.q[a:b].T
+            np.exp(pull, out=pull)
+            pull /= pull + np.float32(NOISE)
+            at = np.arange(len(child)), child
+            true = pull[at]
+            pull *= self.prior(context, tokens, a, b)
+            pull *= np.float32(NOISE)
+            pull[at] += true - 1
+            dq[a:b] += pull.T @ own
+            touched[a:b] = True
+            dh[tokens] += pull @ self.q[a:b]
+        dh = dh[:, :DEPTH]
+        dx = dh @ self.c.T
+        who = np.concatenate([one, two])
+        order = np.argsort(who, kind="stable")
+        who = who[order]
+        edge = np.flatnonzero(np.append(True, who[1:] != who[:-1]))
+        dr = np.add.reduceat(np.concatenate([dx[:, :DEPTH], dx[:, DEPTH:]])[order], edge)
+        rows = np.flatnonzero(touched)
+        self.move("c", slice(None), x.T @ dh)
+        self.move("q", rows, dq[rows])
+        self.move("r", who[edge], dr)
+
+
+ROWS_SENT = 1 << 14
+PARTS = {"r": DEPTH, "q": DEPTH + 1, "c": DEPTH}
+
+
+def train_words(docs: DataFrame, model: WordModel, rounds: int = ROUNDS) -> WordModel:
+    """``model`` after all tokens of ``docs``, in rounds over a part of the texts each."""
+    if not model.vocab.n:
+        return model
+    sc = docs.sparkSession.sparkContext
+    tasks = max(1, sc.defaultParallelism)
+    size = int(np.clip(model.vocab.n // (64 * tasks), 1 << 11, BATCH))
+    turn = F.pmod(F.xxhash64("text", "doc_id"), F.lit(rounds))
+
+    for k in range(rounds):
+        shared = sc.broadcast(model)
+
+        def run(batches, shared=shared):
+            old = shared.value
+            own = copy.copy(old)
+            own.r, own.q, own.c, own.met = old.r.copy(), old.q.copy(), old.c.copy(), {k: v.copy() for k, v in old.met.items()}
+            seen = False
+            for batch in batches:
+                for _, _, data, off in W.blocks(batch.column("text")):
+                    w, keys = word_keys(data, off)
+                    two, one, entries, _ = sequences(w, own.vocab.entries(keys, *own.vocab.find(keys)))
+                    for at in range(0, len(entries), size):
+                        own.step(two[at : at + size], one[at : at + size], entries[at : at + size])
+                        seen = True
+            if not seen:
+                return
+            for i, name in enumerate(PARTS):
+                gain, delta = own.met[name] - old.met[name], getattr(own, name) - getattr(old, name)
+                for at in range(0, len(gain), ROWS_SENT):
+                    here = slice(at, at + ROWS_SENT)
+                    yield block_batch([(at // ROWS_SENT, i, gain[here].tobytes(), delta[here].tobytes())])
+
+        def merge(table: pa.Table) -> pa.Table:
+            i = table["kind"][0].as_py()
+            gains = [np.frombuffer(x, "<f4") for x in table["a"].to_pylist()]
+            deltas = [np.frombuffer(x, "<f4").reshape(len(g), -1) for g, x in zip(gains, table["b"].to_pylist())]
+            mean = averaged(deltas, gains).astype("<f4")
+            return pa.Table.from_batches([block_batch([(table["bucket"][0].as_py(), i, sum(gains).astype("<f4").tobytes(), mean.tobytes())])])
+
+        part = docs.filter(turn == k).select("text").coalesce(tasks).mapInArrow(run, BLOCK).groupBy("kind", "bucket").applyInArrow(merge, BLOCK)
+        moved = [(int(x["kind"]), int(x["bucket"]), bytes(x["a"]), bytes(x["b"])) for x in part.toLocalIterator()]
+        for i, bucket, a, b in moved:
+            name = list(PARTS)[i]
+            here = slice(bucket * ROWS_SENT, (bucket + 1) * ROWS_SENT)
+            model.met[name][here] += np.frombuffer(a, "<f4")
+            getattr(model, name)[here] += np.frombuffer(b, "<f4").reshape(-1, PARTS[name])
+        shared.unpersist()
+    return model
+
+
 @dataclass
 class Scorer:
     vocab: Vocabulary
-    table: np.ndarray  # log10 probability by (context, symbol)
+    model: WordModel
 
     def block(self, data: np.ndarray, off: np.ndarray, meta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Fill in what is known here; (key, row) of the tokens whose counts are not."""
         v = self.vocab
         w, keys = word_keys(data, off)
         found, at = v.find(keys)
-        symbols = v.symbols(keys, found, at)
-        context, symbol, row = sequences(w, symbols)
+        entries = v.entries(keys, found, at)
+        two, one, entry, row = sequences(w, entries)
         n = len(meta)
         meta["n"] = w.count + 1
-        meta["score"] = np.bincount(row, self.table[context * SYMBOLS + symbol], n)
+        meta["score"] = np.bincount(row, self.model.log_probabilities(two, one, entry) / np.log(10), n)
         row = w.rows()
         log = np.log10(v.counts + ALPHA)
         ends, where = v.find(np.array([END_KEY]))
         end_count = v.counts[where[0]] if ends[0] else 0
         known = np.where(found, log[at], 0.0) if len(log) else np.zeros(len(keys))
         meta["base"] = np.bincount(row, known, n) + np.log10(end_count + ALPHA) - meta["n"] * np.log10(v.n + ALPHA * (v.distinct + 1))
-        tail = symbols >= OWN
-        inside = np.log10(v.class_n + ALPHA * (v.class_distinct + 1))
-        within = known - inside[np.where(tail, symbols - OWN, 0)]
-        meta["score"] += np.bincount(row, np.where(tail, within, 0.0), n)
+        shared = entries >= len(v.mass) - TAILS * v.slots
+        within = known - np.log10(np.where(shared, v.mass[entries], 1.0))
+        meta["score"] += np.bincount(row, np.where(shared, within, 0.0), n)
         meta["known"] = np.bincount(row[found], minlength=n) + (end_count > 0)
         return keys[~found], row[~found]
 
@@ -377,8 +595,8 @@ def fit(docs: DataFrame, shift: int) -> tuple[Scorer, DataFrame]:
     """The model of the texts of ``docs``, and their counts in buckets."""
     counted = written(count_words(docs, shift), "words")
     vocab = vocabulary(counted)
-    model = train(count_trigrams(docs, vocab))
-    return Scorer(vocab, (model.log_probabilities() / np.log(10)).ravel()), counted
+    table = np.exp(train(count_trigrams(docs, vocab)).log_probabilities()).astype(np.float32)
+    return Scorer(vocab, train_words(docs, WordModel(vocab, Tree(vocab), table))), counted
 
 
 def score_documents(docs: DataFrame) -> DataFrame:

@@ -189,3 +189,23 @@ def test_language_model_is_normalised_and_learns_order():
 def test_language_model_beats_unigram_on_held_out_text(spark, sf_dir):
     got = lm.score_documents(spark.read.parquet(f"{sf_dir}/documents.parquet")).filter("held_out").agg({"score": "sum", "base_score": "sum"}).first()
     assert got["sum(score)"] > got["sum(base_score)"]
+
+
+def test_language_model_learns_which_rare_word_follows_which(spark, tmp_path):
+    rng = random.Random(4)
+    pair = lambda: (lambda i: f"left{i} right{i}x")(rng.randrange(300))
+    docs = spark.createDataFrame([(i, " ".join(pair() for _ in range(40))) for i in range(2500)], "doc_id long, text string").repartition(2)
+    docs.write.parquet(f"{tmp_path}/docs")
+    got = lm.score_documents(spark.read.parquet(f"{tmp_path}/docs")).filter("held_out").agg({"score": "sum", "n_tokens": "sum"}).first()
+    assert got["sum(score)"] / got["sum(n_tokens)"] > 0.8 * math.log10(1 / 300)  # a class and its shares alone: about 1/300 a word
+
+
+def test_language_model_sums_to_one_over_all_entries(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(200)
+    scorer, _ = lm.fit(docs, 60)
+    v = scorer.vocab
+    entries = np.concatenate([np.arange(lm.OWN), [lm.END], np.arange(lm.SYMBOLS, len(v.mass))])
+    for two, one in ((lm.END, lm.END), (3, lm.SYMBOLS + 5), (len(v.mass) - 1, 0)):
+        same = np.ones(len(entries), np.int64)
+        assert math.isclose(np.exp(scorer.model.log_probabilities(two * same, one * same, entries)).sum(), 1, rel_tol=1e-3)
+    assert (v.entry >= lm.SYMBOLS).sum() > 100 and lm.room(10**9) > 2 * lm.room(10**8) > 4 * lm.room(10**7)

@@ -94,8 +94,8 @@ def minhashes(shingles: np.ndarray, to: np.ndarray) -> np.ndarray:
     return out
 
 
-def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, h1, h2, n, sig): two sums that name the shingle set, its size and MinHash values."""
+def signatures(docs: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, h1, h2, n, sig) and the long columns ``carried``: two sums that name the shingle set, its size and MinHash values."""
 
     def run(batches):
         for batch in batches:
@@ -111,11 +111,12 @@ def signatures(docs: DataFrame) -> DataFrame:
                         pa.array(row_sums(W.mix(shingles ^ U(0xA5A5A5A5)), to).view(np.int64)),
                         pa.array(np.diff(to)),
                         pa.array([raw[i : i + width] for i in range(0, len(raw), width)], pa.binary()),
+                        *(batch.column(c).slice(a, b - a) for c in carried),
                     ],
-                    ["doc_id", "h1", "h2", "n", "sig"],
+                    ["doc_id", "h1", "h2", "n", "sig", *carried],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, h1 long, h2 long, n long, sig binary")
+    return docs.select("doc_id", "text", *carried).mapInArrow(run, ", ".join(["doc_id long, h1 long, h2 long, n long, sig binary", *(f"{c} long" for c in carried)]))
 
 
 def sharing(classes: DataFrame) -> DataFrame:
@@ -259,9 +260,10 @@ def class_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "h1 long, comp long, m long, size long, sig binary, shingles binary")
 
 
-def similar(docs: DataFrame) -> DataFrame:
-    """(doc_id, class_id, n_links) of every row of ``docs``."""
-    sigs = written(signatures(docs), "signatures")
+def marked(docs: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, root, class_id, n_links) and ``carried`` of every row of ``docs``; root names the class,
+    also where classes share doc_ids, and is NULL for rows without shingles."""
+    sigs = written(signatures(docs, carried), "signatures")
     classes = written(sigs.filter("n > 0").groupBy("h1", "h2", "n", "sig").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("size")).drop("h2", "n"), "classes")
     buckets = dealt(sharing(classes)).join(classes.select("h1", "sig"), "h1")
     near = components(buckets.groupBy("bucket", "lo", "hi").applyInArrow(likely, "a long, b long"))
@@ -273,22 +275,34 @@ def similar(docs: DataFrame) -> DataFrame:
     links = found.groupBy("h1").agg(F.sum("links").alias("links"))
     known = classes.drop("sig").join(links, "h1", "left").join(root, "h1", "left").withColumn("root", F.coalesce("root", "h1"))
     ids = known.groupBy("root").agg(F.min("rep").alias("class_id"))
-    known = known.join(ids, "root").select("h1", "class_id", (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    rows = sigs.select("doc_id", F.when(F.col("n") > 0, F.col("h1")).alias("h1"))
-    return rows.join(known, "h1", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    known = known.join(ids, "root").select("h1", "root", "class_id", (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    rows = sigs.select("doc_id", *carried, F.when(F.col("n") > 0, F.col("h1")).alias("h1"))
+    return rows.join(known, "h1", "left").select("doc_id", *carried, "root", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
+def similar(docs: DataFrame) -> DataFrame:
+    """(doc_id, class_id, n_links) of every row of ``docs``."""
+    return marked(docs).select("doc_id", "class_id", "n_links")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay when each class keeps its smallest doc_id.
+    """The rows of ``docs`` that stay when each class keeps the row of its smallest doc_id.
 
-    Rows without doc_id stay. Of rows that share a doc_id, which name one document, the one
-    whose text has the smallest hash stays.
+    Rows without doc_id stay. Rows are known by doc_id and text, so texts that share a doc_id but
+    no class each stay; where rows of a class share its smallest doc_id, the one whose text has the
+    smallest hash stays, and of repeated rows one. Texts without shingles are classes of their own.
     """
-    stay = similar(docs).filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("class_id").alias("c")).filter("c = doc_id").select(F.col("doc_id").alias("id"))
-    named = docs.filter("doc_id IS NOT NULL")
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    turn = "turn"
-    while turn in docs.columns:
-        turn += "_"
-    kept = named.join(stay, named["doc_id"] == stay["id"], "left_semi").withColumn(turn, F.row_number().over(first)).filter(F.col(turn) == 1).drop(turn)
+
+    def free(name: str) -> str:
+        while name in docs.columns:
+            name += "_"
+        return name
+
+    digest, turn = free("digest"), free("turn")
+    named = docs.filter("doc_id IS NOT NULL").withColumn(digest, F.xxhash64(F.coalesce("text", F.lit(""))))
+    every = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("digest"))
+    least = marked(every, ("digest",)).filter("doc_id = class_id").groupBy("root", "doc_id", F.when(F.col("root").isNull(), F.col("digest")).alias("alone"))
+    stay = least.agg(F.min("digest").alias("d")).select(F.col("doc_id").alias("id"), "d")
+    first = Window.partitionBy("doc_id", digest).orderBy(F.lit(0))
+    kept = named.join(stay, (named["doc_id"] == stay["id"]) & (named[digest] == stay["d"]), "left_semi").withColumn(turn, F.row_number().over(first)).filter(F.col(turn) == 1).drop(turn, digest)
     return kept.unionByName(docs.filter("doc_id IS NULL"))

@@ -85,6 +85,14 @@ def test_keep_one_of_each_class(docs, rows):
     assert neardup.keep_one(docs).columns == docs.columns
 
 
+def test_keep_one_keeps_unlike_texts_that_share_a_doc_id(spark):
+    text = lambda k: " ".join(f"{k}word{i}" for i in range(60))
+    rows = [(3, text("a")), (7, text("a")), (7, text("b")), (7, text("c")), (7, text("c") + " end"), (8, text("d")), (8, text("e")), (8, text("e")), (9, ""), (9, None), (9, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).persist()
+    kept = [(r.doc_id, (r.text or "").split("word")[0].strip()) for r in neardup.keep_one(docs).collect()]
+    assert sorted(kept) == [(3, "a"), (7, "b"), (7, "c"), (8, "d"), (8, "e"), (9, ""), (9, "")]
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_components(spark, seed):
     rng = random.Random(seed)

@@ -4,10 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TASK_BYTES = 16 << 20
+RUN_BYTES = 4 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -52,3 +58,48 @@ def task_count(df: DataFrame, bytes_per_task: int = TASK_BYTES, least: int = 1)
     """Tasks that keep each one's share near ``bytes_per_task``, never fewer than the session's shuffle partitions."""
     own = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(least, own, min(1 << 20, -(-input_bytes(df) // bytes_per_task)))
+
+
+def runs(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """(first, one after the last) of stretches of rows of at most ``limit`` in all, or of one larger row."""
+    total = np.concatenate([[0], np.cumsum(sizes)])
+    at = 0
+    while at < len(sizes):
+        to = max(at + 1, int(np.searchsorted(total, total[at] + limit, "right")) - 1)
+        yield at, to
+        at = to
+
+
+def with_columns_in_arrow(df: DataFrame, make: Callable[[pa.RecordBatch], dict[str, pa.Array]], new: dict[str, str], sized: str) -> DataFrame:
+    """``df`` with the columns ``new`` (name to type) that ``make`` gives for a batch, in place of any
+    that have their names. Batches are cut where the texts of column ``sized`` exceed ``RUN_BYTES``."""
+    kept = [f for f in df.schema if f.name not in new]
+
+    def run(batches):
+        for batch in batches:
+            sizes = pc.fill_null(pc.binary_length(batch.column(sized)), 0).to_numpy(zero_copy_only=False)
+            for a, b in runs(sizes, RUN_BYTES):
+                part = batch.slice(a, b - a)
+                columns = {f.name: part.column(f.name) for f in kept} | make(part)
+                yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [f"`{c}` {t}" for c, t in new.items()]
+    return df.mapInArrow(run, ", ".join(fields))
+
+
+HOT_PARTS = 1 << 10
+
+
+def bounded_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """``left`` with the columns of ``right``, at most one row a key there, NULL where there is none.
+
+    A key with more than 1 / ``HOT_PARTS`` of the rows of ``left`` is hot. There are fewer than
+    ``HOT_PARTS`` such keys, whatever the size, so their rows of ``right`` are broadcast; all other
+    keys meet in a shuffle, where none can fill a task. ``left`` is read three times and should be a table.
+    """
+    many = left.count() // HOT_PARTS + 1
+    some = left.filter(F.col(key).isNotNull())
+    hot = F.broadcast(some.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > many).select(key))
+    cold = some.join(hot, key, "left_anti").join(right, key, "left")
+    hottest = some.join(hot, key, "left_semi").join(F.broadcast(right.join(hot, key, "left_semi")), key, "left")
+    return cold.unionByName(hottest).unionByName(left.filter(F.col(key).isNull()), allowMissingColumns=True)

@@ -2,7 +2,7 @@
 
 Every step is a minimum by node and a join back to the edges (Kiveris et al., 2014): a
 constant number of shuffles that never gather a component or a node's neighbours in one
-place. Each round ends in a written table; the number of rounds grows with the logarithm of
+place: hubs meet their minimum through a broadcast (``bounded_join``). Each round ends in a written table; the number of rounds grows with the logarithm of
 the longest path.
 """
 
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seamark.llm.common import written
+from seamark.llm.common import bounded_join, written
 
 
 def star(edges: DataFrame, large: bool) -> DataFrame:
@@ -19,10 +19,10 @@ def star(edges: DataFrame, large: bool) -> DataFrame:
     if large:
         near = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = near.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-        moved = near.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        moved = bounded_join(near, least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         return moved.distinct()
     least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    moved = edges.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    moved = bounded_join(edges, least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seamark.llm import ann, bpe, lines, lm, neardup, packing, quality, rollup, secrets, warc
+from seamark.llm import ann, bpe, lines, lm, middle, neardup, packing, phrases, quality, rollup, secrets, urls, warc
 from seamark.llm.common import fresh_dir, read, written
 from seamark.llm.registry import query
 
@@ -142,3 +142,91 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = fresh_dir(spark, "warc")
     warc.write(read(spark, sf_dir, "pages"), root)
     return warc.read(spark, root).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query(
+    "op11_phrase_collocations",
+    r"""
+    WITH p AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+    ),
+    w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+    g AS (
+        SELECT lang, size, unnest(list_transform(range(1, len(ws) - size + 2), lambda i: array_to_string(ws[i:i + size - 1], ' '))) AS phrase
+        FROM w, (SELECT unnest(range(1, 6)) AS size) WHERE len(ws) >= size
+    ),
+    f AS (SELECT lang, size, phrase, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 100),
+    t AS (SELECT lang, sum(len(ws)) AS n FROM w GROUP BY lang),
+    c AS (SELECT *, string_split(phrase, ' ') AS ws FROM f WHERE size > 1),
+    k AS (SELECT lang, phrase, size, a, ws, unnest(range(1, size)) AS k FROM c),
+    s AS (
+        SELECT k.lang, k.phrase, k.size, k.a, k.k, x.a AS l, y.a AS r, t.n, (1000::HUGEINT * k.a * t.n) // (x.a::HUGEINT * y.a) AS score
+        FROM k JOIN f x ON x.lang = k.lang AND x.phrase = array_to_string(ws[1:k], ' ') JOIN f y ON y.lang = k.lang AND y.phrase = array_to_string(ws[k + 1:], ' ') JOIN t ON t.lang = k.lang
+    ),
+    b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    i AS (SELECT lang, a, size, ws, unnest(range(2, size)) AS z FROM c WHERE size > 2),
+    h AS (SELECT lang, phrase, max(a) AS wide FROM (SELECT lang, a, unnest(list_transform(range(1, size - z + 2), lambda j: array_to_string(ws[j:j + z - 1], ' '))) AS phrase FROM i) GROUP BY ALL),
+    o AS (
+        SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, b.a DESC, b.phrase) AS rank, b.phrase, b.a, l, r, n, score
+        FROM b LEFT JOIN h ON h.lang = b.lang AND h.phrase = b.phrase WHERE wide IS NULL OR 100 * wide < 100 * b.a
+    )
+    SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score FROM o WHERE rank <= 2000
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read(spark, sf_dir, "documents"))
+
+
+# The rules by which the pages are judged.
+RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
+
+
+@query(
+    "op12_url_filter",
+    r"""
+    WITH RECURSIVE s AS (
+        SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)([^#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+            coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)([^#]*)', 2), '') AS path, regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)([^#]*)', 3) AS q FROM pages
+    ),
+    p AS (SELECT page_id, host, path, CASE WHEN host <> '' THEN host || path || q END AS a FROM s),
+    e AS (
+        SELECT DISTINCT a, regexp_replace(regexp_replace(split_part(a, '?', 1), '^(www|m)\.([^/]*\.)', '\2'), '/$', '')
+            || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END AS b
+        FROM (SELECT a, list_filter(string_split(CASE WHEN contains(a, '?') THEN substr(a, strpos(a, '?') + 1) ELSE '' END, '&'), lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]+|ref|fbclid|gclid)=')) AS kept FROM p WHERE a IS NOT NULL)
+    ),
+    r AS (SELECT * FROM (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')) AS t (verdict, name, place)),
+    n AS (SELECT a, split_part(split_part(a, '?', 1), '/', 1) AS host, regexp_extract(split_part(a, '?', 1), '(?s)^[^/]*(.*)$', 1) AS path FROM (SELECT a FROM p WHERE a IS NOT NULL UNION SELECT b FROM e)),
+    v AS (SELECT a, max_by(verdict, length(name || place)) AS verdict, max_by(name || place, length(name || place)) AS rule FROM n JOIN r ON (host = name OR ends_with(host, '.' || name)) AND starts_with(path, place) GROUP BY a),
+    k AS (SELECT a, b FROM e WHERE a <> b UNION SELECT b, a FROM e WHERE a <> b),
+    g AS (SELECT a, a AS b FROM n UNION SELECT g.a, k.b FROM g JOIN k ON g.b = k.a),
+    c AS (SELECT g.a, bool_or(v.verdict = 'block') AND NOT bool_or(v.verdict = 'allow') AS tainted FROM g JOIN v ON v.a = g.b GROUP BY 1)
+    SELECT page_id, host, path, rule, CASE WHEN v.verdict IS NOT NULL THEN v.verdict WHEN tainted THEN 'block' ELSE 'allow' END AS verdict
+    FROM p LEFT JOIN v USING (a) LEFT JOIN c USING (a)
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(read(spark, sf_dir, "pages"), RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query(
+    "op13_fill_in_middle",
+    r"""
+    WITH d AS (
+        SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+    ),
+    c AS (SELECT *, len(units)::BIGINT AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2, ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM d),
+    f AS (
+        SELECT doc_id, text, n, CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100 THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form,
+            array_to_string(units[1:least(h1 % (n + 1), h2 % (n + 1))], '') AS p,
+            array_to_string(units[least(h1 % (n + 1), h2 % (n + 1)) + 1:greatest(h1 % (n + 1), h2 % (n + 1))], '') AS m,
+            array_to_string(units[greatest(h1 % (n + 1), h2 % (n + 1)) + 1:n], '') AS s
+        FROM c
+    )
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+        sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(text) AS restored_sha256
+    FROM f
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = middle.restore(middle.transform(read(spark, sf_dir, "documents").select("doc_id", "text")))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))

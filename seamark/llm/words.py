@@ -98,10 +98,10 @@ class Hasher:
 class Words:
     """Word spans of a block; ``at[i]:at[i + 1]`` are the words of row i."""
 
-    def __init__(self, data: np.ndarray, off: np.ndarray):
+    def __init__(self, data: np.ndarray, off: np.ndarray, separator: np.ndarray = SEPARATOR):
         self.data, self.off = data, off
         inside = np.zeros(len(data) + 2, bool)
-        inside[1:-1] = ~SEPARATOR[data]
+        inside[1:-1] = ~separator[data]
         self.inside = inside[1:-1]
         filled = off[:-1] < off[1:]
         first = self.inside & ~inside[:-2]

@@ -519,6 +519,20 @@ def source_spacing_km(nodes: DataFrame, *, node_id: str, neighbours: int = 5) ->
     return exact_percentiles(gaps, ["__all"], "distance", [0.5]).select(F.col("q50").alias("spacing_km"))
 
 
+def surrounded(around: Column) -> Column:
+    """Whether the origin lies in the convex hull of the vectors (x, y) of an array, its border included.
+
+    It lies outside when one of them has all others less than half a turn to its left, or in its own
+    direction: then a line through the origin has all of them on one side.
+    """
+
+    def to_the_left(i: Column, j: Column) -> Column:
+        cross = i["x"] * j["y"] - i["y"] * j["x"]
+        return (cross > 0) | ((cross == 0) & (i["x"] * j["x"] + i["y"] * j["y"] > 0))
+
+    return (F.size(around) > 0) & ~F.exists(around, lambda i: F.forall(around, lambda j: to_the_left(i, j)))
+
+
 def idw_grid(
     targets: DataFrame,
     nodes: DataFrame,
@@ -532,8 +546,8 @@ def idw_grid(
 ) -> DataFrame:
     """Inverse-square-distance values at the targets, in two passes.
 
-    First the 8 nearest nodes within the radius, for targets surrounded by them
-    (nodes in all four quadrants); what is left takes its 16 nearest nodes.  One
+    First the 8 nearest nodes within the radius, for targets in their convex hull (in
+    plane degrees, border included); what is left takes its 16 nearest nodes.  One
     search serves both.
     """
     nodes = nodes.filter(F.col(value).isNotNull()).select(node_id, lat, lon, value)
@@ -546,12 +560,10 @@ def idw_grid(
         w = F.when(used & (distance > 0), 1 / (distance * distance))
         return F.coalesce(F.max(F.when(used & (distance == 0), held)), F.sum(w * held) / F.sum(w))
 
-    south, west = F.col("nlat_") <= F.col(lat), F.col("nlon_") <= F.col(lon)
-    north, east = F.col("nlat_") >= F.col(lat), F.col("nlon_") >= F.col(lon)
-    around = [F.count_if(close & a & b) > 0 for a in (north, south) for b in (east, west)]
+    toward = F.struct((F.col("nlon_") - F.col(lon)).alias("x"), (F.col("nlat_") - F.col(lat)).alias("y"))
     out = near.filter(F.col(node_id).isNotNull()).groupBy(*target_keys, lat, lon).agg(
-        (around[0] & around[1] & around[2] & around[3]).alias("inside"), blend(close).alias("strict"), blend(F.lit(True)).alias("wide")
-    )
+        F.collect_list(F.when(close, toward)).alias("around_"), blend(close).alias("strict"), blend(F.lit(True)).alias("wide")
+    ).withColumn("inside", surrounded(F.col("around_")))
     return out.select(
         *target_keys,
         lat,
@@ -583,10 +595,8 @@ def neighbour_weights(
     ).filter(F.col(node_id).isNotNull())
     at = Window.partitionBy(*target_keys)
     close = (F.col("rank") <= 8) & (F.col("distance") <= radius_km)
-    south, west = F.col("nlat_") <= F.col(lat), F.col("nlon_") <= F.col(lon)
-    north, east = F.col("nlat_") >= F.col(lat), F.col("nlon_") >= F.col(lon)
-    around = [F.max((close & a & b).cast("int")).over(at) for a in (north, south) for b in (east, west)]
-    inside = around[0] * around[1] * around[2] * around[3] == 1
+    toward = F.struct((F.col("nlon_") - F.col(lon)).alias("x"), (F.col("nlat_") - F.col(lat)).alias("y"))
+    inside = surrounded(F.collect_list(F.when(close, toward)).over(at))
     here = F.max((F.col("distance") == 0).cast("int")).over(at) == 1
     weight = F.when(here, (F.col("distance") == 0).cast("double")).otherwise(1 / (F.col("distance") * F.col("distance")))
     marked = near.select(*target_keys, node_id, close.alias("close"), inside.alias("inside"), weight.alias("weight"))

@@ -417,8 +417,10 @@ _CELLS = f"""bx AS (SELECT round(min(lat), 2) - 25e-2 AS y0, round(max(lat), 2)
      ne AS (SELECT s.iy, s.ix, s.lat, s.lon, n.node_id, n.lat AS nlat, n.lon AS nlon, {KM} AS d,
        row_number() OVER (PARTITION BY s.iy, s.ix ORDER BY round({KM} / 1e-3), n.node_id) AS r FROM ce s CROSS JOIN v_nodes n WHERE n.wet = 1),
      nb AS (SELECT *, r <= 8 AND d <= 20 AS cl FROM ne WHERE r <= 16),
-     ns AS (SELECT *, bool_or(cl AND nlat >= lat AND nlon >= lon) OVER c AND bool_or(cl AND nlat >= lat AND nlon <= lon) OVER c
-       AND bool_or(cl AND nlat <= lat AND nlon >= lon) OVER c AND bool_or(cl AND nlat <= lat AND nlon <= lon) OVER c AS inside, min(d) OVER c AS dm FROM nb WINDOW c AS (PARTITION BY iy, ix)),
+     nc AS (SELECT * FROM nb WHERE cl),
+     ou AS (SELECT DISTINCT iy, ix, TRUE AS out FROM (SELECT i.iy, i.ix, i.r FROM nc i JOIN nc j ON i.iy = j.iy AND i.ix = j.ix GROUP BY i.iy, i.ix, i.r
+       HAVING bool_and((i.nlon - i.lon) * (j.nlat - j.lat) - (i.nlat - i.lat) * (j.nlon - j.lon) > 0 OR ((i.nlon - i.lon) * (j.nlat - j.lat) - (i.nlat - i.lat) * (j.nlon - j.lon) = 0 AND (i.nlon - i.lon) * (j.nlon - j.lon) + (i.nlat - i.lat) * (j.nlat - j.lat) > 0)))),
+     ns AS (SELECT nb.*, bool_or(cl) OVER c AND ou.out IS NULL AS inside, min(d) OVER c AS dm FROM nb LEFT JOIN ou ON nb.iy = ou.iy AND nb.ix = ou.ix WINDOW c AS (PARTITION BY nb.iy, nb.ix)),
      wt AS (SELECT iy, ix, node_id, CASE WHEN dm = 0 THEN CASE WHEN d = 0 THEN 1e0 ELSE 0e0 END ELSE 1 / (d * d) END AS w FROM ns WHERE cl OR NOT inside),
      hv AS (SELECT iy, ix, t, {", ".join(f"sum(w * value) FILTER (vi = {i} AND value IS NOT NULL) / sum(w) FILTER (vi = {i} AND value IS NOT NULL) AS {n}" for i, n in enumerate(grids.SURFACE))}
        FROM wt JOIN fv USING (node_id) WHERE w > 0 GROUP BY 1, 2, 3)"""

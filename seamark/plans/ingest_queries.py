@@ -649,9 +649,9 @@ def _snk08(spark, sf_dir):
     """WITH m AS (SELECT station_id, CASE station_id % 8 WHEN 0 THEN -9999e0 WHEN 1 THEN -9991e0 WHEN 2 THEN NULL ELSE depth / 7 END AS mo,
         CASE WHEN station_id % 5 = 0 THEN NULL ELSE depth / 10 END AS ds, CASE WHEN station_id % 5 = 0 THEN 'UNKNOWN' ELSE 'ok' END AS st FROM v_stations),
       r AS (SELECT *, CASE WHEN mo IS NULL THEN 'NA' WHEN ds IS NOT NULL AND mo > -999 THEN 'pass' ELSE 'fail' END AS conversion FROM m)
-      SELECT station_id, conversion, CASE WHEN conversion = 'NA' THEN 'No stations model data here, this is expected' WHEN conversion = 'fail' THEN
-        concat_ws('; ', CASE WHEN st = 'UNKNOWN' THEN 'Target datum is unavailable for obs conversion' END, CASE WHEN mo = -9999 THEN 'Out of geographic range (model)' END,
-          CASE WHEN mo = -9991 THEN 'Target datum is unavailable for model conversion' END) ELSE '' END AS reason FROM r""",
+      SELECT station_id, conversion, CASE WHEN conversion = 'NA' THEN 'no station output of the model to shift' WHEN conversion = 'fail' THEN
+        concat_ws('; ', CASE WHEN st = 'UNKNOWN' THEN 'observation side cannot be converted to the target datum' END, CASE WHEN mo = -9999 THEN 'model position lies outside the datum grid' END,
+          CASE WHEN mo = -9991 THEN 'model side cannot be converted to the target datum' END) ELSE '' END AS reason FROM r""",
 )
 def _snk09(spark, sf_dir):
     k = F.col("station_id")
@@ -700,18 +700,46 @@ def _snk03(spark, sf_dir):
     )
 
 
+_TIDES = """t AS (SELECT c_custkey AS station_id, i + 1 AS n, ['M2', 'S2', 'K1'][i + 1] AS constituent, (c_custkey * (i + 1)) / 3e3 AS ref_amp, (c_custkey * (i + 1)) % 360 / 7e0 AS ref_phase,
+      CASE WHEN c_custkey % 5 > 0 THEN c_acctbal / 9e0 + i END AS model_amp, CASE WHEN c_custkey % 5 > 0 THEN c_custkey % 359 + i / 3e0 END AS model_phase FROM customer, range(3) r(i)),
+    d AS (SELECT *, model_amp - ref_amp AS amp_diff, model_phase - ref_phase AS phase_diff, abs(model_amp - ref_amp) / 7e0 AS vector_diff FROM t)"""
+_SHOWN = ", ".join(f"coalesce(printf('%.{1 if 'phase' in c else 4}f', {c}), '') AS {c}" for c in ("ref_amp", "ref_phase", "model_amp", "model_phase", "amp_diff", "phase_diff", "vector_diff"))
+
+
+def _tides(spark, sf_dir):
+    k, i = F.col("c_custkey"), F.col("i")
+    t = table(spark, sf_dir, "customer").withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(2))))
+    t = t.select(
+        k.alias("station_id"),
+        (i + 1).alias("n"),
+        F.element_at(F.array(*map(F.lit, ("M2", "S2", "K1"))), i + 1).alias("constituent"),
+        (k * (i + 1) / 3000.0).alias("ref_amp"),
+        (k * (i + 1) % 360 / 7.0).alias("ref_phase"),
+        F.when(k % 5 > 0, F.col("c_acctbal") / 9.0 + i).alias("model_amp"),
+        F.when(k % 5 > 0, k % 359 + i / 3.0).alias("model_phase"),
+    )
+    amp = F.col("model_amp") - F.col("ref_amp")
+    return t.select("*", amp.alias("amp_diff"), (F.col("model_phase") - F.col("ref_phase")).alias("phase_diff"), (F.abs(amp) / 7.0).alias("vector_diff"))
+
+
+@query("snk04_constituent_rows", f"WITH {_TIDES} SELECT station_id, n, constituent, {_SHOWN} FROM d")
+def _snk04(spark, sf_dir):
+    return sink_tables.constituent_rows(_tides(spark, sf_dir), K)
+
+
 @query(
-    "snk04_constituent_rows",
-    """SELECT c_custkey AS station_id, printf('%.4f', c_custkey / 3e3) AS ref_amp, printf('%.2f', c_custkey / 7e0) AS ref_phase FROM customer""",
+    "snk04_constituent_file",
+    f"""WITH {_TIDES}, s AS (SELECT station_id, n, constituent, {_SHOWN} FROM d),
+      f AS (SELECT station_id, count(vector_diff) AS n_valid, avg(vector_diff) AS mean_vector_diff FROM d GROUP BY 1)
+      SELECT station_id, 0 AS part, j AS n, ['# Station: ' || station_id, '# Datum: MSL', 'N,Constituent,Ref_Amp,Ref_Phase,Model_Amp,Model_Phase,Amp_Diff,Phase_Diff,Vector_Diff'][j + 1] AS line FROM f, range(3) r(j)
+      UNION ALL SELECT station_id, 1, n, concat_ws(',', n, constituent, ref_amp, ref_phase, model_amp, model_phase, amp_diff, phase_diff, vector_diff) FROM s
+      UNION ALL SELECT station_id, 2, j, ['', '# n_valid: ' || n_valid, '# mean_vector_diff: ' || coalesce(printf('%.6f', mean_vector_diff), 'nan')][j + 1] FROM f, range(3) r(j)""",
 )
-def _snk04(spark, sf_dir):
-    c = table(spark, sf_dir, "customer")
-    k = F.col("c_custkey")
-    t = c.select(
-        k.alias("station_id"), F.lit(1).alias("n"), F.lit("M2").alias("constituent"), (k / 3000.0).alias("ref_amp"), (k / 7.0).alias("ref_phase"),
-        *[F.lit(0.0).alias(x) for x in ("model_amp", "model_phase", "amp_diff", "phase_diff", "vector_diff")],
-    )
-    return sink_tables.constituent_rows(t, K).select("station_id", "ref_amp", "ref_phase")
+def _snk04f(spark, sf_dir):
+    """Whole constituent files: comments, headings, constituents in order, summary."""
+    t = _tides(spark, sf_dir)
+    stats = t.groupBy("station_id").agg(F.count("vector_diff").alias("n_valid"), F.avg("vector_diff").alias("mean_vector_diff"))
+    return sink_tables.constituent_file(t, K, stats=stats, metadata={"Datum": "MSL"})
 
 
 # ------------------------------------------------------------ scalar functions

@@ -260,9 +260,10 @@ _NEAR = """SELECT s.station_id, s.lat, s.lon, n.h, n.lat AS nlat, n.lon AS nlon,
 @query(
     "grd02_idw_grid",
     f"""WITH q AS (SELECT * FROM v_nodes WHERE wet = 1), a AS ({_NEAR.format(km=KM, box="5e-1")}),
-      p1 AS (SELECT station_id, sum(h / (d*d)) / sum(1 / (d*d)) AS v FROM a WHERE r <= 8 AND d <= 16 GROUP BY 1
-        HAVING count(*) FILTER (nlat >= lat AND nlon >= lon) > 0 AND count(*) FILTER (nlat >= lat AND nlon <= lon) > 0
-          AND count(*) FILTER (nlat <= lat AND nlon >= lon) > 0 AND count(*) FILTER (nlat <= lat AND nlon <= lon) > 0),
+      c AS (SELECT * FROM a WHERE r <= 8 AND d <= 16),
+      o AS (SELECT i.station_id FROM c i JOIN c j USING (station_id) GROUP BY i.station_id, i.r
+        HAVING bool_and((i.nlon - i.lon) * (j.nlat - j.lat) - (i.nlat - i.lat) * (j.nlon - j.lon) > 0 OR ((i.nlon - i.lon) * (j.nlat - j.lat) - (i.nlat - i.lat) * (j.nlon - j.lon) = 0 AND (i.nlon - i.lon) * (j.nlon - j.lon) + (i.nlat - i.lat) * (j.nlat - j.lat) > 0))),
+      p1 AS (SELECT station_id, sum(h / (d*d)) / sum(1 / (d*d)) AS v FROM c WHERE station_id NOT IN (SELECT station_id FROM o) GROUP BY 1),
       b AS (SELECT s.station_id, n.h, {KM} AS d, row_number() OVER (PARTITION BY s.station_id ORDER BY {KM}, n.node_id) r
         FROM (SELECT * FROM v_stations WHERE station_id NOT IN (SELECT station_id FROM p1)) s CROSS JOIN q n),
       p2 AS (SELECT station_id, sum(h / (d*d)) / sum(1 / (d*d)) AS v FROM b WHERE r <= 16 GROUP BY 1)

@@ -88,18 +88,18 @@ def skill_records(table: DataFrame, *, product: str, kind: str) -> DataFrame:
     )
 
 
-# Failure codes of the model-side datum shift.
+# Failure codes of the model-side datum shift. The texts are ours.
 SHIFT_FAILURES = {
-    -9999: "Out of geographic range (model)",
-    -9990: "No datum file found; no datum shift applied, water level results may be invalid",
-    -9991: "Target datum is unavailable for model conversion",
-    -9992: "Error finding model XY location (station file)",
-    -9993: "Error finding model XY location (field file)",
-    -9994: "Datum conversion file not found",
+    -9999: "model position lies outside the datum grid",
+    -9990: "datum file missing: water levels are left unshifted",
+    -9991: "model side cannot be converted to the target datum",
+    -9992: "position not found in the model station file",
+    -9993: "position not found in the model field file",
+    -9994: "conversion file missing",
 }
 STATUS_FAILURES = {
-    "RANGE": "Out of geographic range (obs)",
-    "UNKNOWN": "Target datum is unavailable for obs conversion",
+    "RANGE": "observation lies outside the datum grid",
+    "UNKNOWN": "observation side cannot be converted to the target datum",
 }
 
 
@@ -118,7 +118,7 @@ def datum_report(model: DataFrame, stations: DataFrame, *, target: str, key: str
     reasons = [F.when(F.col("shift_status") == s, F.lit(t)) for s, t in STATUS_FAILURES.items()]
     reasons += [F.when(off == c, F.lit(t)) for c, t in SHIFT_FAILURES.items()]
     why = (
-        F.when(state == "NA", F.lit("No stations model data here, this is expected"))
+        F.when(state == "NA", F.lit("no station output of the model to shift"))
         .when(state == "fail", F.concat_ws("; ", *reasons))
         .otherwise(F.lit(""))
     )
@@ -157,12 +157,43 @@ def frame_table(stats: DataFrame) -> DataFrame:
     )
 
 
+# Headings of the constituent table.
+CONSTITUENT_COLUMNS = "N Constituent Ref_Amp Ref_Phase Model_Amp Model_Phase Amp_Diff Phase_Diff Vector_Diff".split()
+
+
 def constituent_rows(table: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Constituent table with printed precision."""
-    def n(c: str, d: int) -> Column:
-        return F.format_number(F.col(c), d).alias(c)
+    """Constituent table as text: amplitudes with four decimals, phases with one, NULL empty."""
+    def text(c: str) -> Column:
+        digits = 1 if c.endswith("phase") or c == "phase_diff" else 4
+        return F.when(F.col(c).isNull(), F.lit("")).otherwise(F.format_string(f"%.{digits}f", F.col(c).cast("double"))).alias(c)
 
-    return table.select(
-        *keys, "n", "constituent", n("ref_amp", 4), n("ref_phase", 2), n("model_amp", 4), n("model_phase", 2),
-        n("amp_diff", 4), n("phase_diff", 2), n("vector_diff", 4),
-    )
+    shown = ("ref_amp", "ref_phase", "model_amp", "model_phase", "amp_diff", "phase_diff", "vector_diff")
+    return table.select(*keys, "n", "constituent", *map(text, shown))
+
+
+def constituent_file(
+    table: DataFrame, keys: Sequence[str], *, station: str = "station_id", stats: DataFrame | None = None, metadata: dict[str, str] | None = None
+) -> DataFrame:
+    """Lines of each constituent file: (keys, part, n, line), to be ordered by part and n.
+
+    Part 0 holds ``#`` comments with the station and ``metadata`` and the headings, part 1 the constituents in
+    their order, part 2 an empty line and one comment for each column of ``stats`` (one row a key):
+    six decimals for fractions, whole numbers as they are, ``nan`` for NULL.
+    """
+    def numbered(df: DataFrame, part: int, lines: Sequence[Column]) -> DataFrame:
+        return df.select(*keys, F.lit(part).alias("part"), F.posexplode(F.array(*lines)).alias("n", "line"))
+
+    facts = [F.lit(f"# {k}: {v}") for k, v in (metadata or {}).items()]
+    head = [F.concat(F.lit("# Station: "), F.col(station).cast("string")), *facts, F.lit(",".join(CONSTITUENT_COLUMNS))]
+    rows = constituent_rows(table, keys)
+    body = rows.select(*keys, F.lit(1).alias("part"), F.col("n").cast("int").alias("n"), F.concat_ws(",", *[F.col(c).cast("string") for c in rows.columns if c not in keys]).alias("line"))
+    out = numbered(table.select(*keys).distinct(), 0, head).unionByName(body)
+    if stats is None:
+        return out
+
+    def shown(c: str, kind: str) -> Column:
+        value = F.format_string("%.6f", F.col(c)) if kind in ("double", "float") else F.col(c).cast("string")
+        return F.concat(F.lit(f"# {c}: "), F.when(F.col(c).isNull(), F.lit("nan")).otherwise(value))
+
+    foot = [shown(c, kind) for c, kind in stats.dtypes if c not in keys]
+    return out.unionByName(numbered(stats, 2, [F.lit(""), *foot]))

@@ -222,3 +222,23 @@ def test_majority_file_size(spark, tmp_path):
         (tmp_path / f"f{i}.bin").write_bytes(b"x" * n)
     files = model.file_sizes(spark, str(tmp_path)).withColumn("dir", F.lit("d"))
     assert [r["length"] for r in model.majority_size(files, ["dir"]).collect()] == [5, 5]
+
+
+def test_constituent_file(spark):
+    from seamark.sinks import tables
+
+    rows = [("a", 2, "S2", 0.25, 10.04, None, None, None, None, None), ("a", 1, "M2", 12345.5, 359.96, 1000.0, 1.0, -11345.5, 1.04, 0.00004)]
+    table = spark.createDataFrame(rows, "station_id string, n int, constituent string, ref_amp double, ref_phase double, model_amp double, model_phase double, amp_diff double, phase_diff double, vector_diff double")
+    stats = spark.createDataFrame([("a", 1, 0.5, None)], "station_id string, n_valid int, rmse_amp double, rmse_phase double")
+    out = tables.constituent_file(table, ["station_id"], stats=stats, metadata={"Datum": "MSL"}).orderBy("part", "n")
+    assert [r.line for r in out.collect()] == [
+        "# Station: a",
+        "# Datum: MSL",
+        "N,Constituent,Ref_Amp,Ref_Phase,Model_Amp,Model_Phase,Amp_Diff,Phase_Diff,Vector_Diff",
+        "1,M2,12345.5000,360.0,1000.0000,1.0,-11345.5000,1.0,0.0000",
+        "2,S2,0.2500,10.0,,,,,",
+        "",
+        "# n_valid: 1",
+        "# rmse_amp: 0.500000",
+        "# rmse_phase: nan",
+    ]

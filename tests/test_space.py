@@ -148,3 +148,36 @@ def test_many_nodes_at_one_spot_keep_the_smallest_ids(spark):
     p, n = tables(spark, [(10.0, 10.0)], [(10.0, 10.0)] * 50 + [(10.0, 10.001)] * 50)
     rows = spatial.nearest(p, n, node_id="node_id", k=3).collect()
     assert sorted((r["rank"], r["node_id"]) for r in rows) == [(1, 0), (2, 1), (3, 2)]
+
+
+def test_convex_hull_by_widest_gap(spark):
+    """Against the widest angle between neighbouring bearings, on whole numbers with collinear points and the origin."""
+    import math
+    import random
+
+    from pyspark.sql import functions as F
+
+    rng = random.Random(8)
+    cases = [[(rng.randint(-3, 3), rng.randint(-3, 3)) for _ in range(rng.randint(1, 5))] for _ in range(400)] + [[], [(1, 0), (-2, 0)], [(1, 1)], [(2, 0), (1, 0)], [(0, 0)]]
+
+    def inside(points):
+        if (0, 0) in points:
+            return True
+        turn = sorted(math.atan2(y, x) for x, y in points)
+        gaps = [b - a for a, b in zip(turn, turn[1:] + [turn[0] + 2 * math.pi] if turn else [])]
+        return bool(gaps) and max(gaps) <= math.pi + 1e-9
+
+    rows = [(i, [(float(x), float(y)) for x, y in c]) for i, c in enumerate(cases)]
+    df = spark.createDataFrame(rows, "i int, p array<struct<x: double, y: double>>")
+    got = {r.i: r.inside for r in df.select("i", spatial.surrounded(F.col("p")).alias("inside")).collect()}
+    assert got == {i: inside(c) for i, c in enumerate(cases)} and 50 < sum(got.values()) < 350
+
+
+def test_gridding_sees_targets_inside_a_triangle(spark):
+    """No node lies in the fourth quadrant, yet the target is in the hull of the three."""
+    target = spark.createDataFrame([(0, 0, 40.0, -70.0)], "iy int, ix int, lat double, lon double")
+    nodes = spark.createDataFrame([(1, 40.1, -70.02, 1.0), (2, 39.9, -70.1, 2.0), (3, 40.02, -69.9, 3.0)], "node_id long, lat double, lon double, v double")
+    (row,) = spatial.idw_grid(target, nodes, node_id="node_id", value="v", radius_km=30).collect()
+    assert row.fill_pass == 1 and 1 < row.v < 3
+    (row,) = spatial.idw_grid(target, nodes.filter("node_id < 3"), node_id="node_id", value="v", radius_km=30).collect()
+    assert row.fill_pass == 2

@@ -71,7 +71,7 @@ def test_quality_follows_the_labels(spark):
 
 def test_registered():
     names = catalog.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert set(catalog.oracle_sql()) <= set(names)
 
 

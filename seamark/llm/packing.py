@@ -13,7 +13,8 @@ share is ranked in many tasks.
 
 Token ids are those of the ``tokenizers`` library for the whole text. Texts are split at spaces
 that precede a visible character, where every match of a byte-level tokenizer's pattern
-begins, and a bounded memo in each worker keeps the ids of words already seen.
+begins, and a bounded memo in each worker keeps the ids of words already seen. Texts that hold an added
+token of the tokenizer (``<|endoftext|>``) go to the library whole, which gives that token its one id.
 
 Nulls count as empty texts: the final id alone. Each row is a document of its own; repeated
 rows are packed once each. Other columns are ignored.
@@ -61,11 +62,12 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         # The memo takes the place of the library's own cache of words, which is smaller.
         getattr(self.tokenizer.model, "_resize_cache", lambda _: None)(0)
         self.memo: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}  # the memo before; what is met again moves over
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.marks = dict(zip(",.", self.whole([",", "."])))
         vocabulary = self.tokenizer.get_vocab()
         self.begins = {}
@@ -121,8 +123,10 @@ class Encoder:
         starts: list[bytes | None] = []
         edges = [0]
         for text in texts:
+            if self.added is not None and self.added.search(text):
+                starts.append(self.whole([text])[0])
             # An even text can follow a line feed, whose one id is taken off again.
-            if even(text):
+            elif even(text):
                 words += ("\n" + text.replace("\n", " \n")).split(" ")
                 starts.append(None)
             else:

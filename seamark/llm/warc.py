@@ -1,8 +1,9 @@
 """WARC archives: a deterministic sharded writer and a verifying reader.
 
-Pages are range-partitioned and sorted by page_id (then digest and url); each partition is a
-shard, written in order into gzip files, one member a record, that roll once ``ROLL_BYTES``
-compressed bytes are reached. Headers are made anew: record ids from page_id, digest and
+Pages are dealt into shards by ranges of page_id and sorted (then by url and payload); each shard is a
+task that writes gzip files in order, one member a record, which roll once ``ROLL_BYTES``
+compressed bytes are reached. The ranges follow from exact counts of bytes (``starts``) and from nothing else, so the
+same pages give the same files whatever the session, its partitions or its cores. Headers are made anew: record ids from page_id, digest and
 the count of earlier equal records, block and payload digests, lengths.
 
 Of pages with equal payloads of ``LEAST_PAYLOAD`` bytes or more, those with the smallest page_id
@@ -16,7 +17,8 @@ executors, retries and speculative copies leave no record twice and none out.
 
 Null html is an empty payload, a null url gives a page URN. Repeated rows give a record each;
 rows that share the smallest page_id of their payload are all responses. Rows without page_id
-come first, and revisit any page of their payload that has one. Other columns are ignored.
+come first, and revisit any page of their payload that has one. They, and a page_id that is larger than a
+shard, are dealt over several shards by payload. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,17 +30,18 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from seamark.llm.common import task_count
+from pyspark.sql.types import LongType
 
 LEAST_PAYLOAD = 100
 ROLL_BYTES = 32 << 20
-SHARD_BYTES = 128 << 20
+LEAST_SHARD, MOST_SHARD, SHARDS, CELLS = 4 << 20, 128 << 20, 64, 4
+RECORD_BYTES = 512  # of headers
 LEVEL = 5
 DATE = "2000-01-01T00:00:00Z"
 SOFTWARE = "seamark"
@@ -128,15 +131,79 @@ class Shard:
             self.done.append((self.shard, len(self.done), self.temporary, f"{self.stem}.warc.gz", self.records, self.bytes, self.sum.hexdigest()))
 
 
+def starts(pages: DataFrame) -> tuple[np.ndarray, int]:
+    """(first page_id of each shard, ascending; number of shards before them for rows without one).
+
+    A shard has ``SHARDS`` to the whole of the bytes, within ``LEAST_SHARD`` and ``MOST_SHARD``. Bytes are
+    counted by cells of page_id, and cells that fill a quarter of a shard are counted again in smaller ones; so
+    the driver sees a few rows a shard. A page_id that fills shards by itself begins as many of them.
+    """
+    sized = pages.select("page_id", (F.octet_length(F.coalesce("html", F.lit(""))) + RECORD_BYTES).cast("long").alias("size"))
+    none = F.col("page_id").isNull()
+    low, high, some, rest = sized.agg(F.min("page_id"), F.max("page_id"), F.coalesce(F.sum(F.when(~none, F.col("size"))), F.lit(0)), F.coalesce(F.sum(F.when(none, F.col("size"))), F.lit(0))).first()
+    target = min(MOST_SHARD, max(LEAST_SHARD, (some + rest) // SHARDS))
+    first = -(-rest // target)
+    if low is None:
+        return np.zeros(0, np.int64), max(1, first)
+
+    def cells(rows: DataFrame, shift: int) -> list[tuple[int, int]]:
+        cell = F.shiftright("page_id", shift)
+        return sorted((int(c), int(n)) for c, n in rows.groupBy(cell.alias("cell")).agg(F.sum("size")).toLocalIterator())
+
+    fine = max(1, (CELLS * some // target).bit_length())
+    shift = max(0, (high - low).bit_length() - max(fine, 12))
+    sizes = {(c << shift, shift): n for c, n in cells(sized.filter(~none), shift)}
+    while shift:
+        large = sorted({c for (c, s), n in sizes.items() if s == shift and n * CELLS > target})
+        if not large:
+            break
+        heavy = sized.sparkSession.createDataFrame([(c >> shift,) for c in large], "cell long")
+        smaller = max(0, shift - 12)
+        rows = sized.filter(~none).withColumn("cell", F.shiftright("page_id", shift)).join(heavy, "cell", "left_semi")
+        sizes = {k: n for k, n in sizes.items() if k[1] != shift or n * CELLS <= target} | {(c << smaller, smaller): n for c, n in cells(rows, smaller)}
+        shift = smaller
+    out, held = [], target + 1
+    for (start, _), n in sorted(sizes.items()):
+        if n > target:
+            out += [start] * -(-n // target)
+            held = target + 1
+        elif held + n > target:
+            out.append(start)
+            held = n
+        else:
+            held += n
+    return np.array(out, np.int64), first
+
+
+def dealt(pages: DataFrame) -> DataFrame:
+    """Pages (kind 1) and what is known of their revisits (kind 0), one partition a shard, in order."""
+    begin, first = starts(pages)
+    split = first > 1 or len(np.unique(begin)) < len(begin)
+
+    @F.pandas_udf(LongType())
+    def place(page_id: pd.Series, payload: pd.Series) -> pd.Series:
+        ids = page_id.to_numpy(np.int64)
+        right, left = np.searchsorted(begin, ids, "right"), np.searchsorted(begin, ids, "left")
+        own = np.where(left < right, left, np.maximum(right - 1, 0))
+        return pd.Series(own + payload.to_numpy(np.int64) % np.maximum(right - own, 1))
+
+    def shard(digest: Column) -> Column:
+        payload = F.pmod(F.xxhash64(digest), F.lit(1 << 40)) if split else F.lit(0).cast("long")
+        return F.when(F.col("page_id").isNull(), payload % max(1, first)).otherwise(first + place(F.coalesce("page_id", F.lit(0)), payload)).cast("int").alias("shard")
+
+    text, number = F.lit(None).cast("string"), F.lit(None).cast("long")
+    whole = pages.select("page_id", F.lit(1).alias("kind"), "url", "html", text.alias("digest"), number.alias("refers_to"), shard(F.sha2(F.coalesce("html", F.lit("")), 256)))
+    known = revisits(pages).select("page_id", F.lit(0).alias("kind"), text.alias("url"), text.alias("html"), "digest", "refers_to", shard(F.col("digest")))
+    placed = whole.unionByName(known).repartitionById(max(1, first + len(begin)), F.col("shard")).drop("shard")
+    return placed.sortWithinPartitions("page_id", "kind", "url", F.xxhash64("html"))
+
+
 def write(pages: DataFrame, root: str, roll: int = ROLL_BYTES) -> DataFrame:
     """Write ``pages`` (page_id, url, html) under ``root``, a new folder that all executors reach; returns the manifest."""
     spark = pages.sparkSession
     fs, path = filesystem(root)
     fs.create_dir(f"{path}/_temporary", recursive=True)
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    whole = pages.select("page_id", F.lit(1).alias("kind"), "url", "html", F.lit(None).cast("string").alias("digest"), F.lit(None).cast("long").alias("refers_to"))
-    known = revisits(pages).select("page_id", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"), "digest", "refers_to")
-    dealt = whole.unionByName(known).repartitionByRange(task_count(pages, SHARD_BYTES), "page_id").sortWithinPartitions("page_id", "kind", "url", F.xxhash64("html"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
@@ -158,7 +225,7 @@ def write(pages: DataFrame, root: str, roll: int = ROLL_BYTES) -> DataFrame:
         kinds = (pa.int32(), pa.int32(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string())
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["shard", "file", "temporary", "name", "records", "bytes", "sha256"])
 
-    dealt.mapInArrow(run, MANIFEST).write.parquet(f"{root}/_staged")
+    dealt(pages).mapInArrow(run, MANIFEST).write.parquet(f"{root}/_staged")
     staged = spark.read.schema(MANIFEST).parquet(f"{root}/_staged")
 
     def commit(batches):

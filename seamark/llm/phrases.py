@@ -41,13 +41,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seamark.llm import words as W
-from seamark.llm.common import input_bytes, written
+from seamark.llm.common import input_bytes, task_count, written
 from seamark.llm.words import U
 
 LEAST, LONGEST, COVER, TOP = 100, 5, 100, 2000
 UNKNOWN = "und"
 SHARD_WORDS = 1 << 20
-BUCKET_BYTES, MOST_BUCKETS = 16 << 20, 1 << 17
+BUCKET_BYTES, TASK_BYTES, MOST_BUCKETS = 4 << 20, 8 << 20, 1 << 17  # bytes of packed shards
 
 BREAK = np.zeros(256, bool)
 BREAK[[*range(0x0A, 0x0E), *b".,;:!?"]] = True
@@ -292,7 +292,7 @@ def asked(shard_id: int, hashes: np.ndarray, counts: np.ndarray, shift: int) ->
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int32(), pa.int64(), pa.binary(), pa.binary()))], ["bucket", "shard", "a", "b"])
 
 
-def sums(counted: DataFrame, least: int) -> DataFrame:
+def sums(counted: DataFrame, least: int, tasks: int) -> DataFrame:
     """Answers to the shards: their hashes with ``least`` or more in all, and the sum twice, plus one
     for the first shard that has the hash."""
 
@@ -312,7 +312,7 @@ def sums(counted: DataFrame, least: int) -> DataFrame:
                 rows.append((shard_id, ANSWER, None, keys[at[some]].tobytes(), (2 * total[at[some]] + owner[some]).astype("<i8").tobytes()))
         return pa.Table.from_batches([shard_batch(rows)])
 
-    return counted.groupBy("bucket").applyInArrow(merge, SHARD)
+    return counted.repartition(tasks, "bucket").groupBy("bucket").applyInArrow(merge, SHARD)
 
 
 def opened(table: pa.Table) -> tuple[Shard, np.ndarray, np.ndarray, np.ndarray] | None:
@@ -353,9 +353,10 @@ def spelt(lang: str, shard: Shard, keys: np.ndarray, total: np.ndarray, first: n
 
 def candidates(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """Rows of ``FOUND``: every phrase of two words or more with ``least`` occurrences, and its lowest-scoring cut."""
-    buckets = min(MOST_BUCKETS, max(16, input_bytes(docs) // BUCKET_BYTES))
-    shift = 64 - int(buckets - 1).bit_length()
     texts = written(shards(docs), "phrase-shards")
+    tasks = task_count(texts, TASK_BYTES)
+    buckets = min(MOST_BUCKETS, max(16, input_bytes(texts) // BUCKET_BYTES))
+    shift = 64 - int(buckets - 1).bit_length()
 
     def count_pairs(batches):
         for batch in batches:
@@ -375,10 +376,10 @@ def candidates(docs: DataFrame, least: int = LEAST) -> DataFrame:
         kinds = (pa.string(), pa.int32(), pa.string(), *[pa.int64()] * 8)
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=[f.split()[0] for f in FOUND.split(", ")])
 
-    short = written(sums(texts.mapInArrow(count_pairs, ASKED), least), "phrase-pairs")
-    long = sums(texts.unionByName(short).groupBy("shard").applyInArrow(count_longer, ASKED), least)
+    short = written(sums(texts.mapInArrow(count_pairs, ASKED), least, tasks), "phrase-pairs")
+    long = sums(texts.unionByName(short).repartition(tasks, "shard").groupBy("shard").applyInArrow(count_longer, ASKED), least, tasks)
     long = written(long, "phrase-longer")
-    return texts.unionByName(short).unionByName(long).groupBy("shard").applyInArrow(spell, FOUND)
+    return texts.unionByName(short).unionByName(long).repartition(tasks, "shard").groupBy("shard").applyInArrow(spell, FOUND)
 
 
 def collocations(docs: DataFrame, least: int = LEAST, cover: int = COVER, top: int = TOP) -> DataFrame:

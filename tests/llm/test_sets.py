@@ -120,6 +120,18 @@ def test_encoder_is_the_library(rows):
         assert ids == np.array(enc.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
+def test_special_token_in_a_text_is_one_id():
+    """Against an untouched tokenizer, with the literal alone, beside and within words."""
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(BPE)
+    mark = "<|endoftext|>"
+    texts = [mark, f"{mark}{mark}", f"a {mark} b", f"word{mark}word", f"a\n{mark}\nb c", f" {mark}  x", f"<|endoftext{mark}|>", f"<|endoftext |> the {mark[:-1]}", f"x{mark}", "no mark here"]
+    for text, ids in zip(texts, packing.Encoder(BPE).ids(texts)):
+        want = plain.encode(text, add_special_tokens=False).ids
+        assert ids == np.array(want, "<u4").tobytes() and want.count(50256) == text.count(mark)
+
+
 def test_memo_is_bounded(monkeypatch, rows):
     monkeypatch.setattr(packing, "MEMO", 50)
     enc = packing.Encoder(BPE)
@@ -244,6 +256,29 @@ def test_warc_is_deterministic_and_sorted(spark, pages):
     assert ids == sorted(ids) and order[:2] == [None, None]
 
 
+def test_warc_shards_follow_the_pages_alone(spark, monkeypatch):
+    """The same files whatever the partitions, with a page_id larger than a shard, rows without one and far ids."""
+    monkeypatch.setattr(warc, "LEAST_SHARD", 8 << 10)
+    rng = random.Random(4)
+    ids = [*range(0, 5000, 10), *[77] * 60, *[None] * 60, -(2**62), 2**62, 2**62 + 1]
+    rows = [(i, f"http://x/{i}", "".join(rng.choices("abc <>", k=rng.randint(0, 900)))) for i in ids]
+    rows += rows[::50]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    begin, first = warc.starts(pages)
+    assert first > 1 and (begin == 77).sum() > 1 and len(begin) > 20 and (np.diff(begin) >= 0).all()
+    listed = []
+    for dealt in (pages.repartition(7), pages.orderBy("html").coalesce(2), pages.repartition(3, "url")):
+        root = fresh_dir(spark, "warc")
+        listed.append(sorted(tuple(r) for r in warc.write(dealt, root).collect()))
+        assert Counter(r.page_id for r in warc.read(spark, root).collect()) == Counter(i for i, _, _ in rows)
+        fs, path = warc.filesystem(root)
+        names = [r.name for r in warc.manifest(spark, root).collect()]
+        found = [warc.parse(raw)[0]["WARC-Record-ID"] for n in names for raw in warc.members(fs.open_input_stream(f"{path}/{n}"))]
+        assert len(found) == len(set(found))
+    assert listed[0] == listed[1] == listed[2]
+    assert max(r[3] for r in listed[0]) < 60
+
+
 def test_warc_reads_only_what_is_committed_and_finds_damage(spark, pages):
     root = fresh_dir(spark, "warc")
     warc.write(pages, root)

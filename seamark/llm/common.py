@@ -87,17 +87,20 @@ def with_columns_in_arrow(df: DataFrame, make: Callable[[pa.RecordBatch], dict[s
     return df.mapInArrow(run, ", ".join(fields))
 
 
-HOT_PARTS = 1 << 10
+HOT_PARTS, HOT_ROWS = 1 << 10, 1000
 
 
 def bounded_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """``left`` with the columns of ``right``, at most one row a key there, NULL where there is none.
 
-    A key with more than 1 / ``HOT_PARTS`` of the rows of ``left`` is hot. There are fewer than
+    A key with more than ``HOT_ROWS`` rows and 1 / ``HOT_PARTS`` of ``left`` is hot. There are fewer than
     ``HOT_PARTS`` such keys, whatever the size, so their rows of ``right`` are broadcast; all other
-    keys meet in a shuffle, where none can fill a task. ``left`` is read three times and should be a table.
+    keys meet in a shuffle, where none can fill a task. ``left`` is read several times and should be a table.
     """
-    many = left.count() // HOT_PARTS + 1
+    rows = left.count()
+    if rows <= HOT_ROWS:
+        return left.join(right, key, "left")
+    many = max(HOT_ROWS, rows // HOT_PARTS)
     some = left.filter(F.col(key).isNotNull())
     hot = F.broadcast(some.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > many).select(key))
     cold = some.join(hot, key, "left_anti").join(right, key, "left")

@@ -2,7 +2,7 @@
 
 Every step is a minimum by node and a join back to the edges (Kiveris et al., 2014): a
 constant number of shuffles that never gather a component or a node's neighbours in one
-place: hubs meet their minimum through a broadcast (``bounded_join``). Each round ends in a written table; the number of rounds grows with the logarithm of
+place. With ``hubs`` a node of very many edges meets its minimum through a broadcast (``bounded_join``). Each round ends in a written table; the number of rounds grows with the logarithm of
 the longest path.
 """
 
@@ -14,19 +14,20 @@ from pyspark.sql import functions as F
 from seamark.llm.common import bounded_join, written
 
 
-def star(edges: DataFrame, large: bool) -> DataFrame:
+def star(edges: DataFrame, large: bool, hubs: bool = False) -> DataFrame:
     """Edges (a > b) after joining neighbours to the smallest of each node's neighbourhood."""
+    meet = lambda rows, least: bounded_join(rows, least, "a") if hubs else rows.join(least, "a")
     if large:
         near = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = near.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-        moved = bounded_join(near, least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        moved = meet(near, least).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         return moved.distinct()
     least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    moved = bounded_join(edges, least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    moved = meet(edges, least).filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, hubs: bool = False) -> DataFrame:
     """(a, b): every node of ``edges`` but the smallest of its component, with that smallest node."""
     now = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), "edges")
     seen = None
@@ -35,4 +36,4 @@ def components(edges: DataFrame) -> DataFrame:
         if tuple(state) == seen:
             return now
         seen = tuple(state)
-        now = written(star(star(now, True), False), "edges")
+        now = written(star(star(now, True, hubs), False, hubs), "edges")

@@ -17,10 +17,12 @@ The model has two factors, both log-bilinear and trained by noise contrast.
    probability ``p(x) exp(h . q_x + b_x)``, normalised over all children, where p is factor 1 at the root and
    the share of training tokens below. So the probabilities sum to one over all words.
 
-Factor 2 is trained on every training token in Spark tasks (``train_words``). The noise of a choice is
-p, ``NOISE`` to one, and its expectation over all children is exact, as in factor 1. In each of ``ROUNDS`` rounds every
-task steps over its share of the texts from the same parameters, and the moves are averaged row by
-row, weighted by the squared gradients that the row met.
+Factor 2 is trained on every training token in Spark tasks (``train_words``). The texts are written once as
+arrays of entries, dealt by a hash into ``ROUNDS`` rounds of ``parts_of`` parts each, whatever the number of
+cores. The noise of a choice is p, ``NOISE`` to one, and its expectation over all children is exact, as in
+factor 1. In each round every part steps over its texts, in the order of their hashes, from the same
+parameters, and the moves are averaged row by row, weighted by the squared gradients that the row met. The
+exponential of factor 2 is linear between powers of two (``exponent``), alike in training and scoring.
 
 Word counts are exact over the whole training text. Counts and lookups travel as arrays in
 buckets of the hash range (a 59-bit hash and 5 bits of class), a number that follows the input.
@@ -50,9 +52,11 @@ SYMBOLS, TAILS, WIDTH = 128, 20, 24
 OWN = SYMBOLS - TAILS - 1
 END = SYMBOLS - 1
 KNOWN = 1 << 16
-DEPTH = 24  # of the vectors of words
+DEPTH = 15  # of the vectors of words
+ROOM = 8
 LEAST = 8  # count from which a word has vectors of its own
-ROUNDS, BATCH, CACHED, WORD_RATE, CALM = 4, 1 << 16, 1 << 10, 0.1, 1.0
+ROUNDS, BATCH, CACHED, WORD_RATE, CALM = 4, 1 << 16, 1 << 10, 0.25, 1.0
+PART_TOKENS, STEPS_A_PART = 1 << 22, 256
 ALPHA = 0.1
 NOISE, STEPS, RATE = 8, 160, 0.05
 BUCKET_BYTES = 8 << 20
@@ -136,7 +140,7 @@ def magnitude(counts: np.ndarray) -> np.ndarray:
 
 def room(n: int) -> int:
     """Words with vectors of their own after ``n`` training tokens."""
-    return max(1 << 10, int(8 * n**0.5))
+    return max(1 << 10, int(ROOM * n**0.5))
 
 
 def slot_of(keys: np.ndarray, slots: int) -> np.ndarray:
@@ -248,19 +252,55 @@ def sequences(w: W.Words, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return np.where(first, END, two), one, seq, rows
 
 
-def count_trigrams(docs: DataFrame, vocab: Vocabulary) -> np.ndarray:
-    """Tokens by (context, symbol) over all texts."""
+def parts_of(n: int) -> int:
+    """Parts of the training texts, each for one task, after ``n`` training tokens. They grow with the root of
+    n, as the words with vectors do, so that all moves together grow with the text."""
+    return max(1, int(np.ceil((n / PART_TOKENS) ** 0.5)))
+
+
+def encoded(docs: DataFrame, vocab: Vocabulary, rounds: int) -> DataFrame:
+    """The entries of every text, the end included, with the round and part that train on it.
+
+    Both follow from a hash of the row; equal rows of a batch go to different parts."""
     shared = docs.sparkSession.sparkContext.broadcast(vocab)
+    parts = parts_of(vocab.n)
+
+    def run(batches):
+        v = shared.value
+        for batch in batches:
+            hashes = np.asarray(batch.column("at"))
+            order = np.argsort(hashes, kind="stable")
+            again = np.arange(len(hashes)) - np.searchsorted(hashes[order], hashes[order])
+            copy = np.empty(len(hashes), np.int64)
+            copy[order] = again
+            part = ((hashes >> 16) + copy) % parts
+            for a, b, data, off in W.blocks(batch.column("text")):
+                w, keys = word_keys(data, off)
+                seq = sequences(w, v.entries(keys, *v.find(keys)))[2].astype("<i4")
+                to = w.at + np.arange(b - a + 1)
+                ids = pa.array([seq[i:j].tobytes() for i, j in zip(to, to[1:])], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(hashes[a:b] % rounds, pa.int32()), pa.array(part[a:b], pa.int32()), pa.array(hashes[a:b], pa.int64()), ids], ["turn", "part", "at", "ids"])
+
+    return docs.select("text", F.xxhash64("text", "doc_id").alias("at")).mapInArrow(run, "turn int, part int, at long, ids binary")
+
+
+def contexts(seq: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(entry two before, entry before) of the tokens of whole texts, each of which ends in an end."""
+    one = np.append(END, seq[:-1])[: len(seq)]
+    return np.where(one == END, END, np.append(END, one[:-1])[: len(seq)]), one
+
+
+def count_trigrams(encoded: DataFrame, vocab: Vocabulary) -> np.ndarray:
+    """Tokens by (context, symbol) over all texts."""
+    shared = encoded.sparkSession.sparkContext.broadcast(vocab.symbols(np.arange(len(vocab.mass))))
     cells = SYMBOLS**3
 
     def count(batches):
         total = np.zeros(cells, np.int64)
         for batch in batches:
-            for _, _, data, off in W.blocks(batch.column("text")):
-                w, keys = word_keys(data, off)
-                v = shared.value
-                two, one, symbol, _ = sequences(w, v.symbols(v.entries(keys, *v.find(keys))))
-                np.add.at(total, (two * SYMBOLS + one) * SYMBOLS + symbol, 1)
+            seq = shared.value[np.frombuffer(b"".join(batch.column("ids").to_pylist()), "<i4")]
+            two, one = contexts(seq)
+            np.add.at(total, (two * SYMBOLS + one) * SYMBOLS + seq, 1)
         some = np.flatnonzero(total)
         yield block_batch([(b, 0, x, y) for b, x, y in slices(some.astype(U), 17, total[some])])
 
@@ -269,7 +309,7 @@ def count_trigrams(docs: DataFrame, vocab: Vocabulary) -> np.ndarray:
         return pa.Table.from_batches([block_batch([(0, 0, k.astype("<u4").tobytes(), c.tobytes())])])
 
     out = np.zeros(cells)
-    for r in docs.select("text").mapInArrow(count, BLOCK).groupBy("bucket").applyInArrow(merge, BLOCK).select("a", "b").toLocalIterator():
+    for r in encoded.select("ids").mapInArrow(count, BLOCK).groupBy("bucket").applyInArrow(merge, BLOCK).select("a", "b").toLocalIterator():
         out[np.frombuffer(r["a"], "<u4")] = np.frombuffer(r["b"], "<i8")
     return out.reshape(SYMBOLS**2, SYMBOLS)
 
@@ -353,20 +393,35 @@ class Tree:
             self.path[m, 1] = SYMBOLS + k
             self.path[m, 2] = np.arange(self.first[1 + TAILS + k], self.first[2 + TAILS + k])
 
-    def choices(self, entries: np.ndarray) -> Iterator[tuple[np.ndarray, int, int, np.ndarray]]:
-        """(tokens, first row, row after the last, chosen child) of every node that the entries pass, ``CACHED`` tokens at once."""
-        for depth in range(3):
-            row = self.path[entries, depth]
-            some = np.flatnonzero(row >= 0)
-            node = self.node[row[some]].astype(np.int32)
-            some = some[np.argsort(node, kind="stable")] if depth else some
-            node = self.node[row[some]]
-            edge = np.flatnonzero(np.append(True, node[1:] != node[:-1])) if len(node) else []
-            for i, j in zip(edge, [*edge[1:], len(node)]):
-                a, b = int(self.first[node[i]]), int(self.first[node[i] + 1])
-                for at in range(i, j, CACHED) if b - a > 1 else ():
-                    tokens = some[at : min(j, at + CACHED)]
-                    yield tokens, a, b, row[tokens] - a
+        self.rank = np.where(self.path[:, 2] >= 0, self.path[:, 2], np.arange(len(vocab.mass)) - SYMBOLS)
+        self.starts = self.first[1 + TAILS : -1]
+        self.classes = self.starts[np.cumsum([0, *map(len, members)])[:-1]]
+
+    def choices(self, entries: np.ndarray, rank: np.ndarray) -> Iterator[tuple[int, int, int, int, np.ndarray]]:
+        """(first token, token after the last, first row, row after the last, chosen children) of every node that
+        the entries pass, which come in the order of their ``rank``."""
+        yield 0, len(rank), 0, SYMBOLS, self.path[entries, 0]
+        for depth, starts, node in ((1, self.classes, 1), (2, self.starts, 1 + TAILS)):
+            edge = np.append(np.searchsorted(rank, starts), len(rank))
+            row = self.path[entries[edge[0] :], depth]
+            for k in np.flatnonzero(edge[1:] > edge[:-1]):
+                a, b = int(self.first[node + k]), int(self.first[node + k + 1])
+                if b - a > 1:
+                    yield int(edge[k]), int(edge[k + 1]), a, b, row[edge[k] - edge[0] : edge[k + 1] - edge[0]] - a
+
+
+# 2**23 / ln 2 and the bits of 1.0 as float32, less the shift that centres the error.
+STEEP, ONE_BITS, MOST_BITS = np.float32(12102203.16), np.float32(1064866805.0), np.float32(2.1e9)
+
+
+def exponent(own: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """exp(own . q) for every row of ``own`` and of ``q``, linear between powers of two (relative error
+    below 3 percent): the sum, scaled, is read as the bits of a float. The last column of ``own`` is 1."""
+    bits = q * STEEP
+    bits[:, -1] += ONE_BITS
+    s = own @ bits.T
+    np.clip(s, np.float32(0), MOST_BITS, out=s)
+    return s.astype(np.int32).view(np.float32)
 
 
 def averaged(parts: list[np.ndarray], weights: list[np.ndarray]) -> np.ndarray:
@@ -380,6 +435,7 @@ class WordModel:
     def __init__(self, vocab: Vocabulary, tree: Tree, table: np.ndarray, seed: int = 1):
         rng = np.random.default_rng(seed)
         self.vocab, self.tree, self.table = vocab, tree, table  # table: probability by (context, symbol)
+        self.noise, self.noise_table = NOISE * tree.share, NOISE * table
         self.r = rng.normal(0, 0.3, (len(vocab.mass), DEPTH)).astype(np.float32)
         self.q = np.zeros((len(tree.share), DEPTH + 1), np.float32)
         self.c = rng.normal(0, DEPTH**-0.5, (2 * DEPTH, DEPTH)).astype(np.float32)
@@ -387,25 +443,34 @@ class WordModel:
 
     def context(self, two: np.ndarray, one: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(context of symbols, vectors of both entries, predicted vector and a one)."""
-        x = np.concatenate([self.r[one], self.r[two]], axis=1)
+        x = np.empty((len(one), 2 * DEPTH), np.float32)
+        np.take(self.r, one, axis=0, out=x[:, :DEPTH])
+        np.take(self.r, two, axis=0, out=x[:, DEPTH:])
         h = np.ones((len(one), DEPTH + 1), np.float32)
         h[:, :DEPTH] = x @ self.c
-        return self.vocab.symbols(two) * SYMBOLS + self.vocab.symbols(one), x, h
-
-    def prior(self, context: np.ndarray, tokens: np.ndarray, a: int, b: int) -> np.ndarray:
-        return self.table[context[tokens]] if a == 0 else self.tree.share[a:b]
+        symbol = self.tree.path[:, 0]
+        return symbol[two].astype(np.int64) * SYMBOLS + symbol[one], x, h
 
     def log_probabilities(self, two: np.ndarray, one: np.ndarray, entries: np.ndarray) -> np.ndarray:
         """Normalised natural logs of entries after their contexts."""
         out = np.zeros(len(entries))
         for at in range(0, len(entries), BATCH):
-            here = slice(at, at + BATCH)
+            rank = self.tree.rank[entries[at : at + BATCH]]
+            order = np.argsort(rank)
+            here = at + order
             context, _, h = self.context(two[here], one[here])
-            for tokens, a, b, child in self.tree.choices(entries[here]):
-                p = h[tokens] @ self.q[a:b].T
-                np.exp(p, out=p)
-                p *= self.prior(context, tokens, a, b)
-                out[at + tokens] += np.log(p[np.arange(len(child)), child]) - np.log(p.sum(axis=1))
+            log = np.zeros(len(here), np.float32)
+            for i, j, a, b, child in self.tree.choices(entries[here], rank[order]):
+                for t in range(i, j, CACHED):
+                    u = min(j, t + CACHED)
+                    p = exponent(h[t:u], self.q[a:b])
+                    own = np.arange(u - t), child[t - i : u - i]
+                    if a == 0:
+                        p *= self.table[context[t:u]]
+                        log[t:u] += np.log(p[own] / p.sum(axis=1))
+                    else:
+                        log[t:u] += np.log(p[own] * self.tree.share[a:b][own[1]] / (p @ self.tree.share[a:b]))
+            out[here] = log
         return out
 
     def move(self, name: str, rows: np.ndarray | slice, g: np.ndarray) -> None:
@@ -414,66 +479,77 @@ class WordModel:
         getattr(self, name)[rows] -= WORD_RATE * g / np.sqrt(met[rows] + CALM)[:, None]
 
     def step(self, two: np.ndarray, one: np.ndarray, entries: np.ndarray) -> None:
-        """One step on the summed gradients of some tokens."""
-        context, x, h = self.context(two, one)
-        dh, dq, touched = np.zeros_like(h), np.zeros_like(self.q), np.zeros(len(self.q), bool)
-        for tokens, a, b, child in self.tree.choices(entries):
-            own = h[tokens]
-            pull = own @ self.q[a:b].T
-            np.exp(pull, out=pull)
-            pull /= pull + np.float32(NOISE)
-            at = np.arange(len(child)), child
-            true = pull[at]
-            pull *= self.prior(context, tokens, a, b)
-            pull *= np.float32(NOISE)
-            pull[at] += true - 1
-            dq[a:b] += pull.T @ own
-            touched[a:b] = True
-            dh[tokens] += pull @ self.q[a:b]
+        """One step on the summed gradients of the tokens of a stretch of texts."""
+        rank = self.tree.rank[entries]
+        order = np.argsort(rank)
+        rank = rank[order]
+        context, x, h = self.context(two[order], one[order])
+        dh = np.zeros_like(h)
+        for i, j, a, b, child in self.tree.choices(entries[order], rank):
+            q, noise = self.q[a:b], self.noise[a:b]
+            dq = np.zeros_like(q)
+            for t in range(i, j, CACHED):
+                u = min(j, t + CACHED)
+                own = h[t:u]
+                pull = exponent(own, q)
+                pull /= pull + np.float32(NOISE)
+                at = np.arange(u - t), child[t - i : u - i]
+                true = pull[at]
+                pull *= self.noise_table[context[t:u]] if a == 0 else noise
+                pull[at] += true - 1
+                dq += pull.T @ own
+                dh[t:u] += pull @ q
+            self.move("q", slice(a, b), dq)
         dh = dh[:, :DEPTH]
-        dx = dh @ self.c.T
-        who = np.concatenate([one, two])
-        order = np.argsort(who, kind="stable")
-        who = who[order]
-        edge = np.flatnonzero(np.append(True, who[1:] != who[:-1]))
-        dr = np.add.reduceat(np.concatenate([dx[:, :DEPTH], dx[:, DEPTH:]])[order], edge)
-        rows = np.flatnonzero(touched)
+        dx = np.empty((len(order), 2 * DEPTH), np.float32)
+        dx[order] = dh @ self.c.T
         self.move("c", slice(None), x.T @ dh)
-        self.move("q", rows, dq[rows])
-        self.move("r", who[edge], dr)
+        # Entry i is the context of tokens i + 1 and i + 2, but that the end stands two before a text's first token.
+        dr = np.zeros((len(order), DEPTH), np.float32)
+        dr[:-1] = dx[1:, :DEPTH]
+        usual = two[2:] == entries[:-2]
+        dr[:-2] += dx[2:, DEPTH:] * usual[:, None]
+        edge = np.flatnonzero(np.append(True, rank[1:] != rank[:-1]))
+        dr = np.add.reduceat(dr[order], edge)
+        rest = [(END, dx[2:, DEPTH:][~usual].sum(axis=0)), (one[0], dx[0, :DEPTH]), (two[0], dx[0, DEPTH:]), *((two[1], dx[1, DEPTH:]) for _ in order[1:2])]
+        for entry, g in rest:
+            at = np.searchsorted(rank[edge], self.tree.rank[entry])
+            if at < len(edge) and rank[edge[at]] == self.tree.rank[entry]:
+                dr[at] += g
+            else:
+                self.move("r", np.array([entry]), g[None])
+        self.move("r", entries[order[edge]], dr)
 
 
 ROWS_SENT = 1 << 14
-PARTS = {"r": DEPTH, "q": DEPTH + 1, "c": DEPTH}
 
 
-def train_words(docs: DataFrame, model: WordModel, rounds: int = ROUNDS) -> WordModel:
-    """``model`` after all tokens of ``docs``, in rounds over a part of the texts each."""
+def train_words(encoded: DataFrame, model: WordModel, rounds: int = ROUNDS) -> WordModel:
+    """``model`` after all tokens of ``encoded``, in rounds over a part of the texts each."""
     if not model.vocab.n:
         return model
-    sc = docs.sparkSession.sparkContext
-    tasks = max(1, sc.defaultParallelism)
-    size = int(np.clip(model.vocab.n // (64 * tasks), 1 << 11, BATCH))
-    turn = F.pmod(F.xxhash64("text", "doc_id"), F.lit(rounds))
+    sc = encoded.sparkSession.sparkContext
+    parts = parts_of(model.vocab.n)
+    size = int(np.clip(model.vocab.n // (STEPS_A_PART * parts), 1 << 11, BATCH))
 
     for k in range(rounds):
         shared = sc.broadcast(model)
 
         def run(batches, shared=shared):
+            at, texts = [], []
+            for batch in batches:
+                at.append(np.asarray(batch.column("at")))
+                texts += batch.column("ids").to_pylist()
+            if not texts:
+                return
+            entries = np.frombuffer(b"".join(texts[i] for i in np.argsort(np.concatenate(at), kind="stable")), "<i4")
+            two, one = contexts(entries)
             old = shared.value
             own = copy.copy(old)
             own.r, own.q, own.c, own.met = old.r.copy(), old.q.copy(), old.c.copy(), {k: v.copy() for k, v in old.met.items()}
-            seen = False
-            for batch in batches:
-                for _, _, data, off in W.blocks(batch.column("text")):
-                    w, keys = word_keys(data, off)
-                    two, one, entries, _ = sequences(w, own.vocab.entries(keys, *own.vocab.find(keys)))
-                    for at in range(0, len(entries), size):
-                        own.step(two[at : at + size], one[at : at + size], entries[at : at + size])
-                        seen = True
-            if not seen:
-                return
-            for i, name in enumerate(PARTS):
+            for at in range(0, len(entries), size):
+                own.step(two[at : at + size], one[at : at + size], entries[at : at + size])
+            for i, name in enumerate("rqc"):
                 gain, delta = own.met[name] - old.met[name], getattr(own, name) - getattr(old, name)
                 for at in range(0, len(gain), ROWS_SENT):
                     here = slice(at, at + ROWS_SENT)
@@ -486,13 +562,14 @@ def train_words(docs: DataFrame, model: WordModel, rounds: int = ROUNDS) -> Word
             mean = averaged(deltas, gains).astype("<f4")
             return pa.Table.from_batches([block_batch([(table["bucket"][0].as_py(), i, sum(gains).astype("<f4").tobytes(), mean.tobytes())])])
 
-        part = docs.filter(turn == k).select("text").coalesce(tasks).mapInArrow(run, BLOCK).groupBy("kind", "bucket").applyInArrow(merge, BLOCK)
+        dealt = encoded.filter(F.col("turn") == k).repartitionById(parts, F.col("part")).select("at", "ids")
+        part = dealt.mapInArrow(run, BLOCK).groupBy("kind", "bucket").applyInArrow(merge, BLOCK)
         moved = [(int(x["kind"]), int(x["bucket"]), bytes(x["a"]), bytes(x["b"])) for x in part.toLocalIterator()]
         for i, bucket, a, b in moved:
-            name = list(PARTS)[i]
+            name = "rqc"[i]
             here = slice(bucket * ROWS_SENT, (bucket + 1) * ROWS_SENT)
             model.met[name][here] += np.frombuffer(a, "<f4")
-            getattr(model, name)[here] += np.frombuffer(b, "<f4").reshape(-1, PARTS[name])
+            getattr(model, name)[here] += np.frombuffer(b, "<f4").reshape(-1, getattr(model, name).shape[1])
         shared.unpersist()
     return model
 
@@ -595,8 +672,9 @@ def fit(docs: DataFrame, shift: int) -> tuple[Scorer, DataFrame]:
     """The model of the texts of ``docs``, and their counts in buckets."""
     counted = written(count_words(docs, shift), "words")
     vocab = vocabulary(counted)
-    table = np.exp(train(count_trigrams(docs, vocab)).log_probabilities()).astype(np.float32)
-    return Scorer(vocab, train_words(docs, WordModel(vocab, Tree(vocab), table))), counted
+    texts = written(encoded(docs, vocab, ROUNDS), "word-ids")
+    table = np.exp(train(count_trigrams(texts, vocab)).log_probabilities()).astype(np.float32)
+    return Scorer(vocab, train_words(texts, WordModel(vocab, Tree(vocab), table))), counted
 
 
 def score_documents(docs: DataFrame) -> DataFrame:

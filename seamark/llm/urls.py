@@ -139,7 +139,7 @@ def blocked_nodes(pages: DataFrame, rules: Rules, redirects: DataFrame | None =
     verdict = lambda a: rule_for(F.regexp_extract(a, "^([^/?]*)", 1), F.regexp_extract(a, "(?s)^[^/?]*([^?]*)", 1), rules)[1]
     ends = edges.select("a").unionByName(edges.select(F.col("b").alias("a"))).distinct()
     judged = ends.select(node(F.col("a")).alias("node"), verdict(F.col("a")).alias("verdict"))
-    member = components(edges.select(node(F.col("a")).alias("a"), node(F.col("b")).alias("b"))).select(F.col("a").alias("node"), F.col("b").alias("class"))
+    member = components(edges.select(node(F.col("a")).alias("a"), node(F.col("b")).alias("b")), hubs=True).select(F.col("a").alias("node"), F.col("b").alias("class"))
     classed = written(judged.join(member, "node", "left").select("node", "verdict", F.coalesce("class", "node").alias("class")), "url-classes")
     tainted = classed.groupBy("class").agg(F.bool_or(F.col("verdict") == BLOCK).alias("block"), F.bool_or(F.col("verdict") == ALLOW).alias("allow"))
     tainted = tainted.filter("block AND NOT coalesce(allow, false)").select("class", F.lit(True).alias("tainted"))

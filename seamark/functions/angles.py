@@ -61,7 +61,11 @@ def phasor_gap(amp_m: Column, phase_m: Column, amp_r: Column, phase_r: Column) -
 
 def mean_angle(angle: Column) -> Column:
     """Aggregate: circular mean in [-180, 180]; NULL when the resultant vanishes."""
-    s, c = F.avg(F.sin(F.radians(angle))), F.avg(F.cos(F.radians(angle)))
+    return angle_of_sums(F.avg(F.sin(F.radians(angle))), F.avg(F.cos(F.radians(angle))))
+
+
+def angle_of_sums(s: Column, c: Column) -> Column:
+    """Direction of a resultant from its sine and cosine sums; NULL when it vanishes."""
     return F.when((s != 0) | (c != 0), F.degrees(F.atan2(s, c)))
 
 

@@ -1,9 +1,10 @@
 """Runs of rows and of intervals.
 
-The length of a run at a row is its distance to the last row outside the run;
-whole islands are rows that share the difference of two running totals (all
-rows, flagged rows).  ``scan`` supplies both without ordering a whole series in
-one task, and what follows are aggregates that reduce before the shuffle.
+The length of a run at a row is its distance to the last row outside the run.
+``run_states`` folds rows to a state per time chunk and the states along the
+series.  Whole islands are rows that share the difference of two running totals
+(all rows, flagged rows), which ``scan`` supplies without ordering a whole
+series in one task.
 """
 
 from __future__ import annotations
@@ -14,7 +15,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seamark.functions.clock import epoch
-from seamark.operators.sequence import CHUNK_SECONDS, group_median, scan
+from seamark.operators.sequence import CHUNK_SECONDS, chunk_of, scan
+
+# Chunk of rows without a time, before every other.
+BEFORE_TIME = -(1 << 40)
 
 
 def islands(
@@ -56,69 +60,96 @@ def islands(
     )
 
 
-def run_lengths(
+def run_states(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     flags: dict[str, Column],
+    partials: dict[str, Column] | None = None,
     *,
-    with_step: bool = False,
     chunk_seconds: int = CHUNK_SECONDS,
 ) -> DataFrame:
-    """Add, per flag, how long the current run is at each row (0 outside runs).
-
-    A run at a row reaches back to the last row without the flag, so one carry
-    per flag is enough and the longest run is a plain maximum.  ``with_step``
-    also adds ``step_seconds``, the time since the previous row.
-    """
-    hits = {f"__hit_{n}": F.coalesce(f, F.lit(False)) for n, f in flags.items()}
-    rows = _lengths(df.withColumns(hits), keys, order, list(flags), with_step, chunk_seconds)
-    added = [*flags, *(["step_seconds"] if with_step else [])]
-    return rows.select(*df.columns, *added)
+    """Run lengths, sampling steps and any partial aggregates in one pass over the rows.
 
+    Rows are dealt to time chunks once.  Inside a chunk they become one row per step (time
+    since the previous row of the chunk, NULL on its first row), which holds the row count
+    ``__n``, the partial aggregates and the run state: longest run, first and last row
+    without the flag.  Steps are whole seconds, so a chunk of c seconds holds at most
+    sqrt(2 c) + 2 different ones (2,279 for 30 days), commonly one or two.  Only these
+    rows are ordered along the series, which yields runs across borders and border steps.
+    Finish with ``groupBy(keys)`` and ``folded(flags)`` beside merges of the partials.
 
-def _lengths(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], names: list[str], with_step: bool, chunk_seconds: int
-) -> DataFrame:
-    t = order[0]
-    marked = scan(
-        df,
-        keys,
-        order,
-        prior={
-            **{f"__brk_{n}": F.when(~F.col(f"__hit_{n}"), F.lit(1)) for n in names},
-            **({"__prev": F.col(t)} if with_step else {}),
-        },
-        row_number="__pos",
-        chunk_seconds=chunk_seconds,
+    Rows without a time form a chunk before all others and have no step.
+    """
+    keys, order, partials = list(keys), list(order), partials or {}
+    names = list(flags)
+    rows = df.select(
+        "*",
+        F.coalesce(chunk_of(F.col(order[0]), chunk_seconds), F.lit(BEFORE_TIME)).alias("__chunk"),
+        epoch(F.col(order[0])).alias("__sec"),
+        *[F.coalesce(f, F.lit(False)).alias(f"__hit_{n}") for n, f in flags.items()],
     )
-    out = [F.col(c) for c in df.columns]
-    for n in names:
-        back = F.col("__pos") - F.coalesce(F.col(f"__brk_{n}__rn"), F.lit(0))
-        out.append(F.when(F.col(f"__hit_{n}"), back).otherwise(F.lit(0)).cast("bigint").alias(n))
-    if with_step:
-        out.append((epoch(F.col(t)) - epoch(F.col("__prev"))).alias("step_seconds"))
-    return marked.select(*out)
+    along = Window.partitionBy(*keys, "__chunk").orderBy(*order)
+    rows = rows.withColumns({"__rn": F.row_number().over(along), "__step": F.col("__sec") - F.lag("__sec").over(along)})
+    miss = {n: F.when(~F.col(f"__hit_{n}"), F.col("__rn")) for n in names}
+    upto = along.rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumns({f"__run_{n}": F.col("__rn") - F.coalesce(F.max(miss[n]).over(upto), F.lit(0)) for n in names})
+    local = rows.groupBy(*keys, "__chunk", "__step").agg(
+        F.count(F.lit(1)).alias("__n"),
+        F.max("__sec").alias("__end"),
+        F.min("__sec").alias("__start"),
+        *[c.alias(n) for n, c in partials.items()],
+        *[F.max(f"__run_{n}").alias(f"__best_{n}") for n in names],
+        *[F.min(miss[n]).alias(f"__first_{n}") for n in names],
+        *[F.max(miss[n]).alias(f"__last_{n}") for n in names],
+    )
+    # From here on a series is a few rows a chunk, in one place.
+    here = Window.partitionBy(*keys, "__chunk")
+    past = Window.partitionBy(*keys).orderBy("__chunk").rangeBetween(Window.unboundedPreceding, -1)
+    states = local.repartition(*keys).withColumns(
+        {
+            "__off": F.coalesce(F.sum("__n").over(past), F.lit(0)),
+            "__rows": F.sum("__n").over(here),
+            "__step": F.coalesce("__step", F.min("__start").over(here) - F.max("__end").over(past)),
+            **{f"__first_{n}": F.min(f"__first_{n}").over(here) for n in names},
+        }
+    )
+    back = {n: F.coalesce(F.max(F.col("__off") + F.col(f"__last_{n}")).over(past), F.lit(0)) for n in names}
+    # The run that enters a chunk ends before its first row without the flag.
+    entering = {n: F.col("__off") + F.coalesce(F.col(f"__first_{n}") - 1, F.col("__rows")) - back[n] for n in names}
+    states = states.withColumns({n: F.greatest(f"__best_{n}", entering[n]) for n in names})
+    # The row of a chunk without a step inside is its first row alone: it takes the border step.
+    return states.select(*keys, "__n", "__step", *partials, *names)
+
 
+def folded(flags: Sequence[str]) -> list[Column]:
+    """Aggregates over ``run_states``: longest run of each flag, and ``step_seconds``, the
+    median time between neighbouring rows (NULL for a single row).
 
-def _flag_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], flags: dict[str, Column]) -> DataFrame:
-    """Only what a run needs, so that nothing else is shuffled."""
-    return df.select(*keys, *order, *[F.coalesce(f, F.lit(False)).alias(f"__hit_{n}") for n, f in flags.items()])
+    The median counts by step: whole seconds, so at most sqrt(2 s) + 2 entries for a series
+    of s seconds, 80,000 for a century."""
+    median = F.percentile("__step", F.lit(0.5), F.col("__n")).alias("step_seconds")
+    return [*[F.max(n).cast("bigint").alias(n) for n in flags], median]
 
 
 def longest_runs(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], flags: dict[str, Column], *, chunk_seconds: int = CHUNK_SECONDS
 ) -> DataFrame:
     """Rows in the longest run of each flag, per series."""
-    slim = _flag_rows(df, keys, order, flags)
-    rows = _lengths(slim, keys, order, list(flags), False, chunk_seconds)
-    return rows.groupBy(*keys).agg(*[F.max(n).alias(n) for n in flags])
+    states = run_states(df, keys, order, flags, chunk_seconds=chunk_seconds)
+    return states.groupBy(*keys).agg(*[F.max(n).cast("bigint").alias(n) for n in flags])
 
 
 def outlier_flags(error: Column, x1: Column) -> dict[str, Column]:
     return {"max_pos_rows": error >= 2 * x1, "max_neg_rows": error <= -2 * x1}
 
 
+def in_hours() -> dict[str, Column]:
+    """The longest outlier runs in hours: rows times the median sampling interval."""
+    hours = F.col("step_seconds") / 3600
+    return {f"max_{d}_hours": F.col(f"max_{d}_rows") * hours for d in ("pos", "neg")}
+
+
 def outlier_durations(
     df: DataFrame,
     keys: Sequence[str],
@@ -134,27 +165,8 @@ def outlier_durations(
     Hours are rows times the median sampling interval of the whole series.
     """
     flags = outlier_flags(error, x1)
-    order = [ts, *tie]
-    rows = _lengths(_flag_rows(df, keys, order, flags), keys, order, list(flags), False, chunk_seconds)
-    longest = rows.groupBy(*keys).agg(*[F.max(n).alias(n) for n in flags])
-    return with_hours(longest, median_step(df, keys, order, chunk_seconds=chunk_seconds), keys)
-
-
-def median_step(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], *, chunk_seconds: int = CHUNK_SECONDS
-) -> DataFrame:
-    """Median seconds between neighbouring rows of each series, as ``step_seconds``."""
-    rows = _lengths(df.select(*keys, *order), keys, order, [], True, chunk_seconds)
-    return group_median(rows, keys, "step_seconds", "step_seconds")
-
-
-def with_hours(longest: DataFrame, steps: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add the longest outlier runs in hours: rows times the median sampling interval."""
-    joined = longest.alias("l").join(
-        steps.alias("s"), [F.col(f"l.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys], "left"
-    )
-    hours = F.col("s.step_seconds") / 3600
-    return joined.select("l.*", *[(F.col(f"max_{d}_rows") * hours).alias(f"max_{d}_hours") for d in ("pos", "neg")])
+    states = run_states(df, keys, [ts, *tie], flags, chunk_seconds=chunk_seconds)
+    return states.groupBy(*keys).agg(*folded(list(flags))).withColumns(in_hours()).drop("step_seconds")
 
 
 def longest_gap(

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seamark.functions.rounding import half_even
@@ -74,9 +74,18 @@ def timing_central_frequency(hours: Column, window: float = 0.5) -> Column:
 
 def worst_case_frequency(model: Column, obs: Column, tide: Column, x1: Column) -> Column:
     """% of errors beyond 2*x1 where model and obs lie on opposite sides of the tide."""
+    counts = worst_case_counts(model, obs, tide, x1)
+    return ratio(100.0 * counts["__worst"], counts["__scored"].cast("double"))
+
+
+def worst_case_counts(model: Column, obs: Column, tide: Column, x1: Column) -> dict[str, Column]:
+    """Aggregates: worst cases, and errors that have a tide to judge them by."""
     opposite = ((model > tide) & (obs < tide)) | ((model < tide) & (obs > tide))
     e = model - obs
-    return percent_of(opposite & (F.abs(e) > 2 * x1), F.when(tide.isNotNull(), e))
+    return {
+        "__worst": F.count_if(opposite & (F.abs(e) > 2 * x1)),
+        "__scored": F.count(F.when(tide.isNotNull(), e)),
+    }
 
 
 def worst_case_applies(variable: Column, tide_datum: Column, run_datum: Column, system: Column) -> Column:
@@ -102,21 +111,21 @@ def thresholds(spark: SparkSession, config: DataFrame | None = None) -> DataFram
     )
 
 
-def circular_sums(model: Column, obs: Column) -> list[Column]:
-    """Sums of sines, cosines and their products over common rows."""
+def circular_partials(model: Column, obs: Column) -> dict[str, Column]:
+    """Sums of sines, cosines and their products over common rows, by name."""
     ok = model.isNotNull() & obs.isNotNull()
     a, b = F.radians(F.when(ok, model)), F.radians(F.when(ok, obs))
     terms = {"sa": F.sin(a), "ca": F.cos(a), "sb": F.sin(b), "cb": F.cos(b)}
     names = list(terms)
-    sums = [F.count(a).alias("__cn"), *[F.sum(t).alias(f"__{n}") for n, t in terms.items()]]
+    sums = {"__cn": F.count(a), **{f"__{n}": F.sum(t) for n, t in terms.items()}}
     for i, p in enumerate(names):
         for q in names[i:]:
-            sums.append(F.sum(terms[p] * terms[q]).alias(f"__{p}_{q}"))
+            sums[f"__{p}_{q}"] = F.sum(terms[p] * terms[q])
     return sums
 
 
 def circular_from_sums() -> Column:
-    """Jammalamadaka-Sarma correlation from ``circular_sums``.
+    """Jammalamadaka-Sarma correlation from ``circular_partials``.
 
     sin(a - A) expands to sin a cos A - cos a sin A with A the circular mean, so
     one pass over the rows is enough and nothing is joined back.
@@ -144,7 +153,7 @@ def circular_from_sums() -> Column:
 
 
 def circular_correlation(df: DataFrame, keys: Sequence[str], model: str, obs: str) -> DataFrame:
-    sums = df.groupBy(*keys).agg(*circular_sums(F.col(model), F.col(obs)))
+    sums = df.groupBy(*keys).agg(*[c.alias(n) for n, c in circular_partials(F.col(model), F.col(obs)).items()])
     return sums.select(*keys, circular_from_sums().alias("circular_r"))
 
 
@@ -192,21 +201,59 @@ def _enough(df: DataFrame, keys: Sequence[str], min_pairs: int) -> DataFrame:
     )
 
 
-def _with_runs(rows: DataFrame, keys: Sequence[str], ts: str, tie: Sequence[str]) -> DataFrame:
-    """Rows with the length of the outlier run they stand in."""
-    return runs.run_lengths(rows, keys, [ts, *tie], runs.outlier_flags(F.col("__e"), F.col("__x1")))
+def _deviations(states: DataFrame, keys: Sequence[str], means: Sequence[str]) -> DataFrame:
+    """Add ``<mean>_dev``, the distance of each state's mean from that of its series.
+
+    With it the squares about the means of states add up without cancellation."""
+    whole = Window.partitionBy(*keys)
+    n = F.col("__pairs")
+    return states.withColumns(
+        {f"{m}_dev": F.col(m) - ratio(F.sum(n * F.col(m)).over(whole), F.sum(n).over(whole)) for m in means}
+    )
+
+
+def _pooled_mean(mean: str) -> Column:
+    return ratio(F.sum(F.col("__pairs") * F.col(mean)), F.sum("__pairs"))
+
+
+def _pooled_squares(squares: str, left: str, right: str) -> Column:
+    """Sum of products about the means of the whole series."""
+    return F.sum(F.col(squares) + F.col("__pairs") * F.col(f"{left}_dev") * F.col(f"{right}_dev"))
+
+
+def _error_partials(e: Column, x1: Column) -> dict[str, Column]:
+    n = F.count(e)
+    return {
+        "__pairs": n,
+        "__sq": F.sum(e * e),
+        "__e_mean": F.avg(e),
+        "__ee": F.var_pop(e) * n,
+        "__central": F.count_if(F.abs(e) <= x1),
+        "__pos": F.count_if(e >= 2 * x1),
+        "__neg": F.count_if(e <= -2 * x1),
+    }
+
+
+def _error_scores() -> list[Column]:
+    """Scores that follow from ``_error_partials``, rounded."""
+    n = F.sum("__pairs")
 
+    def percent(hits: str) -> Column:
+        return half_even(ratio(100.0 * F.sum(hits), n.cast("double")), 2)
 
-def _longest() -> list[Column]:
-    return [F.max(n).alias(n) for n in ("max_pos_rows", "max_neg_rows")]
+    return [
+        n.alias("n_pairs"),
+        half_even(F.sqrt(ratio(F.sum("__sq"), n)), 2).alias("rmse"),
+        half_even(F.sqrt(ratio(_pooled_squares("__ee", "__e_mean", "__e_mean"), n)), 2).alias("bias_std"),
+        percent("__central").alias("central_freq"),
+        percent("__pos").alias("pos_outlier_freq"),
+        percent("__neg").alias("neg_outlier_freq"),
+    ]
 
 
-def _in_hours(stats: DataFrame, rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Longest runs in hours.  The median interval has a narrow branch of its own, so that the
-    scores are plain sums that hash."""
-    hours = [half_even(f"max_{d}_hours", 2).alias(f"max_{d}_hours") for d in ("pos", "neg")]
-    out = runs.with_hours(stats, runs.median_step(rows, keys, order), keys)
-    return out.select(*[c for c in stats.columns if c not in ("max_pos_rows", "max_neg_rows")], *hours)
+def _rounded_hours(stats: DataFrame) -> DataFrame:
+    hours = {n: half_even(c, 2) for n, c in runs.in_hours().items()}
+    return stats.withColumns(hours).drop("max_pos_rows", "max_neg_rows", "step_seconds")
 
 
 def skill_scalar(
@@ -227,8 +274,8 @@ def skill_scalar(
     Bias % divides the *rounded* bias by the mean observation, or the unrounded
     one with ``speed_rule``.  Durations are rows of the longest outlier run times
     the median sampling interval, missing rows kept.  ``tides`` (keys, ts, tide)
-    adds the worst-case frequency.  Run lengths are carried along the series, and every
-    score but the interval is part of one aggregate.
+    adds the worst-case frequency.  Rows shuffle once, to time chunks; run lengths, interval
+    and scores then come from the partial sums of the chunks (``runs.run_states``).
     """
     limit = x1 if isinstance(x1, Column) else F.lit(float(x1))
     extra = extra or {}
@@ -242,28 +289,41 @@ def skill_scalar(
         (F.col("model") - F.col("obs")).alias("__e"),
         *[c.alias(f"__in_{n}") for n, c in extra.items()],
     )
+    e, x = F.col("__e"), F.col("__x1")
+    n = F.count(e)
+    m, o = F.when(e.isNotNull(), F.col("model")), F.when(e.isNotNull(), F.col("obs"))
+    partials = {
+        **_error_partials(e, x),
+        "__m_mean": F.avg(m),
+        "__o_mean": F.avg(o),
+        "__mm": F.var_pop(m) * n,
+        "__oo": F.var_pop(o) * n,
+        "__mo": F.covar_pop(m, o) * n,
+        **{f"__{f.__name__}_{side}": f(c) for side, c in (("m", m), ("o", o)) for f in (F.min, F.max)},
+        "__target": F.max(x),
+        **{f"__in_{name}_{f.__name__}": f(f"__in_{name}") for name in extra for f in (F.sum, F.count)},
+    }
     if tides is not None:
         rows = rows.join(tides.select(*keys, ts, "tide"), [*keys, ts], "left")
-        worst = half_even(
-            worst_case_frequency(F.col("model"), F.col("obs"), F.col("tide"), F.col("__x1")), 2
-        )
+        partials |= worst_case_counts(F.col("model"), F.col("obs"), F.col("tide"), x)
+        worst = half_even(ratio(100.0 * F.sum("__worst"), F.sum("__scored").cast("double")), 2)
     else:
         worst = F.lit(None).cast("double")
-    e = F.col("__e")
-    stats = _with_runs(rows, keys, ts, tie).groupBy(*keys).agg(
-        F.count(e).alias("n_pairs"),
-        half_even(rmse(e), 2).alias("rmse"),
-        half_even(pearson(F.col("model"), F.col("obs")), 2).alias("r"),
-        F.avg(e).alias("__bias"),
-        F.avg(F.when(e.isNotNull(), F.col("obs"))).alias("__mean_obs"),
-        half_even(F.stddev_pop(e), 2).alias("bias_std"),
-        *_outlier_block(e, F.col("__x1")),
-        F.max("__x1").alias("target_error"),
-        *_longest(),
+    flags = runs.outlier_flags(e, x)
+    states = runs.run_states(rows, keys, [ts, *tie], flags, partials)
+    spread = F.sqrt(_pooled_squares("__mm", "__m_mean", "__m_mean")) * F.sqrt(_pooled_squares("__oo", "__o_mean", "__o_mean"))
+    constant = (F.max("__max_m") == F.min("__min_m")) | (F.max("__max_o") == F.min("__min_o"))
+    stats = _deviations(states, keys, ["__e_mean", "__m_mean", "__o_mean"]).groupBy(*keys).agg(
+        *_error_scores(),
+        half_even(F.when(~constant, ratio(_pooled_squares("__mo", "__m_mean", "__o_mean"), spread)), 2).alias("r"),
+        _pooled_mean("__e_mean").alias("__bias"),
+        _pooled_mean("__o_mean").alias("__mean_obs"),
+        F.max("__target").alias("target_error"),
         worst.alias("worst_case_freq"),
-        *[half_even(F.avg(f"__in_{n}"), 2).alias(n) for n in extra],
+        *[half_even(ratio(F.sum(f"__in_{name}_sum"), F.sum(f"__in_{name}_count")), 2).alias(name) for name in extra],
+        *runs.folded(list(flags)),
     )
-    stats = _in_hours(stats, rows, keys, [ts, *tie])
+    stats = _rounded_hours(stats)
     base = F.col("__bias") if speed_rule else half_even("__bias", 2)
     out = (
         stats.withColumn("bias", half_even("__bias", 2))
@@ -290,17 +350,22 @@ def skill_direction(
     rows = pairs.select(
         *keys, ts, *tie, "model_dir", "obs_dir", F.col("dir_bias").alias("__e"), F.lit(float(x1)).alias("__x1")
     )
-    e = F.col("__e")
-    stats = _with_runs(rows, keys, ts, tie).groupBy(*keys).agg(
-        F.count(e).alias("n_pairs"),
-        half_even(rmse(e), 2).alias("rmse"),
-        half_even(angles.mean_angle(e), 2).alias("bias"),
-        half_even(F.stddev_pop(e), 2).alias("bias_std"),
-        *_outlier_block(e, F.col("__x1")),
-        *_longest(),
-        *circular_sums(F.col("model_dir"), F.col("obs_dir")),
+    e, x = F.col("__e"), F.col("__x1")
+    partials = {
+        **_error_partials(e, x),
+        "__sin": F.sum(F.sin(F.radians(e))),
+        "__cos": F.sum(F.cos(F.radians(e))),
+        **circular_partials(F.col("model_dir"), F.col("obs_dir")),
+    }
+    flags = runs.outlier_flags(e, x)
+    states = runs.run_states(rows, keys, [ts, *tie], flags, partials)
+    stats = _deviations(states, keys, ["__e_mean"]).groupBy(*keys).agg(
+        *_error_scores(),
+        half_even(angles.angle_of_sums(F.sum("__sin"), F.sum("__cos")), 2).alias("bias"),
+        *[F.sum(name).alias(name) for name in circular_partials(e, e)],
+        *runs.folded(list(flags)),
     )
-    stats = _in_hours(stats, rows, keys, [ts, *tie])
+    stats = _rounded_hours(stats)
     out = stats.withColumn("r", half_even(circular_from_sums(), 2))
     return graded(_enough(out.drop(*[c for c in out.columns if c.startswith("__")]), keys, MIN_PAIRS))
 

@@ -69,6 +69,31 @@ def test_skill_row_below_the_minimum(pairs):
     assert r["status"] == "<5 data points" and r["rmse"] is None and r["central_freq_pass_fail"] == "NA"
 
 
+def test_skill_row_equals_plain_statistics(spark):
+    rng = np.random.default_rng(3)
+    n = 500
+    obs, mod = 1000 + rng.normal(size=n), 1000.3 + rng.normal(size=n)
+    rows = [("a", T0 + 36000 * i, float(o), float(m)) for i, (o, m) in enumerate(zip(obs, mod))]
+    rows += [("a", T0 + 36000 * n, None, 1.0), ("b", T0, None, 1.0), ("b", T0 + 60, 2.0, None)]
+    df = spark.createDataFrame(rows, "station_id string, t bigint, obs double, model double").selectExpr(
+        "station_id", "timestamp_seconds(t) AS ts", "obs", "model"
+    )
+    r = {x["station_id"]: x for x in scores.skill_scalar(df, K, x1=1.0).collect()}
+    e = mod - obs
+    assert r["a"]["n_pairs"] == n and r["b"]["n_pairs"] == 0 and r["b"]["rmse"] is None
+    assert r["a"]["rmse"] == pytest.approx(np.sqrt((e * e).mean()), abs=0.0051)
+    assert r["a"]["bias_std"] == pytest.approx(e.std(), abs=0.0051)
+    assert r["a"]["r"] == pytest.approx(np.corrcoef(obs, mod)[0, 1], abs=0.0051)
+    assert r["a"]["central_freq"] == pytest.approx(100 * (abs(e) <= 1).mean(), abs=0.0051)
+
+
+def test_skill_rows_shuffle_the_rows_once(spark, pairs):
+    df = pairs([1.0] * 8, [2.0] * 8)
+    plan = scores.skill_scalar(df, K, x1=1.0)._jdf.queryExecution().sparkPlan().toString()
+    done = scores.skill_scalar(df, K, x1=1.0)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and done.count("Exchange hashpartitioning") == 2
+
+
 def test_bias_percent_uses_the_rounded_bias(pairs):
     obs, mod = [1.0] * 6, [1.004] * 6
     assert scores.skill_scalar(pairs(obs, mod), K, x1=1.0).first()["bias_perc"] == 0.0

@@ -144,6 +144,51 @@ def test_longest_runs_break_on_missing(series):
         assert out["max_pos_hours"] == 3.0
 
 
+@pytest.mark.parametrize("chunk", [50, 700, 10**9])
+def test_runs_and_interval_equal_plain_loops(spark, chunk):
+    rng = np.random.default_rng(chunk)
+    rows = []
+    for station in ("a", "b", None, "c"):
+        size = {"a": 400, "b": 150, None: 60, "c": 1}[station]
+        times = np.cumsum(rng.choice([0, 6, 6, 6, 60, 333], size)).tolist()
+        errors = [None if x == 9 else float(x) for x in rng.choice([3, 3, 3, 3, -4, -4, 0, 9], size)]
+        rows += [(station, 1704067200 + t, i, e) for i, (t, e) in enumerate(zip(times, errors))]
+    df = spark.createDataFrame(rows, "station_id string, t bigint, seq int, e double").selectExpr(
+        "station_id", "timestamp_seconds(t) AS ts", "seq", "e"
+    )
+    got = runs.outlier_durations(df.repartition(7), K, "ts", F.col("e"), F.lit(1.5), tie=["seq"], chunk_seconds=chunk)
+
+    def longest(flags):
+        best = here = 0
+        for f in flags:
+            here = here + 1 if f else 0
+            best = max(best, here)
+        return best
+
+    found = {r["station_id"]: r for r in got.collect()}
+    assert len(found) == 4
+    for station, r in found.items():
+        own = [x for x in rows if x[0] == station]
+        assert r["max_pos_rows"] == longest(x[3] is not None and x[3] >= 3 for x in own)
+        assert r["max_neg_rows"] == longest(x[3] is not None and x[3] <= -3 for x in own)
+        if len(own) > 1:
+            step = np.median(np.diff([x[1] for x in own]))
+            assert r["max_pos_hours"] == pytest.approx(r["max_pos_rows"] * step / 3600)
+        else:
+            assert r["max_pos_hours"] is None
+
+
+def test_rows_without_a_time_come_first(spark):
+    rows = [("a", None, 0, 5.0), ("a", None, 1, 5.0), ("a", 1704067200, 2, 5.0), ("a", 1704067260, 3, 0.0)]
+    df = spark.createDataFrame(rows, "station_id string, t bigint, seq int, e double").selectExpr(
+        "station_id", "timestamp_seconds(t) AS ts", "seq", "e"
+    )
+    r = runs.outlier_durations(df, K, "ts", F.col("e"), F.lit(1.0), tie=["seq"]).first()
+    assert r["max_pos_rows"] == 3 and r["max_pos_hours"] == pytest.approx(3 / 60)
+    empty = runs.outlier_durations(df.limit(0), K, "ts", F.col("e"), F.lit(1.0), tie=["seq"])
+    assert empty.count() == 0
+
+
 def test_longest_gap_counts_adjacent_pairs(series):
     out = runs.longest_gap(series([1, None, None, None, 2, None]), K, "ts", F.col("value")).first()
     assert (out["gap_rows"], out["gap_pairs"]) == (3, 2)

@@ -15,8 +15,8 @@ from seamark.functions.clock import epoch
 from seamark.operators.sequence import CHUNK_SECONDS, chunk_of, halo
 
 HOUR = 3600.0
-# Largest (bins x rows) wave matrix held at once while filtering.
-BLOCK_CELLS = 2_000_000
+# Chebyshev nodes that stand for a distant block while filtering.
+NODES = 18
 
 
 def residual(pairs: DataFrame, tides: DataFrame, keys: Sequence[str], ts: str = "ts", value: str = "obs") -> DataFrame:
@@ -61,6 +61,23 @@ def persistence_forecast(
     )
 
 
+def _polynomials(u: np.ndarray) -> np.ndarray:
+    """Row per place in [-1, 1]: weights of the values at the ``NODES`` Chebyshev nodes."""
+    k = np.arange(NODES)
+    own = np.cos(np.outer(k, (k + 0.5) * np.pi / NODES))
+    own[0] /= 2
+    return np.cos(np.outer(np.arccos(np.clip(u, -1, 1)), k)) @ own * (2 / NODES)
+
+
+def _interval(start: int, stop: int) -> tuple[float, float]:
+    return (start + stop - 1) / 2, max((stop - start - 1) / 2, 0.5)
+
+
+def _kept_bins(n: int, step_seconds: int, cutoff_hours: float) -> int:
+    # Tolerance keeps a bin whose frequency equals the cutoff.
+    return int(min(n // 2, np.floor(n * step_seconds / 3600.0 / cutoff_hours + 1e-9)))
+
+
 def fourier_lowpass(
     df: DataFrame,
     keys: Sequence[str],
@@ -69,97 +86,111 @@ def fourier_lowpass(
     value: str = "value",
     step_seconds: int,
     cutoff_hours: float = 25.0,
-    chunk_seconds: int = CHUNK_SECONDS,
+    block_rows: int = 1024,
 ) -> DataFrame:
     """Remove every Fourier component with period shorter than the cutoff.
 
     Equal to zeroing the bins above the cutoff of a full transform of a regular
-    gap-free series, but computed as a projection on the few kept bins: partial
-    sums per (series, chunk), added by Spark, then evaluated per chunk.  No task
-    sees more than one chunk of a series.  Series with missing values or steps are
-    refused.  The work per row grows with the kept bins, that is with the record.
+    gap-free series of any length n.  Keeping the bins up to K is a circular convolution with
+    sin((2K+1) a) / (n sin a), a = pi (i-j) / n.  The series is cut into B even blocks of about
+    max(block_rows, sqrt(18 n)) rows.  A block and its two neighbours are convolved
+    directly, by a transform of their length.  For other blocks the numerator splits into
+    factors of i and of j, and 1 / sin a is smooth: 18 sums per block at Chebyshev nodes stand
+    for its rows, to about 1e-13 of the largest value.  A task holds three blocks
+    and the 18 B sums of its series, and the work per row does not grow with the record.
+    Series with missing values or steps are refused.
     """
     t = epoch(F.col(ts))
-    whole = (F.count(value) == F.count(F.lit(1))) & (F.max(t) - F.min(t) == (F.count(F.lit(1)) - 1) * step_seconds)
+    count = F.count(F.lit(1))
+    whole = (F.count(value) == count) & (F.max(t) - F.min(t) == (count - 1) * step_seconds)
     first = df.groupBy(*keys).agg(
-        F.when(whole, F.count(F.lit(1))).otherwise(F.raise_error(F.lit("a low-pass needs a regular series without gaps"))).alias("__n"),
+        F.when(whole, count).otherwise(F.raise_error(F.lit("a low-pass needs a regular series without gaps"))).alias("__n"),
         F.min(t).alias("__t0"),
     )
+    n = F.col("__n")
+    size = F.greatest(F.lit(float(block_rows)), F.sqrt(NODES * n))
+    first = first.withColumn("__blocks", F.greatest(F.lit(1), F.floor(n / size)).cast("long"))
     rows = df.select(*keys, ts, value).join(first, list(keys)).select(
         *keys,
         ts,
         F.col(value).cast("double").alias("__v"),
         "__n",
+        "__blocks",
         F.floor((epoch(F.col(ts)) - F.col("__t0")) / step_seconds).alias("__i"),
-        chunk_of(F.col(ts), chunk_seconds).alias("__chunk"),
     )
-    per_hour = step_seconds / 3600.0
+    blocks = F.col("__blocks")
+    rows = rows.withColumn("__b", F.expr("__i * __blocks div __n"))
     key_fields = [rows.schema[k] for k in keys]
-    part_schema = T.StructType(
+
+    def edges(b: int, blocks: int, n: int) -> tuple[int, int]:
+        return -(-b * n // blocks), -(-(b + 1) * n // blocks)
+
+    def turn(i: np.ndarray, n: int) -> np.ndarray:
+        """exp(1j pi (2K+1) i / n)"""
+        odd = 2 * _kept_bins(n, step_seconds, cutoff_hours) + 1
+        return np.exp(1j * np.pi * (odd * i % (2 * n)) / n)
+
+    source_schema = T.StructType(
         key_fields
-        + [
-            T.StructField("k", T.LongType()),
-            T.StructField("re", T.DoubleType()),
-            T.StructField("im", T.DoubleType()),
-        ]
+        + [T.StructField("__b", T.LongType())]
+        + [T.StructField(c, T.DoubleType()) for c in ("at", "re", "im")]
     )
 
-    def kept_bins(n: int) -> int:
-        # Tolerance keeps a bin whose frequency equals the cutoff.
-        return int(min(n // 2, np.floor(n * per_hour / cutoff_hours + 1e-9)))
-
-    def project(pdf: pd.DataFrame) -> pd.DataFrame:
-        n = int(pdf["__n"].iloc[0])
-        k = np.arange(kept_bins(n) + 1)
-        i, v = pdf["__i"].to_numpy(), pdf["__v"].to_numpy()
-        c = np.concatenate(
-            [
-                np.exp(-2j * np.pi * (np.outer(b, i) % n) / n) @ v
-                for b in np.array_split(k, max(1, len(k) * len(i) // BLOCK_CELLS))
-            ]
-        )
-        out = pd.DataFrame({"k": k, "re": c.real, "im": c.imag})
+    def gather(pdf: pd.DataFrame) -> pd.DataFrame:
+        n, b, parts = (int(pdf[c].iloc[0]) for c in ("__n", "__b", "__blocks"))
+        middle, half = _interval(*edges(b, parts, n))
+        i = pdf["__i"].to_numpy()
+        q = (pdf["__v"].to_numpy() * turn(i, n).conj()) @ _polynomials((i - middle) / half)
+        nodes = middle + half * np.cos((np.arange(NODES) + 0.5) * np.pi / NODES)
+        out = pd.DataFrame({"__b": b, "at": nodes, "re": q.real, "im": q.imag})
         for pos, key in enumerate(keys):
             out.insert(pos, key, pdf[key].iloc[0])
         return out
 
-    sums = (
-        rows.groupBy(*keys, "__chunk")
-        .applyInPandas(project, part_schema)
-        .groupBy(*keys, "k")
-        .agg(F.sum("re").alias("re"), F.sum("im").alias("im"))
+    sources = rows.filter(blocks > 3).groupBy(*keys, "__b").applyInPandas(gather, source_schema)
+    targets = first.filter(blocks > 3).select(
+        *keys, blocks, F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("__to")
     )
-    # Evaluate: each chunk meets every kept bin of its series, in one small task.
-    chunks = rows.select(*keys, "__chunk").distinct()
-    own = [f"__b_{key}" for key in keys]
-    bins = chunks.join(sums, list(keys)).select(
-        *[F.col(k).alias(b) for k, b in zip(keys, own)], F.col("__chunk").alias("__b_chunk"), "k", "re", "im"
+    own = [f"__k_{key}" for key in keys]
+    apart = F.pmod(F.col("__b") - F.col("__to"), blocks).between(2, blocks - 2)
+    far = targets.join(sources, list(keys)).filter(apart).select(
+        *[F.col(k).alias(o) for k, o in zip(keys, own)], F.col("__to").alias("__k_to"), "at", "re", "im"
     )
+    around = F.array_distinct(F.array(*[F.pmod(F.col("__b") + d, blocks) for d in (-1, 0, 1)]))
+    near = rows.withColumn("__to", F.explode(around))
     out_schema = T.StructType(
-        key_fields + [T.StructField(ts, T.TimestampType()), T.StructField("lowpass", T.DoubleType())]
+        key_fields + [T.StructField(ts, rows.schema[ts].dataType), T.StructField("lowpass", T.DoubleType())]
     )
 
     def evaluate(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left):
             return pd.DataFrame({f.name: [] for f in out_schema.fields})
-        n = int(left["__n"].iloc[0])
-        k = right["k"].to_numpy()
-        c = right["re"].to_numpy() + 1j * right["im"].to_numpy()
-        weight = np.where((k == 0) | (2 * k == n), 1.0, 2.0)
-        i, y = left["__i"].to_numpy(), np.zeros(len(left))
-        for b in np.array_split(np.arange(len(k)), max(1, len(k) * len(i) // BLOCK_CELLS)):
-            wave = np.exp(2j * np.pi * (np.outer(i, k[b]) % n) / n)
-            y += (wave @ (weight[b] * c[b])).real
-        return left[[*keys, ts]].assign(lowpass=y / n)
-
-    return (
-        rows.groupBy(*keys, "__chunk")
-        .cogroup(bins.groupBy(*own, "__b_chunk"))
-        .applyInPandas(evaluate, out_schema)
-    )
-
-
-# ---------------------------------------------------------------- constituents
+        n, to, parts = (int(left[c].iloc[0]) for c in ("__n", "__to", "__blocks"))
+        kept = _kept_bins(n, step_seconds, cutoff_hours)
+        home = (left["__b"] == to).to_numpy()
+        out = left.loc[home, [*keys, ts]]
+        if 2 * kept >= n - 1:
+            return out.assign(lowpass=left["__v"].to_numpy()[home])
+        i = left["__i"].to_numpy()
+        place = (i - edges((to - 1) % parts, parts, n)[0]) % n if parts > 3 else i
+        span = len(left)
+        x = np.zeros(span)
+        x[place] = left["__v"].to_numpy()
+        d = np.arange(1, span)
+        wave = np.concatenate([[(2 * kept + 1) / n], turn(d, n).imag / (n * np.sin(np.pi * d / n))])
+        width = 1 << (2 * span - 1).bit_length()
+        kernel = np.zeros(width)
+        kernel[:span], kernel[width - span + 1 :] = wave, wave[:0:-1]
+        y = np.fft.irfft(np.fft.rfft(x, width) * np.fft.rfft(kernel), width)[place[home]]
+        if len(right):
+            middle, half = _interval(*edges(to, parts, n))
+            nodes = middle + half * np.cos((np.arange(NODES) + 0.5) * np.pi / NODES)
+            q = right["re"].to_numpy() + 1j * right["im"].to_numpy()
+            at_nodes = np.array([(q / np.sin(np.pi * (node - right["at"].to_numpy()) / n)).sum() for node in nodes])
+            y += (turn(i[home], n) * (_polynomials((i[home] - middle) / half) @ at_nodes)).imag / n
+        return out.assign(lowpass=y)
+
+    return near.groupBy(*keys, "__to").cogroup(far.groupBy(*own, "__k_to")).applyInPandas(evaluate, out_schema)
 
 
 def spans(df: DataFrame, keys: Sequence[str], ts: str = "ts", value: str = "value") -> DataFrame:

@@ -290,17 +290,35 @@ def test_persistence_forecast(series, spark):
 
 def test_lowpass_equals_the_full_transform(series):
     rng = np.random.default_rng(5)
-    for n in (240, 241, 50):
+    for n in (1, 2, 240, 241, 50, 330, 4999):
         y = np.sin(2 * np.pi * np.arange(n) / 12.42) + 0.01 * np.arange(n) + rng.random(n)
         f = np.fft.rfftfreq(n, d=1.0)
         spec = np.fft.rfft(y)
         spec[f > 1 / 25] = 0
         want = np.fft.irfft(spec, n)
-        for chunk in (24 * 3600, 10**9):
-            out = tides.fourier_lowpass(series(y), K, step_seconds=3600, chunk_seconds=chunk)
+        for rows in (1, 2000):
+            out = tides.fourier_lowpass(series(y), K, step_seconds=3600, block_rows=rows)
             np.testing.assert_allclose(column(out, "lowpass"), want, atol=1e-9)
 
 
+def test_lowpass_of_several_series_and_cutoffs(spark):
+    rng = np.random.default_rng(6)
+    sizes = {"a": 5000, "b": 2048, "c": 40}
+    values = {k: 1e3 + np.cumsum(rng.normal(size=n)) for k, n in sizes.items()}
+    rows = [(k, 1704067200 + 360 * i, float(v)) for k, y in values.items() for i, v in enumerate(y)]
+    df = spark.createDataFrame(rows, "station_id string, t bigint, value double").selectExpr(
+        "station_id", "timestamp_seconds(t) AS ts", "value"
+    )
+    for cutoff in (0.05, 0.3, 25.0, 1e6):
+        out = tides.fourier_lowpass(df.repartition(5), K, step_seconds=360, cutoff_hours=cutoff, block_rows=64).toPandas()
+        assert len(out) == len(rows)
+        for k, y in values.items():
+            spec = np.fft.rfft(y)
+            spec[np.fft.rfftfreq(len(y), d=0.1) > 1 / cutoff + 1e-12] = 0
+            got = out[out["station_id"] == k].sort_values("ts")["lowpass"].to_numpy()
+            np.testing.assert_allclose(got, np.fft.irfft(spec, len(y)), atol=1e-8)
+
+
 def test_lowpass_refuses_gaps(series):
     for vals in ([1.0, None, 2.0], None):
         df = series([1.0, 2.0, 3.0]).filter("value <> 2") if vals is None else series(vals)

@@ -12,3 +12,9 @@ def half_even(value: Column | str, decimals: int = 2) -> Column:
     x = F.col(value) if isinstance(value, str) else value
     scale = float(10**decimals)
     return F.rint(x * scale) / scale
+
+
+def fixed(value: Column, decimals: int) -> Column:
+    """Text with so many decimals, rounded from the binary value as C's ``printf`` does;
+    ``format_string`` would round its shortest decimal form (0.01005 held as 0.010049...)."""
+    return F.call_function("format_number", value.cast("double"), F.lit("0." + "0" * decimals))

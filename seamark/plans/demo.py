@@ -151,3 +151,11 @@ def secs(column: str, alias: str | None = None):
 def r6(column, alias: str | None = None):
     name = alias or column
     return F.round(F.col(column), 6).alias(name)
+
+
+# SQL of the text of one line: head from t and its timestamp d, and one value field.
+LINE_HEAD = "printf('%13.8f %4d %2d %2d %2d %2d', round(t / 86400e0 + 2440587.5, 4), year(d), month(d), day(d), hour(d), minute(d))"
+
+
+def line_field(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '      nan' ELSE printf('%9.4f', {value}) END"

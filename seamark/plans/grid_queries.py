@@ -281,14 +281,26 @@ def _win12(spark, sf_dir):
     return out.select("station_id", secs("onset"), secs("thaw"))
 
 
-def _smoothing_sql(width: int = 7) -> str:
+# 42 times the weights of a parabola through seven points, by place in the window.
+_PARABOLA_42 = (
+    (32, 15, 3, -4, -6, -3, 5),
+    (15, 12, 9, 6, 3, 0, -3),
+    (3, 9, 12, 12, 9, 3, -6),
+    (-4, 6, 12, 14, 12, 6, -4),
+    (-6, 3, 9, 12, 12, 9, 3),
+    (-3, 0, 3, 6, 9, 12, 15),
+    (5, -3, -6, -4, 3, 15, 32),
+)
+
+
+def _smoothing_sql() -> str:
     """The fitted parabola of seven points at the middle, or at the place of an edge row in the first or last window."""
 
-    def fit(position: int) -> str:
-        w = ice._fit_weights(width)[position]
-        return " + ".join(f"{float(w[p])!r} * {'lag' if p < position else 'lead'}(f, {abs(p - position)}) OVER w" for p in range(width))
+    def fit(place: int) -> str:
+        terms = (f"{w}e0 * {'lag' if p < place else 'lead'}(f, {abs(p - place)}) OVER w" for p, w in enumerate(_PARABOLA_42[place]))
+        return f"({' + '.join(terms)}) / 42"
 
-    cases = [(f"i = {k + 1}", k) for k in range(3)] + [(f"n - i = {k}", width - 1 - k) for k in range(3)]
+    cases = [(f"i = {k + 1}", k) for k in range(3)] + [(f"n - i = {k}", 6 - k) for k in range(3)]
     return "CASE WHEN n < 10 THEN f " + " ".join(f"WHEN {when} THEN {fit(k)}" for when, k in cases) + f" ELSE {fit(3)} END"
 
 

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from seamark.functions import angles, clock, geo, rounding, text, tidal
 from seamark.operators import scores, sequence, stations
-from seamark.plans.demo import r6, secs, table, view
+from seamark.plans.demo import LINE_HEAD, line_field, r6, secs, table, view
 from seamark.plans.registry import query
+from seamark.plans.score_queries import skill_sql
 from seamark.sinks import tables as sink_tables
 from seamark.sinks import text as sink_text
 from seamark.sources import control_files, model, payloads, polygons, providers, series_text, tables
@@ -551,21 +552,22 @@ def _src28(spark, sf_dir):
 
 @query(
     "snk01_series_lines",
-    """SELECT seq, printf('%9.4f', model) AS tail, strftime(to_timestamp(t)::TIMESTAMP, '%Y') AS year FROM v_pairs""",
+    f"""SELECT seq, {LINE_HEAD} || ' ' || {line_field('model')} AS line FROM (SELECT *, make_timestamp(t * 1000000) AS d FROM v_pairs)""",
 )
 def _snk01(spark, sf_dir):
     out = sink_text.series_lines(_pairs(spark, sf_dir), ["seq"], ["model"])
-    return out.select("seq", F.substring("line", -9, 9).alias("tail"), F.split(F.trim("line"), r"\s+")[1].alias("year"))
+    return out.select("seq", "line")
 
 
 @query(
     "snk01_vector_lines",
-    """SELECT seq, CASE WHEN obs_speed IS NULL THEN '      nan' ELSE printf('%9.4f', obs_speed * cos(radians(obs_dir))) END AS v_text FROM v_currents""",
+    f"""SELECT seq, {LINE_HEAD} || ' ' || {line_field('obs_speed')} || ' ' || {line_field('obs_dir')} || ' ' || {line_field('obs_speed * sin(radians(obs_dir))')}
+        || ' ' || {line_field('obs_speed * cos(radians(obs_dir))')} AS line FROM (SELECT *, make_timestamp(t * 1000000) AS d FROM v_currents)""",
 )
 def _snk01v(spark, sf_dir):
     c = view(spark, sf_dir, "v_currents")
     out = sink_text.vector_lines(c, ["seq"], "obs_speed", "obs_dir")
-    return out.select("seq", F.substring("line", -9, 9).alias("v_text"))
+    return out.select("seq", "line")
 
 
 @query(
@@ -689,15 +691,26 @@ def _snk11(spark, sf_dir):
     return t.select(secs("Date", "t"), r6("Positive outlier freq", "pos"), r6("Negative outlier freq", "neg"))
 
 
+def _graded_sql(column: str, limit: int, name: str) -> str:
+    return f"""{column} AS {name}, CASE WHEN {column} IS NULL THEN 'NA' WHEN {column} <= {limit} THEN 'pass' ELSE 'fail' END AS {name}_pass_fail"""
+
+
+def _absent_sql(*names: str) -> str:
+    return ", ".join(f'CAST(NULL AS VARCHAR) AS "{n}"' for n in names)
+
+
 @query(
     "snk03_skill_table",
-    """SELECT station_id AS "ID", round_even(sqrt(avg((model-obs)*(model-obs))), 2) AS rmse, count(model-obs) AS n_pairs FROM v_pairs GROUP BY 1 HAVING count(model - obs) >= 5""",
+    f"""SELECT station_id AS "ID", {_absent_sql("NODE", "obs_water_depth", "mod_water_depth")}, rmse, r, bias, bias_perc, {_absent_sql("bias_dir")},
+      central_freq, central_freq_pass_fail, {_graded_sql("pos_outlier_freq", 1, "pos_outlier_freq")}, {_graded_sql("neg_outlier_freq", 1, "neg_outlier_freq")},
+      {_graded_sql("max_pos_hours", 24, "max_duration_pos_outlier")}, {_graded_sql("max_neg_hours", 24, "max_duration_neg_outlier")},
+      CAST(NULL AS DOUBLE) AS worst_case_outlier_freq, 'NA' AS worst_case_outlier_freq_pass_fail, bias_std AS bias_standard_dev,
+      1e0 AS target_error_range, {_absent_sql("datum", "Y", "X", "start_date", "end_date")}
+      FROM ({skill_sql("p AS (SELECT *, model - obs AS e FROM v_pairs)", "round_even(bias, 2)", order="t, seq")}) WHERE n_pairs >= 5""",
 )
 def _snk03(spark, sf_dir):
     s = scores.skill_scalar(_pairs(spark, sf_dir), K, x1=1.0, tie=["seq"]).filter("n_pairs >= 5")
-    return sink_tables.skill_table(s).select("ID", "rmse").join(
-        s.select(F.col("station_id").alias("ID"), "n_pairs"), "ID"
-    )
+    return sink_tables.skill_table(s)
 
 
 _TIDES = """t AS (SELECT c_custkey AS station_id, i + 1 AS n, ['M2', 'S2', 'K1'][i + 1] AS constituent, (c_custkey * (i + 1)) / 3e3 AS ref_amp, (c_custkey * (i + 1)) % 360 / 7e0 AS ref_phase,

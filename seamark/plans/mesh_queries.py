@@ -16,7 +16,7 @@ from seamark.operators import (
     sequence,
     stations,
 )
-from seamark.plans.demo import r6, secs, table, view
+from seamark.plans.demo import LINE_HEAD, line_field, r6, secs, table, view
 from seamark.plans.registry import query
 
 K = ["station_id"]
@@ -603,21 +603,23 @@ def _srt05(spark, sf_dir):
 
 @query(
     "snk02_paired_rows",
-    """WITH m AS (SELECT station_id, t, any_value(model) AS model FROM v_model GROUP BY 1, 2 HAVING count(*) = 1),
+    f"""WITH m AS (SELECT station_id, t, make_timestamp(t * 1000000) AS d, any_value(model) AS model FROM v_model GROUP BY 1, 2, 3 HAVING count(*) = 1),
        o AS (SELECT station_id, t, obs FROM v_obs WHERE obs IS NOT NULL)
-       SELECT m.station_id, m.t, printf('%9.4f', obs) || ' ' || printf('%9.4f', model) || ' ' || printf('%9.4f', model - obs) AS tail FROM m JOIN o USING (station_id, t)""",
+       SELECT station_id, t, {LINE_HEAD} || ' ' || {line_field('obs')} || ' ' || {line_field('model')} || ' ' || {line_field('model - obs')} AS line
+       FROM m JOIN o USING (station_id, t)""",
 )
 def _snk02(spark, sf_dir):
     from seamark.sinks import text as sink_text
 
     p = pairing.pair_scalar(view(spark, sf_dir, "v_obs"), view(spark, sf_dir, "v_model"), K).filter("obs IS NOT NULL")
     out = sink_text.series_lines(p, K, ["obs", "model", "bias"])
-    return out.select(*K, secs("ts", "t"), F.substring("line", -29, 29).alias("tail"))
+    return out.select(*K, secs("ts", "t"), "line")
 
 
 @query(
     "snk05_prediction_rows",
-    """SELECT station_id, t, printf('%9.4f', tide) AS tide_text, printf('%9.4f', model - tide) AS residual_text FROM v_tide WHERE obs IS NOT NULL""",
+    f"""SELECT station_id, t, {LINE_HEAD} || ' ' || {line_field('tide')} || ' ' || {line_field('model - tide')} AS line
+        FROM (SELECT *, make_timestamp(t * 1000000) AS d FROM v_tide) WHERE obs IS NOT NULL""",
 )
 def _snk05(spark, sf_dir):
     from seamark.operators import tides
@@ -626,6 +628,4 @@ def _snk05(spark, sf_dir):
     t = view(spark, sf_dir, "v_tide")
     res = tides.residual(t.filter("obs IS NOT NULL").select(*K, "ts", "model"), t.select(*K, "ts", "tide"), K, value="model")
     out = sink_text.series_lines(res, K, ["tide", "residual"])
-    return out.select(
-        *K, secs("ts", "t"), F.substring("line", -19, 9).alias("tide_text"), F.substring("line", -9, 9).alias("residual_text")
-    )
+    return out.select(*K, secs("ts", "t"), "line")

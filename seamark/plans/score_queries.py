@@ -300,10 +300,10 @@ def _joi06(spark, sf_dir):
     )
 
 
-def _skill_sql(pairs: str, bias_base: str, extra: str = "", x1: str = "1") -> str:
+def skill_sql(pairs: str, bias_base: str, extra: str = "", x1: str = "1", order: str = "t") -> str:
     """Skill row over a CTE p(station_id, t, tie, obs, model, e)."""
     return f"""WITH {pairs},
-n AS (SELECT *, row_number() OVER w rn, t - lag(t) OVER w dt FROM p WINDOW w AS (PARTITION BY station_id ORDER BY t)),
+n AS (SELECT *, row_number() OVER w rn, t - lag(t) OVER w dt FROM p WINDOW w AS (PARTITION BY station_id ORDER BY {order})),
 fp AS (SELECT station_id, rn - row_number() OVER (PARTITION BY station_id ORDER BY rn) g FROM n WHERE e >= 2*{x1}),
 fn AS (SELECT station_id, rn - row_number() OVER (PARTITION BY station_id ORDER BY rn) g FROM n WHERE e <= -2*{x1}),
 mp AS (SELECT station_id, max(c) c FROM (SELECT station_id, g, count(*) c FROM fp GROUP BY 1, 2) GROUP BY 1),
@@ -339,7 +339,7 @@ _SKILL_COLS = (
 ).split()
 
 
-@query("agg13_skill_scalar", _skill_sql(_PAIRED, "round_even(bias, 2)"))
+@query("agg13_skill_scalar", skill_sql(_PAIRED, "round_even(bias, 2)"))
 def _agg13(spark, sf_dir):
     p = pairing.pair_scalar(view(spark, sf_dir, "v_obs"), view(spark, sf_dir, "v_model"), K)
     return scores.skill_scalar(p, K, x1=1.0).select(*_SKILL_COLS)
@@ -347,7 +347,7 @@ def _agg13(spark, sf_dir):
 
 @query(
     "agg14_skill_speed",
-    _skill_sql(
+    skill_sql(
         "p AS (SELECT station_id, t, obs_speed AS obs, model_speed AS model, model_speed - obs_speed AS e FROM v_currents)",
         "bias",
         x1="26e-2",

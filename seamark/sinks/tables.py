@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seamark.functions.clock import parse_request_time
-from seamark.functions.rounding import half_even
+from seamark.functions.rounding import fixed, half_even
 
 # Columns of the skill table and of its extrema form.
 SKILL_COLUMNS = (
@@ -165,7 +165,7 @@ def constituent_rows(table: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Constituent table as text: amplitudes with four decimals, phases with one, NULL empty."""
     def text(c: str) -> Column:
         digits = 1 if c.endswith("phase") or c == "phase_diff" else 4
-        return F.when(F.col(c).isNull(), F.lit("")).otherwise(F.format_string(f"%.{digits}f", F.col(c).cast("double"))).alias(c)
+        return F.coalesce(fixed(F.col(c), digits), F.lit("")).alias(c)
 
     shown = ("ref_amp", "ref_phase", "model_amp", "model_phase", "amp_diff", "phase_diff", "vector_diff")
     return table.select(*keys, "n", "constituent", *map(text, shown))
@@ -192,7 +192,7 @@ def constituent_file(
         return out
 
     def shown(c: str, kind: str) -> Column:
-        value = F.format_string("%.6f", F.col(c)) if kind in ("double", "float") else F.col(c).cast("string")
+        value = fixed(F.col(c), 6) if kind in ("double", "float") else F.col(c).cast("string")
         return F.concat(F.lit(f"# {c}: "), F.when(F.col(c).isNull(), F.lit("nan")).otherwise(value))
 
     foot = [shown(c, kind) for c, kind in stats.dtypes if c not in keys]

@@ -8,14 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seamark.functions import angles, clock
+from seamark.functions.rounding import fixed
 from seamark.sources.series_text import sentinel_mask
 
 NODATA = -9999
 
 
 def _number(v: Column, width: int = 9, decimals: int = 4) -> Column:
-    text = F.format_string(f"%{width}.{decimals}f", v)
-    return F.when(v.isNull(), F.lpad(F.lit("nan"), width, " ")).otherwise(text)
+    text = F.coalesce(fixed(v, decimals), F.lit("nan"))
+    return F.concat(F.repeat(F.lit(" "), F.lit(width) - F.length(text)), text)
 
 
 def series_lines(df: DataFrame, keys: Sequence[str], values: Sequence[str] = ("value",), ts: str = "ts") -> DataFrame:

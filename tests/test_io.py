@@ -242,3 +242,12 @@ def test_constituent_file(spark):
         "# rmse_amp: 0.500000",
         "# rmse_phase: nan",
     ]
+
+
+def test_fixed_decimals_round_the_binary_value(spark):
+    from seamark.functions.rounding import fixed
+
+    values = [0.01005, 0.0201 * 0.49999999999999994, 1234567.125, -0.00001, 2.5, 1e-9, -1234.56785, None]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = [r[0] for r in df.select(fixed(F.col("v"), 4)).collect()]
+    assert got == [None if v is None else f"{v:.4f}" for v in values]

@@ -17,6 +17,8 @@ from seamark.operators.sequence import CHUNK_SECONDS, chunk_of, halo
 HOUR = 3600.0
 # Chebyshev nodes that stand for a distant block while filtering.
 NODES = 18
+# Time chunks whose factors are reduced together before those of a whole series are.
+BRANCH = 64
 
 
 def residual(pairs: DataFrame, tides: DataFrame, keys: Sequence[str], ts: str = "ts", value: str = "obs") -> DataFrame:
@@ -233,7 +235,22 @@ def resolvable(
     )
 
 
-def normal_matrices(
+def _packed(x: np.ndarray) -> np.ndarray:
+    """Upper triangle of the factor R of X = QR, row by row; X may have fewer rows than columns."""
+    m = x.shape[1]
+    r = np.zeros((m, m))
+    top = np.linalg.qr(x, mode="r")
+    r[: len(top)] = top
+    return r[np.triu_indices(m)]
+
+
+def _unpacked(upper: Sequence[float], m: int) -> np.ndarray:
+    full = np.zeros((m, m))
+    full[np.triu_indices(m)] = upper
+    return full
+
+
+def triangular_factors(
     df: DataFrame,
     keys: Sequence[str],
     chosen: DataFrame,
@@ -244,13 +261,14 @@ def normal_matrices(
     trend: bool = True,
     chunk_seconds: int = CHUNK_SECONDS,
 ) -> DataFrame:
-    """(keys, mid, m, upper): upper triangle of X'X per series, as one array.
+    """(keys, mid, m, n, upper): n rows and the factor R of X = QR per series, its upper triangle as one array.
 
     X = [1, (trend), cos, sin, ..., values].  Rows are grouped by series and time chunk, so
-    each chunk is folded into one matrix wherever its rows lie, and a second fold adds
-    the matrices of a series.  ``chosen`` holds the constituents of each series (at most
-    37); they meet a chunk once, not its rows.  The trend counts thousands of hours from the
-    middle of the record, ``mid``.
+    each chunk is reduced to one factor wherever its rows lie; the factors of ``BRANCH`` neighbouring
+    chunks, and then those of a series, are stacked and reduced again.  R has the condition of X,
+    which X'X would square, so close constituents keep their digits.  ``chosen`` holds
+    the constituents of each series (at most 37); they meet a chunk once, not its rows.
+    The trend counts thousands of hours from the middle of the record, ``mid``.
     """
     hours = (F.unix_micros(F.col(ts).cast("timestamp")) / 1e6 - epoch_seconds) / HOUR
     rows = df.filter(" AND ".join(f"`{v}` IS NOT NULL" for v in values)).select(
@@ -270,7 +288,9 @@ def normal_matrices(
         [rows.schema[k] for k in keys]
         + [
             T.StructField("mid", T.DoubleType()),
+            T.StructField("__branch", T.LongType()),
             T.StructField("m", T.IntegerType()),
+            T.StructField("n", T.LongType()),
             T.StructField("upper", T.ArrayType(T.DoubleType())),
         ]
     )
@@ -291,22 +311,31 @@ def normal_matrices(
         x[:, lead + 1 : lead + waves : 2] = np.sin(arg)
         for i in range(len(values)):
             x[:, lead + waves + i] = left[f"__y{i}"].to_numpy()
-        gram = x.T @ x
-        m = gram.shape[0]
-        return pd.DataFrame([(*[left[k].iloc[0] for k in keys], mid, m, gram[np.triu_indices(m)])], columns=names)
+        head = [left[k].iloc[0] for k in keys]
+        branch = int(left["__chunk"].iloc[0]) // BRANCH
+        return pd.DataFrame([(*head, mid, branch, x.shape[1], len(x), _packed(x))], columns=names)
 
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = np.sum(np.stack(pdf["upper"].to_numpy()), axis=0)
-        return pd.DataFrame([(*[pdf[n].iloc[0] for n in names[:-1]], total)], columns=names)
+    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+        m = int(pdf["m"].iloc[0])
+        stack = np.concatenate([_unpacked(u, m) for u in pdf["upper"]])
+        return pd.DataFrame([(*[pdf[c].iloc[0] for c in names[:-2]], pdf["n"].sum(), _packed(stack))], columns=names)
 
     at = [*keys, "__chunk"]
     partial = rows.groupBy(*at).cogroup(chunks.groupBy(*own)).applyInPandas(fold, schema)
-    return partial.groupBy(*keys).applyInPandas(add, schema)
+    branches = partial.groupBy(*keys, "__branch").applyInPandas(merge, schema)
+    return branches.groupBy(*keys).applyInPandas(merge, schema).drop("__branch")
 
 
 def normal_equations(df: DataFrame, keys: Sequence[str], chosen: DataFrame, **options) -> DataFrame:
-    """Entries (m, pos, s) of the upper triangle of X'X per series, without trend."""
-    cells = normal_matrices(df, keys, chosen, trend=False, **options)
+    """Entries (m, pos, s) of the upper triangle of X'X = R'R per series, without trend."""
+    factors = triangular_factors(df, keys, chosen, trend=False, **options).drop("mid", "n")
+
+    def square(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            full = [_unpacked(u, m) for u, m in zip(pdf["upper"], pdf["m"])]
+            yield pdf.assign(upper=[(r.T @ r)[np.triu_indices(len(r))] for r in full])
+
+    cells = factors.mapInPandas(square, factors.schema)
     return cells.select(*keys, "m", F.posexplode("upper").alias("pos", "s"))
 
 
@@ -328,15 +357,16 @@ def harmonic_analysis(
     current, are fitted over one shared matrix; ``component`` then names the column.
     """
     values = [value] if isinstance(value, str) else list(value)
-    gram = normal_matrices(df, keys, chosen, ts=ts, values=values, epoch_seconds=epoch_seconds, trend=trend)
+    factors = triangular_factors(df, keys, chosen, ts=ts, values=values, epoch_seconds=epoch_seconds, trend=trend)
     names = chosen.groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct("priority", "constituent", "speed"))).alias("__c")
     )
-    ready = gram.join(names, list(keys)).select(
+    ready = factors.join(names, list(keys)).select(
         *keys,
         "mid",
         "m",
-        F.col("upper").alias("__g"),
+        "n",
+        F.col("upper").alias("__r"),
         F.col("__c.constituent").alias("__names"),
         F.col("__c.speed").alias("__speeds"),
     )
@@ -349,25 +379,22 @@ def harmonic_analysis(
     lead = 2 if trend else 1
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # One row per series: its (at most 78 x 78) summed matrix.
+        # One row per series: its factor of at most 78 x 78.
         for pdf in batches:
             out = []
             for rec in pdf.to_dict("records"):
-                m = int(rec["m"])
-                full = np.zeros((m, m))
-                full[np.triu_indices(m)] = rec["__g"]
-                full = full + np.triu(full, 1).T
-                p = m - len(values)
-                xtx, n = full[:p, :p], full[0, 0]
-                inv = np.linalg.pinv(xtx)
+                n, p = int(rec["n"]), int(rec["m"]) - len(values)
+                full = _unpacked(rec["__r"], int(rec["m"]))
+                r, qty, rest = full[:p, :p], full[:p, p:], full[p:, p:]
+                variance = (np.linalg.pinv(r) ** 2).sum(axis=1)
                 for i, component in enumerate(values):
-                    xty, yty = full[:p, p + i], full[p + i, p + i]
-                    beta, *_ = np.linalg.lstsq(xtx, xty, rcond=None)
-                    sigma2 = max(yty - beta @ xty, 0.0) / max(n - p, 1.0)
+                    beta, *_ = np.linalg.lstsq(r, qty[:, i], rcond=None)
+                    missed = (rest[:, i] ** 2).sum() + ((r @ beta - qty[:, i]) ** 2).sum()
+                    sigma2 = missed / max(n - p, 1.0)
                     a, b = beta[lead::2], beta[lead + 1 :: 2]
                     amp = np.hypot(a, b)
                     phase = np.degrees(np.arctan2(b, a)) % 360
-                    var = sigma2 * np.diag(inv)
+                    var = sigma2 * variance
                     safe = np.where(amp > 0, amp, 1.0)
                     half = 1.96 * np.sqrt((a**2 * var[lead::2] + b**2 * var[lead + 1 :: 2]) / safe**2)
                     snr = np.where(half > 0, (amp / np.where(half > 0, half, 1.0)), np.inf)
@@ -375,7 +402,7 @@ def harmonic_analysis(
                     for k, name in enumerate(rec["__names"]):
                         out.append(
                             (*[rec[c] for c in keys], component, name, rec["__speeds"][k], amp[k], phase[k],
-                             min(snr[k], 1e12), beta[0], slope, mid, int(round(n)))
+                             min(snr[k], 1e12), beta[0], slope, mid, n)
                         )
             yield pd.DataFrame(out, columns=[f.name for f in schema.fields])
 

@@ -506,12 +506,12 @@ def _win08(spark, sf_dir):
     return out.select(*K, secs("start_ts", "start_t"), secs("end_ts", "end_t"), r6("hours"))
 
 
-@query(
-    "win03_equal_interval_spline",
-    """WITH RECURSIVE b AS (SELECT station_id, min(t) lo, max(t) hi FROM v_series GROUP BY 1),
+# CTEs up to ``e``: knots of an hourly series, second derivatives by the tridiagonal solution, and the
+# interval every hour lies in; SPLINE_VALUE is the value filled over at most six hours.
+SPLINE_CTES = """b AS (SELECT station_id, min(t) lo, max(t) hi FROM {source} GROUP BY 1),
     g AS (SELECT station_id, unnest(range(lo, hi + 1, 3600)) AS t FROM b),
-    l AS (SELECT g.*, value AS obs, CAST(row_number() OVER (PARTITION BY g.station_id ORDER BY g.t) AS DOUBLE) rn
-          FROM g LEFT JOIN v_series s ON s.station_id = g.station_id AND s.t = g.t),
+    l AS (SELECT g.*, {value} AS obs, CAST(row_number() OVER (PARTITION BY g.station_id ORDER BY g.t) AS DOUBLE) rn
+          FROM g LEFT JOIN {source} s ON s.station_id = g.station_id AND s.t = g.t),
     kn AS (SELECT station_id, list(rn ORDER BY rn) xs, list(obs ORDER BY rn) ys, CAST(count(*) AS INTEGER) n FROM l WHERE obs IS NOT NULL GROUP BY 1),
     hd AS (SELECT *, list_transform(range(1, n), lambda i: xs[i + 1] - xs[i]) h, list_transform(range(1, n), lambda i: (ys[i + 1] - ys[i]) / (xs[i + 1] - xs[i])) d FROM kn),
     tri AS (SELECT *, list_transform(range(2, n), lambda i: CASE WHEN i = n - 1 THEN h[i - 1] - h[i] * h[i] / h[i - 1] ELSE h[i - 1] END) lo,
@@ -528,9 +528,16 @@ def _win08(spark, sf_dir):
         FROM bk JOIN tri USING (station_id) WHERE i = 1
       UNION ALL SELECT station_id, CASE n WHEN 3 THEN list_transform([1, 2, 3], lambda i: 2 * (d[2] - d[1]) / (xs[3] - xs[1])) ELSE [0e0, 0e0] END FROM hd WHERE n < 4),
     w AS (SELECT l.*, count(obs) OVER (PARTITION BY station_id ORDER BY rn) j FROM l),
-    e AS (SELECT w.*, xs[j] x0, xs[j + 1] x1, ys[j] y0, ys[j + 1] y1, m[j] m0, m[j + 1] m1, xs[j + 1] - xs[j] q FROM w JOIN kn USING (station_id) JOIN mo USING (station_id))
-    SELECT station_id, t, round(CASE WHEN obs IS NOT NULL THEN obs WHEN rn - x0 <= 6 THEN (m0 * (x1 - rn) ** 3 + m1 * (rn - x0) ** 3) / (6 * q)
-      + (y0 / q - m0 * q / 6) * (x1 - rn) + (y1 / q - m1 * q / 6) * (rn - x0) END * sqrt(2e0), 6) AS scaled_value FROM e""",
+    e AS (SELECT w.*, xs[j] x0, xs[j + 1] x1, ys[j] y0, ys[j + 1] y1, m[j] m0, m[j + 1] m1, xs[j + 1] - xs[j] q FROM w JOIN kn USING (station_id) JOIN mo USING (station_id))"""
+SPLINE_VALUE = """CASE WHEN obs IS NOT NULL THEN obs WHEN rn - x0 <= 6 THEN (m0 * (x1 - rn) ** 3 + m1 * (rn - x0) ** 3) / (6 * q)
+      + (y0 / q - m0 * q / 6) * (x1 - rn) + (y1 / q - m1 * q / 6) * (rn - x0) END"""
+
+
+@query(
+    "win03_equal_interval_spline",
+    "WITH RECURSIVE "
+    + SPLINE_CTES.format(source="v_series", value="value")
+    + f" SELECT station_id, t, round({SPLINE_VALUE} * sqrt(2e0), 6) AS scaled_value FROM e",
 )
 def _win03s(spark, sf_dir):
     out = fill.to_equal_interval(view(spark, sf_dir, "v_series"), K, "ts", "value", step_seconds=3600)

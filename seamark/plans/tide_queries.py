@@ -8,6 +8,7 @@ from seamark.functions import angles, tidal
 from seamark.operators import extrema, fill, pairing, scores, tides
 from seamark.plans.demo import r6, secs, view
 from seamark.plans.registry import query
+from seamark.plans.score_queries import SPLINE_CTES, SPLINE_VALUE
 
 K = ["station_id"]
 T0 = 1704067200
@@ -266,6 +267,35 @@ def _fit_sql(source: str, values: list[str], names: tuple[str, ...] = ("M2", "K1
       fit AS (SELECT station_id, mid, list_transform(m, lambda r: r[{p + 1}:]) AS x FROM el WHERE k = {p + 1})"""
 
 
+def _full_fit_sql(source: str, value: str, name: str) -> str:
+    """CTEs ``name`` (station_id, mid, n, constituent, speed, a, b, amplitude, phase, snr, mean, slope): least squares
+    of ``value`` on 1, trend and all waves of ``ch``, by elimination of [X'X, X'y, I]."""
+    h = f"((t - {T0}) / 3600)"
+    return f"""{name}_c AS (SELECT station_id, list(speed ORDER BY priority) sp, list(constituent ORDER BY priority) cn FROM ch GROUP BY 1),
+      {name}_m AS (SELECT station_id, (min(t) + max(t)) / 2 / 3600 - {T0} / 3600 AS mid FROM {source} WHERE {value} IS NOT NULL GROUP BY 1),
+      {name}_x AS (SELECT station_id, t, CAST(2 + 2 * len(sp) AS INTEGER) AS p, list_concat([1e0, ({h} - mid) / 1000],
+          flatten(list_transform(sp, lambda s: [cos(radians(s * {h})), sin(radians(s * {h}))])), [CAST({value} AS DOUBLE)]) AS x
+        FROM {source} JOIN {name}_m USING (station_id) JOIN {name}_c USING (station_id) WHERE {value} IS NOT NULL),
+      {name}_s AS (SELECT station_id, p, i, j, sum(x[i] * x[j]) AS s FROM (SELECT *, unnest(range(1, p + 2)) AS j
+          FROM (SELECT *, unnest(range(1, p + 2)) AS i FROM {name}_x)) GROUP BY 1, 2, 3, 4),
+      {name}_g AS (SELECT station_id, p, i, list(s ORDER BY j) AS g FROM {name}_s GROUP BY 1, 2, 3),
+      {name}_r AS (SELECT station_id, p, i, list_concat(g, list_transform(range(1, p + 1), lambda u: CASE WHEN u = i THEN 1e0 ELSE 0e0 END)) AS r
+        FROM {name}_g),
+      {name}_e AS (SELECT station_id, p, 1 AS k, list(r ORDER BY i) AS m FROM {name}_r WHERE i <= p GROUP BY 1, 2
+        UNION ALL SELECT station_id, p, k + 1, list_transform(m, lambda r, i: CASE WHEN i = k THEN list_transform(r, lambda v: v / r[k])
+          ELSE list_transform(r, lambda v, j: v - r[k] * m[k][j] / m[k][k]) END) FROM {name}_e WHERE k <= p),
+      {name}_b AS (SELECT e.station_id, e.p, m, list_transform(m, lambda r: r[e.p + 1]) AS beta, y.r[1] AS sy, y.r[e.p + 1] AS yy, y.r AS xy
+        FROM {name}_e e JOIN {name}_r y ON y.station_id = e.station_id AND y.i = e.p + 1 WHERE e.k = e.p + 1),
+      {name}_q AS (SELECT x.station_id, count(*) AS n, sum((x.x[x.p + 1] - list_dot_product(x.x[1:x.p], beta)) ** 2) AS missed
+        FROM {name}_x x JOIN {name}_b USING (station_id) GROUP BY 1),
+      {name}_k AS (SELECT station_id, p, m, beta, mid, n, missed / greatest(n - p, 1) AS sigma2, unnest(range(1, CAST(len(sp) + 1 AS BIGINT))) AS w, sp, cn
+        FROM {name}_b JOIN {name}_q USING (station_id) JOIN {name}_m USING (station_id) JOIN {name}_c USING (station_id)),
+      {name}_w AS (SELECT station_id, mid, n, sigma2, cn[w] AS constituent, sp[w] AS speed, beta[2 * w + 1] AS a, beta[2 * w + 2] AS b,
+          m[2 * w + 1][p + 2 * w + 2] AS va, m[2 * w + 2][p + 2 * w + 3] AS vb, beta[1] AS mean, beta[2] / 1000 AS slope FROM {name}_k),
+      {name} AS (SELECT *, sqrt(a * a + b * b) AS amplitude, fmod(degrees(atan2(b, a)) + 360, 360) AS phase,
+          (a * a + b * b) / (196e-2 * sqrt(sigma2 * (a * a * va + b * b * vb))) AS snr FROM {name}_w)"""
+
+
 # One constituent: the 3 x 3 normal equations solved by Cramer's rule.
 def _solve_m2(column: str, name: str, where: str = "") -> str:
     return f"""{name}_s AS (SELECT station_id, count(*) n, sum(c) sc, sum(s) ss, sum(c*c) cc, sum(c*s) cs, sum(s*s) s2,
@@ -334,10 +364,16 @@ def _har01t(spark, sf_dir):
     )
 
 
-@query("har01_harmonic_analysis_full")
+@query(
+    "har01_harmonic_analysis_full",
+    f"""WITH RECURSIVE {_CT}, {_SPAN}, {_RES}, {_full_fit_sql("v_tide", "obs", "fit")}
+     SELECT station_id, constituent, speed, n, mid, round(amplitude, 6) AS amplitude, round(phase, 3) AS phase, round(snr, 4) AS snr,
+       round(mean, 6) AS mean, round(slope, 9) AS slope FROM fit""",
+)
 def _har01f(spark, sf_dir):
     sol, _ = _solution(spark, sf_dir, trend=True)
-    return sol
+    digits = {"amplitude": 6, "phase": 3, "snr": 4, "mean": 6, "slope": 9}
+    return sol.withColumns({c: F.round(c, d) for c, d in digits.items()})
 
 
 @query(
@@ -531,7 +567,29 @@ def _har09r(spark, sf_dir):
     return out.select(*K, secs("ts", "t"), F.round("tide", 5).alias("tide"), F.round(F.col("value") - F.col("tide"), 5).alias("residual"))
 
 
-@query("har09_station_tidal_analysis")
+_TABLE_SQL = """ref AS (SELECT station_id, constituent, o.amplitude AS oa, o.phase AS og, m.amplitude AS ma, m.phase AS mg
+       FROM o JOIN m USING (station_id, constituent)),
+     df AS (SELECT *, ma - oa AS da, (mg - og + 540) - 360 * floor((mg - og + 540) / 360) - 180 AS dg,
+       sqrt(greatest(ma * ma + oa * oa - 2 * ma * oa * cos(radians(mg - og)), 0)) AS vd FROM ref)"""
+
+
+def _summary_sql(mask: str, suffix: str) -> str:
+    return f"""round(avg(vd) FILTER ({mask}), 5) AS mean_vector_diff{suffix}, round(sqrt(avg(da * da) FILTER ({mask})), 5) AS rmse_amp{suffix},
+       round(sqrt(avg(dg * dg) FILTER ({mask})), 3) AS rmse_phase{suffix}"""
+
+
+_MAJOR = ", ".join(f"'{c}'" for c in tidal.MAJOR_CONSTITUENTS)
+
+
+@query(
+    "har09_station_tidal_analysis",
+    f"""WITH RECURSIVE {SPLINE_CTES.format(source="v_tide", value="obs")},
+     eq AS (SELECT station_id, t, {SPLINE_VALUE} AS obs FROM e), {_CT},
+     sp AS (SELECT station_id, (max(t) - min(t)) / 3600 AS span_hours FROM eq WHERE obs IS NOT NULL GROUP BY 1 HAVING span_hours >= 360),
+     {_RES}, {_full_fit_sql("eq", "obs", "o")}, {_full_fit_sql("v_tide", "model", "m")}, {_TABLE_SQL}
+     SELECT station_id, {_summary_sql("true", "")}, {_summary_sql(f"constituent IN ({_MAJOR})", "_major")}, count(*) AS n_valid
+     FROM df JOIN sp USING (station_id) GROUP BY 1""",
+)
 def _har09(spark, sf_dir):
     """Equal interval, solve once, predict, residual, table and summary for all stations."""
     obs = fill.to_equal_interval(
@@ -543,4 +601,5 @@ def _har09(spark, sf_dir):
     ref = tides.harmonic_analysis(obs, K, chosen, epoch_seconds=T0)
     ours = tides.harmonic_analysis(mod, K, chosen, epoch_seconds=T0)
     t = tides.constituent_table(long_enough, ours, K, observed=ref)
-    return tides.constituent_summary(t, K)
+    out = tides.constituent_summary(t, K)
+    return out.withColumns({c: F.round(c, 3 if c.startswith("rmse_phase") else 5) for c in out.columns if c[:4] in ("mean", "rmse")})

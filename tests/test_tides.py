@@ -54,19 +54,55 @@ def test_trend_is_told_from_slow_constituents(series):
     assert flat["slope"] == 0.0
 
 
-def test_matrices_follow_chunks_not_partitions(spark):
-    """Interleaved series cost one matrix a series and chunk."""
+def test_factors_follow_chunks_not_partitions(spark):
+    """Interleaved series cost one factor a series and chunk."""
     rows = [(i % 50, T0 + (i // 50) * 3600, float(i % 7)) for i in range(50 * 800)]
     df = spark.createDataFrame(rows, "station_id int, t long, value double").selectExpr("station_id", "timestamp_seconds(t) AS ts", "value").repartition(8)
     chosen = tides.resolvable(tides.spans(df, K), K, ["M2"])
     month = 30 * 86400
     chunks = {(k, t // month) for k, t, _ in rows}
-    whole = tides.normal_matrices(df, K, chosen, epoch_seconds=T0)
+    whole = tides.triangular_factors(df, K, chosen, epoch_seconds=T0)
     plan = whole._jdf.queryExecution().executedPlan().toString()
     assert whole.count() == 50 and len(chunks) <= 100
     assert "MapInPandas" not in plan and plan.count("FlatMapCoGroupsInPandas") == 1
 
 
+def test_factors_merge_up_the_tree(spark, monkeypatch):
+    """Any cut into chunks and branches gives the R of all rows, also with chunks of fewer rows than columns."""
+    monkeypatch.setattr(tides, "BRANCH", 3)
+    rng = np.random.default_rng(5)
+    y = rng.normal(size=24 * 30)
+    df = spark.createDataFrame([("a", T0 + i * 3600, float(v)) for i, v in enumerate(y)], "station_id string, t long, value double").selectExpr("station_id", "timestamp_seconds(t) AS ts", "value")
+    chosen = tides.resolvable(tides.spans(df, K), K)
+    got = tides.triangular_factors(df, K, chosen, epoch_seconds=T0, chunk_seconds=7 * 3600).first()
+    speeds = [r["speed"] for r in chosen.orderBy("priority").collect()]
+    h = np.arange(len(y))
+    waves = [f(np.radians(s * h)) for s in speeds for f in (np.cos, np.sin)]
+    x = np.column_stack([np.ones(len(y)), (h - h.mean()) / 1000, *waves, y])
+    assert (got["n"], got["m"]) == x.shape
+    r = tides._unpacked(got["upper"], got["m"])
+    assert np.allclose(r.T @ r, x.T @ x, rtol=1e-10, atol=1e-8)
+    # The last diagonal entry is the length of the residual, and the residual is orthogonal to the basis.
+    beta = np.linalg.solve(r[:-1, :-1], r[:-1, -1])
+    missed = y - x[:, :-1] @ beta
+    assert abs(r[-1, -1]) == pytest.approx(np.linalg.norm(missed), rel=1e-9)
+    assert np.abs(x[:, :-1].T @ missed).max() < 1e-8
+
+
+def test_close_constituents_keep_their_digits(spark):
+    """S2 and K2 over 20 days are far from separable; the squared matrix would lose twice the digits."""
+    h = np.arange(24 * 20)
+    amp, lag = {"S2": 0.7, "K2": 0.2}, {"S2": 40.0, "K2": 100.0}
+    speed = {"S2": 30.0, "K2": 30.0821373}
+    y = sum(amp[c] * np.cos(np.radians(speed[c] * h - lag[c])) for c in amp)
+    df = spark.createDataFrame([("a", T0 + int(i) * 3600, float(v)) for i, v in zip(h, y)], "station_id string, t long, value double").selectExpr("station_id", "timestamp_seconds(t) AS ts", "value")
+    chosen = spark.createDataFrame([("a", c, i, speed[c]) for i, c in enumerate(amp)], "station_id string, constituent string, priority int, speed double")
+    out = {r["constituent"]: r for r in tides.harmonic_analysis(df, K, chosen, epoch_seconds=T0).collect()}
+    for c in amp:
+        assert out[c]["amplitude"] == pytest.approx(amp[c], abs=1e-11)
+        assert out[c]["phase"] == pytest.approx(lag[c], abs=1e-9)
+
+
 def test_current_harmonics_share_one_matrix(series):
     t = np.arange(40 * 24.0)
     u = 0.3 + 0.8 * np.cos(np.radians(28.9841042 * t - 30))

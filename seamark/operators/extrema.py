@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seamark.functions.clock import epoch
-from seamark.operators.sequence import CHUNK_SECONDS, halo, scan
+from seamark.operators.sequence import CHUNK_SECONDS, halo
+from seamark.session import cut_lineage
 
 
 def water_level_extrema(
@@ -88,6 +93,87 @@ def current_extrema(
     )
 
 
+class _Pool:
+    """Observed times in order, of which the nearest free one can be taken."""
+
+    def __init__(self, times: np.ndarray, reach: int):
+        self.times, self.reach, n = times, reach, len(times)
+        # Slots lead on to the next free one; slot 0 of ``down`` and slot n of ``up`` mean none.
+        self.down, self.up = list(range(n + 1)), list(range(n + 1))
+
+    @staticmethod
+    def _follow(way: list[int], i: int) -> int:
+        while way[i] != i:
+            way[i] = i = way[way[i]]
+        return i
+
+    def claim(self, i: int) -> None:
+        self.down[i + 1], self.up[i] = i, i + 1
+
+    def take(self, t: int) -> int:
+        """Claim the nearest free time within reach, the earlier on a tie; -1 if there is none."""
+        at = int(np.searchsorted(self.times, t, "right"))
+        before, after = self._follow(self.down, at) - 1, self._follow(self.up, at)
+        gap_before = t - self.times[before] if before >= 0 else self.reach + 1
+        gap_after = self.times[after] - t if after < len(self.times) else self.reach + 1
+        if min(gap_before, gap_after) > self.reach:
+            return -1
+        if gap_before <= gap_after:
+            # The first free one of those that share this time.
+            after = self._follow(self.up, int(np.searchsorted(self.times, self.times[before], "left")))
+        self.claim(after)
+        return after
+
+
+def _matched(
+    rows: DataFrame, keys: Sequence[str], reach: int, span: int, warm_up: bool
+) -> DataFrame:
+    """Greedy pairing inside chunks of ``span`` microseconds, one group a chunk.
+
+    Rows have (keys, __chunk, __side, __t, __v): observed events (0), model events (1) and observed events
+    that earlier chunks claimed (2, __v their number among equal times).  With ``warm_up`` the claims are
+    guessed by pairing the model events before the chunk.  Returns model events with their match (1), the claims
+    the chunk started from (2) and those it leaves to the next chunk (3).
+    """
+    schema = T.StructType(
+        [*[rows.schema[k] for k in keys], T.StructField("__chunk", T.LongType()), T.StructField("__side", T.IntegerType())]
+        + [T.StructField("__t", T.LongType()), T.StructField("__v", T.DoubleType())]
+        + [T.StructField("__ot", T.LongType()), T.StructField("__ov", T.DoubleType())]
+    )
+    names = [f.name for f in schema.fields]
+
+    def pair(pdf: pd.DataFrame) -> pd.DataFrame:
+        chunk = int(pdf["__chunk"].iloc[0])
+        start = chunk * span
+        sides = [pdf[pdf["__side"] == i].sort_values(["__t", "__v"]) for i in range(3)]
+        seen, events, claims = ((x["__t"].to_numpy(), x["__v"].to_numpy()) for x in sides)
+        if not (events[0] >= start).any():
+            return pdf.iloc[:0].assign(__ot=pdf["__t"], __ov=pdf["__v"])[names]
+        times = seen[0]
+        number = np.arange(len(times)) - np.searchsorted(times, times, "left")
+        pool = _Pool(times, reach)
+        if warm_up:
+            taken = [pool.take(int(t)) for t in events[0][events[0] < start]]
+            known = [i for i in taken if i >= 0 and times[i] >= start - reach]
+        else:
+            known = [int(i) for i in np.searchsorted(times, claims[0], "left") + claims[1].astype(int)]
+            for i in known:
+                pool.claim(i)
+        out = [(2, times[i], float(number[i]), None, None) for i in known]
+        for t, v in zip(*(x[events[0] >= start] for x in events)):
+            i = pool.take(int(t))
+            if i < 0:
+                out.append((1, t, v, None, None))
+                continue
+            out.append((1, t, v, times[i], seen[1][i]))
+            if times[i] >= start + span - reach:
+                out.append((3, times[i], float(number[i]), None, None))
+        head = [pdf[name].iloc[0] for name in keys]
+        return pd.DataFrame([(*head, chunk, *row) for row in out], columns=names, dtype=object)
+
+    return rows.groupBy(*keys, "__chunk").applyInPandas(pair, schema)
+
+
 def pair_events(
     model: DataFrame,
     obs: DataFrame,
@@ -96,94 +182,65 @@ def pair_events(
     ts: str = "ts",
     value: str = "value",
     tolerance_hours: float = 3.0,
-    separation_hours: float = 4.0,
     chunk_seconds: int = CHUNK_SECONDS,
 ) -> DataFrame:
     """Greedy one-to-one pairing of events, model events taken in time order.
 
     Each model event takes the nearest unclaimed observed event within the
-    tolerance, the earlier one on a tie.  Events of one kind lie at least ``separation_hours`` apart, further
-    than the tolerance (an error otherwise), so a model event has at most one candidate at or
-    before it and one after it, and can lose only the former, to its direct
-    predecessor.  Whether it does is
+    tolerance, the earlier one on a tie; events may lie at any distance.  Events of one time are
+    taken in the order of their values, events without a time take no part.
 
-        claimed(i + 1) = taken(i) is the candidate i and i + 1 share
-
-    and as a function of claimed(i) this is either constant or the identity.
-    The answer is therefore the last constant before the event: one carry along
-    the series, with no group collected and no sequential loop.  Candidates and
-    neighbours are near in time and are found inside chunks with a halo.
+    The order matters only through observed events that are claimed already.  A chunk therefore
+    needs to know, of all that came before it, which events within the tolerance of its start
+    are claimed.  Each chunk first guesses them by pairing the model events of a short time before
+    it.  Chunks whose guess differs from what the chunk before them really claimed are paired again from those
+    claims until all agree.  In every round the first chunk that disagrees becomes final, and one wrong
+    guess goes on only as long as each event loses its choice to the one before, so rounds are few.  A task
+    holds the events of one chunk.
     """
-    if tolerance_hours >= separation_hours:
-        raise ValueError("the tolerance must be shorter than the separation of events of one kind")
-    reach = int(tolerance_hours * 3600)
-    events = model.select(*keys, ts, F.col(value).alias("model_value"), F.lit(1).alias("__m")).unionByName(
-        obs.select(*keys, ts, F.col(value).alias("obs_value"), F.lit(0).alias("__m")),
-        allowMissingColumns=True,
-    )
-    seen = F.when(F.col("__m") == 0, F.struct(F.col(ts).alias("at"), F.col("obs_value").alias("v")))
-    wide, chunk, home = halo(
-        events.withColumn("__o", seen), ts, before=reach, after=reach, chunk_seconds=chunk_seconds
-    )
-    up = Window.partitionBy(*keys, chunk).orderBy(ts, "__m")
-    down = Window.partitionBy(*keys, chunk).orderBy(F.col(ts).desc(), F.col("__m").desc())
-    past = Window.unboundedPreceding, -1
-    two = (
-        wide.withColumn("__b", F.last("__o", True).over(up.rowsBetween(*past)))
-        .withColumn("__a", F.last("__o", True).over(down.rowsBetween(*past)))
-        .filter(home & (F.col("__m") == 1))
-    )
-    here = epoch(F.col(ts))
-    around = F.array("__b", "__a")
-    near = F.filter(
-        around, lambda s: s.isNotNull() & (F.abs(epoch(s["at"]) - here) <= reach)
-    )
-    cand = two.select(
-        *keys,
-        ts,
-        "model_value",
-        F.try_element_at(near, F.lit(1)).alias("c1"),
-        F.try_element_at(near, F.lit(2)).alias("c2"),
-    )
-    c1, c2 = F.col("c1"), F.col("c2")
-
-    def far(c: Column) -> Column:
-        return F.abs(epoch(c["at"]) - here)
-
-    # Free choice, and the choice when the earlier candidate is gone.
-    cand = cand.withColumn("__pick", F.when(c2.isNotNull() & (far(c2) < far(c1)), c2).otherwise(c1))
-    # Two model events can share a candidate only within twice the tolerance.
-    wide, chunk, home = halo(cand, ts, before=2 * reach, after=2 * reach, chunk_seconds=chunk_seconds)
-    w = Window.partitionBy(*keys, chunk).orderBy(ts)
-    links = (
-        wide.withColumn("__pc", F.lag(F.struct(F.coalesce(c2["at"], c1["at"]).alias("last"))).over(w))
-        .withColumn("__nc", F.lead(F.struct(c1["at"].alias("first"))).over(w))
-        .filter(home)
-        .drop(chunk)
-    )
-    last = F.coalesce(c2["at"], c1["at"])
-    shared_next = F.coalesce(last == F.col("__nc")["first"], F.lit(False))
-    shared_prev = F.coalesce(c1["at"] == F.col("__pc")["last"], F.lit(False))
-    if_free = shared_next & (F.col("__pick")["at"] == last)
-    if_claimed = shared_next & c2.isNotNull()
-    # NULL marks the identity; an event sharing nothing with its predecessor is free.
-    rule = F.when(~shared_prev, if_free).when(if_free == if_claimed, if_free)
-    decided = scan(
-        links.withColumn("__shared", shared_prev).withColumn("__rule", rule),
-        keys,
-        [ts],
-        prior={"__claimed": F.col("__rule")},
-        chunk_seconds=chunk_seconds,
-    )
-    lost = F.col("__shared") & F.coalesce(F.col("__claimed"), F.lit(False))
-    took = F.when(lost, c2).otherwise(F.col("__pick"))
-    return decided.withColumn("__took", took).select(
+    reach = round(tolerance_hours * 3.6e9)
+    span = max(chunk_seconds * 1_000_000, 2 * reach, 1)
+    warm = 4 * reach
+
+    def index(t: Column) -> Column:
+        return ((t - F.pmod(t, F.lit(span))) / span).cast("long")
+
+    def placed(df: DataFrame, side: int, before: int, after: int) -> DataFrame:
+        t = F.col("__t")
+        rows = df.select(
+            *keys, F.lit(side).alias("__side"), F.unix_micros(F.col(ts).cast("timestamp")).alias("__t"), F.col(value).cast("double").alias("__v")
+        ).filter("__t IS NOT NULL")
+        return rows.withColumn("__chunk", F.explode(F.sequence(index(t - before), index(t + after))))
+
+    rows = placed(model, 1, 0, warm).unionByName(placed(obs, 0, reach, reach + warm))
+    place = [*keys, "__chunk"]
+
+    def within(df: DataFrame, chunks: DataFrame, how: str) -> DataFrame:
+        named = chunks.select(*[F.col(c).alias(f"__in_{c}") for c in place])
+        same = [F.col(c).eqNullSafe(F.col(f"__in_{c}")) for c in place]
+        return df.join(named, reduce(Column.__and__, same), how)
+
+    done = cut_lineage(_matched(rows, keys, reach, span, True))
+    kept = False
+    while True:
+        passed_on = done.filter("__side = 3").withColumn("__chunk", F.col("__chunk") + 1)
+        both = done.filter("__side = 2").unionByName(passed_on).groupBy(*place, "__t", "__v")
+        differ = both.agg(F.sum(F.col("__side") - 2.5).alias("__d")).filter("__d <> 0").select(*place).distinct()
+        wrong = cut_lineage(within(differ, done.filter("__side = 1").select(*place).distinct(), "left_semi"))
+        if wrong.isEmpty():
+            break
+        if not kept:
+            rows, kept = cut_lineage(rows), True
+        claims = passed_on.select(*keys, F.lit(2).alias("__side"), "__t", "__v", "__chunk")
+        again = within(rows.unionByName(claims), wrong, "left_semi")
+        done = cut_lineage(within(done, wrong, "left_anti").unionByName(_matched(again, keys, reach, span, False)))
+    return done.filter("__side = 1").select(
         *keys,
-        ts,
-        "model_value",
-        F.col("__took")["at"].alias(f"obs_{ts}"),
-        F.col("__took")["v"].alias("obs_value"),
-        ((epoch(F.col(ts)) - epoch(F.col("__took")["at"])) / 3600).alias("timing_hours"),
+        F.timestamp_micros("__t").alias(ts),
+        F.col("__v").alias("model_value"),
+        F.timestamp_micros("__ot").alias(f"obs_{ts}"),
+        F.col("__ov").alias("obs_value"),
+        ((F.col("__t") - F.col("__ot")) / 3.6e9).alias("timing_hours"),
     )
 
 

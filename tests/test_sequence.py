@@ -266,6 +266,51 @@ def test_event_pairing_equals_the_greedy_rule(spark, seed):
     assert got == greedy(model, obs, 30)
 
 
+def event_rows(spark, series):
+    """Events at tenths of hours, in rows (key, tenths, value)."""
+    df = spark.createDataFrame([(k, T0 + int(t) * 360, float(v)) for k, t, v in series], "station_id string, t bigint, value double")
+    return df.selectExpr("station_id", "timestamp_seconds(t) AS ts", "value")
+
+
+def greedy_rows(model, obs, reach):
+    """(key, time, observed value) of the greedy rule on rows (key, time, value), with equal times by value."""
+    out = []
+    for key in {k for k, *_ in model}:
+        free = sorted((t, v) for k, t, v in obs if k == key)
+        for t, v in sorted((t, v) for k, t, v in model if k == key):
+            near = [(abs(o - t), o, i) for i, (o, _) in enumerate(free) if abs(o - t) <= reach]
+            out.append((key, t, v, free.pop(min(near)[2])[1] if near else None))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("hours", [1.0, 3.0])
+def test_event_pairing_of_dense_events(spark, seed, hours):
+    """Any spacing, equal times included, several series (one without a name), chunks near the tolerance."""
+    rng = np.random.default_rng(seed)
+    model, obs = ([(k, t, n + i / 1000) for k in ("a", "b", None) for i, t in enumerate(np.cumsum(rng.integers(0, 9, 150)).tolist())] for n in (1, 2))
+    out = extrema.pair_events(event_rows(spark, model), event_rows(spark, obs), K, tolerance_hours=hours, chunk_seconds=4 * 3600).collect()
+    got = sorted([(r["station_id"], int((r["ts"].timestamp() - T0) / 360), r["model_value"], r["obs_value"]) for r in out], key=repr)
+    assert got == greedy_rows(model, obs, hours * 10)
+
+
+def test_event_pairing_where_one_claim_moves_through_every_chunk(spark):
+    """Every model event loses its nearest event to the one before it, so a wrong guess would never end by itself."""
+    model = [("a", 0, 0.0), *[("a", 1 + 10 * i, float(i)) for i in range(40)]]
+    obs = [("a", 10 * i, float(i)) for i in range(45)]
+    out = extrema.pair_events(event_rows(spark, model), event_rows(spark, obs), K, tolerance_hours=1.0, chunk_seconds=8 * 3600).collect()
+    got = sorted([("a", int((r["ts"].timestamp() - T0) / 360), r["model_value"], r["obs_value"]) for r in out], key=repr)
+    want = greedy_rows(model, obs, 10)
+    assert got == want and sum(r[3] == r[2] + 1 for r in want) == 40
+
+
+def test_event_pairing_of_no_events(spark):
+    none, some = event_rows(spark, []), event_rows(spark, [("a", 0, 1.0)])
+    assert extrema.pair_events(none, some, K).count() == 0
+    r = extrema.pair_events(some, none, K).collect()
+    assert [(x["model_value"], x["obs_value"], x["obs_ts"]) for x in r] == [(1.0, None, None)]
+
+
 def test_asof_nearest(spark):
     left = spark.createDataFrame([("a", 100), ("a", 500), ("a", 1000)], "station_id string, t bigint").selectExpr("station_id", "timestamp_seconds(t) AS ts")
     right = spark.createDataFrame([("a", 60, 1.0), ("a", 140, 2.0), ("a", 690, 3.0)], "station_id string, t bigint, value double").selectExpr(

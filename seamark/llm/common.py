@@ -23,8 +23,8 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where neither the session nor the context names one (tests, laptops)
-    a temporary folder is made and kept for the life of the context.
+    Only where neither the session nor the context names one and driver and executors are one
+    process (tests, laptops) a temporary folder is made and kept for the life of the context.
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
@@ -32,6 +32,8 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     current = sc._jsc.sc().getCheckpointDir()
     if current.isEmpty():
+        if not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="seamark-"))
         current = sc._jsc.sc().getCheckpointDir()
     return current.get().rstrip("/")

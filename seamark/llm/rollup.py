@@ -5,9 +5,10 @@ anew (``revise``, with the count before). Each becomes a signed number of docume
 batch is reduced to one row a (source, lang, version) and committed under its id. Totals are sums
 of committed batches, so they never need the documents again.
 
-A commit is one file, created only if there is none: whoever creates it first has committed the
-batch, and a replay or a second writer of that id changes nothing. The data it names was written
-before; data that no commit names is ignored. ``compact`` adds the sums of the commits so far as a
+A commit is one file, written whole under ``pending`` and then renamed to the batch's id if that is
+free: whoever renames first has committed the batch, and a replay or a second writer of that id changes
+nothing. A writer lost before the rename has committed nothing. The data a commit names was written
+before; data that no commit names, and what is left under ``pending``, is ignored. ``compact`` adds the sums of the commits so far as a
 snapshot, which lists the batches it holds.
 
 Null sources, languages and versions are groups of their own; null counts are 0. Repeated rows
@@ -21,6 +22,7 @@ import json
 import re
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,24 +48,36 @@ class Rollup:
         jvm = spark._jvm
         self.path = jvm.org.apache.hadoop.fs.Path
         self.fs = self.path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
-        self.bytes = jvm.org.apache.hadoop.io.IOUtils
 
     def _names(self, folder: str) -> list[str]:
         at = self.path(f"{self.root}/{folder}")
         return sorted(s.getPath().getName() for s in self.fs.listStatus(at)) if self.fs.exists(at) else []
 
     def _create(self, name: str, content: dict) -> bool:
-        """Create a file unless it exists."""
-        try:
-            out = self.fs.create(self.path(f"{self.root}/{name}"), False)
-        except Exception as err:  # noqa: BLE001
-            if self.fs.exists(self.path(f"{self.root}/{name}")):
-                return False
-            raise err
+        """Publish a whole file under ``name``; False where that name is taken."""
+        aside, target = self.path(f"{self.root}/pending/{uuid.uuid4().hex}"), self.path(f"{self.root}/{name}")
+        out = self.fs.create(aside, False)
         out.write(bytearray(json.dumps(content).encode()))
         out.close()
+        self.fs.mkdirs(target.getParent())
+        try:
+            self._rename(aside, target)
+        except Py4JJavaError:
+            if not self.fs.exists(target):
+                raise
+            self.fs.delete(aside, False)
+            return False
         return True
 
+    def _rename(self, source, target) -> None:
+        """Rename, an error where the target exists."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        kind = getattr(hadoop, "Options$Rename")
+        how = self.spark.sparkContext._gateway.new_array(kind, 1)
+        how[0] = kind.NONE
+        files = hadoop.FileContext.getFileContext(self.fs.getUri(), self.spark._jsc.hadoopConfiguration())
+        files.rename(source, target, how)
+
     def _load(self, name: str) -> dict:
         at = self.path(f"{self.root}/{name}")
         stream = self.fs.open(at)

@@ -381,6 +381,27 @@ def test_rollup(spark):
     assert store.committed() == ["four", "one", "three", "two"]
 
 
+def test_rollup_writer_lost_before_its_commit(spark, monkeypatch):
+    """A writer that dies between writing and renaming commits nothing; the batch can be sent again."""
+    store = rollup.Rollup(spark, fresh_dir(spark, "rollup"))
+    rows = spark.createDataFrame([("insert", "s", "en", "v", 5, None)], "action string, source string, lang string, version string, n_tokens long, old_tokens long")
+    assert store.commit("b0", rows)
+
+    def lost(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        m.setattr(rollup.Rollup, "_rename", lost)
+        with pytest.raises(KeyboardInterrupt):
+            store.commit("b1", rows)
+    assert store.committed() == ["b0"] and store.totals().first()["n_tokens"] == 5
+    assert store.commit("b1", rows) and not store.commit("b1", rows)
+    # Two writers that both saw a free name: the second finds it taken and changes nothing.
+    assert not store._create("commits/b1", {"data": "none"})
+    assert store.committed() == ["b0", "b1"] and store.totals().first()["n_tokens"] == 10
+    assert store.compact() and store.totals().first()["n_tokens"] == 10
+
+
 def test_rollup_ignores_data_without_a_commit(spark):
     store = rollup.Rollup(spark, fresh_dir(spark, "rollup"))
     rows = spark.createDataFrame([("insert", "a", "en", "v1", 5, None, "x")], CHANGE)

@@ -171,7 +171,9 @@ def _matched(
         head = [pdf[name].iloc[0] for name in keys]
         return pd.DataFrame([(*head, chunk, *row) for row in out], columns=names, dtype=object)
 
-    return rows.groupBy(*keys, "__chunk").applyInPandas(pair, schema)
+    # A given number of tasks: the rows are few bytes, so AQE would leave all chunks to one Python worker.
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(tasks, *keys, "__chunk").groupBy(*keys, "__chunk").applyInPandas(pair, schema)
 
 
 def pair_events(

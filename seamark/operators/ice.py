@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from seamark.functions.rounding import half_even
 from seamark.operators import scores, spatial
 from seamark.operators.quantiles import exact_percentiles
+from seamark.session import spread
 
 
 def nearest_valid(
@@ -38,7 +39,7 @@ def nearest_valid(
     hit = spatial.nearest(
         covered, usable, node_id=node_id, box_deg=retry_deg * 1.2, planar=True, lat=lat, lon=lon
     ).filter(F.col("distance") <= retry_deg * retry_deg)
-    return stations.join(hit.select(*stations.columns, node_id), stations.columns, "left")
+    return stations.join(spread(hit.select(*stations.columns, node_id)), stations.columns, "left")
 
 
 EXTENT_LIMIT = 10.0

@@ -8,9 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seamark.functions.clock import epoch
-from seamark.operators.sequence import scan
+from seamark.operators.sequence import DAY, scan
+from seamark.session import spread
 
 FAR = "9999-12-31 00:00:00"
+# Longest cut of a period, in powers of two of a day.
+WIDEST_CUT = 5
 
 
 def active_periods(
@@ -67,15 +70,25 @@ def latest_period_only(
 def boundary_gaps(obs: DataFrame, periods: DataFrame, keys: Sequence[str], ts: str = "ts") -> DataFrame:
     """Hours between the last observation of a period and the first of the next.
 
-    Periods are cut into days and meet the observations on (station, day), so a
-    station with very many rows is spread by day and compared with its own
-    periods of that day only.
+    Periods are cut into stretches of one day to 32 days, the shortest power of two that
+    holds the period, and meet the observations on (station, stretch).  A station with very
+    many rows is spread by stretch, short periods meet the rows of their days only, and a
+    long period has about a row a month.
     """
-    day = F.explode(F.sequence(F.to_date("period_start"), F.to_date("period_end")))
-    p = periods.select(*keys, "period_start", "period_end", day.alias("__day"))
+    begin, finish = epoch(F.col("period_start")), epoch(F.col("period_end"))
+    level = F.ceil(F.log2(F.greatest((finish - begin) / DAY, F.lit(1.0))))
+    cut = periods.filter("period_start <= period_end").select(
+        *keys, "period_start", "period_end", F.least(level, F.lit(WIDEST_CUT)).cast("int").alias("__level")
+    )
+    # At most six levels: one scalar array, exploded by each observation.
+    levels = cut.agg(F.array_sort(F.collect_set("__level"))).scalar()
+    width = F.pow(F.lit(2.0), F.col("__level")) * DAY
+    part = F.explode(F.sequence(F.floor(begin / width), F.floor(finish / width)))
+    p = cut.select("*", part.alias("__part"))
     seen = (
-        obs.select(*keys, ts, F.to_date(ts).alias("__day"))
-        .join(p, [*keys, "__day"])
+        obs.select(*keys, ts, F.explode(levels).alias("__level"))
+        .withColumn("__part", F.floor(epoch(F.col(ts)) / width))
+        .join(spread(p), [*keys, "__level", "__part"])
         .filter(F.col(ts).between(F.col("period_start"), F.col("period_end")))
         .groupBy(*keys, "period_start")
         .agg(F.min(ts).alias("first_obs"), F.max(ts).alias("last_obs"))

@@ -13,3 +13,15 @@ def test_nearest_is_merged(spark):
     out = spatial.nearest(points, nodes, node_id="node_id", k=3)
     assert "BroadcastExchange" not in _plan(out)
     assert out.count() == 30
+
+
+def test_substrings_hash_and_take_the_first_name(spark):
+    ids = spark.createDataFrame([("1",), ("12",), ("12",), ("9",), ("",), (None,)], "id string")
+    names = spark.createDataFrame(
+        [("a12", 5), ("b1", 7), ("b12", 3), ("b12", 3), ("x1", None), ("129", None), (None, 1)], "name string, place bigint"
+    )
+    out = spatial.substring_match(ids, names, key="id", name="name", order="place")
+    assert "SortAggregate" not in _plan(out.select("id", "matched_place"))
+    got = sorted(((r.id, r.matched_name, r.matched_place) for r in out.collect()), key=str)
+    want = [("1", "b12", 3), ("12", "b12", 3), ("12", "b12", 3), ("9", None, None), ("", None, None), (None, None, None)]
+    assert got == sorted(want, key=str)

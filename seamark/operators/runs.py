@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from seamark.functions.clock import epoch
 from seamark.operators.sequence import CHUNK_SECONDS, chunk_of, scan
+from seamark.session import dealt
 
 # Chunk of rows without a time, before every other.
 BEFORE_TIME = -(1 << 40)
@@ -67,6 +68,7 @@ def run_states(
     flags: dict[str, Column],
     partials: dict[str, Column] | None = None,
     *,
+    steps: bool = True,
     chunk_seconds: int = CHUNK_SECONDS,
 ) -> DataFrame:
     """Run lengths, sampling steps and any partial aggregates in one pass over the rows.
@@ -79,22 +81,27 @@ def run_states(
     rows are ordered along the series, which yields runs across borders and border steps.
     Finish with ``groupBy(keys)`` and ``folded(flags)`` beside merges of the partials.
 
+    Without ``steps`` a chunk is one row and no interval comes out.  Tasks keep the number of shuffle
+    partitions: aggregates of irregular steps are many times the rows that AQE would merge them by.
+
     Rows without a time form a chunk before all others and have no step.
     """
     keys, order, partials = list(keys), list(order), partials or {}
     names = list(flags)
     rows = df.select(
-        "*",
+        *(["*"] if partials else [*keys, *order]),
         F.coalesce(chunk_of(F.col(order[0]), chunk_seconds), F.lit(BEFORE_TIME)).alias("__chunk"),
         epoch(F.col(order[0])).alias("__sec"),
         *[F.coalesce(f, F.lit(False)).alias(f"__hit_{n}") for n, f in flags.items()],
     )
+    rows = dealt(rows, [*keys, "__chunk"])
     along = Window.partitionBy(*keys, "__chunk").orderBy(*order)
-    rows = rows.withColumns({"__rn": F.row_number().over(along), "__step": F.col("__sec") - F.lag("__sec").over(along)})
+    step = F.col("__sec") - F.lag("__sec").over(along) if steps else F.lit(None).cast("bigint")
+    rows = rows.withColumns({"__rn": F.row_number().over(along), "__step": step})
     miss = {n: F.when(~F.col(f"__hit_{n}"), F.col("__rn")) for n in names}
     upto = along.rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumns({f"__run_{n}": F.col("__rn") - F.coalesce(F.max(miss[n]).over(upto), F.lit(0)) for n in names})
-    local = rows.groupBy(*keys, "__chunk", "__step").agg(
+    local = rows.groupBy(*keys, "__chunk", *(["__step"] if steps else [])).agg(
         F.count(F.lit(1)).alias("__n"),
         F.max("__sec").alias("__end"),
         F.min("__sec").alias("__start"),
@@ -110,7 +117,7 @@ def run_states(
         {
             "__off": F.coalesce(F.sum("__n").over(past), F.lit(0)),
             "__rows": F.sum("__n").over(here),
-            "__step": F.coalesce("__step", F.min("__start").over(here) - F.max("__end").over(past)),
+            **({"__step": F.coalesce("__step", F.min("__start").over(here) - F.max("__end").over(past))} if steps else {}),
             **{f"__first_{n}": F.min(f"__first_{n}").over(here) for n in names},
         }
     )
@@ -119,7 +126,7 @@ def run_states(
     entering = {n: F.col("__off") + F.coalesce(F.col(f"__first_{n}") - 1, F.col("__rows")) - back[n] for n in names}
     states = states.withColumns({n: F.greatest(f"__best_{n}", entering[n]) for n in names})
     # The row of a chunk without a step inside is its first row alone: it takes the border step.
-    return states.select(*keys, "__n", "__step", *partials, *names)
+    return states.select(*keys, "__n", *(["__step"] if steps else []), *partials, *names)
 
 
 def folded(flags: Sequence[str]) -> list[Column]:
@@ -136,7 +143,7 @@ def longest_runs(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], flags: dict[str, Column], *, chunk_seconds: int = CHUNK_SECONDS
 ) -> DataFrame:
     """Rows in the longest run of each flag, per series."""
-    states = run_states(df, keys, order, flags, chunk_seconds=chunk_seconds)
+    states = run_states(df, keys, order, flags, steps=False, chunk_seconds=chunk_seconds)
     return states.groupBy(*keys).agg(*[F.max(n).cast("bigint").alias(n) for n in flags])
 
 

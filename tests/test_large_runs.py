@@ -35,3 +35,14 @@ def test_longest_gap_has_one_row_a_chunk(spark):
         here = here + 1 if r.obs is None else 0
         want[r.station_id] = here, max(here, best)
     assert {r.station_id: (r.gap_rows, r.gap_pairs) for r in out.collect()} == {k: (b, max(b - 1, 0)) for k, (_, b) in want.items()}
+
+
+def test_grid_is_generated_and_scanned_by_all_tasks(spark):
+    from seamark.operators import fill, sequence
+
+    df = _pairs(spark).select(*K, F.date_trunc("hour", "ts").alias("ts"), F.lit(1.0).alias("value")).groupBy(*K, "ts").agg(F.max("value").alias("value"))
+    grid = sequence.time_grid(df, K, "ts", 3600)
+    tasks = grid.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for method in ("linear", "cubic"):
+        assert "REPARTITION_BY_NUM" in _plan(fill.to_equal_interval(df, K, "ts", "value", step_seconds=3600, method=method))

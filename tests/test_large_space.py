@@ -25,3 +25,21 @@ def test_substrings_hash_and_take_the_first_name(spark):
     got = sorted(((r.id, r.matched_name, r.matched_place) for r in out.collect()), key=str)
     want = [("1", "b12", 3), ("12", "b12", 3), ("12", "b12", 3), ("9", None, None), ("", None, None), (None, None, None)]
     assert got == sorted(want, key=str)
+
+
+def test_overlaps_are_dealt_out_by_tile(spark):
+    def squares(name, side, step):
+        at = spark.range(30).selectExpr(f"id AS {name}", "0 AS ring", f"id * {step} AS x", f"id % 3 * {step} AS y")
+        corners = ", ".join(f"struct(x + {a} AS x, y + {b} AS y)" for a, b in [(0, 0), (side, 0), (side, side), (0, side)])
+        return spatial.ring_edges(at.selectExpr(name, "ring", f"array({corners}) AS vertices"), [name, "ring"])
+
+    out = spatial.overlapping(squares("a", 0.5, 0.31), squares("b", 0.7, 0.43), left_id="a", right_id="b")
+    assert "REPARTITION_BY_NUM" in _plan(out)
+    got = sorted((r.a, r.b) for r in out.collect())
+    want = []
+    for a in range(30):
+        for b in range(30):
+            ax, ay, bx, by = a * 0.31, a % 3 * 0.31, b * 0.43, b % 3 * 0.43
+            if ax < bx + 0.7 and bx < ax + 0.5 and ay < by + 0.7 and by < ay + 0.5:
+                want.append((a, b))
+    assert got == want

@@ -36,6 +36,7 @@ columns are ignored.
 from __future__ import annotations
 
 import copy
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -55,7 +56,7 @@ KNOWN = 1 << 16
 DEPTH = 15  # of the vectors of words
 ROOM = 8
 LEAST = 8  # count from which a word has vectors of its own
-ROUNDS, BATCH, CACHED, WORD_RATE, CALM = 4, 1 << 16, 1 << 10, 0.25, 1.0
+ROUNDS, BATCH, SCORED, CELLS, WORD_RATE, CALM = 4, 1 << 16, 1 << 18, 1 << 18, 0.25, 1.0
 PART_TOKENS, STEPS_A_PART = 1 << 22, 256
 ALPHA = 0.1
 NOISE, STEPS, RATE = 8, 160, 0.05
@@ -78,7 +79,7 @@ BLOCK = "bucket int, kind int, a binary, b binary"
 
 def word_keys(data: np.ndarray, off: np.ndarray) -> tuple[W.Words, np.ndarray]:
     """Words of a block and their keys: 59 bits of hash above 5 of class."""
-    low = W.LOWER[data]
+    low = W.LOWER.take(data)
     w = W.Words(low, off)
     high = np.zeros(len(low) + 1, np.int64)
     np.cumsum(low > 127, out=high[1:])
@@ -165,11 +166,23 @@ class Vocabulary:
     mass: np.ndarray
     look: np.ndarray
 
+    def __post_init__(self):
+        # First place of each stretch of the hash range; the fullest holds ``most`` keys, a few as they are hashes.
+        bits = len(self.keys).bit_length() + 1
+        self.shift = U(64 - bits)
+        self.begin = np.searchsorted(self.keys, np.arange(1 << bits, dtype=U) << self.shift)
+        self.most = int(np.diff(self.begin, append=len(self.keys)).max())
+
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(found, place) of keys among the frequent words."""
+        """(found, place) of keys among the frequent words; the place counts where found."""
         if not len(self.keys):
             return np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        last = len(self.keys) - 1
+        at = np.minimum(self.begin[keys >> self.shift], last)
+        left = np.flatnonzero(self.keys[at] < keys)
+        for _ in range(self.most - 1):
+            at[left] = np.minimum(at[left] + 1, last)
+            left = left[self.keys[at[left]] < keys[left]]
         return self.keys[at] == keys, at
 
     def entries(self, keys: np.ndarray, found: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -396,32 +409,91 @@ class Tree:
         self.rank = np.where(self.path[:, 2] >= 0, self.path[:, 2], np.arange(len(vocab.mass)) - SYMBOLS)
         self.starts = self.first[1 + TAILS : -1]
         self.classes = self.starts[np.cumsum([0, *map(len, members)])[:-1]]
-
-    def choices(self, entries: np.ndarray, rank: np.ndarray) -> Iterator[tuple[int, int, int, int, np.ndarray]]:
-        """(first token, token after the last, first row, row after the last, chosen children) of every node that
-        the entries pass, which come in the order of their ``rank``."""
-        yield 0, len(rank), 0, SYMBOLS, self.path[entries, 0]
-        for depth, starts, node in ((1, self.classes, 1), (2, self.starts, 1 + TAILS)):
-            edge = np.append(np.searchsorted(rank, starts), len(rank))
-            row = self.path[entries[edge[0] :], depth]
-            for k in np.flatnonzero(edge[1:] > edge[:-1]):
-                a, b = int(self.first[node + k]), int(self.first[node + k + 1])
-                if b - a > 1:
-                    yield int(edge[k]), int(edge[k + 1]), a, b, row[edge[k] - edge[0] : edge[k + 1] - edge[0]] - a
+        cut = np.diff(sizes, prepend=0) != 0
+        cut[[0, 1, 1 + TAILS]] = True
+        edge = [*np.flatnonzero(cut), len(sizes)]
+        self.runs = [(int(i), int(j), sizes[i]) for i, j in zip(edge, edge[1:])]  # neighbouring nodes of one depth with equally many children
+
+    def blocks(self, values: np.ndarray, run: tuple[int, int, int]) -> np.ndarray:
+        """The part of ``values``, node by node, that belongs to the nodes of a run: one matrix a node, or
+        one row if there is one value a row of the tree."""
+        i, j, size = run
+        wide = len(values) // len(self.node)
+        part = values[wide * self.first[i] : wide * self.first[j]]
+        return part.reshape((j - i, size) if wide == 1 else (j - i, wide, size))
+
+    def by_row(self, values: np.ndarray) -> np.ndarray:
+        """Matrices of the nodes as one row a row of the tree."""
+        return np.concatenate([self.blocks(values, run).swapaxes(1, 2).reshape(-1, DEPTH + 1) for run in self.runs])
+
+    def by_node(self, rows: np.ndarray) -> np.ndarray:
+        return np.concatenate([rows[self.first[i] : self.first[j]].reshape(j - i, size, -1).swapaxes(1, 2).reshape(-1) for i, j, size in self.runs])
+
+    def stacks(self, entries: np.ndarray, rank: np.ndarray) -> Iterator[tuple[tuple[int, int, int], np.ndarray, list[tuple[np.ndarray, np.ndarray]]]]:
+        """The nodes below the root that the entries pass, which come in the order of their ``rank``, as stacks of
+        nodes of one run with about equally many tokens: the run, their places in it, and (token, chosen child) of
+        these nodes, some tokens at a time. Where a node has fewer tokens stands ``len(rank)``."""
+        edges = [np.append(np.searchsorted(rank, starts), len(rank)) for starts in (self.classes, self.starts)]
+        paths = [np.append(self.path[entries, depth], 0) for depth in (1, 2)]
+        for run in self.runs[1:]:
+            i, j, size = run
+            if size == 1:
+                continue
+            below = int(i > TAILS)
+            first = i - 1 - below * TAILS
+            edge, path = edges[below][first : first + j - i + 1], paths[below]
+            count = np.diff(edge)
+            order = np.argsort(-count, kind="stable")
+            falling = -count[order]
+            at, end = 0, int(np.searchsorted(falling, 0))
+            while at < end:
+                most = -int(falling[at])
+                to = at + int(np.searchsorted(falling[at : min(end, at + max(1, CELLS // (most * size)))], -most // 2, "right"))
+                k, few, pieces = order[at:to], max(1, CELLS // size), []
+                start = self.first[i + k, None]
+                for t in range(0, most, few):
+                    token = edge[k, None] + np.arange(t, min(t + few, most))
+                    none = token >= edge[k + 1, None]
+                    child = path[np.minimum(token, len(rank))] - start
+                    token[none], child[none] = len(rank), 0
+                    pieces.append((token, child))
+                yield run, k, pieces
+                at = to
 
 
 # 2**23 / ln 2 and the bits of 1.0 as float32, less the shift that centres the error.
 STEEP, ONE_BITS, MOST_BITS = np.float32(12102203.16), np.float32(1064866805.0), np.float32(2.1e9)
-
-
-def exponent(own: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """exp(own . q) for every row of ``own`` and of ``q``, linear between powers of two (relative error
-    below 3 percent): the sum, scaled, is read as the bits of a float. The last column of ``own`` is 1."""
-    bits = q * STEEP
-    bits[:, -1] += ONE_BITS
-    s = own @ bits.T
-    np.clip(s, np.float32(0), MOST_BITS, out=s)
-    return s.astype(np.int32).view(np.float32)
+MOST_SUM = 80  # sums to this, of either sign, stay within the limits
+
+
+class Choice:
+    """The exponentials of children for some tokens at a time, in two arrays that are used again and again."""
+
+    def __init__(self, own: np.ndarray):
+        """``own``: predicted vectors of all tokens that will come; their last column is 1."""
+        self.floats, self.whole = np.empty(CELLS, np.float32), np.empty(CELLS, np.int32)
+        self.reach = float(np.einsum("ij,ij->i", own, own).max(initial=0)) ** 0.5
+
+    def between(self, q: np.ndarray, tokens: int) -> None:
+        """Take the columns of ``q``, or of each of its matrices, as children for so many tokens each."""
+        self.bits = q * STEEP
+        self.bits[..., -1, :] += ONE_BITS
+        # Few tokens are limited sooner than judged.
+        self.steep = tokens <= 2 * q.shape[-2] or self.reach * float(np.einsum("...dm,...dm->...m", q, q).max()) ** 0.5 > MOST_SUM
+
+    def exponent(self, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """exp(own . q) for every row of ``own`` and column of ``q``, linear between powers of two (relative error
+        below 3 percent): the sum, scaled, is read as the bits of a float. And an array of its shape."""
+        shape = (*own.shape[:-1], self.bits.shape[-1])
+        cells = math.prod(shape)
+        if cells > len(self.floats):
+            self.floats, self.whole = np.empty(cells, np.float32), np.empty(cells, np.int32)
+        s, out = self.floats[:cells].reshape(shape), self.whole[:cells].reshape(shape)
+        np.matmul(own, self.bits, out=s)
+        if self.steep:
+            np.clip(s, np.float32(0), MOST_BITS, out=s)
+        np.copyto(out, s, casting="unsafe")
+        return out.view(np.float32), s
 
 
 def averaged(parts: list[np.ndarray], weights: list[np.ndarray]) -> np.ndarray:
@@ -430,88 +502,155 @@ def averaged(parts: list[np.ndarray], weights: list[np.ndarray]) -> np.ndarray:
 
 
 class WordModel:
-    """Vectors of entries as context (r) and of rows of the tree (q, its last column the bias)."""
+    """Vectors of entries as context (r) and of children, node by node (q: one column a child, the last row the bias)."""
 
     def __init__(self, vocab: Vocabulary, tree: Tree, table: np.ndarray, seed: int = 1):
         rng = np.random.default_rng(seed)
         self.vocab, self.tree, self.table = vocab, tree, table  # table: probability by (context, symbol)
         self.noise, self.noise_table = NOISE * tree.share, NOISE * table
         self.r = rng.normal(0, 0.3, (len(vocab.mass), DEPTH)).astype(np.float32)
-        self.q = np.zeros((len(tree.share), DEPTH + 1), np.float32)
+        self.q = np.zeros(len(tree.share) * (DEPTH + 1), np.float32)
         self.c = rng.normal(0, DEPTH**-0.5, (2 * DEPTH, DEPTH)).astype(np.float32)
-        self.met = {k: np.zeros(len(v), np.float32) for k, v in (("r", self.r), ("q", self.q), ("c", self.c))}
-
-    def context(self, two: np.ndarray, one: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(context of symbols, vectors of both entries, predicted vector and a one)."""
-        x = np.empty((len(one), 2 * DEPTH), np.float32)
-        np.take(self.r, one, axis=0, out=x[:, :DEPTH])
-        np.take(self.r, two, axis=0, out=x[:, DEPTH:])
-        h = np.ones((len(one), DEPTH + 1), np.float32)
-        h[:, :DEPTH] = x @ self.c
+        self.met = {k: np.zeros(n, np.float32) for k, n in (("r", len(self.r)), ("q", len(tree.share)), ("c", len(self.c)))}
+
+    def context(self, two: np.ndarray, one: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(context of symbols, vectors of the entry before and of that before it, predicted vector and a one)."""
+        x1, x2 = (np.take(self.r, e, axis=0, mode="clip") for e in (one, two))
+        c = np.pad(self.c, ((0, 0), (0, 1)))
+        h = x1 @ c[:DEPTH]
+        h += x2 @ c[DEPTH:]
+        h[:, DEPTH] = 1
         symbol = self.tree.path[:, 0]
-        return symbol[two].astype(np.int64) * SYMBOLS + symbol[one], x, h
+        return symbol[two] * np.int32(SYMBOLS) + symbol[one], x1, x2, h
+
+    def below(self, entries: np.ndarray, rank: np.ndarray, order: np.ndarray, h: np.ndarray) -> tuple[int, np.ndarray]:
+        """(first place in ``order``, which sorts ``rank``, of an entry that is no symbol; vectors from there, and one more)."""
+        low = int(np.searchsorted(rank, 0))
+        return low, np.take(h, np.append(order[low:], 0), axis=0, mode="clip")
 
     def log_probabilities(self, two: np.ndarray, one: np.ndarray, entries: np.ndarray) -> np.ndarray:
         """Normalised natural logs of entries after their contexts."""
         out = np.zeros(len(entries))
-        for at in range(0, len(entries), BATCH):
-            rank = self.tree.rank[entries[at : at + BATCH]]
+        root = self.tree.blocks(self.q, self.tree.runs[0])[0]
+        for at in range(0, len(entries), SCORED):
+            here = entries[at : at + SCORED]
+            context, _, _, h = self.context(two[at : at + SCORED], one[at : at + SCORED])
+            choice = Choice(h)
+            log = np.empty(len(here), np.float32)
+
+            order = np.argsort(context)  # so that rows of the table are read in turn
+            choice.between(root, len(here))
+            few, symbol = CELLS // SYMBOLS, self.tree.path[here, 0]
+            for t in range(0, len(here), few):
+                those = order[t : t + few]
+                p, base = choice.exponent(h.take(those, axis=0))
+                np.take(self.table, context[those], axis=0, out=base, mode="clip")
+                own = np.arange(0, p.size, SYMBOLS) + symbol[those]
+                log[those] = np.log(p.reshape(-1)[own] * base.reshape(-1)[own] / np.einsum("ij,ij->i", p, base))
+
+            rank = self.tree.rank[here]
             order = np.argsort(rank)
-            here = at + order
-            context, _, h = self.context(two[here], one[here])
-            log = np.zeros(len(here), np.float32)
-            for i, j, a, b, child in self.tree.choices(entries[here], rank[order]):
-                for t in range(i, j, CACHED):
-                    u = min(j, t + CACHED)
-                    p = exponent(h[t:u], self.q[a:b])
-                    own = np.arange(u - t), child[t - i : u - i]
-                    if a == 0:
-                        p *= self.table[context[t:u]]
-                        log[t:u] += np.log(p[own] / p.sum(axis=1))
-                    else:
-                        log[t:u] += np.log(p[own] * self.tree.share[a:b][own[1]] / (p @ self.tree.share[a:b]))
-            out[here] = log
+            rank = rank[order]
+            low, h = self.below(here, rank, order, h)
+            found = np.zeros(len(h), np.float32)
+            for run, k, pieces in self.tree.stacks(here[order[low:]], rank[low:]):
+                choice.between(self.tree.blocks(self.q, run).take(k, axis=0), pieces[0][0].shape[1])
+                share = self.tree.blocks(self.tree.share, run).take(k, axis=0)
+                for token, child in pieces:
+                    p, _ = choice.exponent(h.take(token, axis=0))
+                    own = np.arange(0, p.size, p.shape[2]).reshape(child.shape) + child
+                    own_share = share.reshape(-1)[np.arange(0, share.size, p.shape[2])[:, None] + child]
+                    found[token] += np.log(p.reshape(-1)[own] * own_share / np.einsum("gtm,gm->gt", p, share))
+            log[order[low:]] += found[:-1]
+            out[at : at + SCORED] = log
         return out
 
     def move(self, name: str, rows: np.ndarray | slice, g: np.ndarray) -> None:
         met = self.met[name]
-        met[rows] += (g * g).mean(axis=1)
+        met[rows] += np.einsum("ij,ij->i", g, g) / np.float32(g.shape[1])
         getattr(self, name)[rows] -= WORD_RATE * g / np.sqrt(met[rows] + CALM)[:, None]
 
+    def move_nodes(self, run: tuple[int, int, int], k: np.ndarray, q: np.ndarray, g: np.ndarray) -> None:
+        """Move the matrices ``q`` of the nodes ``k`` of a run."""
+        met = self.tree.blocks(self.met["q"], run)
+        new = met[k] + np.einsum("gdm,gdm->gm", g, g) / np.float32(DEPTH + 1)
+        met[k] = new
+        g *= (-WORD_RATE / np.sqrt(new + CALM))[:, None]
+        g += q
+        self.tree.blocks(self.q, run)[k] = g
+
     def step(self, two: np.ndarray, one: np.ndarray, entries: np.ndarray) -> None:
         """One step on the summed gradients of the tokens of a stretch of texts."""
+        context, x1, x2, h = self.context(two, one)
+        choice = Choice(h)
+
+        def pulled(own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            pull, room = choice.exponent(own)
+            np.add(pull, np.float32(NOISE), out=room)
+            np.divide(pull, room, out=pull)
+            return pull, room
+
+        order = np.argsort(context)  # so that rows of the table are read in turn
+        q = self.tree.blocks(self.q, self.tree.runs[0])
+        dq, dh = np.zeros((SYMBOLS, DEPTH + 1), np.float32), np.empty_like(h)
+        choice.between(q[0], len(order))
+        few, symbol = CELLS // SYMBOLS, self.tree.path[entries, 0]
+        for t in range(0, len(order), few):
+            those = order[t : t + few]
+            own = h.take(those, axis=0)
+            pull, noise = pulled(own)
+            np.take(self.noise_table, context[those], axis=0, out=noise, mode="clip")
+            at = np.arange(0, pull.size, SYMBOLS) + symbol[those]
+            flat = pull.reshape(-1)
+            true = flat[at]
+            pull *= noise
+            flat[at] += true - 1
+            dq += pull.T @ own
+            dh[t : t + few] = pull @ q[0].T
+        self.move_nodes(self.tree.runs[0], np.zeros(1, np.int64), q, dq.T[None].copy())
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        dh = dh.take(place, axis=0)
+
         rank = self.tree.rank[entries]
         order = np.argsort(rank)
         rank = rank[order]
-        context, x, h = self.context(two[order], one[order])
-        dh = np.zeros_like(h)
-        for i, j, a, b, child in self.tree.choices(entries[order], rank):
-            q, noise = self.q[a:b], self.noise[a:b]
-            dq = np.zeros_like(q)
-            for t in range(i, j, CACHED):
-                u = min(j, t + CACHED)
-                own = h[t:u]
-                pull = exponent(own, q)
-                pull /= pull + np.float32(NOISE)
-                at = np.arange(u - t), child[t - i : u - i]
-                true = pull[at]
-                pull *= self.noise_table[context[t:u]] if a == 0 else noise
-                pull[at] += true - 1
-                dq += pull.T @ own
-                dh[t:u] += pull @ q
-            self.move("q", slice(a, b), dq)
+        low, h = self.below(entries, rank, order, h)
+        h[-1] = 0
+        down = np.zeros((len(order) + 1, DEPTH + 1), np.float32)
+        for run, k, pieces in self.tree.stacks(entries[order[low:]], rank[low:]):
+            q, noise = self.tree.blocks(self.q, run).take(k, axis=0), self.tree.blocks(self.noise, run)[k, None]
+            dq = None
+            choice.between(q, pieces[0][0].shape[1])
+            for token, child in pieces:
+                own = h.take(token, axis=0)
+                pull, _ = pulled(own)
+                at = np.arange(0, pull.size, pull.shape[2]).reshape(child.shape) + child
+                flat = pull.reshape(-1)
+                true = flat[at]
+                pull *= noise
+                flat[at] += true - 1
+                more = np.matmul(own.swapaxes(1, 2), pull)
+                dq = more if dq is None else np.add(dq, more, out=dq)
+                down[low + token] += np.matmul(pull, q.swapaxes(1, 2))
+            self.move_nodes(run, k, q, dq)
+        place[order] = np.arange(len(order))
+        dh += down.take(place, axis=0)
+
         dh = dh[:, :DEPTH]
-        dx = np.empty((len(order), 2 * DEPTH), np.float32)
-        dx[order] = dh @ self.c.T
-        self.move("c", slice(None), x.T @ dh)
+        d1, d2 = dh @ self.c[:DEPTH].T, dh @ self.c[DEPTH:].T
+        self.move("c", slice(None), np.concatenate([x1.T @ dh, x2.T @ dh]))
         # Entry i is the context of tokens i + 1 and i + 2, but that the end stands two before a text's first token.
+        first, second = d1[0], d2[:2].copy()
+        unusual = np.flatnonzero(two[2:] != entries[:-2]) + 2
+        ends = d2[unusual].sum(axis=0)
+        d2[unusual] = 0
         dr = np.zeros((len(order), DEPTH), np.float32)
-        dr[:-1] = dx[1:, :DEPTH]
-        usual = two[2:] == entries[:-2]
-        dr[:-2] += dx[2:, DEPTH:] * usual[:, None]
+        dr[:-1] = d1[1:]
+        dr[:-2] += d2[2:]
         edge = np.flatnonzero(np.append(True, rank[1:] != rank[:-1]))
-        dr = np.add.reduceat(dr[order], edge)
-        rest = [(END, dx[2:, DEPTH:][~usual].sum(axis=0)), (one[0], dx[0, :DEPTH]), (two[0], dx[0, DEPTH:]), *((two[1], dx[1, DEPTH:]) for _ in order[1:2])]
+        dr = np.add.reduceat(dr.take(order, axis=0), edge)
+        rest = [(END, ends), (one[0], first), (two[0], second[0]), *((two[1], second[1]) for _ in order[1:2])]
         for entry, g in rest:
             at = np.searchsorted(rank[edge], self.tree.rank[entry])
             if at < len(edge) and rank[edge[at]] == self.tree.rank[entry]:
@@ -551,6 +690,8 @@ def train_words(encoded: DataFrame, model: WordModel, rounds: int = ROUNDS) -> W
                 own.step(two[at : at + size], one[at : at + size], entries[at : at + size])
             for i, name in enumerate("rqc"):
                 gain, delta = own.met[name] - old.met[name], getattr(own, name) - getattr(old, name)
+                if name == "q":
+                    delta = own.tree.by_row(delta)
                 for at in range(0, len(gain), ROWS_SENT):
                     here = slice(at, at + ROWS_SENT)
                     yield block_batch([(at // ROWS_SENT, i, gain[here].tobytes(), delta[here].tobytes())])
@@ -565,11 +706,13 @@ def train_words(encoded: DataFrame, model: WordModel, rounds: int = ROUNDS) -> W
         dealt = encoded.filter(F.col("turn") == k).repartitionById(parts, F.col("part")).select("at", "ids")
         part = dealt.mapInArrow(run, BLOCK).groupBy("kind", "bucket").applyInArrow(merge, BLOCK)
         moved = [(int(x["kind"]), int(x["bucket"]), bytes(x["a"]), bytes(x["b"])) for x in part.toLocalIterator()]
+        model.q = model.tree.by_row(model.q)
         for i, bucket, a, b in moved:
             name = "rqc"[i]
             here = slice(bucket * ROWS_SENT, (bucket + 1) * ROWS_SENT)
             model.met[name][here] += np.frombuffer(a, "<f4")
             getattr(model, name)[here] += np.frombuffer(b, "<f4").reshape(-1, getattr(model, name).shape[1])
+        model.q = model.tree.by_node(model.q)
         shared.unpersist()
     return model
 

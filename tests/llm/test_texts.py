@@ -209,3 +209,89 @@ def test_language_model_sums_to_one_over_all_entries(spark, sf_dir):
         same = np.ones(len(entries), np.int64)
         assert math.isclose(np.exp(scorer.model.log_probabilities(two * same, one * same, entries)).sum(), 1, rel_tol=1e-3)
     assert (v.entry >= lm.SYMBOLS).sum() > 100 and lm.room(10**9) > 2 * lm.room(10**8) > 4 * lm.room(10**7)
+
+
+@pytest.fixture
+def word_model():
+    """A model of 600 words and 60 slots with some vectors, and texts of 3,000 tokens."""
+    rng = np.random.default_rng(3)
+    slots, own = 3, 600
+    mass = np.concatenate([np.zeros(lm.SYMBOLS), rng.integers(8, 400, own) + lm.ALPHA, rng.integers(1, 9, lm.TAILS * slots) + lm.ALPHA])
+    look = np.concatenate([np.zeros(lm.SYMBOLS, np.int64), rng.integers(0, 4, own), np.repeat(np.arange(lm.TAILS), slots)])
+    vocab = lm.Vocabulary(3000, own, np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), slots, mass, look)
+    table = rng.random((lm.SYMBOLS**2, lm.SYMBOLS), np.float32)
+    model = lm.WordModel(vocab, lm.Tree(vocab), table / table.sum(axis=1, keepdims=True))
+    model.q[:] = rng.normal(0, 0.5, len(model.q))
+    seq = rng.integers(0, len(mass), 3000)
+    seq[(seq >= lm.OWN) & (seq < lm.SYMBOLS)] = lm.END
+    seq[-1] = lm.END
+    return model, *lm.contexts(seq), seq
+
+
+def plain_step(m, two, one, entries):
+    """``WordModel.step`` token by token: r, q (a row a child) and c after it."""
+    d, tree = lm.DEPTH, m.tree
+    r, q, c = (x.astype(float) for x in (m.r, tree.by_row(m.q), m.c))
+    dr, dq, dc = (np.zeros_like(x) for x in (r, q, c))
+    for j, i, e in zip(two, one, entries):
+        x = np.concatenate([r[i], r[j]])
+        h, dh = np.append(x @ c, 1), np.zeros(d + 1)
+        for row in tree.path[e][tree.path[e] >= 0]:
+            k = tree.node[row]
+            a, b = tree.first[k], tree.first[k + 1]
+            bits = np.clip(q[a:b] @ h * lm.STEEP + lm.ONE_BITS, 0, lm.MOST_BITS).astype(np.int32)
+            up = bits.view(np.float32).astype(float)
+            true = up / (up + lm.NOISE)
+            pull = true * lm.NOISE * (m.table[tree.path[j, 0] * lm.SYMBOLS + tree.path[i, 0]] if k == 0 else tree.share[a:b])
+            pull[row - a] += true[row - a] - 1
+            if b - a > 1:
+                dq[a:b] += np.outer(pull, h)
+                dh += pull @ q[a:b]
+        dx = c @ dh[:d]
+        dr[i] += dx[:d]
+        dr[j] += dx[d:]
+        dc += np.outer(x, dh[:d])
+    return [x - lm.WORD_RATE * g / np.sqrt((g * g).mean(axis=1) + lm.CALM)[:, None] for x, g in ((r, dr), (q, dq), (c, dc))]
+
+
+@pytest.mark.parametrize("cells", [256, 1 << 12, lm.SCORED])
+def test_language_model_step_is_the_sum_over_tokens(word_model, monkeypatch, cells):
+    model, two, one, seq = word_model
+    r, q, c = plain_step(model, two, one, seq)
+    whole = model.log_probabilities(two, one, seq)
+    monkeypatch.setattr(lm, "CELLS", cells)
+    assert np.allclose(model.log_probabilities(two, one, seq), whole, atol=1e-4)
+    model.step(two, one, seq)
+    assert np.allclose(model.r, r, atol=1e-3) and np.allclose(model.tree.by_row(model.q), q, atol=1e-3) and np.allclose(model.c, c, atol=1e-3)
+    assert (model.tree.by_node(model.tree.by_row(model.q)) == model.q).all()
+
+
+def test_language_model_nodes_are_handled_in_stacks(word_model):
+    """The cost of a step is in numbers, not in turns of Python: few stacks for many nodes, and few idle places in them."""
+    model, _, _, seq = word_model
+    rank = model.tree.rank[seq]
+    order = np.argsort(rank)
+    order = order[rank[order] >= 0]
+    stacks = list(model.tree.stacks(seq[order], rank[order]))
+    nodes = sum(len(k) for _, k, _ in stacks)
+    tokens = np.concatenate([t.ravel() for _, _, pieces in stacks for t, _ in pieces])
+    assert nodes > 50 and len(stacks) < nodes / 2
+    assert (np.bincount(tokens, minlength=len(order) + 1)[:-1] <= 2).all()
+    assert (tokens == len(order)).sum() < 0.3 * len(tokens)
+    for run, k, pieces in stacks:
+        first = model.tree.first[run[0] + k]
+        for t, child in pieces:
+            real = t < len(order)
+            row = (first[:, None] + child)[real]
+            assert ((model.tree.path[seq[order][t[real]]] == row[:, None]).any(axis=1)).all()
+
+
+def test_language_model_finds_its_frequent_words():
+    rng = np.random.default_rng(6)
+    for n in (0, 1, 2, 1000, 50_000):
+        keys = np.sort(rng.integers(0, 1 << 64, n, dtype=np.uint64))
+        entry = np.arange(n)
+        v = lm.Vocabulary(n, n, keys, np.ones(n, np.int64), entry, 1, np.ones(lm.SYMBOLS), np.zeros(lm.SYMBOLS, np.int64))
+        ask = np.concatenate([rng.permutation(keys), keys + np.uint64(1), keys - np.uint64(1), rng.integers(0, 1 << 64, 1000, dtype=np.uint64), np.array([0, (1 << 64) - 1], np.uint64)])
+        found, at = v.find(ask)
+        assert (found == np.isin(ask, keys)).all() and (keys[at[found]] == ask[found]).all()

@@ -661,6 +661,13 @@ class WordModel:
 
 
 ROWS_SENT = 1 << 14
+FREED = 31 << 20
+
+
+def keep_freed_memory() -> None:
+    """Every step makes the same arrays again. The C library gives back to the system what exceeds twice the
+    largest array freed so far (of those below 32 MB), and then each step has to fetch its pages anew."""
+    np.empty(FREED, np.uint8)
 
 
 def train_words(encoded: DataFrame, model: WordModel, rounds: int = ROUNDS) -> WordModel:
@@ -683,6 +690,7 @@ def train_words(encoded: DataFrame, model: WordModel, rounds: int = ROUNDS) -> W
                 return
             entries = np.frombuffer(b"".join(texts[i] for i in np.argsort(np.concatenate(at), kind="stable")), "<i4")
             two, one = contexts(entries)
+            keep_freed_memory()
             old = shared.value
             own = copy.copy(old)
             own.r, own.q, own.c, own.met = old.r.copy(), old.q.copy(), old.c.copy(), {k: v.copy() for k, v in old.met.items()}
@@ -750,6 +758,7 @@ def score(docs: DataFrame, scorer: Scorer, counted: DataFrame, shift: int) -> Da
 
     def run(batches):
         keys, rows, held, meta = [], [], 0, []
+        keep_freed_memory()
 
         def flush():
             k, r = np.concatenate(keys), np.concatenate(rows)
